@@ -1,32 +1,53 @@
-"""Small column helpers shared by the operators."""
+"""SQL texts shared by the operators.
+
+Expressions are built as SQL text: one text is one call into the JVM, where the same
+expression put together from column objects is dozens.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 # Amounts are added up as whole numbers of 1/10,000 units: ISO 4217 has no currency with
 # more than four decimals, and integer sums do not depend on the order of the rows.
 UNITS = 10_000
 
 
-def to_units(amount: Column) -> Column:
-    return (amount.cast("decimal(18,4)") * F.lit(UNITS)).cast("bigint")
+def to_units(amount: str = "amount") -> str:
+    return f"cast(cast({amount} as decimal(18,4)) * {UNITS} as bigint)"
+
+
+def from_units(units: str) -> str:
+    return f"cast({units} as double) / {UNITS}D"
+
+
+def micros(ts: str = "event_time") -> str:
+    return f"unix_micros(cast({ts} as timestamp))"
 
 
-def from_units(units: Column) -> Column:
-    return units.cast("double") / F.lit(float(UNITS))
+def from_micros(us: str, like: DataFrame, column: str) -> str:
+    """A timestamp of the same type as ``column`` of ``like``."""
+    return f"cast(timestamp_micros({us}) as {like.schema[column].dataType.simpleString()})"
 
 
-def micros(ts: Column) -> Column:
-    return F.unix_micros(ts.cast("timestamp"))
+def floor_to(us: str, width: int | str) -> str:
+    """The start of the bin of ``width`` that holds ``us``, also before 1970."""
+    return f"({us} - pmod({us}, {width}))"
 
 
-def round_to(value: Column, places: int) -> Column:
-    """Half-up rounding on the decimal value, so ties do not depend on binary noise."""
-    return F.round(value.cast("decimal(30,12)"), places).cast("double")
+def rounded(value: str, places: int) -> str:
+    """Half-up rounding of the decimal value, so ties do not depend on binary noise."""
+    return f"cast(round(cast({value} as decimal(30,12)), {places}) as double)"
 
 
-def safe_ratio(part: Column, whole: Column) -> Column:
+def ratio(part: str, whole: str) -> str:
     """``part / whole`` with a divisor of at least one."""
-    return part.cast("double") / F.greatest(whole, F.lit(1)).cast("double")
+    return f"cast({part} as double) / cast(greatest({whole}, 1) as double)"
+
+
+def text(value: str) -> str:
+    return "'" + value.replace("'", "\\'") + "'"
+
+
+def text_list(values: list[str]) -> str:
+    return ", ".join(text(v) for v in values)

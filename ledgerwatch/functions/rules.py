@@ -1,69 +1,62 @@
-"""The instant rules, as column expressions."""
+"""The instant rules."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
-from functools import reduce
-from operator import add
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
+from ledgerwatch.functions.columns import text, text_list
 from ledgerwatch.schema import HIGH_RISK_CATEGORIES, HIGH_RISK_COUNTRIES, UNKNOWN_DEVICE
 
 
 @dataclass(frozen=True)
 class Rule:
-    """A predicate over a transaction, its weight, and the column named with the rule."""
+    """A predicate over a transaction, its weight, and the column named with the rule.
+
+    A predicate that is null, because a field is missing, does not fire the rule.
+    """
 
     name: str
-    weight: float
-    predicate: Callable[[], Column]
+    weight: str
+    predicate: str
     detail: str | None = None
 
-    def hit(self) -> Column:
-        """True or false, never null: a missing field does not fire a rule."""
-        return F.coalesce(self.predicate(), F.lit(False))
-
-    def text(self) -> Column:
+    def label(self) -> str:
         if self.detail is None:
-            return F.lit(self.name)
-        return F.concat(F.lit(self.name + ":"), F.col(self.detail))
+            return text(self.name)
+        return f"concat({text(self.name + ':')}, {self.detail})"
+
+    def points(self) -> str:
+        return f"case when {self.predicate} then {self.weight} else 0.0D end"
 
+    def fired(self) -> str:
+        return f"case when {self.predicate} then {self.label()} end"
 
-# Names, limits and weights of the rules. Scores are floating-point sums in
+
+# Names, weights and limits of the rules. Scores are floating-point sums in
 # this order; another order gives other last digits.
 RULES = [
-    Rule("HIGH_AMOUNT_3K", 0.30, lambda: F.col("amount") >= 3000.0),
-    Rule("VERY_HIGH_AMOUNT_8K", 0.20, lambda: F.col("amount") >= 8000.0),
-    Rule("HIGH_RISK_MCC", 0.25, lambda: F.col("merchant_category").isin(HIGH_RISK_CATEGORIES), "merchant_category"),
-    Rule("HIGH_RISK_COUNTRY", 0.20, lambda: F.col("country").isin(HIGH_RISK_COUNTRIES), "country"),
-    Rule("UNKNOWN_DEVICE", 0.10, lambda: F.col("device_type") == UNKNOWN_DEVICE),
-    Rule("MICRO_AMOUNT_CARD_TEST", 0.15, lambda: (F.col("amount") > 0.0) & (F.col("amount") < 2.0)),
-    Rule("SUSPICIOUSLY_ROUND_AMOUNT", 0.08, lambda: (F.col("amount") >= 500.0) & (F.col("amount") % 100.0 == 0.0)),
+    Rule("HIGH_AMOUNT_3K", "0.30D", "amount >= 3000D"),
+    Rule("VERY_HIGH_AMOUNT_8K", "0.20D", "amount >= 8000D"),
+    Rule("HIGH_RISK_MCC", "0.25D", f"merchant_category in ({text_list(HIGH_RISK_CATEGORIES)})", "merchant_category"),
+    Rule("HIGH_RISK_COUNTRY", "0.20D", f"country in ({text_list(HIGH_RISK_COUNTRIES)})", "country"),
+    Rule("UNKNOWN_DEVICE", "0.10D", f"device_type = {text(UNKNOWN_DEVICE)}"),
+    Rule("MICRO_AMOUNT_CARD_TEST", "0.15D", "amount > 0D and amount < 2D"),
+    Rule("SUSPICIOUSLY_ROUND_AMOUNT", "0.08D", "amount >= 500D and amount % 100D = 0D"),
 ]
 
 RULES_BY_NAME = {rule.name: rule for rule in RULES}
 
+RULE_SCORE = f"least({' + '.join(rule.points() for rule in RULES)}, 1D)"
 
-def rule_score() -> Column:
-    points = [F.when(rule.hit(), F.lit(rule.weight)).otherwise(F.lit(0.0)) for rule in RULES]
-    return F.least(reduce(add, points), F.lit(1.0))
-
-
-def triggered_rules() -> Column:
-    """The texts of the rules that fired, in rule order."""
-    return F.array_compact(F.array(*[F.when(rule.hit(), rule.text()) for rule in RULES]))
+# The texts of the rules that fired, in rule order.
+FIRED_RULES = f"array_compact(array({', '.join(rule.fired() for rule in RULES)}))"
 
 
 def rule_hits(transactions: DataFrame, name: str) -> DataFrame:
     """The transactions on which one rule fires."""
     rule = RULES_BY_NAME[name]
-    return transactions.where(rule.predicate()).select(
-        "transaction_id",
-        "account_id",
-        "amount",
-        rule.text().alias("rule"),
-        F.lit(rule.weight).alias("weight"),
+    return transactions.where(rule.predicate).selectExpr(
+        "transaction_id", "account_id", "amount", f"{rule.label()} as rule", f"{rule.weight} as weight"
     )

@@ -2,50 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from ledgerwatch.config import FRAUD_THRESHOLD
-from ledgerwatch.functions.rules import rule_score, triggered_rules
+from ledgerwatch.functions.rules import FIRED_RULES, RULE_SCORE
 
 # Where the velocity scores start, how fast they rise and where they end.
-COUNT_START, COUNT_SPAN, COUNT_CAP = 20, 30.0, 0.40
-SPEND_START, SPEND_SPAN, SPEND_CAP = 5000.0, 10000.0, 0.30
+FAST = "window_count > 20"
+FAST_POINTS = "least((window_count - 20) / 30D, 0.40D)"
+LAVISH = "window_spend > 5000D"
+LAVISH_POINTS = "least((window_spend - 5000D) / 10000D, 0.30D)"
 
+VELOCITY_SCORE = (
+    f"case when {FAST} then {FAST_POINTS} else 0D end + case when {LAVISH} then {LAVISH_POINTS} else 0D end"
+)
+# Whole spend is rounded half to even.
+FIRED_VELOCITY = f"""array_compact(array(
+    case when {FAST} then concat('VELOCITY_COUNT:', cast(window_count as string)) end,
+    case when {LAVISH} then concat('VELOCITY_SPEND:', cast(cast(bround(window_spend, 0) as bigint) as string)) end))"""
 
-def _fast() -> Column:
-    return F.col("window_count") > COUNT_START
-
-
-def _lavish() -> Column:
-    return F.col("window_spend") > SPEND_START
-
-
-def velocity_score() -> Column:
-    count = F.least((F.col("window_count") - COUNT_START) / F.lit(COUNT_SPAN), F.lit(COUNT_CAP))
-    spend = F.least((F.col("window_spend") - SPEND_START) / F.lit(SPEND_SPAN), F.lit(SPEND_CAP))
-    zero = F.lit(0.0)
-    return F.when(_fast(), count).otherwise(zero) + F.when(_lavish(), spend).otherwise(zero)
-
-
-def velocity_rules() -> Column:
-    count = F.concat(F.lit("VELOCITY_COUNT:"), F.col("window_count").cast("string"))
-    whole_spend = F.bround(F.col("window_spend"), 0).cast("bigint")
-    spend = F.concat(F.lit("VELOCITY_SPEND:"), whole_spend.cast("string"))
-    return F.array_compact(F.array(F.when(_fast(), count), F.when(_lavish(), spend)))
+LABEL = f"case when fraud_score >= {FRAUD_THRESHOLD}D then 'FRAUD' else 'REVIEW' end"
 
 
 def score_transactions(features: DataFrame) -> DataFrame:
     """Add rule, velocity and composite scores and the list of everything that fired."""
-    return features.withColumns(
-        {"rule_score": rule_score(), "velocity_score": velocity_score()}
-    ).withColumns(
-        {
-            "fraud_score": F.least(F.col("rule_score") + F.col("velocity_score"), F.lit(1.0)),
-            "rules_triggered": F.concat(triggered_rules(), velocity_rules()),
-        }
+    return features.selectExpr(
+        "*",
+        f"{RULE_SCORE} as rule_score",
+        f"{VELOCITY_SCORE} as velocity_score",
+        "least(rule_score + velocity_score, 1D) as fraud_score",
+        f"concat({FIRED_RULES}, {FIRED_VELOCITY}) as rules_triggered",
     )
-
-
-def label() -> Column:
-    return F.when(F.col("fraud_score") >= FRAUD_THRESHOLD, F.lit("FRAUD")).otherwise(F.lit("REVIEW"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerwatch.config import (
@@ -14,31 +14,32 @@ from ledgerwatch.config import (
     HISTORY_PER_ACCOUNT,
     RECENT_ALERTS,
 )
-from ledgerwatch.functions.columns import from_units, round_to, to_units
-from ledgerwatch.functions.scores import label
+from ledgerwatch.functions.columns import from_units, rounded, to_units
+from ledgerwatch.functions.scores import LABEL
 
 
 def raise_alerts(
-    scored: DataFrame, latency_ms: Column, detected_at: Column, threshold: float = ALERT_THRESHOLD
+    scored: DataFrame, latency_ms: str, detected_at: str, threshold: float = ALERT_THRESHOLD
 ) -> DataFrame:
     """The scored rows at or above the threshold, as alerts.
 
-    The unrounded score decides; the alert shows it with four decimals. The id follows
-    from the transaction, so a replay raises the same alert again and not another one.
+    ``latency_ms`` and ``detected_at`` are expressions over the scored rows. The unrounded
+    score decides; the alert shows it with four decimals. The id follows from the
+    transaction, so a replay raises the same alert again and not another one.
     """
-    return scored.where(F.col("fraud_score") >= threshold).select(
-        F.sha2("transaction_id", 256).alias("alert_id"),
+    return scored.where(f"fraud_score >= {threshold}D").selectExpr(
+        "sha2(transaction_id, 256) as alert_id",
         "transaction_id",
         "account_id",
-        F.coalesce("merchant_category", F.lit("")).alias("merchant_category"),
+        "coalesce(merchant_category, '') as merchant_category",
         "amount",
-        F.coalesce("country", F.lit("")).alias("country"),
-        round_to(F.col("fraud_score"), 4).alias("fraud_score"),
-        label().alias("label"),
+        "coalesce(country, '') as country",
+        f"{rounded('fraud_score', 4)} as fraud_score",
+        f"{LABEL} as label",
         "rules_triggered",
-        round_to(latency_ms, 2).alias("detection_latency_ms"),
-        detected_at.alias("detected_at"),
-        F.coalesce("is_fraud", F.lit(False)).alias("is_fraud_ground_truth"),
+        f"{rounded(latency_ms, 2)} as detection_latency_ms",
+        f"{detected_at} as detected_at",
+        "coalesce(is_fraud, false) as is_fraud_ground_truth",
     )
 
 
@@ -50,14 +51,10 @@ def account_history(
     The rank filter runs before the shuffle too, so an account sends at most ``keep`` rows
     from each input partition.
     """
-    ranked = Window.partitionBy("account_id").orderBy(F.desc("detected_at"), "transaction_id")
-    newest = alerts.withColumn("position", F.row_number().over(ranked)).where(F.col("position") <= keep)
-    last_alert = F.max("detected_at").over(Window.partitionBy("account_id"))
-    return (
-        newest.withColumn("last_alert", last_alert)
-        .where(F.col("last_alert") > as_of - F.expr(f"interval {hours} hours"))
-        .drop("last_alert")
-    )
+    rank = "row_number() over (partition by account_id order by detected_at desc, transaction_id)"
+    newest = alerts.selectExpr("*", f"{rank} as position").where(f"position <= {keep}")
+    dated = newest.selectExpr("*", "max(detected_at) over (partition by account_id) as last_alert")
+    return dated.where(F.col("last_alert") > as_of - F.expr(f"interval {hours} hours")).drop("last_alert")
 
 
 def newest_alerts(alerts: DataFrame, limit: int) -> DataFrame:
@@ -74,22 +71,20 @@ def recent_alerts(alerts: DataFrame) -> DataFrame:
 
 def feed_rows(alerts: DataFrame) -> DataFrame:
     """The first rows of the feed as they are shown, with defaults for missing values."""
-    shown = newest_alerts(alerts, FEED_ROWS)
-    zero = F.lit(0.0)
-    return shown.select(
+    return newest_alerts(alerts, FEED_ROWS).selectExpr(
         "transaction_id",
-        F.coalesce("label", F.lit("REVIEW")).alias("label"),
-        F.format_string("%.3f", F.coalesce("fraud_score", zero)).alias("score"),
-        F.concat(F.lit("$"), F.format_number(F.coalesce("amount", zero), 2)).alias("amount"),
-        F.coalesce("account_id", F.lit("")).alias("account_id"),
-        F.concat_ws(" / ", F.coalesce("merchant_category", F.lit("")), F.coalesce("country", F.lit(""))).alias("place"),
-        F.bround(F.coalesce("detection_latency_ms", zero), 0).cast("bigint").alias("latency_ms"),
-        F.array_join(F.slice("rules_triggered", 1, FEED_RULES), ", ").alias("rules"),
-        F.substring(F.date_format("detected_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), 1, 19).alias("detected"),
+        "coalesce(label, 'REVIEW') as label",
+        "format_string('%.3f', coalesce(fraud_score, 0D)) as score",
+        "concat('$', format_number(coalesce(amount, 0D), 2)) as amount",
+        "coalesce(account_id, '') as account_id",
+        "concat(coalesce(merchant_category, ''), ' / ', coalesce(country, '')) as place",
+        "cast(bround(coalesce(detection_latency_ms, 0D), 0) as bigint) as latency_ms",
+        f"array_join(slice(rules_triggered, 1, {FEED_RULES}), ', ') as rules",
+        "substring(date_format(detected_at, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\"), 1, 19) as detected",
     )
 
 
 def global_stats(alerts: DataFrame) -> DataFrame:
     """Number of alerts and the amount they flag; zero without alerts."""
-    flagged = from_units(F.coalesce(F.sum(to_units(F.col("amount"))), F.lit(0)))
-    return alerts.agg(F.count("*").alias("total_alerts"), flagged.alias("total_amount_flagged"))
+    flagged = from_units(f"coalesce(sum({to_units()}), 0)")
+    return alerts.agg(F.expr("count(*) as total_alerts"), F.expr(f"{flagged} as total_amount_flagged"))

@@ -2,166 +2,142 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType
 
 from ledgerwatch.config import ALERT_THRESHOLD, LATENCY_BOUNDS_MS, SCORE_BOUNDS, TOP_GROUPS, TOP_RULES
-from ledgerwatch.functions.columns import from_units, micros, round_to, safe_ratio, to_units
+from ledgerwatch.functions.columns import floor_to, from_micros, from_units, micros, ratio, rounded, to_units
 
 
-def _mean(value: Column, places: int) -> Column:
+def _mean(value: str, places: int) -> str:
     """Mean of values with up to four decimals, from an exact sum."""
-    return round_to(from_units(F.sum(to_units(value))) / F.count(value), places)
+    return rounded(f"({from_units(f'sum({to_units(value)})')}) / count({value})", places)
+
+
+def _aggregate(rows: DataFrame, *measures: str) -> DataFrame:
+    return rows.agg(*[F.expr(m) for m in measures])
 
 
 def alert_kpis(alerts: DataFrame) -> DataFrame:
     """Numbers and shares of fraud and review alerts, mean score and mean latency."""
-    fraud = F.count_if(F.col("label") == "FRAUD")
-    review = F.count_if(F.col("label") == "REVIEW")
-    total = F.count("*")
-    return alerts.agg(
-        total.alias("alerts"),
-        fraud.alias("fraud_alerts"),
-        review.alias("review_alerts"),
-        round_to(safe_ratio(fraud * 100, total), 1).alias("fraud_pct"),
-        round_to(safe_ratio(review * 100, total), 1).alias("review_pct"),
-        _mean(F.col("fraud_score"), 3).alias("avg_score"),
-        _mean(F.col("detection_latency_ms"), 2).alias("avg_latency_ms"),
+    fraud, review = "count_if(label = 'FRAUD')", "count_if(label = 'REVIEW')"
+    return _aggregate(
+        alerts,
+        "count(*) as alerts",
+        f"{fraud} as fraud_alerts",
+        f"{review} as review_alerts",
+        f"{rounded(ratio(f'{fraud} * 100', 'count(*)'), 1)} as fraud_pct",
+        f"{rounded(ratio(f'{review} * 100', 'count(*)'), 1)} as review_pct",
+        f"{_mean('fraud_score', 3)} as avg_score",
+        f"{_mean('detection_latency_ms', 2)} as avg_latency_ms",
     )
 
 
 def score_histogram(alerts: DataFrame, bins: int = 20) -> DataFrame:
     """Alerts per score bin; equal bins on [0, 1], the last one closed. Empty bins are left out."""
-    number = F.least(F.floor(F.col("fraud_score") * bins), F.lit(bins - 1)).cast("int")
-    return alerts.groupBy(number.alias("bin")).agg(F.count("*").alias("alerts")).select(
-        "bin",
-        (F.col("bin") / F.lit(float(bins))).alias("bin_start"),
-        "alerts",
-    )
+    number = F.expr(f"cast(least(floor(fraud_score * {bins}), {bins - 1}) as int) as bin")
+    counts = alerts.groupBy(number).agg(F.expr("count(*) as alerts"))
+    return counts.selectExpr("bin", f"bin / {bins}D as bin_start", "alerts")
 
 
-def cumulative_buckets(values: DataFrame, value: Column, bounds: list[float], places: int) -> DataFrame:
+def cumulative_buckets(values: DataFrame, value: str, bounds: list[float], places: int) -> DataFrame:
     """For each bound and for no bound: the number of values up to it, with overall sum and count.
 
     One pass over the data; the row per bound is made from the single row of totals.
     """
-    totals = values.select(value.alias("value")).agg(
-        *[F.count_if(F.col("value") <= bound).alias(f"le_{i}") for i, bound in enumerate(bounds)],
-        F.count("value").alias("total"),
-        F.sum(F.col("value").cast("decimal(30,12)")).alias("value_sum"),
+    totals = _aggregate(
+        values,
+        *[f"count_if({value} <= {bound}D) as le_{i}" for i, bound in enumerate(bounds)],
+        f"count({value}) as value_count",
+        f"sum(cast({value} as decimal(30,12))) as exact_sum",
     )
-    rows = [
-        F.struct(F.lit(f"{bound:g}").alias("le"), F.col(f"le_{i}").alias("cumulative"))
-        for i, bound in enumerate(bounds)
-    ]
-    unbounded = F.struct(F.lit("+Inf").alias("le"), F.col("total").alias("cumulative"))
-    return totals.select(
-        F.inline(F.array(*rows, unbounded)),
-        F.coalesce(F.round("value_sum", places).cast("double"), F.lit(0.0)).alias("value_sum"),
-        F.col("total").alias("value_count"),
+    rows = [f"struct('{bound:g}' as le, le_{i} as cumulative)" for i, bound in enumerate(bounds)]
+    rows.append("struct('+Inf' as le, value_count as cumulative)")
+    return totals.selectExpr(
+        f"inline(array({', '.join(rows)}))",
+        f"coalesce(cast(round(exact_sum, {places}) as double), 0D) as value_sum",
+        "value_count",
     )
 
 
 def score_buckets(scored: DataFrame) -> DataFrame:
-    return cumulative_buckets(scored, F.col("fraud_score"), SCORE_BOUNDS, 4)
+    return cumulative_buckets(scored, "fraud_score", SCORE_BOUNDS, 4)
 
 
 def latency_buckets(rows: DataFrame, column: str = "latency_ms") -> DataFrame:
-    return cumulative_buckets(rows, F.col(column), LATENCY_BOUNDS_MS, 2)
+    return cumulative_buckets(rows, column, LATENCY_BOUNDS_MS, 2)
 
 
 def pipeline_counters(scored: DataFrame, threshold: float = ALERT_THRESHOLD) -> DataFrame:
-    return scored.agg(
-        F.count("*").alias("transactions_processed"),
-        F.count_if(F.col("fraud_score") >= threshold).alias("alerts_emitted"),
+    return _aggregate(
+        scored,
+        "count(*) as transactions_processed",
+        f"count_if(fraud_score >= {threshold}D) as alerts_emitted",
     )
 
 
 def throughput(transactions: DataFrame) -> DataFrame:
     """Transactions per second over their time span, which counts as at least a millisecond."""
-    seconds = (micros(F.max("event_time")) - micros(F.min("event_time"))) / F.lit(1_000_000.0)
-    return transactions.agg(F.count("*").alias("transactions"), seconds.alias("seconds")).select(
-        "transactions",
-        round_to(F.col("transactions") / F.greatest("seconds", F.lit(0.001)), 4).alias("per_second"),
+    seconds = f"({micros('max(event_time)')} - {micros('min(event_time)')}) / 1000000D"
+    return _aggregate(
+        transactions,
+        "count(*) as transactions",
+        f"{rounded(f'count(*) / greatest({seconds}, 0.001D)', 4)} as per_second",
     )
 
 
-def _bin(ts: Column, width_us: int) -> Column:
-    return F.floor(micros(ts) / width_us)
-
-
-def _bin_start(number: Column, width_us: int, like: DataType) -> Column:
-    return F.timestamp_micros(number * width_us).cast(like)
-
-
 def throughput_per_second(transactions: DataFrame) -> DataFrame:
     """Transactions in each second that has any."""
-    kind = transactions.schema["event_time"].dataType
-    counts = transactions.groupBy(_bin(F.col("event_time"), 1_000_000).alias("bin")).agg(
-        F.count("*").alias("transactions")
-    )
-    return counts.select(_bin_start(F.col("bin"), 1_000_000, kind).alias("second"), "transactions")
+    second = F.expr(f"{floor_to(micros(), 1_000_000)} as us")
+    counts = transactions.groupBy(second).agg(F.expr("count(*) as transactions"))
+    return counts.selectExpr(f"{from_micros('us', transactions, 'event_time')} as second", "transactions")
 
 
 def alerts_over_time(alerts: DataFrame, seconds: int = 5) -> DataFrame:
     """Alerts per bin from the first to the last bin that has any; empty bins count zero.
 
-    The bins are laid out in chunks of a day that are spread over the executors, so a long
-    time span does not have to fit into one task.
+    The bins are laid out day by day on several executors, so a long time span does not
+    have to fit into one task.
     """
-    width = seconds * 1_000_000
-    per_day = 86_400 // seconds
-    counted = alerts.groupBy(_bin(F.col("detected_at"), width).alias("bin")).agg(F.count("*").alias("n"))
-    chunks = counted.agg(F.min("bin").alias("first"), F.max("bin").alias("last")).select(
-        "first",
-        "last",
-        F.explode(
-            F.sequence(F.floor(F.col("first") / per_day), F.floor(F.col("last") / per_day))
-        ).alias("chunk"),
+    width, day = seconds * 1_000_000, 86_400_000_000
+    bin_us = F.expr(f"{floor_to(micros('detected_at'), width)} as bin")
+    counted = alerts.groupBy(bin_us).agg(F.expr("count(*) as n"))
+    ends = _aggregate(counted, "min(bin) as first", "max(bin) as last")
+    days = ends.selectExpr(
+        "first", "last", f"explode(sequence({floor_to('first', day)}, {floor_to('last', day)}, {day})) as day"
     )
-    spread = int(alerts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    chunk_start = F.col("chunk") * per_day
-    bins = chunks.repartition(spread, "chunk").select(
-        F.explode(
-            F.sequence(
-                F.greatest("first", chunk_start),
-                F.least(F.col("last"), chunk_start + (per_day - 1)),
-            )
-        ).alias("bin")
+    tasks = int(alerts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bins = days.repartition(tasks, "day").selectExpr(
+        f"explode(sequence(greatest(first, day), least(last, day + {day - width}), {width})) as bin"
     )
-    kind = alerts.schema["detected_at"].dataType
-    return bins.join(counted, "bin", "left").select(
-        _bin_start(F.col("bin"), width, kind).alias("bin_start"),
-        F.coalesce("n", F.lit(0)).cast("bigint").alias("alerts"),
+    return bins.join(counted, "bin", "left").selectExpr(
+        f"{from_micros('bin', alerts, 'detected_at')} as bin_start", "coalesce(n, 0L) as alerts"
     )
 
 
 def top_groups(alerts: DataFrame, column: str, limit: int = TOP_GROUPS) -> DataFrame:
     """The groups with most alerts; equal numbers in order of the name."""
-    counts = alerts.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("alerts"))
+    counts = alerts.where(f"{column} is not null").groupBy(column).agg(F.expr("count(*) as alerts"))
     return counts.orderBy(F.desc("alerts"), column).limit(limit)
 
 
-def _rule_names() -> Column:
-    """One row per fired rule, by its name without the detail after the colon."""
-    return F.explode(F.transform("rules_triggered", lambda rule: F.substring_index(rule, ":", 1)))
+# One row per fired rule, by its name without the detail after the colon.
+RULE_NAMES = "explode(transform(rules_triggered, rule -> substring_index(rule, ':', 1))) as rule"
 
 
 def rule_frequency(alerts: DataFrame, limit: int = TOP_RULES) -> DataFrame:
-    counts = alerts.select(_rule_names().alias("rule")).groupBy("rule").agg(F.count("*").alias("alerts"))
-    return counts.orderBy(F.desc("alerts"), "rule").limit(limit)
+    return top_groups(alerts.selectExpr(RULE_NAMES), "rule", limit)
 
 
 def rule_precision(alerts: DataFrame) -> DataFrame:
     """Per rule: the alerts it took part in and the share of them that are true fraud."""
-    true_fraud = F.count_if("is_fraud_ground_truth")
+    true_fraud = "count_if(is_fraud_ground_truth)"
     return (
-        alerts.select(_rule_names().alias("rule"), "is_fraud_ground_truth")
+        alerts.selectExpr(RULE_NAMES, "is_fraud_ground_truth")
         .groupBy("rule")
         .agg(
-            F.count("*").alias("alerts"),
-            true_fraud.alias("true_fraud"),
-            round_to(safe_ratio(true_fraud, F.count("*")), 4).alias("precision"),
+            F.expr("count(*) as alerts"),
+            F.expr(f"{true_fraud} as true_fraud"),
+            F.expr(f"{rounded(ratio(true_fraud, 'count(*)'), 4)} as precision"),
         )
     )

@@ -2,82 +2,69 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerwatch.config import DEFAULT_SKEW, MICROS_PER_SECOND, SkewConfig
-from ledgerwatch.functions.columns import from_units, micros, to_units
+from ledgerwatch.functions.columns import floor_to, from_micros, from_units, micros, to_units
 from ledgerwatch.functions.rules import RULES_BY_NAME
 from ledgerwatch.operators.skew import cut, cut_hot_only, hot_accounts
 from ledgerwatch.operators.velocity import trailing
 
 GEO_MINUTES = 30
 SLICE_SECONDS = 3600
+WINDOW_SECONDS = 300
+SHOWN = ["transaction_id", "account_id", "event_time", "amount"]
 
 
 def geo_impossible(
     transactions: DataFrame, minutes: int = GEO_MINUTES, skew: SkewConfig = DEFAULT_SKEW
 ) -> DataFrame:
     """Transactions in another country than the account's previous one less than ``minutes`` before."""
-    rows = transactions.select("transaction_id", "account_id", "event_time", "country").withColumn(
-        "us", micros(F.col("event_time"))
+    rows = transactions.selectExpr("transaction_id", "account_id", "event_time", "country", f"{micros()} as us")
+    hot = hot_accounts(rows.select("account_id", "us"), skew, SLICE_SECONDS)
+    last_of_slice = (
+        cut_hot_only(rows.select("account_id", "us", "transaction_id", "country"), hot)
+        .groupBy("account_id", "slice")
+        .agg(F.expr("max_by(struct(us, country), struct(us, transaction_id)) as final"))
     )
-    keys = rows.select("account_id", "us", "transaction_id", "country")
-    hot = hot_accounts(keys.select("account_id", "us"), skew, SLICE_SECONDS)
-    here = F.struct("us", "country")
-    by_slice = Window.partitionBy("account_id").orderBy("slice_no")
-    carried = (
-        cut_hot_only(keys, hot)
-        .groupBy("account_id", "slice_no")
-        .agg(F.max_by(here, F.struct("us", "transaction_id")).alias("final"))
-        .select("account_id", "slice_no", F.lag("final").over(by_slice).alias("carried"))
+    carried = last_of_slice.selectExpr(
+        "account_id", "slice", "lag(final) over (partition by account_id order by slice) as carried"
     )
-    by_time = Window.partitionBy("account_id", "slice_no").orderBy("us", "transaction_id")
-    previous = F.coalesce(F.lag(here).over(by_time), F.col("carried"))
-    return (
+    by_time = "partition by account_id, slice order by us, transaction_id"
+    steps = (
         cut(rows, hot)
-        .join(carried.hint("shuffle_hash"), ["account_id", "slice_no"], "left")
-        .withColumn("previous", previous)
-        .where(
-            (F.col("previous.country") != F.col("country"))
-            & (F.col("us") - F.col("previous.us") < minutes * 60 * MICROS_PER_SECOND)
-        )
-        .select(
-            "transaction_id",
-            "account_id",
-            "event_time",
-            "country",
-            F.col("previous.country").alias("previous_country"),
-            ((F.col("us") - F.col("previous.us")) / F.lit(1_000_000.0)).alias("seconds_apart"),
-        )
+        .join(carried.hint("shuffle_hash"), ["account_id", "slice"], "left")
+        .selectExpr("*", f"coalesce(lag(struct(us, country)) over ({by_time}), carried) as previous")
+    )
+    near = f"us - previous.us < {minutes * 60 * MICROS_PER_SECOND}"
+    return steps.where(f"previous.country <> country and {near}").selectExpr(
+        "transaction_id",
+        "account_id",
+        "event_time",
+        "country",
+        "previous.country as previous_country",
+        "(us - previous.us) / 1000000D as seconds_apart",
     )
 
 
 def card_testing(transactions: DataFrame, min_micro: int = 1, skew: SkewConfig = DEFAULT_SKEW) -> DataFrame:
     """Large amounts that follow at least ``min_micro`` micro amounts within five minutes."""
-    micro = RULES_BY_NAME["MICRO_AMOUNT_CARD_TEST"].hit()
-    large = RULES_BY_NAME["HIGH_AMOUNT_3K"].hit()
-    relevant = transactions.where(micro | large)
-    counted = trailing(
-        relevant,
-        {"micro_count": micro.cast("int")},
-        ["transaction_id", "account_id", "event_time", "amount"],
-        skew=skew,
-    )
-    return counted.where(large & (F.col("micro_count") >= min_micro))
+    micro = RULES_BY_NAME["MICRO_AMOUNT_CARD_TEST"].predicate
+    large = RULES_BY_NAME["HIGH_AMOUNT_3K"].predicate
+    relevant = transactions.where(f"({micro}) or ({large})")
+    counted = trailing(relevant, {"micro_count": f"if({micro}, 1, 0)"}, SHOWN, WINDOW_SECONDS, skew)
+    return counted.where(f"{large} and micro_count >= {min_micro}")
 
 
 def night_owl(transactions: DataFrame, min_amount: float = 200.0) -> DataFrame:
     """Sizeable amounts between two and four at night."""
-    hour = F.hour("event_time")
-    return transactions.where((hour >= 2) & (hour < 4) & (F.col("amount") >= min_amount)).select(
-        "transaction_id", "account_id", "event_time", "amount"
-    )
+    return transactions.where(f"hour(event_time) in (2, 3) and amount >= {min_amount}D").select(*SHOWN)
 
 
 def velocity_abuse(features: DataFrame, more_than: int = 20) -> DataFrame:
     """Transactions beyond the usual number in one session."""
-    return features.where(F.col("window_count") > more_than).select(
+    return features.where(f"window_count > {more_than}").select(
         "transaction_id", "account_id", "event_time", "window_count"
     )
 
@@ -86,25 +73,17 @@ def spend_anomaly(
     transactions: DataFrame, factor: float = 3.0, min_rows: int = 5, skew: SkewConfig = DEFAULT_SKEW
 ) -> DataFrame:
     """Amounts above ``factor`` times the account's average of the last five minutes."""
-    sums = trailing(
-        transactions,
-        {"n": F.lit(1), "units": to_units(F.col("amount"))},
-        ["transaction_id", "account_id", "event_time", "amount"],
-        skew=skew,
-    )
-    average = from_units(F.col("units")) / F.col("n")
-    return (
-        sums.withColumn("trailing_avg", average)
-        .where((F.col("n") >= min_rows) & (F.col("amount") > F.lit(factor) * F.col("trailing_avg")))
-        .select("transaction_id", "account_id", "event_time", "amount", F.col("n").alias("trailing_count"), "trailing_avg")
-    )
+    sums = trailing(transactions, {"n": "1", "units": to_units()}, SHOWN, WINDOW_SECONDS, skew)
+    averaged = sums.selectExpr(*SHOWN, "n as trailing_count", f"({from_units('units')}) / n as trailing_avg")
+    return averaged.where(f"trailing_count >= {min_rows} and amount > {factor}D * trailing_avg")
 
 
-def device_switching(transactions: DataFrame, min_devices: int = 3, length: str = "5 minutes") -> DataFrame:
+def device_switching(
+    transactions: DataFrame, min_devices: int = 3, length_seconds: int = WINDOW_SECONDS
+) -> DataFrame:
     """Accounts that use at least ``min_devices`` devices in one window."""
-    return (
-        transactions.groupBy(F.window("event_time", length).alias("window"), "account_id")
-        .agg(F.count_distinct("device_type").alias("devices"))
-        .where(F.col("devices") >= min_devices)
-        .select(F.col("window.start").alias("window_start"), "account_id", "devices")
+    start = F.expr(f"{floor_to(micros(), length_seconds * MICROS_PER_SECOND)} as start")
+    used = transactions.groupBy(start, "account_id").agg(F.expr("count(distinct device_type) as devices"))
+    return used.where(f"devices >= {min_devices}").selectExpr(
+        f"{from_micros('start', transactions, 'event_time')} as window_start", "account_id", "devices"
     )

@@ -8,10 +8,10 @@ the whole range of doubles, and values with two decimals give a bucket few disti
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerwatch.functions.columns import round_to
+from ledgerwatch.functions.columns import rounded
 
 BUCKETS_PER_E = 1024
 
@@ -19,98 +19,78 @@ BUCKETS_PER_E = 1024
 INTERPOLATED = {"p50": 0.50, "p75": 0.75, "p90": 0.90, "p95": 0.95, "p99": 0.99}
 NEAREST_RANK = {"p50": 50.0, "p90": 90.0, "p99": 99.0, "p999": 99.9}
 
+# A whole number that never falls when the value rises.
+BUCKET = f"floor(signum(value) * log1p(abs(value)) * {BUCKETS_PER_E})"
 
-def _bucket(value: Column) -> Column:
-    """A whole number that never falls when the value rises."""
-    return F.floor(F.signum(value) * F.log1p(F.abs(value)) * BUCKETS_PER_E)
 
+def order_statistics(values: DataFrame, value: str, ranks: dict[str, str]) -> DataFrame:
+    """``(name, value, total, mean)`` for zero-based ``ranks`` in ascending order.
 
-def order_statistics(values: DataFrame, value: Column, ranks: dict[str, Column]) -> DataFrame:
-    """``(name, total, value)`` for zero-based ``ranks`` in ascending order.
-
-    A rank is an expression over ``total``, the number of values that are not null.
+    A rank is an expression over ``total``, the number of values that are not null; ``mean``
+    is the mean of them all.
     """
     counted = (
-        values.select(value.cast("double").alias("value"))
-        .where(F.col("value").isNotNull())
+        values.selectExpr(f"cast({value} as double) as value")
+        .where("value is not null")
         .groupBy("value")
-        .agg(F.count("*").alias("n"))
-        .withColumn("bucket", _bucket(F.col("value")))
+        .agg(F.expr("count(*) as n"))
+        .selectExpr("value", "n", f"{BUCKET} as bucket")
+    )
+    buckets = counted.groupBy("bucket").agg(
+        F.expr("sum(n) as in_bucket"), F.expr("sum(cast(value as decimal(24,4)) * n) as bucket_sum")
     )
-    in_order = Window.orderBy("bucket")
-    everything = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    smaller = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    wanted = ", ".join(f"struct('{name}' as name, cast({rank} as bigint) as rank)" for name, rank in ranks.items())
+    # ``located`` has one row per wanted rank.
     located = (
-        counted.groupBy("bucket")
-        .agg(F.sum("n").alias("in_bucket"))
-        .select(
+        buckets.selectExpr(
             "bucket",
             "in_bucket",
-            F.sum("in_bucket").over(everything).alias("total"),
-            F.coalesce(F.sum("in_bucket").over(smaller), F.lit(0)).alias("below"),
+            "coalesce(sum(in_bucket) over (order by bucket rows between unbounded preceding and 1 preceding), 0) as below",
+            "sum(in_bucket) over (order by bucket rows between unbounded preceding and unbounded following) as total",
+            "sum(bucket_sum) over (order by bucket rows between unbounded preceding and unbounded following) as value_sum",
         )
-        .select(
-            "bucket",
-            "in_bucket",
-            "total",
-            "below",
-            F.inline(
-                F.array(
-                    *[F.struct(F.lit(k).alias("name"), r.cast("bigint").alias("rank")) for k, r in ranks.items()]
-                )
-            ),
-        )
-        .where((F.col("rank") >= F.col("below")) & (F.col("rank") < F.col("below") + F.col("in_bucket")))
+        .selectExpr("bucket", "in_bucket", "below", "total", "value_sum", f"inline(array({wanted}))")
+        .where("rank >= below and rank < below + in_bucket")
     )
-    # ``located`` has one row per wanted rank.
-    inside = counted.join(F.broadcast(located), "bucket")
-    up_to = Window.partitionBy("name").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    reached = F.col("below") + F.sum("n").over(up_to)
+    up_to = "partition by name order by value rows between unbounded preceding and current row"
     return (
-        inside.withColumn("reached", reached)
-        .where((F.col("reached") > F.col("rank")) & (F.col("reached") - F.col("n") <= F.col("rank")))
-        .select("name", "total", "value")
+        counted.join(F.broadcast(located), "bucket")
+        .selectExpr("*", f"below + sum(n) over ({up_to}) as reached")
+        .where("reached > rank and reached - n <= rank")
+        .selectExpr("name", "value", "total", "cast(value_sum as double) / total as mean")
     )
 
 
-def _value_of(name: str) -> Column:
-    return F.max(F.when(F.col("name") == name, F.col("value")))
+def _value_of(name: str) -> str:
+    return f"max(case when name = '{name}' then value end)"
 
 
-def interpolated(values: DataFrame, value: Column, points: dict[str, float], places: int) -> DataFrame:
-    """One row with a column per point: linear interpolation between the two nearest ranks."""
-    last = F.col("total") - 1
-    ranks = {}
-    for name, p in points.items():
-        ranks[f"{name}_low"] = F.floor(last * F.lit(p))
-        ranks[f"{name}_high"] = F.ceil(last * F.lit(p))
-    found = order_statistics(values, value, ranks)
-    place = F.max("total") - 1
+def interpolated(values: DataFrame, value: str, points: dict[str, float], places: int) -> DataFrame:
+    """One row: a column per point, interpolated linearly between the two nearest ranks, and the mean."""
+    ranks = {f"{name}_low": f"floor((total - 1) * {p}D)" for name, p in points.items()}
+    ranks |= {f"{name}_high": f"ceil((total - 1) * {p}D)" for name, p in points.items()}
     columns = []
     for name, p in points.items():
-        low, high = _value_of(f"{name}_low"), _value_of(f"{name}_high")
-        fraction = place * F.lit(p) - F.floor(place * F.lit(p))
-        columns.append(round_to(low + (high - low) * fraction, places).alias(name))
-    return found.agg(*columns)
+        low, high, place = _value_of(f"{name}_low"), _value_of(f"{name}_high"), f"(max(total) - 1) * {p}D"
+        exact = f"{low} + ({high} - {low}) * ({place} - floor({place}))"
+        columns.append(F.expr(f"{rounded(exact, places)} as {name}"))
+    columns.append(F.expr(f"{rounded('max(mean)', places)} as mean"))
+    return order_statistics(values, value, ranks).agg(*columns)
 
 
-def nearest_rank(values: DataFrame, value: Column, points: dict[str, float], places: int) -> DataFrame:
+def nearest_rank(values: DataFrame, value: str, points: dict[str, float], places: int) -> DataFrame:
     """One row with a column per point: the value at zero-based rank ``min(int(n * p / 100), n - 1)``."""
-    total = F.col("total")
-    ranks = {name: F.least(F.floor(total * F.lit(p) / F.lit(100.0)), total - 1) for name, p in points.items()}
+    ranks = {name: f"least(floor(total * {p}D / 100D), total - 1)" for name, p in points.items()}
     found = order_statistics(values, value, ranks)
-    return found.agg(*[round_to(_value_of(name), places).alias(name) for name in points])
+    return found.agg(*[F.expr(f"{rounded(_value_of(name), places)} as {name}") for name in points])
 
 
 def latency_percentiles(alerts: DataFrame) -> DataFrame:
     """Interpolated percentiles and mean of the alert latency, one row per metric."""
-    value = F.col("detection_latency_ms")
-    points = interpolated(alerts, value, INTERPOLATED, 1)
-    mean = alerts.agg(round_to(F.sum(value.cast("decimal(30,4)")).cast("double") / F.count(value), 1).alias("mean"))
-    unpivoted = points.unpivot([], list(INTERPOLATED), "metric", "latency_ms")
-    return unpivoted.unionByName(mean.unpivot([], ["mean"], "metric", "latency_ms"))
+    row = interpolated(alerts, "detection_latency_ms", INTERPOLATED, 1)
+    return row.unpivot([], row.columns, "metric", "latency_ms")
 
 
-def approximate_percentiles(values: DataFrame, value: Column, points: dict[str, float]) -> DataFrame:
+def approximate_percentiles(values: DataFrame, value: str, points: dict[str, float]) -> DataFrame:
     """Sketched percentiles: one pass, rank error of at most one in ten thousand."""
     return values.agg(*[F.percentile_approx(value, p, 10_000).alias(name) for name, p in points.items()])

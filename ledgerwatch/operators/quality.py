@@ -6,95 +6,76 @@ Probes are transactions whose sending time and truth are known:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerwatch.functions.columns import micros, round_to, safe_ratio
+from ledgerwatch.functions.columns import micros, ratio, rounded
 from ledgerwatch.operators.percentiles import NEAREST_RANK, nearest_rank
 
 # Labels that count as a detection.
-DETECTED = ["FRAUD", "REVIEW"]
+DETECTED = "label in ('FRAUD', 'REVIEW')"
 
+LATENCY_MS = f"({micros('detected_at')} - {micros('sent_at')}) / 1000D"
 
-def _latency_ms() -> Column:
-    return (micros(F.col("detected_at")) - micros(F.col("sent_at"))) / F.lit(1000.0)
+COVERAGE = [
+    "count(*) as probes_sent",
+    "count_if(alerted) as alerts_received",
+    f"{rounded(ratio('count_if(alerted) * 100', 'count(*)'), 1)} as coverage_pct",
+]
+
+CONFUSION = [
+    "count_if(is_fraud and detected) as true_positives",
+    "count_if(not is_fraud and detected) as false_positives",
+    "count_if(not is_fraud and not detected) as true_negatives",
+    "count_if(is_fraud and not detected) as false_negatives",
+]
 
 
 def probe_latency(probes: DataFrame, alerts: DataFrame) -> DataFrame:
     """The alerts raised on probes, with the time from sending to detection."""
     seen = alerts.select("transaction_id", "label", "detected_at")
-    return probes.join(seen, "transaction_id").select(
-        "transaction_id", "label", "is_fraud", round_to(_latency_ms(), 3).alias("latency_ms")
+    return probes.join(seen, "transaction_id").selectExpr(
+        "transaction_id", "label", "is_fraud", f"{rounded(LATENCY_MS, 3)} as latency_ms"
     )
 
 
 def probe_outcomes(probes: DataFrame, alerts: DataFrame) -> DataFrame:
     """Every probe, with its alert if it has one."""
-    seen = alerts.select("transaction_id", "label", "detected_at")
-    detected = F.coalesce(F.col("label").isin(DETECTED), F.lit(False))
-    return probes.join(seen, "transaction_id", "left").select(
+    seen = alerts.select("transaction_id", "label")
+    return probes.join(seen, "transaction_id", "left").selectExpr(
         "transaction_id",
-        F.coalesce("is_fraud", F.lit(False)).alias("is_fraud"),
-        F.col("label").isNotNull().alias("alerted"),
-        detected.alias("detected"),
-        _latency_ms().alias("latency_ms"),
+        "coalesce(is_fraud, false) as is_fraud",
+        "label is not null as alerted",
+        f"coalesce({DETECTED}, false) as detected",
     )
 
 
-def _coverage() -> list[Column]:
-    received = F.count_if("alerted")
-    return [
-        F.count("*").alias("probes_sent"),
-        received.alias("alerts_received"),
-        round_to(safe_ratio(received * 100, F.count("*")), 1).alias("coverage_pct"),
-    ]
-
-
-def _confusion() -> list[Column]:
-    fraud, detected = F.col("is_fraud"), F.col("detected")
-    return [
-        F.count_if(fraud & detected).alias("true_positives"),
-        F.count_if(~fraud & detected).alias("false_positives"),
-        F.count_if(~fraud & ~detected).alias("true_negatives"),
-        F.count_if(fraud & ~detected).alias("false_negatives"),
-    ]
-
-
 def probe_coverage(probes: DataFrame, alerts: DataFrame) -> DataFrame:
-    return probe_outcomes(probes, alerts).agg(*_coverage())
+    return probe_outcomes(probes, alerts).agg(*map(F.expr, COVERAGE))
 
 
 def confusion_matrix(probes: DataFrame, alerts: DataFrame) -> DataFrame:
-    return probe_outcomes(probes, alerts).agg(*_confusion())
+    return probe_outcomes(probes, alerts).agg(*map(F.expr, CONFUSION))
 
 
 def classifier_report(probes: DataFrame, alerts: DataFrame) -> DataFrame:
     """Coverage, confusion matrix, precision, recall and F1 (from the rounded two) in one row."""
-    tp, fp, fn = F.col("true_positives"), F.col("false_positives"), F.col("false_negatives")
-    precision, recall = F.col("precision"), F.col("recall")
-    f1 = F.lit(2.0) * precision * recall / F.greatest(precision + recall, F.lit(0.0001))
-    return (
-        probe_outcomes(probes, alerts)
-        .agg(*_coverage(), *_confusion())
-        .withColumns(
-            {
-                "precision": round_to(safe_ratio(tp, tp + fp), 4),
-                "recall": round_to(safe_ratio(tp, tp + fn), 4),
-            }
-        )
-        .withColumn("f1_score", round_to(f1, 4))
-    )
+    counts = probe_outcomes(probes, alerts).agg(*map(F.expr, COVERAGE + CONFUSION))
+    precision = ratio("true_positives", "true_positives + false_positives")
+    recall = ratio("true_positives", "true_positives + false_negatives")
+    rates = counts.selectExpr("*", f"{rounded(precision, 4)} as precision", f"{rounded(recall, 4)} as recall")
+    f1 = "2D * precision * recall / greatest(precision + recall, 0.0001D)"
+    return rates.selectExpr("*", f"{rounded(f1, 4)} as f1_score")
 
 
 def latency_nearest_rank(latencies: DataFrame) -> DataFrame:
-    return nearest_rank(latencies, F.col("latency_ms"), NEAREST_RANK, 2)
+    return nearest_rank(latencies, "latency_ms", NEAREST_RANK, 2)
 
 
 def latency_summary(latencies: DataFrame) -> DataFrame:
     """Number, mean and sample standard deviation; the deviation of a single value is zero."""
-    value = F.col("latency_ms")
     return latencies.agg(
-        F.count(value).alias("n"),
-        round_to(F.avg(value), 2).alias("latency_mean_ms"),
-        round_to(F.coalesce(F.stddev_samp(value), F.lit(0.0)), 2).alias("latency_stdev_ms"),
+        F.expr("count(latency_ms) as n"),
+        F.expr(f"{rounded('avg(latency_ms)', 2)} as latency_mean_ms"),
+        F.expr(f"{rounded('coalesce(stddev_samp(latency_ms), 0D)', 2)} as latency_stdev_ms"),
     )

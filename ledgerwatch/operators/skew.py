@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerwatch.config import MICROS_PER_SECOND, SkewConfig
+from ledgerwatch.functions.columns import floor_to
 
-WHOLE = -1  # slice number of an account that is not cut
+WHOLE = -1  # slice of an account that is not cut; no slice starts there
 
 
 def hot_accounts(rows: DataFrame, skew: SkewConfig, longest_seconds: int) -> DataFrame:
@@ -22,37 +23,32 @@ def hot_accounts(rows: DataFrame, skew: SkewConfig, longest_seconds: int) -> Dat
     ``rows`` has ``account_id`` and ``us``. A slice is as long as its account needs for
     ``skew.slice_rows`` rows on average, but no longer than ``longest_seconds``.
     """
+    span = "cast(last_us - first_us as double)"
+    even = f"{span} * {skew.slice_rows} / n_rows"
+    finest = f"{span} / {skew.max_slices}"
     longest = longest_seconds * MICROS_PER_SECOND
-    span = F.col("last_us") - F.col("first_us")
-    even = span * F.lit(float(skew.slice_rows)) / F.col("n_rows")
-    finest = span / F.lit(float(skew.max_slices))
-    slice_us = F.least(F.lit(float(longest)), F.greatest(even, finest, F.lit(1000.0)))
     return (
         rows.groupBy("account_id")
-        .agg(F.count("*").alias("n_rows"), F.min("us").alias("first_us"), F.max("us").alias("last_us"))
-        .where(F.col("n_rows") >= skew.min_rows)
+        .agg(F.expr("count(*) as n_rows"), F.expr("min(us) as first_us"), F.expr("max(us) as last_us"))
+        .where(f"n_rows >= {skew.min_rows}")
         .orderBy(F.desc("n_rows"), "account_id")
         .limit(skew.max_keys)
-        .select("account_id", slice_us.cast("bigint").alias("slice_us"))
+        .selectExpr(
+            "account_id", f"cast(least({longest}, greatest({even}, {finest}, 1000)) as bigint) as slice_us"
+        )
     )
 
 
 def cut(rows: DataFrame, hot: DataFrame) -> DataFrame:
-    """Add ``slice_no``: the time slice for rows of hot accounts, ``WHOLE`` for all others."""
-    number = F.when(F.col("slice_us").isNull(), F.lit(WHOLE).cast("bigint")).otherwise(
-        F.floor(F.col("us") / F.col("slice_us"))
-    )
-    return (
-        rows.join(F.broadcast(hot), "account_id", "left")
-        .withColumn("slice_no", number)
-        .drop("slice_us")
+    """Add ``slice``: start of the time slice for rows of hot accounts, ``WHOLE`` for all others."""
+    return rows.join(F.broadcast(hot), "account_id", "left").selectExpr(
+        *rows.columns,
+        f"case when slice_us is null then {WHOLE}L else {floor_to('us', 'slice_us')} end as slice",
     )
 
 
 def cut_hot_only(rows: DataFrame, hot: DataFrame) -> DataFrame:
-    """The rows of hot accounts only, with ``slice_no``."""
-    return (
-        rows.join(F.broadcast(hot), "account_id")
-        .withColumn("slice_no", F.floor(F.col("us") / F.col("slice_us")))
-        .drop("slice_us")
+    """The rows of hot accounts only, with ``slice``."""
+    return rows.join(F.broadcast(hot), "account_id").selectExpr(
+        *rows.columns, f"{floor_to('us', 'slice_us')} as slice"
     )

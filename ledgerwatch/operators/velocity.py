@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerwatch.config import DEFAULT_SKEW, MICROS_PER_SECOND, SESSION_GAP_SECONDS, SkewConfig
@@ -10,7 +10,12 @@ from ledgerwatch.functions.columns import from_units, micros, to_units
 from ledgerwatch.operators.skew import WHOLE, cut, cut_hot_only, hot_accounts
 
 GAP_US = SESSION_GAP_SECONDS * MICROS_PER_SECOND
-BEFORE_ALL = -(2**62)  # slice number of what is known from earlier batches
+BEFORE_ALL = -(2**62)  # slice of what is known from earlier batches
+
+BY_TIME = "partition by account_id, slice order by us, transaction_id"
+BY_SLICE = "partition by account_id order by slice"
+UP_TO_ROW = "rows between unbounded preceding and current row"
+BEFORE_ROW = "rows between unbounded preceding and 1 preceding"
 
 
 def session_velocity(
@@ -25,46 +30,27 @@ def session_velocity(
     per account: ``account_id, n, units, last_us``) holds the sessions that were open when
     the rows arrived. A row older than what is already known counts in the open session.
     """
-    rows = transactions.withColumns({"us": micros(F.col("event_time")), "units": to_units(F.col("amount"))})
+    rows = transactions.selectExpr("*", f"{micros()} as us", f"{to_units()} as units")
     keys = rows.select("account_id", "us", "units")
     hot = hot_accounts(keys, skew, SESSION_GAP_SECONDS)
     # A shuffled hash join leaves the rows partitioned for the windows and unsorted until
     # the windows sort them, once.
     carried = _carried(keys, hot, earlier).hint("shuffle_hash")
-    sliced = cut(rows, hot).join(carried, ["account_id", "slice_no"], "left")
-
-    by_time = Window.partitionBy("account_id", "slice_no").orderBy("us", "transaction_id")
-    so_far = by_time.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    pause = F.col("us") - F.greatest("previous_us", "carried_last_us")
-    counted = sliced.withColumns(
-        {
-            "previous_us": F.lag("us").over(by_time),
-            "total_n": F.row_number().over(by_time).cast("bigint"),
-            "total_units": F.sum("units").over(so_far),
-        }
-    )
-    # What to take off the totals: everything before the session began in this slice, or,
-    # while it has not, nothing; then the open session of earlier slices comes on top.
-    session_start = F.when(
-        pause > GAP_US,
-        F.struct((F.col("total_n") - 1).alias("n"), (F.col("total_units") - F.col("units")).alias("units")),
+    sliced = cut(rows, hot).join(carried, ["account_id", "slice"], "left")
+    totals = sliced.selectExpr(
+        "*",
+        f"lag(us) over ({BY_TIME}) as previous_us",
+        f"row_number() over ({BY_TIME}) as total_n",
+        f"sum(units) over ({BY_TIME} {UP_TO_ROW}) as total_units",
     )
-    before = F.coalesce(
-        F.last(session_start, ignorenulls=True).over(so_far),
-        F.struct(
-            (-F.coalesce("carried_n", F.lit(0))).alias("n"),
-            (-F.coalesce("carried_units", F.lit(0))).alias("units"),
-        ),
-    )
-    return (
-        counted.withColumn("before", before)
-        .withColumns(
-            {
-                "window_count": F.col("total_n") - F.col("before.n"),
-                "window_spend": from_units(F.col("total_units") - F.col("before.units")),
-            }
-        )
-        .select(*transactions.columns, "window_count", "window_spend")
+    # What to take off the totals: all that came before the session began in this slice,
+    # or, if it began earlier, nothing, and the open session of earlier slices comes on top.
+    began = f"""case when us - greatest(previous_us, carried_last_us) > {GAP_US}
+        then struct(total_n - 1 as n, total_units - units as units) end"""
+    return totals.selectExpr("*", f"last({began}, true) over ({BY_TIME} {UP_TO_ROW}) as began").selectExpr(
+        *transactions.columns,
+        "cast(total_n - coalesce(began.n, -carried_n, 0) as bigint) as window_count",
+        f"{from_units('(total_units - coalesce(began.units, -carried_units, 0))')} as window_spend",
     )
 
 
@@ -76,65 +62,43 @@ def _carried(keys: DataFrame, hot: DataFrame, earlier: DataFrame | None) -> Data
     """
     summary = (
         cut_hot_only(keys, hot)
-        .groupBy("account_id", "slice_no")
+        .groupBy("account_id", "slice")
         .agg(
-            F.count("*").alias("n"),
-            F.sum("units").alias("units"),
-            F.min("us").alias("first_us"),
-            F.max("us").alias("last_us"),
+            F.expr("count(*) as n"),
+            F.expr("sum(units) as units"),
+            F.expr("min(us) as first_us"),
+            F.expr("max(us) as last_us"),
         )
     )
     if earlier is not None:
-        opening = earlier.select(
-            "account_id",
-            F.lit(BEFORE_ALL).alias("slice_no"),
-            "n",
-            "units",
-            F.col("last_us").alias("first_us"),
-            "last_us",
+        opening = earlier.selectExpr(
+            "account_id", f"{BEFORE_ALL}L as slice", "n", "units", "last_us as first_us", "last_us"
         )
         summary = summary.unionByName(opening.join(F.broadcast(hot), "account_id", "left_semi"))
-
-    by_slice = Window.partitionBy("account_id").orderBy("slice_no")
-    so_far = by_slice.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    earlier_slices = by_slice.rowsBetween(Window.unboundedPreceding, -1)
-    totals = summary.withColumns(
-        {
-            "known_us": F.max("last_us").over(earlier_slices),
-            "total_n": F.sum("n").over(so_far),
-            "total_units": F.sum("units").over(so_far),
-        }
-    )
-    restart = F.when(
-        F.col("first_us") - F.col("known_us") > GAP_US,
-        F.struct(
-            (F.col("total_n") - F.col("n")).alias("n"),
-            (F.col("total_units") - F.col("units")).alias("units"),
-        ),
-    )
-    before = F.coalesce(
-        F.last(restart, ignorenulls=True).over(so_far),
-        F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("units")),
-    )
-    carried = (
-        totals.withColumn("before", before)
-        .select(
-            "account_id",
-            "slice_no",
-            F.lag(F.col("total_n") - F.col("before.n")).over(by_slice).alias("carried_n"),
-            F.lag(F.col("total_units") - F.col("before.units")).over(by_slice).alias("carried_units"),
-            F.col("known_us").alias("carried_last_us"),
-        )
-        .where(F.col("carried_n").isNotNull())
-    )
+    totals = summary.selectExpr(
+        "*",
+        f"max(last_us) over ({BY_SLICE} {BEFORE_ROW}) as known_us",
+        f"sum(n) over ({BY_SLICE} {UP_TO_ROW}) as total_n",
+        f"sum(units) over ({BY_SLICE} {UP_TO_ROW}) as total_units",
+    )
+    began = f"""case when first_us - known_us > {GAP_US}
+        then struct(total_n - n as n, total_units - units as units) end"""
+    open_sessions = totals.selectExpr("*", f"last({began}, true) over ({BY_SLICE} {UP_TO_ROW}) as began")
+    carried = open_sessions.selectExpr(
+        "account_id",
+        "slice",
+        f"lag(total_n - coalesce(began.n, 0)) over ({BY_SLICE}) as carried_n",
+        f"lag(total_units - coalesce(began.units, 0)) over ({BY_SLICE}) as carried_units",
+        "known_us as carried_last_us",
+    ).where("carried_n is not null")
     if earlier is None:
         return carried
-    not_cut = earlier.join(F.broadcast(hot), "account_id", "left_anti").select(
+    not_cut = earlier.join(F.broadcast(hot), "account_id", "left_anti").selectExpr(
         "account_id",
-        F.lit(WHOLE).cast("bigint").alias("slice_no"),
-        F.col("n").alias("carried_n"),
-        F.col("units").alias("carried_units"),
-        F.col("last_us").alias("carried_last_us"),
+        f"{WHOLE}L as slice",
+        "n as carried_n",
+        "units as carried_units",
+        "last_us as carried_last_us",
     )
     return carried.unionByName(not_cut)
 
@@ -146,27 +110,23 @@ def running_change(events: DataFrame, measures: list[str], hot: DataFrame) -> Da
     """
     per_slice = (
         cut_hot_only(events.select("account_id", "us", *measures), hot)
-        .groupBy("account_id", "slice_no")
-        .agg(*[F.sum(m).alias(m) for m in measures])
+        .groupBy("account_id", "slice")
+        .agg(*[F.expr(f"sum({m}) as {m}") for m in measures])
     )
-    earlier = Window.partitionBy("account_id").orderBy("slice_no").rowsBetween(Window.unboundedPreceding, -1)
-    carried = per_slice.select(
-        "account_id", "slice_no", *[F.sum(m).over(earlier).alias(f"carried_{m}") for m in measures]
+    carried = per_slice.selectExpr(
+        "account_id", "slice", *[f"sum({m}) over ({BY_SLICE} {BEFORE_ROW}) as carried_{m}" for m in measures]
     )
-    up_to_now = (
-        Window.partitionBy("account_id", "slice_no")
-        .orderBy("us")
-        .rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    so_far = "partition by account_id, slice order by us range between unbounded preceding and current row"
+    sliced = cut(events, hot).join(carried.hint("shuffle_hash"), ["account_id", "slice"], "left")
+    return sliced.selectExpr(
+        *[name for name in events.columns if name not in measures],
+        *[f"sum({m}) over ({so_far}) + coalesce(carried_{m}, 0) as {m}" for m in measures],
     )
-    sliced = cut(events, hot).join(carried.hint("shuffle_hash"), ["account_id", "slice_no"], "left")
-    return sliced.withColumns(
-        {m: F.sum(m).over(up_to_now) + F.coalesce(f"carried_{m}", F.lit(0)) for m in measures}
-    ).drop("slice_no", *[f"carried_{m}" for m in measures])
 
 
 def trailing(
     rows: DataFrame,
-    measures: dict[str, Column],
+    measures: dict[str, str],
     keep: list[str],
     seconds: int = SESSION_GAP_SECONDS,
     skew: SkewConfig = DEFAULT_SKEW,
@@ -177,32 +137,26 @@ def trailing(
     Every row enters the sums at its time and leaves them just after ``seconds``, so the
     windows are running sums, whose cost does not grow with the rows in a window.
     """
-    timed = rows.withColumn("us", micros(F.col("event_time")))
+    timed = rows.selectExpr("*", f"{micros()} as us")
     hot = hot_accounts(timed.select("account_id", "us"), skew, seconds)
-    payload = F.struct(*keep)
-    enter = F.struct(
-        F.col("us"),
-        *[value.cast("bigint").alias(name) for name, value in measures.items()],
-        payload.alias("payload"),
-    )
-    leave = F.struct(
-        (F.col("us") + seconds * MICROS_PER_SECOND + 1).alias("us"),
-        *[(-value).cast("bigint").alias(name) for name, value in measures.items()],
-        F.when(F.lit(False), payload).alias("payload"),
-    )
-    events = timed.select("account_id", F.explode(F.array(enter, leave)).alias("event")).select(
-        "account_id", "event.*"
+    payload = f"struct({', '.join(keep)})"
+    enter = ", ".join(["us as us", *[f"cast({v} as bigint) as {m}" for m, v in measures.items()]])
+    leave = ", ".join(
+        [
+            f"us + {seconds * MICROS_PER_SECOND + 1} as us",
+            *[f"-cast({v} as bigint) as {m}" for m, v in measures.items()],
+        ]
+    )
+    events = timed.selectExpr(
+        "account_id",
+        f"inline(array(struct({enter}, {payload} as payload), struct({leave}, if(false, {payload}, null) as payload)))",
     )
     summed = running_change(events, list(measures), hot)
-    return summed.where(F.col("payload").isNotNull()).select("payload.*", *measures)
+    return summed.where("payload is not null").select("payload.*", *measures)
 
 
 def trailing_velocity(transactions: DataFrame, skew: SkewConfig = DEFAULT_SKEW) -> DataFrame:
     """Count and spend of the account over the last five minutes, ends included."""
-    sums = trailing(
-        transactions,
-        {"window_count": F.lit(1), "window_units": to_units(F.col("amount"))},
-        ["transaction_id", "account_id", "event_time", "amount"],
-        skew=skew,
-    )
-    return sums.withColumn("window_spend", from_units(F.col("window_units"))).drop("window_units")
+    keep = ["transaction_id", "account_id", "event_time", "amount"]
+    sums = trailing(transactions, {"window_count": "1", "window_units": to_units()}, keep, skew=skew)
+    return sums.selectExpr(*keep, "window_count", f"{from_units('window_units')} as window_spend")

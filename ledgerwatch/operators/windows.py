@@ -2,54 +2,84 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerwatch.config import MICROS_PER_SECOND, SESSION_GAP_SECONDS, WINDOW_LENGTH, WINDOW_SLIDE
-from ledgerwatch.functions.columns import from_units, micros, round_to, to_units
+from ledgerwatch.config import MICROS_PER_SECOND, SESSION_GAP_SECONDS
+from ledgerwatch.functions.columns import floor_to, from_micros, from_units, micros, rounded, to_units
 
 GAP_US = SESSION_GAP_SECONDS * MICROS_PER_SECOND
+LENGTH_SECONDS = 300
+SLIDE_SECONDS = 60
 
 
-def _measures(merchants: Column, countries: Column) -> list[Column]:
-    units = F.sum(to_units(F.col("amount")))
-    return [
-        F.count("*").alias("window_txn_count"),
-        from_units(units).alias("window_total_spend"),
-        merchants.alias("window_distinct_merchants"),
-        countries.alias("window_distinct_countries"),
-        F.max("amount").alias("window_max_amount"),
-        round_to(from_units(units) / F.count("*"), 6).alias("window_avg_amount"),
-    ]
-
-
-def _by_window(transactions: DataFrame, length: str, slide: str | None):
-    window = F.window("event_time", length, slide) if slide else F.window("event_time", length)
-    return transactions.groupBy(window.alias("window"), "account_id")
+def _per_pane(transactions: DataFrame, slide: int, columns: list[str]) -> DataFrame:
+    """Count, spend and largest amount per account, pane of ``slide`` microseconds and ``columns``."""
+    timed = transactions.selectExpr(
+        "account_id", f"{floor_to(micros(), slide)} as pane", "amount", f"{to_units()} as units", *columns
+    )
+    return timed.groupBy("account_id", "pane", *columns).agg(
+        F.expr("count(*) as n"), F.expr("sum(units) as units"), F.expr("max(amount) as largest")
+    )
 
 
-def _flat(grouped: DataFrame) -> DataFrame:
-    return grouped.select(
-        F.col("window.start").alias("window_start"),
-        F.col("window.end").alias("window_end"),
-        *[name for name in grouped.columns if name != "window"],
-    )
+def _windows(panes: DataFrame, length: int, slide: int) -> DataFrame:
+    """Each pane in every window that holds it."""
+    starts = f"explode(sequence(pane - {length - slide}, pane, {slide}))"
+    return panes.selectExpr(f"{starts} as start", *[c for c in panes.columns if c != "pane"])
 
 
 def window_activity(
-    transactions: DataFrame, length: str = WINDOW_LENGTH, slide: str | None = WINDOW_SLIDE
+    transactions: DataFrame, length_seconds: int = LENGTH_SECONDS, slide_seconds: int = SLIDE_SECONDS
 ) -> DataFrame:
-    """Activity per account and window, with exact numbers of merchants and countries."""
-    measures = _measures(F.count_distinct("merchant_id"), F.count_distinct("country"))
-    return _flat(_by_window(transactions, length, slide).agg(*measures))
+    """Activity per account and sliding window, with exact numbers of merchants and countries.
+
+    Rows are combined per slide first, so an account that is busy within a slide sends its
+    merchants and countries once, not once per row, to each of the windows. The slide
+    divides the length; equal ones give tumbling windows.
+    """
+    length, slide = length_seconds * MICROS_PER_SECOND, slide_seconds * MICROS_PER_SECOND
+    panes = _per_pane(transactions, slide, ["merchant_id", "country"])
+    activity = _windows(panes, length, slide).groupBy("start", "account_id").agg(
+        F.expr("sum(n) as n"),
+        F.expr("sum(units) as units"),
+        F.expr("count(distinct merchant_id) as merchants"),
+        F.expr("count(distinct country) as countries"),
+        F.expr("max(largest) as largest"),
+    )
+    return _named(activity, transactions, length)
 
 
 def window_activity_approx(
-    transactions: DataFrame, length: str = WINDOW_LENGTH, slide: str | None = WINDOW_SLIDE
+    transactions: DataFrame, length_seconds: int = LENGTH_SECONDS, slide_seconds: int = SLIDE_SECONDS
 ) -> DataFrame:
-    """As ``window_activity`` with sketched distinct numbers: one shuffle, fixed state per window."""
-    measures = _measures(F.approx_count_distinct("merchant_id"), F.approx_count_distinct("country"))
-    return _flat(_by_window(transactions, length, slide).agg(*measures))
+    """As ``window_activity`` with sketched distinct numbers: the state of a window has a
+    fixed size however many merchants it holds."""
+    length, slide = length_seconds * MICROS_PER_SECOND, slide_seconds * MICROS_PER_SECOND
+    panes = _per_pane(transactions, slide, ["merchant_id", "country"])
+    activity = _windows(panes, length, slide).groupBy("start", "account_id").agg(
+        F.expr("sum(n) as n"),
+        F.expr("sum(units) as units"),
+        F.expr("approx_count_distinct(merchant_id) as merchants"),
+        F.expr("approx_count_distinct(country) as countries"),
+        F.expr("max(largest) as largest"),
+    )
+    return _named(activity, transactions, length)
+
+
+def _named(activity: DataFrame, transactions: DataFrame, length: int) -> DataFrame:
+    spend = from_units("units")
+    return activity.selectExpr(
+        f"{from_micros('start', transactions, 'event_time')} as window_start",
+        f"{from_micros(f'start + {length}', transactions, 'event_time')} as window_end",
+        "account_id",
+        "n as window_txn_count",
+        f"{spend} as window_total_spend",
+        "merchants as window_distinct_merchants",
+        "countries as window_distinct_countries",
+        "largest as window_max_amount",
+        f"{rounded(f'{spend} / n', 6)} as window_avg_amount",
+    )
 
 
 def account_sessions(transactions: DataFrame) -> DataFrame:
@@ -58,44 +88,42 @@ def account_sessions(transactions: DataFrame) -> DataFrame:
     Rows are first combined in cells no longer than the session gap, inside which no
     session ends, so an account has a number of cells that its time span limits.
     """
-    us = micros(F.col("event_time"))
-    cells = transactions.groupBy("account_id", F.floor(us / GAP_US).alias("cell")).agg(
-        F.min("event_time").alias("first_seen"),
-        F.max("event_time").alias("last_seen"),
-        F.count("*").alias("n"),
-        F.sum(to_units(F.col("amount"))).alias("units"),
+    timed = transactions.selectExpr("account_id", f"{micros()} as us", f"{to_units()} as units")
+    cells = timed.groupBy("account_id", F.expr(f"{floor_to('us', GAP_US)} as cell")).agg(
+        F.expr("min(us) as first_us"),
+        F.expr("max(us) as last_us"),
+        F.expr("count(*) as n"),
+        F.expr("sum(units) as units"),
+    )
+    by_cell = "partition by account_id order by cell"
+    paused = cells.selectExpr("*", f"first_us - lag(last_us) over ({by_cell}) > {GAP_US} as paused")
+    numbered = paused.selectExpr("*", f"count_if(paused) over ({by_cell}) as session")
+    sessions = numbered.groupBy("account_id", "session").agg(
+        F.expr("min(first_us) as first_us"),
+        F.expr("max(last_us) as last_us"),
+        F.expr("sum(n) as n"),
+        F.expr("sum(units) as units"),
     )
-    by_cell = Window.partitionBy("account_id").orderBy("cell")
-    pause = micros(F.col("first_seen")) - micros(F.lag("last_seen").over(by_cell))
-    return (
-        cells.withColumn("pause", pause)
-        .withColumn("session", F.sum(F.when(F.col("pause") > GAP_US, 1).otherwise(0)).over(by_cell))
-        .groupBy("account_id", "session")
-        .agg(
-            F.min("first_seen").alias("session_start"),
-            F.max("last_seen").alias("session_last"),
-            F.sum("n").alias("session_count"),
-            from_units(F.sum("units")).alias("session_spend"),
-        )
-        .drop("session")
+    return sessions.selectExpr(
+        "account_id",
+        f"{from_micros('first_us', transactions, 'event_time')} as session_start",
+        f"{from_micros('last_us', transactions, 'event_time')} as session_last",
+        "n as session_count",
+        f"{from_units('units')} as session_spend",
     )
 
 
 def account_features(transactions: DataFrame) -> DataFrame:
     """Count and spend of each account's session that is open at the newest transaction of
     all; zero where the last session has already ended."""
-    last = (
-        account_sessions(transactions)
-        .groupBy("account_id")
-        .agg(
-            F.max_by(F.struct("session_count", "session_spend"), "session_start").alias("last"),
-            F.max("session_last").alias("last_seen"),
-        )
+    last = account_sessions(transactions).groupBy("account_id").agg(
+        F.expr("max_by(struct(session_count, session_spend), session_start) as last"),
+        F.expr("max(session_last) as last_seen"),
     )
     now = transactions.agg(F.max("event_time")).scalar()
-    still_open = micros(now) - micros(F.col("last_seen")) <= GAP_US
-    return last.select(
+    open_now = F.expr(micros("last_seen")) >= F.unix_micros(now.cast("timestamp")) - GAP_US
+    return last.withColumn("open_now", open_now).selectExpr(
         "account_id",
-        F.when(still_open, F.col("last.session_count")).otherwise(F.lit(0)).cast("bigint").alias("window_count"),
-        F.when(still_open, F.col("last.session_spend")).otherwise(F.lit(0.0)).alias("window_spend"),
+        "if(open_now, last.session_count, 0L) as window_count",
+        "if(open_now, last.session_spend, 0D) as window_spend",
     )

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerwatch.functions.columns import micros, round_to
-from ledgerwatch.functions.rules import RULES, rule_hits, rule_score, triggered_rules
+from ledgerwatch.functions.columns import micros, rounded, text_list
+from ledgerwatch.functions.rules import FIRED_RULES, RULE_SCORE, rule_hits
 from ledgerwatch.functions.scores import score_transactions
 from ledgerwatch.operators import alerts as al
 from ledgerwatch.operators import analytics as an
@@ -35,13 +35,8 @@ RULE_QUERIES = {
 }
 
 
-def _joined(rules: str | Column) -> Column:
-    return F.array_join(rules, "|").alias("rules_triggered")
-
-
-def _after(ts: Column, milliseconds: Column) -> Column:
-    later = micros(ts) + F.round(milliseconds * 1000).cast("bigint")
-    return F.timestamp_micros(later).cast("timestamp_ntz")
+JOINED_RULES = "array_join(rules_triggered, '|') as rules_triggered"
+DETECTED_US = f"{micros()} + cast(round(latency_ms * 1000) as bigint)"
 
 
 def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,68 +48,64 @@ def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    latency = F.col("latency_ms")
-    return al.raise_alerts(_scored(spark, sf_dir), latency, _after(F.col("event_time"), latency))
+    detected_at = f"cast(timestamp_micros({DETECTED_US}) as timestamp_ntz)"
+    return al.raise_alerts(_scored(spark, sf_dir), "latency_ms", detected_at)
 
 
 def _probes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every transaction is a probe: its truth and sending time are known."""
-    return events.transactions(spark, sf_dir).select(
-        "transaction_id", F.col("event_time").alias("sent_at"), "is_fraud"
-    )
+    return events.transactions(spark, sf_dir).selectExpr("transaction_id", "event_time as sent_at", "is_fraud")
+
+
+def _flat(alerts: DataFrame) -> DataFrame:
+    """Alerts with the rules as one text."""
+    return alerts.selectExpr(*[JOINED_RULES if c == "rules_triggered" else c for c in alerts.columns])
 
 
-def _flat_alerts(alerts: DataFrame) -> DataFrame:
-    return alerts.withColumn("rules_triggered", _joined("rules_triggered"))
+def _zoneless(rows: DataFrame, *columns: str) -> DataFrame:
+    return rows.selectExpr(*[f"cast({c} as timestamp_ntz) as {c}" if c in columns else c for c in rows.columns])
 
 
 def parse_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = messages.parse_transactions(events.messages(spark, sf_dir))
-    return parsed.withColumns(
-        {
-            "event_time": F.col("event_time").cast("timestamp_ntz"),
-            "kafka_timestamp": F.col("kafka_timestamp").cast("timestamp_ntz"),
-        }
-    )
+    return _zoneless(parsed, "event_time", "kafka_timestamp")
 
 
 def quarantined_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bad = messages.quarantine(events.messages(spark, sf_dir))
-    return bad.withColumn("kafka_timestamp", F.col("kafka_timestamp").cast("timestamp_ntz"))
+    return _zoneless(messages.quarantine(events.messages(spark, sf_dir)), "kafka_timestamp")
 
 
 def rule_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events.transactions(spark, sf_dir).select(*KEY, rule_score().alias("rule_score"))
+    return events.transactions(spark, sf_dir).selectExpr(*KEY, f"{RULE_SCORE} as rule_score")
 
 
 def rules_triggered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = events.transactions(spark, sf_dir).select(*KEY, triggered_rules().alias("rules"))
-    return rows.select(*KEY, F.size("rules").cast("bigint").alias("rule_count"), _joined("rules"))
+    rows = events.transactions(spark, sf_dir).selectExpr(*KEY, f"{FIRED_RULES} as rules_triggered")
+    return rows.selectExpr(*KEY, "cast(size(rules_triggered) as bigint) as rule_count", JOINED_RULES)
 
 
 def scalar_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = events.transactions(spark, sf_dir)
-    words = F.array(F.col("merchant_category"), F.col("country"), F.col("device_type"), F.col("currency"))
-    tagged = F.concat(F.col("merchant_category"), F.lit(":"), F.col("country"))
-    body = F.to_json(F.struct("account_id", "country", "is_fraud"))
-    return rows.select(
+    body = "to_json(struct(account_id, country, is_fraud))"
+    tagged = "concat(merchant_category, ':', country)"
+    words = "array(merchant_category, country, device_type, currency)"
+    return events.transactions(spark, sf_dir).selectExpr(
         "transaction_id",
-        F.col("account_id").cast("binary").cast("string").alias("text_of_bytes"),
-        F.from_json(body, "account_id string, country string, is_fraud boolean")["country"].alias("json_field"),
-        F.try_to_timestamp(F.col("timestamp")).cast("timestamp_ntz").alias("parsed_time"),
-        F.least("amount", F.lit(100.0)).alias("at_most"),
-        F.greatest("amount", F.lit(100.0)).alias("at_least"),
-        (F.col("amount") % 100.0 == 0.0).alias("is_round"),
-        F.col("merchant_category").isin(HIGH_RISK_CATEGORIES).alias("is_member"),
-        tagged.alias("tagged"),
-        F.substring_index(tagged, ":", 1).alias("head"),
-        F.bround("amount", 0).cast("bigint").alias("whole_amount"),
-        round_to(F.col("amount") / 7, 4).alias("rounded"),
-        F.array_join(F.slice(words, 1, 3), ", ").alias("first_words"),
-        F.substring("timestamp", 1, 19).alias("first_chars"),
-        F.concat(F.lit("$"), F.format_number("amount", 2)).alias("money"),
-        F.coalesce(F.when(F.col("amount") > 100.0, F.col("amount")), F.lit(0.0)).alias("or_zero"),
-        (micros(_after(F.col("event_time"), F.col("latency_ms"))) - micros(F.col("event_time"))).alias("apart_us"),
+        "cast(cast(account_id as binary) as string) as text_of_bytes",
+        f"from_json({body}, 'account_id string, country string').country as json_field",
+        "cast(try_to_timestamp(timestamp) as timestamp_ntz) as parsed_time",
+        "least(amount, 100D) as at_most",
+        "greatest(amount, 100D) as at_least",
+        "amount % 100D = 0D as is_round",
+        f"merchant_category in ({text_list(HIGH_RISK_CATEGORIES)}) as is_member",
+        f"{tagged} as tagged",
+        f"substring_index({tagged}, ':', 1) as head",
+        "cast(bround(amount, 0) as bigint) as whole_amount",
+        f"{rounded('amount / 7', 4)} as rounded",
+        f"array_join(slice({words}, 1, 3), ', ') as first_words",
+        "substring(timestamp, 1, 19) as first_chars",
+        "concat('$', format_number(amount, 2)) as money",
+        "coalesce(case when amount > 100D then amount end, 0D) as or_zero",
+        f"{DETECTED_US} - {micros()} as apart_us",
     )
 
 
@@ -122,16 +113,12 @@ def velocity_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _features(spark, sf_dir).select(*KEY, "event_time", "amount", "window_count", "window_spend")
 
 
-def velocity_trailing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ve.trailing_velocity(events.transactions(spark, sf_dir))
-
-
 def velocity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(spark, sf_dir).select(*KEY, "window_count", "window_spend", "velocity_score")
 
 
 def scored_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _scored(spark, sf_dir).select(
+    return _scored(spark, sf_dir).selectExpr(
         *KEY,
         "event_time",
         "amount",
@@ -140,15 +127,15 @@ def scored_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "rule_score",
         "velocity_score",
         "fraud_score",
-        _joined("rules_triggered"),
+        JOINED_RULES,
     )
 
 
 def alert_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The published messages, read back field by field."""
     sent = messages.alert_messages(_alerts(spark, sf_dir))
-    body = F.from_json("value", ddl(ALERT_FIELDS)).alias("body")
-    return _flat_alerts(sent.select("key", body).select("key", "body.*"))
+    body = f"from_json(value, '{ddl(ALERT_FIELDS)}') as body"
+    return _flat(sent.selectExpr("key", body).select("key", "body.*"))
 
 
 def account_alert_history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -160,12 +147,7 @@ def account_alert_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 def live_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The newest alerts as a reader of the published messages sees them."""
     read_back = messages.decode_alerts(messages.alert_messages(_alerts(spark, sf_dir)))
-    newest = al.recent_alerts(read_back)
-    return _flat_alerts(newest).withColumn("detected_at", F.col("detected_at").cast("timestamp_ntz"))
-
-
-def account_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return wi.account_features(events.transactions(spark, sf_dir))
+    return _zoneless(_flat(al.recent_alerts(read_back)), "detected_at")
 
 
 def probe_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -196,7 +178,6 @@ def queries() -> dict[str, Query]:
     rule_queries = {
         query: _on_transactions(lambda rows, rule=rule: rule_hits(rows, rule)) for query, rule in RULE_QUERIES.items()
     }
-    assert sorted(RULE_QUERIES.values()) == sorted(rule.name for rule in RULES)
     return {
         "parse_transactions": parse_transactions,
         "quarantined_messages": quarantined_messages,
@@ -205,18 +186,18 @@ def queries() -> dict[str, Query]:
         "rules_triggered": rules_triggered,
         "scalar_functions": scalar_functions,
         "velocity_features": velocity_features,
-        "velocity_trailing": velocity_trailing,
+        "velocity_trailing": _on_transactions(ve.trailing_velocity),
         "velocity_windows": _on_transactions(wi.window_activity),
         "velocity_windows_approx": _on_transactions(wi.window_activity_approx),
-        "velocity_tumbling": _on_transactions(lambda rows: wi.window_activity(rows, slide=None)),
+        "velocity_tumbling": _on_transactions(lambda rows: wi.window_activity(rows, slide_seconds=wi.LENGTH_SECONDS)),
         "account_sessions": _on_transactions(wi.account_sessions),
-        "account_features": account_features,
+        "account_features": _on_transactions(wi.account_features),
         "velocity_scores": velocity_scores,
         "scored_transactions": scored_transactions,
-        "alerts": _on_alerts(_flat_alerts),
+        "alerts": _on_alerts(_flat),
         "alert_messages": alert_messages,
         "account_alert_history": account_alert_history,
-        "live_feed": _on_alerts(lambda rows: _flat_alerts(al.live_feed(rows))),
+        "live_feed": _on_alerts(lambda rows: _flat(al.live_feed(rows))),
         "live_alerts": live_alerts,
         "feed_rows": _on_alerts(al.feed_rows),
         "global_stats": _on_alerts(al.global_stats),

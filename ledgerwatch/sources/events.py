@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
+from ledgerwatch.functions.columns import micros, text, text_list
 from ledgerwatch.schema import TRANSACTION_FIELDS
 
 # The value lists from which the events get their attributes.
@@ -22,12 +22,8 @@ EPOCH_US = 1_704_067_200_000_000
 TIME_FACTOR = 300
 
 
-def _pick(values: list[str], position: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (position + 1).cast("int"))
-
-
-def _padded(prefix: str, number: Column, width: int) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(number.cast("string"), width, "0"))
+def _pick(values: list[str], position: str) -> str:
+    return f"element_at(array({text_list(values)}), cast({position} + 1 as int))"
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,44 +31,31 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ``latency_ms`` carries the time to detection that an alert on the row reports.
     """
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    event_id = F.col("event_id")
-    k = F.get_json_object("props", "$.k").cast("bigint")
-    money = (
-        F.when(F.col("k") % 10 == 0, F.floor("value") * 100)
-        .when(F.col("k") % 10 == 1, F.col("value") * 20)
-        .otherwise(F.col("value"))
-        .cast("decimal(18,2)")
+    kinds = " ".join(f"when {text(name)} then {text(kind)}" for name, kind in TYPES.items())
+    elapsed = f"({micros('ts')} - {EPOCH_US}) div {TIME_FACTOR}"
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr(
+        "*",
+        "cast(get_json_object(props, '$.k') as bigint) as k",
+        f"cast(timestamp_micros({EPOCH_US} + {elapsed}) as timestamp_ntz) as event_time",
+        f"{_pick(COUNTRIES, '(event_id div 12) % 10')} as country",
     )
-    since_start = F.unix_micros(F.col("ts").cast("timestamp")) - EPOCH_US
-    shortened = F.expr(f"timestamp_micros({EPOCH_US} + (since_start div {TIME_FACTOR}))")
-    kinds = F.create_map(*[F.lit(x) for pair in TYPES.items() for x in pair])
-    country = _pick(COUNTRIES, F.expr("(event_id div 12) % 10"))
-    return (
-        events.withColumns({"k": k, "since_start": since_start})
-        .withColumns({"event_time": shortened.cast("timestamp_ntz"), "country": country})
-        .select(
-            _padded("TXN", event_id, 10).alias("transaction_id"),
-            _padded("ACC", F.col("user_id"), 6).alias("account_id"),
-            _padded("MER", event_id % 200 + 1, 5).alias("merchant_id"),
-            money.cast("double").alias("amount"),
-            F.lit("USD").alias("currency"),
-            kinds[F.col("event_type")].alias("transaction_type"),
-            _pick(CATEGORIES, event_id % 12).alias("merchant_category"),
-            "country",
-            F.concat("country", F.lit("-CITY")).alias("city"),
-            _pick(DEVICES, F.expr("(event_id div 120) % 6")).alias("device_type"),
-            F.concat(
-                F.lit("10.0."),
-                F.expr("(event_id div 250) % 250").cast("string"),
-                F.lit("."),
-                (event_id % 250).cast("string"),
-            ).alias("ip_address"),
-            F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'").alias("timestamp"),
-            (F.col("k") < 2).alias("is_fraud"),
-            "event_time",
-            F.col("value").alias("latency_ms"),
-        )
+    return events.selectExpr(
+        "concat('TXN', lpad(event_id, 10, '0')) as transaction_id",
+        "concat('ACC', lpad(user_id, 6, '0')) as account_id",
+        "concat('MER', lpad(event_id % 200 + 1, 5, '0')) as merchant_id",
+        """cast(cast(case when k % 10 = 0 then floor(value) * 100 when k % 10 = 1 then value * 20 else value end
+           as decimal(18,2)) as double) as amount""",
+        "'USD' as currency",
+        f"case event_type {kinds} end as transaction_type",
+        f"{_pick(CATEGORIES, 'event_id % 12')} as merchant_category",
+        "country",
+        "concat(country, '-CITY') as city",
+        f"{_pick(DEVICES, '(event_id div 120) % 6')} as device_type",
+        "concat('10.0.', (event_id div 250) % 250, '.', event_id % 250) as ip_address",
+        "date_format(event_time, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'\") as timestamp",
+        "k < 2 as is_fraud",
+        "event_time",
+        "value as latency_ms",
     )
 
 
@@ -81,15 +64,13 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The messages carry a field that the schema does not know, as producers do.
     """
-    body = F.to_json(F.struct(*TRANSACTION_FIELDS, F.lit("none").alias("fraud_pattern")))
-    number = F.substring("transaction_id", 4, 10).cast("bigint")
-    halved = F.expr("substring(body, 1, length(body) div 2)")
-    return (
-        transactions(spark, sf_dir)
-        .withColumn("body", body)
-        .select(
-            F.col("account_id").cast("binary").alias("key"),
-            F.when(number % 97 == 0, halved).otherwise(F.col("body")).cast("binary").alias("value"),
-            F.col("event_time").cast("timestamp").alias("timestamp"),
-        )
+    rows = transactions(spark, sf_dir).selectExpr(
+        "*",
+        f"to_json(struct({', '.join(TRANSACTION_FIELDS)}, 'none' as fraud_pattern)) as body",
+        "cast(substring(transaction_id, 4) as bigint) as number",
+    )
+    return rows.selectExpr(
+        "cast(account_id as binary) as key",
+        "cast(case when number % 97 = 0 then substring(body, 1, length(body) div 2) else body end as binary) as value",
+        "cast(event_time as timestamp) as timestamp",
     )

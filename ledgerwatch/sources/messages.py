@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from ledgerwatch.schema import ALERT_FIELDS, TRANSACTION_FIELDS, ddl
 
-# Amounts from here on do not fit the exact sums (see functions/columns.py).
-AMOUNT_LIMIT = 1.0e13
+# Why a decoded row cannot be scored; null for a good row. Amounts from the given limit on
+# do not fit the exact sums (see functions/columns.py).
+FAULT = """case
+    when transaction_id is null then 'no transaction_id'
+    when account_id is null then 'no account_id'
+    when amount is null or isnan(amount) then 'no amount'
+    when abs(amount) >= 1.0E13D then 'amount out of range'
+    when event_time is null then 'no event time'
+    end"""
+
+ISO_TIME = "date_format(detected_at, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'\")"
 
 
 def decode_transactions(raw: DataFrame) -> DataFrame:
@@ -16,58 +24,37 @@ def decode_transactions(raw: DataFrame) -> DataFrame:
 
     ``raw`` has the layout of the Kafka source: ``key``, ``value``, ``timestamp``.
     """
-    body = F.from_json(F.col("value").cast("string"), ddl(TRANSACTION_FIELDS))
-    return raw.select(
-        F.col("key").cast("string").alias("message_key"),
-        F.col("timestamp").alias("kafka_timestamp"),
-        body.alias("body"),
-    ).select(
-        "message_key",
-        "kafka_timestamp",
-        "body.*",
-        F.try_to_timestamp(F.col("body.timestamp")).alias("event_time"),
+    decoded = raw.selectExpr(
+        "cast(key as string) as message_key",
+        "timestamp as kafka_timestamp",
+        f"from_json(cast(value as string), '{ddl(TRANSACTION_FIELDS)}') as body",
     )
-
-
-def fault() -> Column:
-    """Why a decoded row cannot be scored; null for a good row."""
-    amount = F.col("amount")
-    return (
-        F.when(F.col("transaction_id").isNull(), F.lit("no transaction_id"))
-        .when(F.col("account_id").isNull(), F.lit("no account_id"))
-        .when(amount.isNull() | F.isnan(amount), F.lit("no amount"))
-        .when(F.abs(amount) >= AMOUNT_LIMIT, F.lit("amount out of range"))
-        .when(F.col("event_time").isNull(), F.lit("no event time"))
+    return decoded.selectExpr(
+        "message_key", "kafka_timestamp", "body.*", "try_to_timestamp(body.timestamp) as event_time"
     )
 
 
 def parse_transactions(raw: DataFrame) -> DataFrame:
     """The messages that can be scored."""
-    return decode_transactions(raw).where(fault().isNull()).drop("message_key")
+    return decode_transactions(raw).where(f"({FAULT}) is null").drop("message_key")
 
 
 def quarantine(raw: DataFrame) -> DataFrame:
     """The messages that cannot be scored, with the reason."""
-    decoded = decode_transactions(raw).withColumn("reason", fault())
-    return decoded.where(F.col("reason").isNotNull()).select(
-        F.col("message_key").alias("account_key"), "kafka_timestamp", "reason"
+    faulty = decode_transactions(raw).selectExpr(
+        "message_key as account_key", "kafka_timestamp", f"{FAULT} as reason"
     )
+    return faulty.where("reason is not null")
 
 
 def alert_messages(alerts: DataFrame) -> DataFrame:
     """Alerts as key and JSON value, keyed by account."""
-    detected_at = F.date_format("detected_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
-    fields = alerts.withColumn("detected_at", detected_at)
-    return fields.select(
-        F.col("account_id").alias("key"),
-        F.to_json(F.struct(*ALERT_FIELDS)).alias("value"),
-    )
+    fields = [f"{ISO_TIME} as detected_at" if name == "detected_at" else name for name in ALERT_FIELDS]
+    return alerts.selectExpr("account_id as key", f"to_json(struct({', '.join(fields)})) as value")
 
 
 def decode_alerts(raw: DataFrame) -> DataFrame:
     """JSON alerts back to columns; messages that cannot be read are left out."""
-    body = F.from_json(F.col("value").cast("string"), ddl(ALERT_FIELDS))
-    decoded = raw.select(body.alias("body")).select("body.*")
-    return decoded.where(F.col("transaction_id").isNotNull()).withColumn(
-        "detected_at", F.try_to_timestamp(F.col("detected_at"))
-    )
+    decoded = raw.selectExpr(f"from_json(cast(value as string), '{ddl(ALERT_FIELDS)}') as body").selectExpr("body.*")
+    fields = ["try_to_timestamp(detected_at) as detected_at" if name == "detected_at" else name for name in ALERT_FIELDS]
+    return decoded.where("transaction_id is not null").selectExpr(*fields)
