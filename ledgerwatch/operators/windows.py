@@ -11,40 +11,57 @@ from ledgerwatch.functions.columns import floor_to, from_micros, from_units, mic
 GAP_US = SESSION_GAP_SECONDS * MICROS_PER_SECOND
 LENGTH_SECONDS = 300
 SLIDE_SECONDS = 60
+WINDOWS_PER_BLOCK = 4
 
 
-def _per_pane(transactions: DataFrame, slide: int, columns: list[str]) -> DataFrame:
-    """Count, spend and largest amount per account, pane of ``slide`` microseconds and ``columns``."""
+def _per_pane(transactions: DataFrame, slide: int) -> DataFrame:
+    """Count, spend and largest amount per account, pane of one slide, merchant and country."""
     timed = transactions.selectExpr(
-        "account_id", f"{floor_to(micros(), slide)} as pane", "amount", f"{to_units()} as units", *columns
+        "account_id",
+        f"{floor_to(micros(), slide)} as pane",
+        "merchant_id",
+        "country",
+        "amount",
+        f"{to_units()} as units",
     )
-    return timed.groupBy("account_id", "pane", *columns).agg(
+    return timed.groupBy("account_id", "pane", "merchant_id", "country").agg(
         F.expr("count(*) as n"), F.expr("sum(units) as units"), F.expr("max(amount) as largest")
     )
 
 
-def _windows(panes: DataFrame, length: int, slide: int) -> DataFrame:
-    """Each pane in every window that holds it."""
-    starts = f"explode(sequence(pane - {length - slide}, pane, {slide}))"
-    return panes.selectExpr(f"{starts} as start", *[c for c in panes.columns if c != "pane"])
-
-
 def window_activity(
     transactions: DataFrame, length_seconds: int = LENGTH_SECONDS, slide_seconds: int = SLIDE_SECONDS
 ) -> DataFrame:
     """Activity per account and sliding window, with exact numbers of merchants and countries.
 
-    Rows are combined per slide first, so an account that is busy within a slide sends its
-    merchants and countries once, not once per row, to each of the windows. The slide
-    divides the length; equal ones give tumbling windows.
+    Rows are combined per pane first, so a busy account shrinks before any shuffle. The
+    panes go to blocks of several windows, with the panes that the last windows of a block
+    reach into, and from there on nothing is shuffled: a merchant counts in those windows
+    of a pane that start after its previous pane. The slide divides the length; equal ones
+    give tumbling windows.
     """
     length, slide = length_seconds * MICROS_PER_SECOND, slide_seconds * MICROS_PER_SECOND
-    panes = _per_pane(transactions, slide, ["merchant_id", "country"])
-    activity = _windows(panes, length, slide).groupBy("start", "account_id").agg(
+    reach, block = length - slide, length * WINDOWS_PER_BLOCK
+    blocks = f"array_distinct(array({floor_to('pane', block)}, {floor_to(f'(pane - {reach})', block)}))"
+    placed = (
+        _per_pane(transactions, slide)
+        .selectExpr("*", f"explode({blocks}) as block")
+        .repartition("account_id", "block")
+    )
+    seen = placed.selectExpr(
+        "*",
+        "lag(pane) over (partition by account_id, block, merchant_id order by pane) as merchant_pane",
+        "lag(pane) over (partition by account_id, block, country order by pane) as country_pane",
+    )
+    first_start, last_start = f"greatest(pane - {reach}, block)", f"least(pane, block + {block - slide})"
+    spread = seen.selectExpr("*", f"explode(sequence({first_start}, {last_start}, {slide})) as start")
+    new_merchant = "merchant_id is not null and start > coalesce(merchant_pane, start - 1)"
+    new_country = "country is not null and start > coalesce(country_pane, start - 1)"
+    activity = spread.groupBy("account_id", "block", "start").agg(
         F.expr("sum(n) as n"),
         F.expr("sum(units) as units"),
-        F.expr("count(distinct merchant_id) as merchants"),
-        F.expr("count(distinct country) as countries"),
+        F.expr(f"count_if({new_merchant}) as merchants"),
+        F.expr(f"count_if({new_country}) as countries"),
         F.expr("max(largest) as largest"),
     )
     return _named(activity, transactions, length)
@@ -56,8 +73,9 @@ def window_activity_approx(
     """As ``window_activity`` with sketched distinct numbers: the state of a window has a
     fixed size however many merchants it holds."""
     length, slide = length_seconds * MICROS_PER_SECOND, slide_seconds * MICROS_PER_SECOND
-    panes = _per_pane(transactions, slide, ["merchant_id", "country"])
-    activity = _windows(panes, length, slide).groupBy("start", "account_id").agg(
+    starts = f"explode(sequence(pane - {length - slide}, pane, {slide})) as start"
+    spread = _per_pane(transactions, slide).selectExpr("*", starts)
+    activity = spread.groupBy("account_id", "start").agg(
         F.expr("sum(n) as n"),
         F.expr("sum(units) as units"),
         F.expr("approx_count_distinct(merchant_id) as merchants"),

@@ -134,8 +134,7 @@ def scored_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def alert_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The published messages, read back field by field."""
     sent = messages.alert_messages(_alerts(spark, sf_dir))
-    body = f"from_json(value, '{ddl(ALERT_FIELDS)}') as body"
-    return _flat(sent.selectExpr("key", body).select("key", "body.*"))
+    return _flat(sent.selectExpr("key", f"inline(array(from_json(value, '{ddl(ALERT_FIELDS)}')))"))
 
 
 def account_alert_history(spark: SparkSession, sf_dir: str) -> DataFrame:
