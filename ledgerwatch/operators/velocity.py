@@ -21,7 +21,7 @@ BEFORE_ROW = "rows between unbounded preceding and 1 preceding"
 def session_velocity(
     transactions: DataFrame,
     earlier: DataFrame | None = None,
-    skew: SkewConfig = DEFAULT_SKEW,
+    skew: SkewConfig | None = DEFAULT_SKEW,
 ) -> DataFrame:
     """Add ``window_count`` and ``window_spend``: count and spend of the account's current
     session up to and including the row, in order of event time and transaction id.
@@ -29,14 +29,22 @@ def session_velocity(
     A session ends when the account pauses for more than 300 seconds. ``earlier`` (one row
     per account: ``account_id, n, units, last_us``) holds the sessions that were open when
     the rows arrived. A row older than what is already known counts in the open session.
+    Without ``skew`` no account is cut, which suits a table that is known to be small.
     """
     rows = transactions.selectExpr("*", f"{micros()} as us", f"{to_units()} as units")
-    keys = rows.select("account_id", "us", "units")
-    hot = hot_accounts(keys, skew, SESSION_GAP_SECONDS)
-    # A shuffled hash join leaves the rows partitioned for the windows and unsorted until
-    # the windows sort them, once.
-    carried = _carried(keys, hot, earlier).hint("shuffle_hash")
-    sliced = cut(rows, hot).join(carried, ["account_id", "slice"], "left")
+    if skew is None:
+        sliced, carried = rows.selectExpr("*", f"{WHOLE}L as slice"), _opening(earlier)
+    else:
+        keys = rows.select("account_id", "us", "units")
+        hot = hot_accounts(keys, skew, SESSION_GAP_SECONDS)
+        sliced, carried = cut(rows, hot), _carried(keys, hot, earlier)
+    if carried is None:
+        nothing = [f"cast(null as bigint) as {name}" for name in ("carried_n", "carried_units", "carried_last_us")]
+        sliced = sliced.selectExpr("*", *nothing)
+    else:
+        # A shuffled hash join leaves the rows partitioned for the windows and unsorted
+        # until the windows sort them, once.
+        sliced = sliced.join(carried.hint("shuffle_hash"), ["account_id", "slice"], "left")
     totals = sliced.selectExpr(
         "*",
         f"lag(us) over ({BY_TIME}) as previous_us",
@@ -54,6 +62,19 @@ def session_velocity(
     )
 
 
+def _opening(earlier: DataFrame | None) -> DataFrame | None:
+    """The earlier sessions as what is known before the rows of accounts that are not cut."""
+    if earlier is None:
+        return None
+    return earlier.selectExpr(
+        "account_id",
+        f"{WHOLE}L as slice",
+        "n as carried_n",
+        "units as carried_units",
+        "last_us as carried_last_us",
+    )
+
+
 def _carried(keys: DataFrame, hot: DataFrame, earlier: DataFrame | None) -> DataFrame:
     """Per slice: the session that was open before it began.
 
@@ -93,14 +114,8 @@ def _carried(keys: DataFrame, hot: DataFrame, earlier: DataFrame | None) -> Data
     ).where("carried_n is not null")
     if earlier is None:
         return carried
-    not_cut = earlier.join(F.broadcast(hot), "account_id", "left_anti").selectExpr(
-        "account_id",
-        f"{WHOLE}L as slice",
-        "n as carried_n",
-        "units as carried_units",
-        "last_us as carried_last_us",
-    )
-    return carried.unionByName(not_cut)
+    not_cut = earlier.join(F.broadcast(hot), "account_id", "left_anti")
+    return carried.unionByName(_opening(not_cut))
 
 
 def running_change(events: DataFrame, measures: list[str], hot: DataFrame) -> DataFrame:

@@ -43,7 +43,8 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "concat('TXN', lpad(event_id, 10, '0')) as transaction_id",
         "concat('ACC', lpad(user_id, 6, '0')) as account_id",
         "concat('MER', lpad(event_id % 200 + 1, 5, '0')) as merchant_id",
-        """cast(cast(case when k % 10 = 0 then floor(value) * 100 when k % 10 = 1 then value * 20 else value end
+        # ``k`` is named once, so a filter on the amount reads the JSON once per mention.
+        """cast(cast(coalesce(get(array(cast(floor(value) * 100 as double), value * 20), cast(k % 10 as int)), value)
            as decimal(18,2)) as double) as amount""",
         "'USD' as currency",
         f"case event_type {kinds} end as transaction_type",

@@ -40,10 +40,11 @@ def parse_transactions(raw: DataFrame) -> DataFrame:
 
 def quarantine(raw: DataFrame) -> DataFrame:
     """The messages that cannot be scored, with the reason."""
-    faulty = decode_transactions(raw).selectExpr(
-        "message_key as account_key", "kafka_timestamp", f"{FAULT} as reason"
-    )
-    return faulty.where("reason is not null")
+    return quarantined(decode_transactions(raw).selectExpr("*", f"{FAULT} as reason"))
+
+
+def quarantined(decoded: DataFrame) -> DataFrame:
+    return decoded.where("reason is not null").selectExpr("message_key as account_key", "kafka_timestamp", "reason")
 
 
 def alert_messages(alerts: DataFrame) -> DataFrame:

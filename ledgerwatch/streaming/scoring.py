@@ -12,7 +12,7 @@ import time
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -22,7 +22,7 @@ from ledgerwatch.functions.scores import score_transactions
 from ledgerwatch.operators.alerts import raise_alerts
 from ledgerwatch.operators.velocity import GAP_US, session_velocity
 from ledgerwatch.session import checkpoint_root
-from ledgerwatch.sources.messages import alert_messages, parse_transactions, quarantine
+from ledgerwatch.sources.messages import FAULT, alert_messages, decode_transactions, quarantined
 
 STATE = "account_id string, n bigint, units bigint, last_us bigint"
 LATE_US = 30 * MICROS_PER_SECOND
@@ -51,62 +51,73 @@ class ScoringJob:
         """Score one micro-batch."""
         started = time.monotonic()
         spark = messages.sparkSession
-        messages = messages.persist()
+        # The size of a micro-batch is limited by the source; it is parsed once and kept.
+        decoded = decode_transactions(messages).selectExpr("*", f"{FAULT} as reason").persist()
         try:
-            quarantine(messages).write.mode("overwrite").parquet(self.place("quarantine", batch_id))
+            size = decoded.agg(F.expr("count(*) as rows"), F.expr("count(reason) as faulty")).first()
+            if size.faulty:
+                self.write(quarantined(decoded), "quarantine", batch_id)
+            good = decoded.where("reason is null").drop("message_key", "reason")
             earlier = self.open_sessions(spark, batch_id)
-            features = session_velocity(parse_transactions(messages), earlier, self.skew)
-            scored = score_transactions(features).withColumn("scored_at", F.current_timestamp())
-            scored.write.mode("overwrite").parquet(self.place("scored", batch_id))
+            skew = self.skew if size.rows >= self.skew.min_rows else None
+            scored = score_transactions(session_velocity(good, earlier, skew))
+            scored = scored.withColumn("scored_at", F.current_timestamp())
+            self.write(scored, "scored", batch_id)
         finally:
-            messages.unpersist()
+            decoded.unpersist()
         # From here on the written table is read, nothing is scored twice.
         scored = spark.read.schema(scored.schema).parquet(self.place("scored", batch_id))
         latency = f"({micros('scored_at')} - {micros('kafka_timestamp')}) / 1000D"
-        raise_alerts(scored, latency, "scored_at", self.threshold).write.mode("overwrite").parquet(
-            self.place("alerts", batch_id)
-        )
+        counted = Observation()
+        alerts = raise_alerts(scored, latency, "scored_at", self.threshold)
+        self.write(alerts.observe(counted, F.count("*").alias("alerts")), "alerts", batch_id)
         if self.publish is not None:
             self.publish(alert_messages(spark.read.parquet(self.place("alerts", batch_id))))
         next_sessions(scored, earlier).write.mode("overwrite").parquet(self.state_place(batch_id))
-        self.log(scored, batch_id, started)
+        self.log(spark, batch_id, size, counted.get["alerts"], time.monotonic() - started)
+
+    def write(self, rows: DataFrame, table: str, batch_id: int) -> None:
+        rows.write.mode("overwrite").parquet(self.place(table, batch_id))
 
-    def open_sessions(self, spark: SparkSession, batch_id: int) -> DataFrame:
+    def open_sessions(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
         """The sessions that the batch before this one left open."""
         if batch_id == 0:
-            return spark.createDataFrame([], STATE)
+            return None
         return spark.read.schema(STATE).parquet(self.state_place(batch_id - 1))
 
-    def log(self, scored: DataFrame, batch_id: int, started: float) -> None:
-        """One row per batch: rows, alerts, time taken and rate."""
-        elapsed_ms = max((time.monotonic() - started) * 1000.0, 1.0)
-        summary = scored.agg(
-            F.expr("count(*) as row_count"),
-            F.expr(f"count_if(fraud_score >= {self.threshold}D) as alert_count"),
-            F.expr(f"{elapsed_ms:.1f}D as elapsed_ms"),
-            F.expr(f"count(*) * 1000D / {elapsed_ms:.1f}D as rows_per_second"),
+    def log(self, spark: SparkSession, batch_id: int, size: Row, alerts: int, seconds: float) -> None:
+        """One row per batch: rows, faulty rows, alerts, time taken and rate."""
+        row = spark.range(0, 1, 1, 1).selectExpr(
+            f"{size.rows}L as row_count",
+            f"{size.faulty}L as faulty_count",
+            f"{alerts}L as alert_count",
+            f"{seconds * 1000:.1f}D as elapsed_ms",
+            f"{size.rows / max(seconds, 0.001):.1f}D as rows_per_second",
         )
-        summary.write.mode("overwrite").parquet(self.place("batches", batch_id))
+        self.write(row, "batches", batch_id)
 
 
-def next_sessions(scored: DataFrame, earlier: DataFrame) -> DataFrame:
+def next_sessions(scored: DataFrame, earlier: DataFrame | None) -> DataFrame:
     """The open sessions after a batch: those of the batch, and the earlier ones it did not touch.
 
     A session that has paused for longer than the gap, seen from the newest row less the
     time that rows may be late, is left out: its account would start anew in any case.
     """
-    newest = scored.groupBy("account_id").agg(
-        F.expr(f"max_by(struct(window_count as n, {to_units('window_spend')} as units), "
-               "struct(event_time, transaction_id)) as session"),
-        F.expr(f"max({micros()}) as last_us"),
+    known = scored.selectExpr(
+        "account_id",
+        f"struct(1 as turn, {micros()} as us, transaction_id) as place",
+        f"struct(window_count as n, {to_units('window_spend')} as units) as session",
     )
-    both = newest.selectExpr("account_id", "1 as turn", "session", "last_us").unionByName(
-        earlier.selectExpr("account_id", "0 as turn", "struct(n, units) as session", "last_us")
-    )
-    merged = both.groupBy("account_id").agg(
-        F.expr("max_by(session, turn) as session"), F.expr("max(last_us) as last_us")
+    if earlier is not None:
+        known = known.unionByName(
+            earlier.selectExpr(
+                "account_id", "struct(0 as turn, last_us as us, '' as transaction_id) as place", "struct(n, units) as session"
+            )
+        )
+    merged = known.groupBy("account_id").agg(
+        F.expr("max_by(session, place) as session"), F.expr("max(place.us) as last_us")
     )
-    newest_us = both.agg(F.max("last_us")).scalar()
+    newest_us = known.agg(F.expr("max(place.us)")).scalar()
     return merged.where(F.col("last_us") >= newest_us - (GAP_US + LATE_US)).select(
         "account_id", "session.n", "session.units", "last_us"
     )

@@ -53,15 +53,14 @@ def test_cut_and_whole_accounts_agree(skewed, operator):
 def test_batches_continue_open_sessions(spark, skewed):
     """Two batches in a row give what one pass over all rows gives, cut or not."""
     from ledgerwatch.functions.scores import score_transactions
-    from ledgerwatch.streaming.scoring import STATE, next_sessions
+    from ledgerwatch.streaming.scoring import next_sessions
 
     middle = "timestamp_ntz'2024-01-01 01:00:00'"
     columns = ["transaction_id", "window_count", "window_spend"]
     expected = velocity.session_velocity(skewed, skew=WHOLE).select(*columns).toPandas()
-    for skew in (WHOLE, CUT):
-        none = spark.createDataFrame([], STATE)
-        first = score_transactions(velocity.session_velocity(skewed.where(f"event_time < {middle}"), none, skew))
-        state = next_sessions(first, none)
+    for skew in (None, WHOLE, CUT):
+        first = score_transactions(velocity.session_velocity(skewed.where(f"event_time < {middle}"), None, skew))
+        state = next_sessions(first, None)
         second = velocity.session_velocity(skewed.where(f"event_time >= {middle}"), state, skew)
         both = first.select(*columns).unionByName(second.select(*columns))
         assert_same(both.toPandas(), expected)

@@ -86,7 +86,8 @@ def test_stream_writes_alerts_quarantine_and_batch_log(spark, folder, scored_run
     assert spark.read.parquet(f"{output}/quarantine").count() == bad.count() > 0
     log = spark.read.parquet(f"{output}/batches")
     assert log.count() == FILES
-    assert log.agg({"row_count": "sum"}).first()[0] == scored.count()
+    assert log.agg({"row_count": "sum"}).first()[0] == scored.count() + bad.count()
+    assert log.agg({"faulty_count": "sum"}).first()[0] == bad.count()
     assert log.agg({"alert_count": "sum"}).first()[0] == alerts.count()
 
 
