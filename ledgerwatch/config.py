@@ -37,15 +37,19 @@ LATENCY_BOUNDS_MS = [5.0, 10.0, 25.0, 50.0, 100.0, 250.0, 500.0, 1000.0, 2500.0]
 class SkewConfig:
     """When an account counts as hot, and how finely its time line is cut.
 
-    At most ``max_keys`` accounts are treated as hot, so the list that is broadcast
-    has a fixed size. Every other account holds at most ``1 / max_keys`` of the rows,
-    or fewer than ``min_rows`` rows, and fits into one task.
+    At most ``max_keys`` accounts are treated as hot, so the list that is broadcast has a
+    fixed size. Every other account holds at most ``1 / max_keys`` of the rows, or fewer
+    than ``min_rows`` rows, and fits into one task. The time line of a hot account is cut
+    into cells. The fullest cells, at most ``max_cells`` and those with more rows than a
+    slice should have, are cut into parts. A slice should have ``slice_rows`` rows, or more
+    if the account has over ``max_slices`` times as many.
     """
 
     min_rows: int = 20_000
     max_keys: int = 4_096
     slice_rows: int = 5_000
     max_slices: int = 100_000
+    max_cells: int = 65_536
 
 
 DEFAULT_SKEW = SkewConfig()

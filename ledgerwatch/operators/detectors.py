@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerwatch.config import DEFAULT_SKEW, MICROS_PER_SECOND, SkewConfig
 from ledgerwatch.functions.columns import floor_to, from_micros, from_units, micros, to_units
 from ledgerwatch.functions.rules import RULES_BY_NAME
-from ledgerwatch.operators.skew import cut, cut_hot_only, hot_accounts
+from ledgerwatch.operators.skew import find_slices
 from ledgerwatch.operators.velocity import trailing
 
 GEO_MINUTES = 30
@@ -22,9 +22,9 @@ def geo_impossible(
 ) -> DataFrame:
     """Transactions in another country than the account's previous one less than ``minutes`` before."""
     rows = transactions.selectExpr("transaction_id", "account_id", "event_time", "country", f"{micros()} as us")
-    hot = hot_accounts(rows.select("account_id", "us"), skew, SLICE_SECONDS)
+    slices = find_slices(rows.select("account_id", "us"), skew, SLICE_SECONDS)
     last_of_slice = (
-        cut_hot_only(rows.select("account_id", "us", "transaction_id", "country"), hot)
+        slices.hot_rows(rows.select("account_id", "us", "transaction_id", "country"))
         .groupBy("account_id", "slice")
         .agg(F.expr("max_by(struct(us, country), struct(us, transaction_id)) as final"))
     )
@@ -33,7 +33,7 @@ def geo_impossible(
     )
     by_time = "partition by account_id, slice order by us, transaction_id"
     steps = (
-        cut(rows, hot)
+        slices.cut(rows)
         .join(carried.hint("shuffle_hash"), ["account_id", "slice"], "left")
         .selectExpr("*", f"coalesce(lag(struct(us, country)) over ({by_time}), carried) as previous")
     )

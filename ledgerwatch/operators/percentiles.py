@@ -19,8 +19,9 @@ BUCKETS_PER_E = 1024
 INTERPOLATED = {"p50": 0.50, "p75": 0.75, "p90": 0.90, "p95": 0.95, "p99": 0.99}
 NEAREST_RANK = {"p50": 50.0, "p90": 90.0, "p99": 99.0, "p999": 99.9}
 
-# A whole number that never falls when the value rises.
-BUCKET = f"floor(signum(value) * log1p(abs(value)) * {BUCKETS_PER_E})"
+# A whole number that never falls when the value rises. It is never null, and says so: a
+# null check on one use of the counted values would keep the other use from sharing them.
+BUCKET = f"coalesce(floor(signum(value) * log1p(abs(value)) * {BUCKETS_PER_E}), 0L)"
 
 
 def order_statistics(values: DataFrame, value: str, ranks: dict[str, str]) -> DataFrame:

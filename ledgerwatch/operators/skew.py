@@ -8,6 +8,8 @@ computed from one summary row per slice.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,39 +18,61 @@ from ledgerwatch.functions.columns import floor_to
 
 WHOLE = -1  # slice of an account that is not cut; no slice starts there
 
+# Full cells are cut this many times finer than evenly spread rows need, for the sake of
+# rows that come in bursts.
+OVERCUT = 16
+
 
-def hot_accounts(rows: DataFrame, skew: SkewConfig, longest_seconds: int) -> DataFrame:
-    """``(account_id, slice_us)`` for the accounts to cut, at most ``skew.max_keys`` rows.
+@dataclass(frozen=True)
+class Slices:
+    """The hot accounts (``account_id, wanted`` rows per slice) and their full cells (``account_id, cell, part_us``).
 
-    ``rows`` has ``account_id`` and ``us``. A slice is as long as its account needs for
-    ``skew.slice_rows`` rows on average, but no longer than ``longest_seconds``.
+    Both are top lists of a fixed length and may be broadcast.
     """
-    span = "cast(last_us - first_us as double)"
-    even = f"{span} * {skew.slice_rows} / n_rows"
-    finest = f"{span} / {skew.max_slices}"
-    longest = longest_seconds * MICROS_PER_SECOND
-    return (
+
+    accounts: DataFrame
+    cells: DataFrame
+    cell_us: int
+
+    def cut(self, rows: DataFrame) -> DataFrame:
+        """Add ``slice``: start of the time slice for rows of hot accounts, ``WHOLE`` for all others."""
+        marked = rows.join(F.broadcast(self.accounts.selectExpr("account_id", "true as hot")), "account_id", "left")
+        return self._slice(marked, rows.columns, f"if(hot is null, {WHOLE}L, {floor_to('us', self.cell_us)})")
+
+    def hot_rows(self, rows: DataFrame) -> DataFrame:
+        """The rows of hot accounts only, with ``slice``."""
+        hot = rows.join(F.broadcast(self.accounts), "account_id")
+        return self._slice(hot, rows.columns, floor_to("us", self.cell_us))
+
+    def _slice(self, rows: DataFrame, columns: list[str], cell: str) -> DataFrame:
+        part = f"cell + {floor_to('(us - cell)', 'part_us')}"
+        return (
+            rows.selectExpr(*columns, f"{cell} as cell")
+            .join(F.broadcast(self.cells), ["account_id", "cell"], "left")
+            .selectExpr(*columns, f"coalesce({part}, cell) as slice")
+        )
+
+
+def find_slices(rows: DataFrame, skew: SkewConfig, cell_seconds: int) -> Slices:
+    """The slices for ``rows`` (``account_id``, ``us``), none longer than ``cell_seconds``."""
+    cell_us = cell_seconds * MICROS_PER_SECOND
+    accounts = (
         rows.groupBy("account_id")
-        .agg(F.expr("count(*) as n_rows"), F.expr("min(us) as first_us"), F.expr("max(us) as last_us"))
+        .agg(F.expr("count(*) as n_rows"))
         .where(f"n_rows >= {skew.min_rows}")
         .orderBy(F.desc("n_rows"), "account_id")
         .limit(skew.max_keys)
+        .selectExpr("account_id", f"greatest({skew.slice_rows}, n_rows div {skew.max_slices}) as wanted")
+    )
+    cells = (
+        rows.join(F.broadcast(accounts), "account_id")
+        .groupBy("account_id", "wanted", F.expr(f"{floor_to('us', cell_us)} as cell"))
+        .agg(F.expr("count(*) as n_rows"))
+        .where("n_rows > wanted")
+        .orderBy(F.desc("n_rows"), "account_id", "cell")
+        .limit(skew.max_cells)
         .selectExpr(
-            "account_id", f"cast(least({longest}, greatest({even}, {finest}, 1000)) as bigint) as slice_us"
+            "account_id", "cell", f"cast(greatest({cell_us}D * wanted / n_rows / {OVERCUT}, 1D) as bigint) as part_us"
         )
     )
-
-
-def cut(rows: DataFrame, hot: DataFrame) -> DataFrame:
-    """Add ``slice``: start of the time slice for rows of hot accounts, ``WHOLE`` for all others."""
-    return rows.join(F.broadcast(hot), "account_id", "left").selectExpr(
-        *rows.columns,
-        f"case when slice_us is null then {WHOLE}L else {floor_to('us', 'slice_us')} end as slice",
-    )
-
-
-def cut_hot_only(rows: DataFrame, hot: DataFrame) -> DataFrame:
-    """The rows of hot accounts only, with ``slice``."""
-    return rows.join(F.broadcast(hot), "account_id").selectExpr(
-        *rows.columns, f"{floor_to('us', 'slice_us')} as slice"
-    )
+    return Slices(accounts, cells, cell_us)

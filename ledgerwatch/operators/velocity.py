@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerwatch.config import DEFAULT_SKEW, MICROS_PER_SECOND, SESSION_GAP_SECONDS, SkewConfig
 from ledgerwatch.functions.columns import from_units, micros, to_units
-from ledgerwatch.operators.skew import WHOLE, cut, cut_hot_only, hot_accounts
+from ledgerwatch.operators.skew import WHOLE, Slices, find_slices
 
 GAP_US = SESSION_GAP_SECONDS * MICROS_PER_SECOND
 BEFORE_ALL = -(2**62)  # slice of what is known from earlier batches
@@ -36,8 +36,8 @@ def session_velocity(
         sliced, carried = rows.selectExpr("*", f"{WHOLE}L as slice"), _opening(earlier)
     else:
         keys = rows.select("account_id", "us", "units")
-        hot = hot_accounts(keys, skew, SESSION_GAP_SECONDS)
-        sliced, carried = cut(rows, hot), _carried(keys, hot, earlier)
+        slices = find_slices(keys, skew, SESSION_GAP_SECONDS)
+        sliced, carried = slices.cut(rows), _carried(keys, slices, earlier)
     if carried is None:
         nothing = [f"cast(null as bigint) as {name}" for name in ("carried_n", "carried_units", "carried_last_us")]
         sliced = sliced.selectExpr("*", *nothing)
@@ -75,14 +75,14 @@ def _opening(earlier: DataFrame | None) -> DataFrame | None:
     )
 
 
-def _carried(keys: DataFrame, hot: DataFrame, earlier: DataFrame | None) -> DataFrame:
+def _carried(keys: DataFrame, slices: Slices, earlier: DataFrame | None) -> DataFrame:
     """Per slice: the session that was open before it began.
 
     A slice of a hot account is no longer than the session gap, so no session ends inside
     it, and one summary row per slice is enough to follow sessions from slice to slice.
     """
     summary = (
-        cut_hot_only(keys, hot)
+        slices.hot_rows(keys)
         .groupBy("account_id", "slice")
         .agg(
             F.expr("count(*) as n"),
@@ -95,7 +95,7 @@ def _carried(keys: DataFrame, hot: DataFrame, earlier: DataFrame | None) -> Data
         opening = earlier.selectExpr(
             "account_id", f"{BEFORE_ALL}L as slice", "n", "units", "last_us as first_us", "last_us"
         )
-        summary = summary.unionByName(opening.join(F.broadcast(hot), "account_id", "left_semi"))
+        summary = summary.unionByName(opening.join(F.broadcast(slices.accounts), "account_id", "left_semi"))
     totals = summary.selectExpr(
         "*",
         f"max(last_us) over ({BY_SLICE} {BEFORE_ROW}) as known_us",
@@ -114,17 +114,17 @@ def _carried(keys: DataFrame, hot: DataFrame, earlier: DataFrame | None) -> Data
     ).where("carried_n is not null")
     if earlier is None:
         return carried
-    not_cut = earlier.join(F.broadcast(hot), "account_id", "left_anti")
+    not_cut = earlier.join(F.broadcast(slices.accounts), "account_id", "left_anti")
     return carried.unionByName(_opening(not_cut))
 
 
-def running_change(events: DataFrame, measures: list[str], hot: DataFrame) -> DataFrame:
+def running_change(events: DataFrame, measures: list[str], slices: Slices) -> DataFrame:
     """Replace each measure by its sum over the account's events up to the same time.
 
     ``events`` has ``account_id``, ``us`` and the integer measures.
     """
     per_slice = (
-        cut_hot_only(events.select("account_id", "us", *measures), hot)
+        slices.hot_rows(events.select("account_id", "us", *measures))
         .groupBy("account_id", "slice")
         .agg(*[F.expr(f"sum({m}) as {m}") for m in measures])
     )
@@ -132,7 +132,7 @@ def running_change(events: DataFrame, measures: list[str], hot: DataFrame) -> Da
         "account_id", "slice", *[f"sum({m}) over ({BY_SLICE} {BEFORE_ROW}) as carried_{m}" for m in measures]
     )
     so_far = "partition by account_id, slice order by us range between unbounded preceding and current row"
-    sliced = cut(events, hot).join(carried.hint("shuffle_hash"), ["account_id", "slice"], "left")
+    sliced = slices.cut(events).join(carried.hint("shuffle_hash"), ["account_id", "slice"], "left")
     return sliced.selectExpr(
         *[name for name in events.columns if name not in measures],
         *[f"sum({m}) over ({so_far}) + coalesce(carried_{m}, 0) as {m}" for m in measures],
@@ -153,7 +153,7 @@ def trailing(
     windows are running sums, whose cost does not grow with the rows in a window.
     """
     timed = rows.selectExpr("*", f"{micros()} as us")
-    hot = hot_accounts(timed.select("account_id", "us"), skew, seconds)
+    slices = find_slices(timed.select("account_id", "us"), skew, seconds)
     payload = f"struct({', '.join(keep)})"
     enter = ", ".join(["us as us", *[f"cast({v} as bigint) as {m}" for m, v in measures.items()]])
     leave = ", ".join(
@@ -166,7 +166,7 @@ def trailing(
         "account_id",
         f"inline(array(struct({enter}, {payload} as payload), struct({leave}, if(false, {payload}, null) as payload)))",
     )
-    summed = running_change(events, list(measures), hot)
+    summed = running_change(events, list(measures), slices)
     return summed.where("payload is not null").select("payload.*", *measures)
 
 

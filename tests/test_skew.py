@@ -4,7 +4,7 @@ import pytest
 
 from ledgerwatch.config import SkewConfig
 from ledgerwatch.operators import detectors, velocity
-from ledgerwatch.operators.skew import cut, hot_accounts
+from ledgerwatch.operators.skew import find_slices
 from ledgerwatch.sources import events
 from tests.compare import assert_same
 
@@ -20,19 +20,36 @@ def skewed(spark, medium):
     return rows.selectExpr(*[account if c == "account_id" else c for c in rows.columns])
 
 
+def timed(rows):
+    return rows.selectExpr("account_id", "unix_micros(cast(event_time as timestamp)) as us")
+
+
+def largest_slice(slices, rows):
+    sizes = slices.cut(rows).where("account_id = 'ACC000000'").groupBy("slice").count()
+    return sizes.count(), sizes.agg({"count": "max"}).first()[0]
+
+
 def test_hot_account_is_spread_over_many_small_slices(spark, skewed):
-    rows = skewed.selectExpr("account_id", "unix_micros(cast(event_time as timestamp)) as us")
-    skew = SkewConfig(min_rows=1000, slice_rows=50)
-    hot = hot_accounts(rows, skew, 300)
-    assert [r.account_id for r in hot.collect()] == ["ACC000000"]
-    sizes = cut(rows, hot).where("account_id = 'ACC000000'").groupBy("slice").count()
-    assert sizes.count() > 50
-    assert sizes.agg({"count": "max"}).first()[0] < 120
-
-
-def test_at_most_max_keys_are_broadcast(spark, skewed):
-    rows = skewed.selectExpr("account_id", "unix_micros(cast(event_time as timestamp)) as us")
-    assert hot_accounts(rows, SkewConfig(min_rows=1, max_keys=5), 300).count() == 5
+    slices = find_slices(timed(skewed), SkewConfig(min_rows=1000, slice_rows=50), 300)
+    assert [r.account_id for r in slices.accounts.collect()] == ["ACC000000"]
+    number, largest = largest_slice(slices, timed(skewed))
+    assert number > 50 and largest < 120
+
+
+def test_burst_of_a_hot_account_is_spread_too(spark, skewed):
+    """All rows of the account but a few fall into two seconds of a long time line."""
+    us = "if(account_id = 'ACC000000' and us % 50 != 0, us - pmod(us, 8640000000) + pmod(us, 2000000), us) as us"
+    burst = timed(skewed).selectExpr("account_id", us)
+    slices = find_slices(burst, SkewConfig(min_rows=1000, slice_rows=50), 300)
+    _, largest = largest_slice(slices, burst)
+    assert burst.where("account_id = 'ACC000000'").count() > 3000
+    assert largest < 600 * 2
+
+
+def test_broadcast_lists_have_a_fixed_length(spark, skewed):
+    slices = find_slices(timed(skewed), SkewConfig(min_rows=1, max_keys=5, slice_rows=1, max_cells=7), 300)
+    assert slices.accounts.count() == 5
+    assert slices.cells.count() == 7
 
 
 @pytest.mark.parametrize(
