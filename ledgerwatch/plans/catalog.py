@@ -140,7 +140,9 @@ def alert_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def account_alert_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     now = events.transactions(spark, sf_dir).agg(F.max("event_time")).scalar()
     history = al.account_history(_alerts(spark, sf_dir), now)
-    return history.select("account_id", "position", "transaction_id", "fraud_score", "label", "detected_at")
+    return history.selectExpr(
+        "account_id", "cast(position as bigint) as position", "transaction_id", "fraud_score", "label", "detected_at"
+    )
 
 
 def live_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -54,7 +54,11 @@ class ScoringJob:
         # The size of a micro-batch is limited by the source; it is parsed once and kept.
         decoded = decode_transactions(messages).selectExpr("*", f"{FAULT} as reason").persist()
         try:
-            size = decoded.agg(F.expr("count(*) as rows"), F.expr("count(reason) as faulty")).first()
+            size = decoded.agg(
+                F.expr("count(*) as rows"),
+                F.expr("count(reason) as faulty"),
+                F.expr(f"coalesce(max({micros()}) filter (where reason is null), 0) as newest_us"),
+            ).first()
             if size.faulty:
                 self.write(quarantined(decoded), "quarantine", batch_id)
             good = decoded.where("reason is null").drop("message_key", "reason")
@@ -73,7 +77,7 @@ class ScoringJob:
         self.write(alerts.observe(counted, F.count("*").alias("alerts")), "alerts", batch_id)
         if self.publish is not None:
             self.publish(alert_messages(spark.read.parquet(self.place("alerts", batch_id))))
-        next_sessions(scored, earlier).write.mode("overwrite").parquet(self.state_place(batch_id))
+        next_sessions(scored, earlier, size.newest_us).write.mode("overwrite").parquet(self.state_place(batch_id))
         self.log(spark, batch_id, size, counted.get["alerts"], time.monotonic() - started)
 
     def write(self, rows: DataFrame, table: str, batch_id: int) -> None:
@@ -97,11 +101,11 @@ class ScoringJob:
         self.write(row, "batches", batch_id)
 
 
-def next_sessions(scored: DataFrame, earlier: DataFrame | None) -> DataFrame:
+def next_sessions(scored: DataFrame, earlier: DataFrame | None, newest_us: int) -> DataFrame:
     """The open sessions after a batch: those of the batch, and the earlier ones it did not touch.
 
-    A session that has paused for longer than the gap, seen from the newest row less the
-    time that rows may be late, is left out: its account would start anew in any case.
+    A session that has paused for longer than the gap, seen from the batch's newest row less
+    the time that rows may be late, is left out: its account would start anew in any case.
     """
     known = scored.selectExpr(
         "account_id",
@@ -117,8 +121,7 @@ def next_sessions(scored: DataFrame, earlier: DataFrame | None) -> DataFrame:
     merged = known.groupBy("account_id").agg(
         F.expr("max_by(session, place) as session"), F.expr("max(place.us) as last_us")
     )
-    newest_us = known.agg(F.expr("max(place.us)")).scalar()
-    return merged.where(F.col("last_us") >= newest_us - (GAP_US + LATE_US)).select(
+    return merged.where(f"last_us >= {newest_us - GAP_US - LATE_US}").select(
         "account_id", "session.n", "session.units", "last_us"
     )
 

@@ -77,7 +77,9 @@ def test_batches_continue_open_sessions(spark, skewed):
     expected = velocity.session_velocity(skewed, skew=WHOLE).select(*columns).toPandas()
     for skew in (None, WHOLE, CUT):
         first = score_transactions(velocity.session_velocity(skewed.where(f"event_time < {middle}"), None, skew))
-        state = next_sessions(first, None)
+        newest = first.selectExpr("max(unix_micros(cast(event_time as timestamp)))").first()[0]
+        state = next_sessions(first, None, newest)
+        assert 0 < state.count() <= first.select("account_id").distinct().count()
         second = velocity.session_velocity(skewed.where(f"event_time >= {middle}"), state, skew)
         both = first.select(*columns).unionByName(second.select(*columns))
         assert_same(both.toPandas(), expected)
