@@ -26,8 +26,11 @@ def _flat(windows: DataFrame) -> DataFrame:
     )
 
 
-def window_stream(transactions: DataFrame, late: str = WATERMARK) -> DataFrame:
+def window_stream(
+    transactions: DataFrame, late: str = WATERMARK, length: str = WINDOW_LENGTH, slide: str = WINDOW_SLIDE
+) -> DataFrame:
     """Activity per account and sliding window, for append mode, with exact distinct numbers.
+    A slide as long as the window gives tumbling windows.
 
     A distinct aggregate cannot run on a stream, and a set per window would hold all
     merchants of a busy account in one row. So every transaction also enters once for its
@@ -41,7 +44,7 @@ def window_stream(transactions: DataFrame, late: str = WATERMARK) -> DataFrame:
     entered = transactions.withWatermark("event_time", late).select(
         "event_time", "account_id", F.expr(entries).alias("kind", "name", "one", "amount")
     )
-    window = F.window("event_time", WINDOW_LENGTH, WINDOW_SLIDE).alias("window")
+    window = F.window("event_time", length, slide).alias("window")
     named = entered.where("name is not null").groupBy(window, "account_id", "kind", "name").agg(
         F.expr("sum(one) as n"), F.expr(f"sum({to_units()}) as units"), F.expr("max(amount) as largest")
     )
@@ -55,9 +58,11 @@ def window_stream(transactions: DataFrame, late: str = WATERMARK) -> DataFrame:
     return _flat(windows)
 
 
-def window_monitor(transactions: DataFrame, late: str = WATERMARK) -> DataFrame:
+def window_monitor(
+    transactions: DataFrame, late: str = WATERMARK, length: str = WINDOW_LENGTH, slide: str = WINDOW_SLIDE
+) -> DataFrame:
     """The same for update mode, with sketched distinct numbers of a fixed size."""
-    window = F.window("event_time", WINDOW_LENGTH, WINDOW_SLIDE).alias("window")
+    window = F.window("event_time", length, slide).alias("window")
     windows = (
         transactions.withWatermark("event_time", late)
         .groupBy(window, "account_id")
@@ -107,11 +112,11 @@ def start_table(
 
 def start_monitor(
     rows: DataFrame, sink: str = "console", name: str = "velocity_monitor", checkpoint: str | None = None,
-    every: str = "30 seconds", available_now: bool = False,
+    every: str = "30 seconds", available_now: bool = False, mode: str = "update",
 ) -> StreamingQuery:
-    """Show changing windows, five rows per batch."""
+    """Show changing windows, five rows per batch; running totals are shown in ``complete`` mode."""
     folder = checkpoint or f"{checkpoint_root(rows.sparkSession)}/{name}"
-    writer = rows.writeStream.queryName(name).outputMode("update").format(sink)
+    writer = rows.writeStream.queryName(name).outputMode(mode).format(sink)
     if sink == "console":
         writer = writer.option("truncate", False).option("numRows", 5)
     writer = writer.option("checkpointLocation", folder)

@@ -94,3 +94,30 @@ def test_row_older_than_the_open_session_counts_in_it(spark):
     earlier = spark.range(1).selectExpr("'A' as account_id", "3L as n", "50000L as units", f"{last} as last_us")
     counted = velocity.session_velocity(rows, earlier).orderBy("transaction_id").collect()
     assert [(r.window_count, r.window_spend) for r in counted] == [(4, 15.0), (5, 35.0)]
+
+
+def test_sessions_that_have_ended_are_forgotten(spark):
+    from ledgerwatch.streaming.scoring import next_sessions
+
+    scored = spark.createDataFrame(
+        [("T1", "NEW", 2, 30.0)], "transaction_id string, account_id string, window_count bigint, window_spend double"
+    ).selectExpr("*", "timestamp'2024-01-01 01:00:00' as event_time")
+    ago = {"OPEN": 200, "LATE": 329, "ENDED": 331, "NEW": 100}
+    newest = 1_704_070_800_000_000
+    rows = [(name, 1, 10_000, newest - seconds * 1_000_000) for name, seconds in ago.items()]
+    earlier = spark.createDataFrame(rows, "account_id string, n bigint, units bigint, last_us bigint")
+    kept = {r.account_id: (r.n, r.units) for r in next_sessions(scored, earlier, newest).collect()}
+    assert kept == {"OPEN": (1, 10_000), "LATE": (1, 10_000), "NEW": (2, 300_000)}
+
+
+def test_reduce_tasks_are_balanced(spark, skewed):
+    """No task of the windows holds much more than its share, though one account has a third."""
+    skew = SkewConfig(min_rows=500, slice_rows=20)
+    counted = velocity.session_velocity(skewed, skew=skew).selectExpr("spark_partition_id() as task", "window_spend")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [r["count"] for r in counted.where("window_spend > -1").groupBy("task").count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(sizes) == 8
+    assert max(sizes) < 1.5 * sum(sizes) / len(sizes)

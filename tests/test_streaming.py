@@ -7,6 +7,7 @@ import pytest
 
 from ledgerwatch.config import SkewConfig
 from ledgerwatch.functions.scores import score_transactions
+from ledgerwatch.operators.alerts import global_stats
 from ledgerwatch.operators.velocity import session_velocity
 from ledgerwatch.operators.windows import account_sessions, window_activity
 from ledgerwatch.sources import events
@@ -135,6 +136,24 @@ def test_window_monitor_updates(spark, folder, tmp_path):
     assert newest.agg({"max(window_txn_count)": "sum"}).first()[0] == batch.agg({"window_txn_count": "sum"}).first()[0]
 
 
+def test_tumbling_window_stream_equals_batch(spark, folder, tmp_path):
+    rows = window_stream(transactions_stream(spark, folder), slide="5 minutes")
+    query = start_table(rows, str(tmp_path / "out"), "tumbling", str(tmp_path / "cp"), available_now=True)
+    query.awaitTermination()
+    batch = window_activity(parse_transactions(spark.read.parquet(folder)), slide_seconds=300)
+    newest = newest_event(spark, folder)
+    assert_same(spark.read.parquet(str(tmp_path / "out")).toPandas(), closed(batch, "window_end", newest).toPandas())
+
+
+def test_running_totals_of_written_alerts(spark, scored_run, tmp_path):
+    output, _ = scored_run
+    alerts = spark.read.parquet(f"{output}/alerts")
+    totals = global_stats(spark.readStream.schema(alerts.schema).option("maxFilesPerTrigger", 2).parquet(f"{output}/alerts"))
+    query = start_monitor(totals, "memory", "totals", str(tmp_path / "cp"), available_now=True, mode="complete")
+    query.awaitTermination()
+    assert spark.table("totals").first() == global_stats(alerts).first()
+
+
 def test_session_stream_equals_batch(spark, folder, tmp_path):
     query = start_table(
         session_stream(transactions_stream(spark, folder)),
