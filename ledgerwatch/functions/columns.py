@@ -21,6 +21,11 @@ def from_units(units: str) -> str:
     return f"cast({units} as double) / {UNITS}D"
 
 
+def exact_sum(units: str) -> str:
+    """The sum of any number of amounts; a bigint holds the units of one session or window."""
+    return f"sum(cast({units} as decimal(38,0)))"
+
+
 def micros(ts: str = "event_time") -> str:
     return f"unix_micros(cast({ts} as timestamp))"
 

@@ -14,7 +14,7 @@ from ledgerwatch.config import (
     HISTORY_PER_ACCOUNT,
     RECENT_ALERTS,
 )
-from ledgerwatch.functions.columns import from_units, rounded, to_units
+from ledgerwatch.functions.columns import exact_sum, from_units, rounded, to_units
 from ledgerwatch.functions.scores import LABEL
 
 
@@ -86,5 +86,5 @@ def feed_rows(alerts: DataFrame) -> DataFrame:
 
 def global_stats(alerts: DataFrame) -> DataFrame:
     """Number of alerts and the amount they flag; zero without alerts."""
-    flagged = from_units(f"coalesce(sum({to_units()}), 0)")
+    flagged = from_units(f"coalesce({exact_sum(to_units())}, 0)")
     return alerts.agg(F.expr("count(*) as total_alerts"), F.expr(f"{flagged} as total_amount_flagged"))

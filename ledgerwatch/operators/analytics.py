@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerwatch.config import ALERT_THRESHOLD, LATENCY_BOUNDS_MS, SCORE_BOUNDS, TOP_GROUPS, TOP_RULES
-from ledgerwatch.functions.columns import floor_to, from_micros, from_units, micros, ratio, rounded, to_units
+from ledgerwatch.functions.columns import exact_sum, floor_to, from_micros, from_units, micros, ratio, rounded, to_units
 
 
 def _mean(value: str, places: int) -> str:
     """Mean of values with up to four decimals, from an exact sum."""
-    return rounded(f"({from_units(f'sum({to_units(value)})')}) / count({value})", places)
+    return rounded(f"({from_units(exact_sum(to_units(value)))}) / count({value})", places)
 
 
 def _aggregate(rows: DataFrame, *measures: str) -> DataFrame:
@@ -100,8 +100,9 @@ def alerts_over_time(alerts: DataFrame, seconds: int = 5) -> DataFrame:
     have to fit into one task.
     """
     width, day = seconds * 1_000_000, 86_400_000_000
-    bin_us = F.expr(f"{floor_to(micros('detected_at'), width)} as bin")
-    counted = alerts.groupBy(bin_us).agg(F.expr("count(*) as n"))
+    # Never null, and says so: the two uses of the counts can then share them.
+    bin_us = F.expr(f"coalesce({floor_to(micros('detected_at'), width)}, 0L) as bin")
+    counted = alerts.where("detected_at is not null").groupBy(bin_us).agg(F.expr("count(*) as n"))
     ends = _aggregate(counted, "min(bin) as first", "max(bin) as last")
     days = ends.selectExpr(
         "first", "last", f"explode(sequence({floor_to('first', day)}, {floor_to('last', day)}, {day})) as day"

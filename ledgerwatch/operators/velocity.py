@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerwatch.config import DEFAULT_SKEW, MICROS_PER_SECOND, SESSION_GAP_SECONDS, SkewConfig
-from ledgerwatch.functions.columns import from_units, micros, to_units
+from ledgerwatch.functions.columns import exact_sum, from_units, micros, to_units
 from ledgerwatch.operators.skew import WHOLE, Slices, find_slices
 
 GAP_US = SESSION_GAP_SECONDS * MICROS_PER_SECOND
@@ -100,7 +100,7 @@ def _carried(keys: DataFrame, slices: Slices, earlier: DataFrame | None) -> Data
         "*",
         f"max(last_us) over ({BY_SLICE} {BEFORE_ROW}) as known_us",
         f"sum(n) over ({BY_SLICE} {UP_TO_ROW}) as total_n",
-        f"sum(units) over ({BY_SLICE} {UP_TO_ROW}) as total_units",
+        f"{exact_sum('units')} over ({BY_SLICE} {UP_TO_ROW}) as total_units",
     )
     began = f"""case when first_us - known_us > {GAP_US}
         then struct(total_n - n as n, total_units - units as units) end"""
@@ -109,7 +109,7 @@ def _carried(keys: DataFrame, slices: Slices, earlier: DataFrame | None) -> Data
         "account_id",
         "slice",
         f"lag(total_n - coalesce(began.n, 0)) over ({BY_SLICE}) as carried_n",
-        f"lag(total_units - coalesce(began.units, 0)) over ({BY_SLICE}) as carried_units",
+        f"lag(cast(total_units - coalesce(began.units, 0) as bigint)) over ({BY_SLICE}) as carried_units",
         "known_us as carried_last_us",
     ).where("carried_n is not null")
     if earlier is None:
