@@ -100,10 +100,11 @@ def alerts_over_time(alerts: DataFrame, seconds: int = 5) -> DataFrame:
     have to fit into one task.
     """
     width, day = seconds * 1_000_000, 86_400_000_000
-    # Never null, and says so: the two uses of the counts can then share them.
+    # The counts are used twice. For Spark to compute them once, both uses must need the same
+    # columns and have the same filters: the bin is never null, and says so.
     bin_us = F.expr(f"coalesce({floor_to(micros('detected_at'), width)}, 0L) as bin")
     counted = alerts.where("detected_at is not null").groupBy(bin_us).agg(F.expr("count(*) as n"))
-    ends = _aggregate(counted, "min(bin) as first", "max(bin) as last")
+    ends = _aggregate(counted, "min(bin) as first", "max(bin) as last", "sum(n) as total").where("total > 0")
     days = ends.selectExpr(
         "first", "last", f"explode(sequence({floor_to('first', day)}, {floor_to('last', day)}, {day})) as day"
     )
