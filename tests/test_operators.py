@@ -73,6 +73,8 @@ def test_no_alerts_give_zero_totals(alerts):
     none = alerts.where("false")
     assert tuple(al.global_stats(none).first()) == (0, 0.0)
     assert an.alert_kpis(none).first().fraud_pct == 0.0
+    assert an.alerts_over_time(none).isEmpty()
+    assert pc.nearest_rank(none, "detection_latency_ms", pc.NEAREST_RANK, 2).first().p50 is None
 
 
 def test_history_keeps_the_newest_of_accounts_with_a_recent_alert(spark):
