@@ -1,4 +1,8 @@
-"""From documents to packed training sequences: five stages, each written and read again."""
+"""From documents to packed training sequences: five stages, each written and read again.
+
+Every stage takes all rows that the one before it kept. Null and empty texts, repeated rows, empty
+tables and further columns are handled as the operators say; further columns stay up to the last stage.
+"""
 
 from __future__ import annotations
 
@@ -7,16 +11,55 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerwatch.llm import simhash
-from ledgerwatch.llm.common import shared_folder, table
+from ledgerwatch.llm import language, mixing, packing, queries, secrets, simhash
+from ledgerwatch.llm.common import shared_folder, table, unused
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that could be told; texts that are null or without letters go.
+
+    Without any labelled document there is no model, and all texts with a letter stay.
+    """
+    model = language.train_language_model(docs)
+    if model is None:
+        return docs.where(r"text rlike '\\p{L}'")
+    return docs.where(language.language(F.col("text"), model)["lang_pred"] != language.UNDETERMINED)
 
 
 def one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return docs
+    """One document of each group of near duplicates: three-word shingles, two bits."""
+    return simhash.drop_near_duplicates(docs, shingle=3, radius=2)
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, their secrets replaced; ``n_chars`` follows the text."""
+    field = secrets.train_field(docs)
+    text = unused(docs, "redacted")
+    masked = docs.withColumn(text, secrets.redacted(F.col("text"), field))
+    columns = {"text": f"`{text}`", "n_chars": f"cast(char_length(`{text}`) as bigint)"}
+    return masked.selectExpr(*[f"{columns.get(c, f'`{c}`')} as `{c}`" for c in docs.columns])
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """As many tokens as there are, divided by weight; a document has one row for each epoch that reads it."""
+    drawn = mixing.mix(docs, queries.WEIGHTS, queries.MAX_EPOCHS, seed=queries.SEED)
+    return drawn.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each piece of each document lies in the training sequences."""
+    return packing.pack(docs)
 
 
-STAGES = [("simhash", one_per_group)]
+STAGES = [
+    ("language", known_language),
+    ("simhash", one_per_group),
+    ("secrets", without_secrets),
+    ("mixing", mixed),
+    ("packing", packed),
+]
 
+# No stage but the mixing can be expressed in SQL: tests/llm holds each against a brute-force version.
 ORACLE_SQL = None
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerwatch.llm import mixing, packing, simhash
+from ledgerwatch.llm import language, mixing, packing, secrets, simhash
 from ledgerwatch.llm.common import table
 
 #: Weights of the mixture; values that are not named weigh one.
@@ -26,6 +26,14 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(table(spark, sf_dir, "documents"))
+
+
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     return mixing.mix(docs, WEIGHTS, MAX_EPOCHS, seed=SEED).select("doc_id", "mixed.*")

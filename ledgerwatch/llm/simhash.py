@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerwatch.llm.common import saved
+from ledgerwatch.llm.common import saved, unused
 from ledgerwatch.llm.components import components
 
 SEED = 42  # Fixed value: seed of the shingle hash.
@@ -201,14 +201,52 @@ def near_duplicates(
 
     ``component_id`` is the smallest id among all rows that links of at most ``radius`` bits
     reach. Texts that are null, empty or blank have fingerprint zero and are linked like any
-    others. A row without id takes part in links; it is never a component's id unless
-    no row of the component has one (null then). Repeated rows give repeated results. Other columns of ``docs`` are ignored.
+    others. A row without id takes part in links; a component without any id has the id null.
+    Repeated rows give repeated results. Other columns of ``docs`` are ignored.
     Copies are linked through their common fingerprint and never as pairs.
     """
     rows = saved(docs.select(F.col(doc_id).alias("doc_id"), fingerprints(F.col(text), shingle).alias("fp")))
+    ids = _component_ids(rows, radius).drop("root")
+    return rows.join(ids, "fp").selectExpr(
+        "doc_id", "lower(lpad(hex(fp), 16, '0')) as fingerprint", "component_id"
+    )
+
+
+def _component_ids(rows: DataFrame, radius: int) -> DataFrame:
+    """``fp, root, component_id`` for the distinct fingerprints of ``rows(doc_id, fp)``."""
     classes = saved(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
     linked = linked_fingerprints(classes.select("fp"), radius)
     rooted = classes.join(linked, "fp", "left").selectExpr("fp", "first_id", "coalesce(root, fp) as root")
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    ids = rooted.join(least, "root").select("fp", "component_id")
-    return rows.join(ids, "fp").selectExpr("doc_id", "lower(lpad(hex(fp), 16, '0')) as fingerprint", "component_id")
+    return rooted.join(least, "root").select("fp", "root", "component_id")
+
+
+def drop_near_duplicates(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, radius: int = 2
+) -> DataFrame:
+    """One row of each group of near duplicates, with all its columns: the one with the smallest id.
+
+    Of several rows with this id, and of a group without any id, the text that comes
+    first in a hash order stays, and of rows equal in id and text any one. Texts are shuffled
+    once, to meet the ids that stay.
+    """
+    mark = F.xxhash64(F.col(text))
+    rows = saved(
+        docs.select(F.col(doc_id).alias("doc_id"), fingerprints(F.col(text), shingle).alias("fp"), mark.alias("mark"))
+    )
+    counted = rows.groupBy("doc_id", "fp", "mark").agg(F.count("*").alias("n"))
+    stays = (
+        counted.join(_component_ids(rows, radius), "fp")
+        .groupBy("root")
+        .agg(F.expr("min(struct(doc_id is null as none, doc_id, fp, mark, n)) as row"))
+        .selectExpr("row.doc_id", "row.mark", "row.n > 1 as repeated")
+    )
+    own, found = F.struct(F.col(doc_id).alias("doc_id"), mark.alias("mark")), unused(docs, "found")
+    stays = saved(stays.select(F.struct("doc_id", "mark", "repeated").alias(found)))
+
+    def kept(repeated: bool) -> DataFrame:
+        ids = stays.where(F.col(f"{found}.repeated") == repeated).hint("shuffle_hash")
+        same = own["doc_id"].eqNullSafe(F.col(f"{found}.doc_id")) & (own["mark"] == F.col(f"{found}.mark"))
+        return docs.join(ids, same, "left_semi")
+
+    return kept(False).unionByName(kept(True).dropDuplicates([doc_id, text]))
