@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ledgerwatch.llm.common import saved, unused
 from ledgerwatch.llm.components import components
+from ledgerwatch.llm.groups import group_starts, whole_groups
 
 SEED = 42  # Fixed value: seed of the shingle hash.
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -165,35 +166,6 @@ def linked_fingerprints(distinct: DataFrame, radius: int) -> DataFrame:
     return components(edges).selectExpr("node as fp", "component as root")
 
 
-def group_starts(frame: pd.DataFrame, keys: list[str]) -> np.ndarray:
-    """Positions at which a new group of equal keys begins, in rows sorted by them."""
-    changed = np.zeros(len(frame), bool)
-    changed[:1] = True
-    for key in keys:
-        values = frame[key].to_numpy()
-        changed[1:] |= values[1:] != values[:-1]
-    return np.flatnonzero(changed)
-
-
-def whole_groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
-    """The batches of rows sorted by ``keys``, cut only between groups."""
-    held: list[pd.DataFrame] = []
-    for batch in batches:
-        if not len(batch):
-            continue
-        last = int(group_starts(batch, keys)[-1])
-        first = held and any(batch[k].iloc[0] != held[-1][k].iloc[-1] for k in keys)
-        if first:
-            yield pd.concat(held, ignore_index=True)
-            held = []
-        if last:
-            yield pd.concat([*held, batch.iloc[:last]], ignore_index=True)
-            held = []
-        held.append(batch.iloc[last:])
-    if held:
-        yield pd.concat(held, ignore_index=True)
-
-
 def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, radius: int = 2
 ) -> DataFrame:
