@@ -12,6 +12,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerwatch.llm.common import sampled_texts
+
 # The base patterns, and the least lengths of what they must find.
 ASSIGN = re.compile(
     r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.IGNORECASE | re.ASCII
@@ -301,18 +303,15 @@ def train_field(docs: DataFrame, how: Training | None = None, text: str = "text"
     how = how or Training()
     rows = docs.select(F.col(text).alias("text")).where("text is not null")
     likely = r"(?i)(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]|AKIA[A-Z0-9]{12}"
-    picked = [
-        rows.where(F.col("text").rlike(likely) if has else ~F.col("text").rlike(likely))
-        .select(F.expr(f"substring(text, 1, {how.chars})").alias("text"), F.expr("xxhash64(text)").alias("place"))
-        .orderBy("place")
-        .limit(how.docs)
-        .toPandas()["text"]
-        .tolist()
-        for has in (True, False)
-    ]
-    texts = picked[0] + picked[1]
+    found = sampled_texts(
+        rows.select(F.col("text").rlike(likely).alias("kind"), F.xxhash64("text").alias("place"), "text"),
+        how.docs,
+        chars=how.chars,
+    )
+    plain = [text for has, text in found if not has]
+    texts = [text for has, text in found if has] + plain
     random = np.random.default_rng(how.seed)
-    words = [w for t in picked[1][:100] for w in re.findall(r"[^\W\d_]+", t)[:50]] or ["and", "the", "of"]
+    words = [w for t in plain[:100] for w in re.findall(r"[^\W\d_]+", t)[:50]] or ["and", "the", "of"]
     lines = [made_up_line(random, words) for _ in range(how.made_up)]
     spans = [[(value, end) for _, _, end, value in base_spans(t)] for t in texts]
     spans += [[(a, b)] if b else [] for _, a, b in lines]
