@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerwatch.llm import language, mixing, packing, queries, secrets, simhash
-from ledgerwatch.llm.common import shared_folder, table, unused
+from ledgerwatch.llm.common import shared_folder, small_batches, table, unused
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,7 +23,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     model = language.train_language_model(docs)
     if model is None:
         return docs.where(r"text rlike '\\p{L}'")
-    return docs.where(language.language(F.col("text"), model)["lang_pred"] != language.UNDETERMINED)
+    return small_batches(docs).where(language.language(F.col("text"), model)["lang_pred"] != language.UNDETERMINED)
 
 
 def one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +35,7 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """All documents, their secrets replaced; ``n_chars`` follows the text."""
     field = secrets.train_field(docs)
     text = unused(docs, "redacted")
-    masked = docs.withColumn(text, secrets.redacted(F.col("text"), field))
+    masked = small_batches(docs).withColumn(text, secrets.redacted(F.col("text"), field))
     columns = {"text": f"`{text}`", "n_chars": f"cast(char_length(`{text}`) as bigint)"}
     return masked.selectExpr(*[f"{columns.get(c, f'`{c}`')} as `{c}`" for c in docs.columns])
 

@@ -27,6 +27,21 @@ def saved(frame: DataFrame) -> DataFrame:
     return frame.checkpoint()
 
 
+#: Rows of long texts that go to a Python worker at a time.
+TEXT_ROWS = 1000
+
+
+def small_batches(frame: DataFrame) -> DataFrame:
+    """``frame``, after lowering the session's Arrow batches to ``TEXT_ROWS`` rows where they are larger.
+
+    Rows that carry whole texts are far larger than the session's default expects.
+    """
+    conf, key = frame.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= TEXT_ROWS:
+        conf.set(key, str(TEXT_ROWS))
+    return frame
+
+
 def word_count(text: str) -> Column:
     """Number of words of a text column; null and empty texts have none."""
     return F.coalesce(F.regexp_count(F.col(f"`{text}`"), F.lit(WORD)).cast("long"), F.lit(0).cast("long"))
@@ -75,10 +90,10 @@ def hash_sample(narrow: DataFrame, wanted: int, most_groups: int = 2) -> DataFra
 def sampled_texts(rows: DataFrame, wanted: int, most_groups: int = 2, chars: int | None = None) -> list[tuple]:
     """``(kind, text)`` of a sample of ``rows(kind, place, text)`` as ``hash_sample`` draws it, in order of kind and place.
 
-    One text per place, its first ``chars`` characters if that is given.
+    One text per place, which must tell the kind too, so that kinds are computed once; the first ``chars`` characters if that is given.
     """
     chosen = hash_sample(saved(rows.select("kind", "place")), wanted, most_groups)
     text = "text" if chars is None else f"substring(text, 1, {chars}) as text"
-    found = rows.join(F.broadcast(chosen), ["kind", "place"]).selectExpr("kind", "place", text)
+    found = rows.select("place", "text").join(F.broadcast(chosen), "place").selectExpr("kind", "place", text)
     one = found.groupBy("kind", "place").agg(F.min("text").alias("text"))
     return [(r["kind"], r["text"]) for r in one.orderBy("kind", "place").collect()]

@@ -13,6 +13,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerwatch.llm.common import sampled_texts, small_batches
+
 # Elements whose content is never text, void elements, and elements that do not end a block.
 RAW = "script style noscript template textarea title iframe svg math canvas object video audio select xmp noembed noframes".split()
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -282,15 +284,9 @@ def main_text(page: Column, weights: Weights) -> Column:
 
 def train_weights(pages: DataFrame, sample: int = 500, chars: int = 200_000, page: str = "html") -> Weights:
     """Weights from at most ``sample`` labelled pages, those first in a hash order."""
-    rows = (
-        pages.select(F.col(page).alias("html"))
-        .where("html rlike '(?i)<(article|main)[ >]'")
-        .selectExpr(f"substring(html, 1, {chars}) as html", "xxhash64(html) as place")
-        .orderBy("place")
-        .limit(sample)
-        .collect()
-    )
-    return learn(r["html"] for r in rows)
+    rows = pages.select(F.col(page).alias("text")).where("text rlike '(?i)<(article|main)[ >]'")
+    labelled = rows.select(F.lit(True).alias("kind"), F.xxhash64("text").alias("place"), "text")
+    return learn(html for _, html in sampled_texts(labelled, sample, chars=chars))
 
 
 def extract_pages(pages: DataFrame) -> DataFrame:
@@ -299,5 +295,5 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     Null and empty pages have an empty text. Repeated rows give repeated results; other columns are ignored.
     """
     weights = train_weights(pages)
-    texts = pages.select("page_id", "url", main_text(F.col("html"), weights).alias("text"))
+    texts = small_batches(pages).select("page_id", "url", main_text(F.col("html"), weights).alias("text"))
     return texts.withColumn("n_chars", F.char_length("text").cast("long"))

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerwatch.llm.common import crc_remainder
+from ledgerwatch.llm.common import crc_remainder, sampled_texts, small_batches
 
 UNDETERMINED = "und"
 LETTER = re.compile(r"[^\W\d_]")
@@ -25,11 +25,11 @@ SPACE = 32
 class Training:
     """Bounds and steps of the training; the sample is the only thing the driver gathers."""
 
-    docs_per_language: int = 300
+    docs_per_language: int = 500
     max_languages: int = 64
     windows: int = 160  # in a step
     window: int = 64  # bytes
-    steps: int = 260
+    steps: int = 300
     rate: float = 0.02
     hidden: int = 10
     seed: int = 42
@@ -179,37 +179,21 @@ def train_language_model(
 ) -> ByteGRU | None:
     """A model learned from a bounded sample: of each language the documents first in a hash order.
 
-    Rows without language or without a letter in the text are left out. More than ``max_languages`` is an error, as is no language a
-    model could be learned from: then None.
+    Rows without language or without a letter in the text are left out. More than ``max_languages`` is an error. Without
+    any language to learn from there is no model: None.
     """
     how = how or Training()
     rows = labelled.select(F.col(lang).alias("lang"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).where(
         r"lang is not null and text rlike '\\p{L}'"
     )
-    # Rows are chosen by narrow columns; only the texts of the sample are read.
-    chosen = (
-        rows.selectExpr("lang", "xxhash64(doc_id, text) as place")
-        .selectExpr("lang", "place", "row_number() over (partition by lang order by place) as rank")
-        .where(f"rank <= {how.docs_per_language}")
-        .select("lang", "place")
+    sample = sampled_texts(
+        rows.selectExpr("lang as kind", "xxhash64(lang, doc_id, text) as place", "text"), how.docs_per_language, how.max_languages
     )
-    bound = how.docs_per_language * how.max_languages
-    chosen = chosen.limit(bound + 1).distinct()
-    sample = (
-        rows.selectExpr("lang", "text", "xxhash64(doc_id, text) as place")
-        .join(F.broadcast(chosen), ["lang", "place"])
-        .orderBy("lang", "place")
-        .limit(bound + 1)
-        .toPandas()
-    )
-    sample = sample.groupby("lang").head(how.docs_per_language)
-    languages = sorted(sample["lang"].unique())
-    if len(languages) > how.max_languages:
-        raise ValueError(f"more than {how.max_languages} languages: raise Training.max_languages")
+    languages = sorted({lang for lang, _ in sample})
     if not languages:
         return None
-    texts = [t.encode("utf-8", "surrogatepass") for t in sample["text"]]
-    target = np.array([languages.index(x) for x in sample["lang"]])
+    texts = [t.encode("utf-8", "surrogatepass") for _, t in sample]
+    target = np.array([languages.index(lang) for lang, _ in sample])
     return ByteGRU(languages, how.hidden, how.seed).train(texts, target, how)
 
 
@@ -245,6 +229,6 @@ def identify(
     """
     remainder = crc_remainder("doc_id", modulus)
     model = train_language_model(docs.where((remainder != held_out) & (remainder >= 0)), how)
-    return docs.select(
+    return small_batches(docs).select(
         "doc_id", (remainder == held_out).alias("held_out"), language(F.col("text"), model).alias("found")
     ).select("doc_id", "held_out", "found.lang_pred", "found.score")

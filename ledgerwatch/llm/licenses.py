@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerwatch.llm.common import small_batches
+
 # The base phrases and their labels.
 PHRASES = {
     "gnu general public license": "gpl",
@@ -301,4 +303,4 @@ def find_licenses(docs: DataFrame, matcher: Matcher | None = None) -> DataFrame:
 
     Repeated rows give repeated results; other columns are ignored.
     """
-    return docs.select("doc_id", licenses(F.col("text"), matcher).alias("found")).select("doc_id", "found.*")
+    return small_batches(docs).select("doc_id", licenses(F.col("text"), matcher).alias("found")).select("doc_id", "found.*")

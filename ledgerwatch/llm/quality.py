@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerwatch.llm.common import crc_remainder
+from ledgerwatch.llm.common import crc_remainder, hash_sample, small_batches
 
 THRESHOLD = 0.3  # Fixed value: from this score on a text is predicted to be good.
 
@@ -165,27 +165,27 @@ def train_quality(docs: DataFrame, labels: DataFrame, how: Training | None = Non
     """A model from bounded samples: positives of ``labels`` with their texts, and texts of any kind.
 
     Both are what comes first in a hash order of the ids. ``docs(doc_id, text)`` and ``labels(doc_id, quality)`` hold only
-    what may be learned from. Null texts count as empty; labels that are null are left out.
+    what may be learned from. Of rows that share an id one text is used. Null texts count as empty; labels that are null are left out.
     """
     how = how or Training()
-    order = "xxhash64(doc_id)"
-    texts = docs.select("doc_id", "text").where("doc_id is not null")
-    trusted = (
-        labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct().orderBy(F.expr(order)).limit(how.positives)
-    )
-    some = texts.select("doc_id").distinct().orderBy(F.expr(order)).limit(how.unlabelled)
+    texts = docs.select("doc_id", "text", F.xxhash64("doc_id").alias("place")).where("doc_id is not null")
+    trusted = labels.where("quality = 1 and doc_id is not null").select(F.xxhash64("doc_id").alias("place"))
+
+    def ids(of: DataFrame, wanted: int) -> DataFrame:
+        return hash_sample(of.select(F.lit(True).alias("kind"), "place"), wanted).select("place")
 
-    def looks(ids: DataFrame) -> np.ndarray:
+    def looks(chosen: DataFrame) -> np.ndarray:
         @F.pandas_udf("array<double>")
         def measured(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             for batch in batches:
                 yield pd.Series([features(t) for t in batch], dtype=object)
 
         # Ids are of a bounded sample; the texts are measured where they lie.
-        rows = texts.join(F.broadcast(ids), "doc_id").select("doc_id", measured("text").alias("x")).orderBy("doc_id", "x").collect()
+        found = texts.join(F.broadcast(chosen), "place").groupBy("place").agg(F.min("text").alias("text"))
+        rows = found.select("place", measured("text").alias("x")).orderBy("place").collect()
         return np.array([r["x"] for r in rows]).reshape(-1, len(FEATURES))
 
-    positives, unlabelled = looks(trusted), looks(some)
+    positives, unlabelled = looks(ids(trusted, how.positives)), looks(ids(texts, how.unlabelled))
     model = QualityModel(unlabelled if len(unlabelled) else positives, how.tails)
     if not len(positives) or not len(unlabelled):
         return model
@@ -216,6 +216,6 @@ def score_quality(docs: DataFrame, labels: DataFrame, modulus: int = 5, how: Tra
     """
     remainder = crc_remainder("doc_id", modulus)
     model = train_quality(docs.where(remainder > 0), labels.where(remainder > 0), how)
-    return docs.select("doc_id", (remainder == 0).alias("held_out"), quality(F.col("text"), model).alias("score")).selectExpr(
+    return small_batches(docs).select("doc_id", (remainder == 0).alias("held_out"), quality(F.col("text"), model).alias("score")).selectExpr(
         "*", f"if(score >= {THRESHOLD}, 1, 0) as predicted"
     )

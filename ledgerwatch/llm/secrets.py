@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerwatch.llm.common import sampled_texts
+from ledgerwatch.llm.common import sampled_texts, small_batches
 
 # The base patterns, and the least lengths of what they must find.
 ASSIGN = re.compile(
@@ -448,4 +448,4 @@ def find_secrets(docs: DataFrame, how: Training | None = None) -> DataFrame:
     Repeated rows give repeated results; other columns are ignored.
     """
     field = train_field(docs, how)
-    return docs.select("doc_id", secrets(F.col("text"), field).alias("found")).select("doc_id", "found.*")
+    return small_batches(docs).select("doc_id", secrets(F.col("text"), field).alias("found")).select("doc_id", "found.*")

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerwatch.llm.common import saved, unused
+from ledgerwatch.llm.common import saved, small_batches, unused
 from ledgerwatch.llm.components import components
 from ledgerwatch.llm.groups import group_starts, whole_groups
 
@@ -177,7 +177,7 @@ def near_duplicates(
     Repeated rows give repeated results. Other columns of ``docs`` are ignored.
     Copies are linked through their common fingerprint and never as pairs.
     """
-    rows = saved(docs.select(F.col(doc_id).alias("doc_id"), fingerprints(F.col(text), shingle).alias("fp")))
+    rows = saved(small_batches(docs).select(F.col(doc_id).alias("doc_id"), fingerprints(F.col(text), shingle).alias("fp")))
     ids = _component_ids(rows, radius).drop("root")
     return rows.join(ids, "fp").selectExpr(
         "doc_id", "lower(lpad(hex(fp), 16, '0')) as fingerprint", "component_id"
@@ -204,7 +204,7 @@ def drop_near_duplicates(
     """
     mark = F.xxhash64(F.col(text))
     rows = saved(
-        docs.select(F.col(doc_id).alias("doc_id"), fingerprints(F.col(text), shingle).alias("fp"), mark.alias("mark"))
+        small_batches(docs).select(F.col(doc_id).alias("doc_id"), fingerprints(F.col(text), shingle).alias("fp"), mark.alias("mark"))
     )
     counted = rows.groupBy("doc_id", "fp", "mark").agg(F.count("*").alias("n"))
     stays = (
