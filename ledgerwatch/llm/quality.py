@@ -89,8 +89,8 @@ class QualityModel:
     """A logistic score that is additive in binned features.
 
     Learned by minimising the non-negative unbiased risk of Kiryo et al. (2017): with the class prior p, positives P and unlabelled
-    texts U, it is ``p * loss(P, +) + max(0, loss(U, -) - p * loss(P, -))``. Where the second part turns negative the model has begun
-    to memorise, and the step goes the other way.
+    texts U, it is ``p * loss(P, +) + max(0, loss(U, -) - p * loss(P, -))``. Where the second part would be negative the model has begun
+    to memorise, and the step goes the other way in that part.
     """
 
     def __init__(self, unlabelled: np.ndarray, tails: tuple[float, ...]):
@@ -128,7 +128,7 @@ class QualityModel:
             # Logistic loss: of being positive log(1 + exp(-m)), of being negative log(1 + exp(m)).
             risk_negative = np.logaddexp(0, mu).mean() - prior * np.logaddexp(0, mp).mean()
             negative = down(u, good_u) - prior * down(p, good_p)
-            g = prior * down(p, good_p - 1) + negative if risk_negative >= 0 else -negative
+            g = prior * down(p, good_p - 1) + (negative if risk_negative >= 0 else -negative)
             g[:size] += how.decay * self.weights
             first += 0.1 * (g - first)
             second += 0.01 * (g * g - second)
