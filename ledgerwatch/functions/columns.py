@@ -8,13 +8,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-# Amounts are added up as whole numbers of 1/10,000 units: ISO 4217 has no currency with
-# more than four decimals, and integer sums do not depend on the order of the rows.
+# Amounts are added up as decimals of 1/10,000 units with four more digits, as sums of decimals do
+# not depend on the order of the rows. Twenty digits in front of the point are more than all
+# money there is; sums have room for 10^14 of them.
 UNITS = 10_000
+TOTAL = "decimal(38,4)"
 
 
 def to_units(amount: str = "amount") -> str:
-    return f"cast(cast({amount} as decimal(18,4)) * {UNITS} as bigint)"
+    return f"cast(cast({amount} as decimal(28,8)) * {UNITS} as decimal(32,4))"
 
 
 def from_units(units: str) -> str:
@@ -22,8 +24,8 @@ def from_units(units: str) -> str:
 
 
 def exact_sum(units: str) -> str:
-    """The sum of any number of amounts; a bigint holds the units of one session or window."""
-    return f"sum(cast({units} as decimal(38,0)))"
+    """The sum of any number of amounts."""
+    return f"sum(cast({units} as {TOTAL}))"
 
 
 def micros(ts: str = "event_time") -> str:
@@ -41,8 +43,11 @@ def floor_to(us: str, width: int | str) -> str:
 
 
 def rounded(value: str, places: int) -> str:
-    """Half-up rounding of the decimal value, so ties do not depend on binary noise."""
-    return f"cast(round(cast({value} as decimal(30,12)), {places}) as double)"
+    """Half-up rounding of the decimal value, so ties do not depend on binary noise.
+
+    Doubles too large for the decimal have no digits to round; they stay as they are, as does NaN.
+    """
+    return f"coalesce(cast(round(try_cast({value} as decimal(30,12)), {places}) as double), {value})"
 
 
 def ratio(part: str, whole: str) -> str:

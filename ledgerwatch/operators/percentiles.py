@@ -2,8 +2,8 @@
 
 Values are counted per distinct value, the counts are added up per bucket, and the ranks
 are located among the buckets. Only the buckets that hold a wanted rank are looked into.
-A bucket spans 0.1% of the size of its values; there are at most 1.5 million buckets over
-the whole range of doubles, and values with two decimals give a bucket few distinct ones.
+A bucket spans 0.1% of the size of its values, also of the smallest; there are at most three million
+buckets over the whole range of doubles, and values with two decimals give a bucket few distinct ones.
 """
 
 from __future__ import annotations
@@ -21,7 +21,10 @@ NEAREST_RANK = {"p50": 50.0, "p90": 90.0, "p99": 99.0, "p999": 99.9}
 
 # A whole number that never falls when the value rises. It is never null, and says so: a
 # null check on one use of the counted values would keep the other use from sharing them.
-BUCKET = f"coalesce(floor(signum(value) * log1p(abs(value)) * {BUCKETS_PER_E}), 0L)"
+# Zero has a bucket of its own; NaN comes after all numbers, as Spark sorts it. The logarithm of the smallest double is -745.
+SIZE = f"floor((ln(least(abs(value), 1.7976931348623157E308D)) + 746D) * {BUCKETS_PER_E}) + 1"
+BUCKET = f"""coalesce(case when isnan(value) then {2**40}L when value > 0 then {SIZE}
+    when value < 0 then -({SIZE}) end, 0L)"""
 
 
 def order_statistics(values: DataFrame, value: str, ranks: dict[str, str]) -> DataFrame:
@@ -38,7 +41,7 @@ def order_statistics(values: DataFrame, value: str, ranks: dict[str, str]) -> Da
         .selectExpr("value", "n", f"{BUCKET} as bucket")
     )
     buckets = counted.groupBy("bucket").agg(
-        F.expr("sum(n) as in_bucket"), F.expr("sum(cast(value as decimal(24,4)) * n) as bucket_sum")
+        F.expr("sum(n) as in_bucket"), F.expr("sum(value * n) as bucket_sum")
     )
     wanted = ", ".join(f"struct('{name}' as name, cast({rank} as bigint) as rank)" for name, rank in ranks.items())
     # ``located`` has one row per wanted rank.
@@ -58,7 +61,7 @@ def order_statistics(values: DataFrame, value: str, ranks: dict[str, str]) -> Da
         counted.join(F.broadcast(located), "bucket")
         .selectExpr("*", f"below + sum(n) over ({up_to}) as reached")
         .where("reached > rank and reached - n <= rank")
-        .selectExpr("name", "value", "total", "cast(value_sum as double) / total as mean")
+        .selectExpr("name", "value", "total", "value_sum / total as mean")
     )
 
 

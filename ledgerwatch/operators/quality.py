@@ -31,21 +31,35 @@ CONFUSION = [
 ]
 
 
+LATENCY = [
+    f"{rounded('avg(latency_ms)', 2)} as latency_mean_ms",
+    f"{rounded('coalesce(stddev_samp(latency_ms), 0D)', 2)} as latency_stdev_ms",
+]
+
+
+def first_alerts(alerts: DataFrame) -> DataFrame:
+    """One alert per transaction, the earliest: a topic that delivers at least once repeats some."""
+    return (
+        alerts.groupBy("transaction_id")
+        .agg(F.expr("min(struct(detected_at is null as undated, detected_at, label)) as first"))
+        .selectExpr("transaction_id", "first.label as label", "first.detected_at as detected_at")
+    )
+
+
 def probe_latency(probes: DataFrame, alerts: DataFrame) -> DataFrame:
     """The alerts raised on probes, with the time from sending to detection."""
-    seen = alerts.select("transaction_id", "label", "detected_at")
-    return probes.join(seen, "transaction_id").selectExpr(
+    return probes.join(first_alerts(alerts), "transaction_id").selectExpr(
         "transaction_id", "label", "is_fraud", f"{rounded(LATENCY_MS, 3)} as latency_ms"
     )
 
 
 def probe_outcomes(probes: DataFrame, alerts: DataFrame) -> DataFrame:
-    """Every probe, with its alert if it has one."""
-    seen = alerts.select("transaction_id", "label")
-    return probes.join(seen, "transaction_id", "left").selectExpr(
+    """Every probe, with its first alert if it has one."""
+    return probes.join(first_alerts(alerts), "transaction_id", "left").selectExpr(
         "transaction_id",
         "coalesce(is_fraud, false) as is_fraud",
         "label is not null as alerted",
+        f"if(label is not null, {rounded(LATENCY_MS, 3)}, null) as latency_ms",
         f"coalesce({DETECTED}, false) as detected",
     )
 
@@ -60,7 +74,10 @@ def confusion_matrix(probes: DataFrame, alerts: DataFrame) -> DataFrame:
 
 def classifier_report(probes: DataFrame, alerts: DataFrame) -> DataFrame:
     """Coverage, confusion matrix, precision, recall and F1 (from the rounded two) in one row."""
-    counts = probe_outcomes(probes, alerts).agg(*map(F.expr, COVERAGE + CONFUSION))
+    return _rated(probe_outcomes(probes, alerts).agg(*map(F.expr, COVERAGE + CONFUSION)))
+
+
+def _rated(counts: DataFrame) -> DataFrame:
     precision = ratio("true_positives", "true_positives + false_positives")
     recall = ratio("true_positives", "true_positives + false_negatives")
     rates = counts.selectExpr("*", f"{rounded(precision, 4)} as precision", f"{rounded(recall, 4)} as recall")
@@ -68,6 +85,19 @@ def classifier_report(probes: DataFrame, alerts: DataFrame) -> DataFrame:
     return rates.selectExpr("*", f"{rounded(f1, 4)} as f1_score")
 
 
+def full_report(probes: DataFrame, alerts: DataFrame) -> DataFrame:
+    """All figures of a run in one row: coverage, matrix, rates, and the latency's ranks, mean and deviation.
+
+    The outcomes are counted per distinct latency first; all figures come from these counts, so scoring is done once.
+    """
+    # The outcomes feed two branches of one plan, which share the exchange below the join of probes and alerts.
+    outcomes = probe_outcomes(probes, alerts)
+    counts = _rated(outcomes.agg(*map(F.expr, [*COVERAGE, *CONFUSION, *LATENCY])))
+    ranks = nearest_rank(outcomes, "latency_ms", NEAREST_RANK, 2)
+    named = ranks.selectExpr(*[f"{name} as latency_{name}_ms" for name in ranks.columns], "true as one")
+    return counts.selectExpr("*", "true as one").join(named, "one", "left").drop("one")
+
+
 def latency_nearest_rank(latencies: DataFrame) -> DataFrame:
     return nearest_rank(latencies, "latency_ms", NEAREST_RANK, 2)
 

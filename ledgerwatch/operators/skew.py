@@ -27,7 +27,8 @@ OVERCUT = 16
 class Slices:
     """The hot accounts (``account_id, wanted`` rows per slice) and their full cells (``account_id, cell, part_us``).
 
-    Both are top lists of a fixed length and may be broadcast.
+    Short lists have been counted and are broadcast. Longer ones are joined like any other table: the
+    side with the rows may be skewed, which adaptive execution splits.
     """
 
     accounts: DataFrame
@@ -36,43 +37,55 @@ class Slices:
 
     def cut(self, rows: DataFrame) -> DataFrame:
         """Add ``slice``: start of the time slice for rows of hot accounts, ``WHOLE`` for all others."""
-        marked = rows.join(F.broadcast(self.accounts.selectExpr("account_id", "true as hot")), "account_id", "left")
+        marked = rows.join(self.accounts.selectExpr("account_id", "true as hot"), "account_id", "left")
         return self._slice(marked, rows.columns, f"if(hot is null, {WHOLE}L, {floor_to('us', self.cell_us)})")
 
     def hot_rows(self, rows: DataFrame) -> DataFrame:
         """The rows of hot accounts only, with ``slice``."""
-        hot = rows.join(F.broadcast(self.accounts), "account_id")
+        hot = rows.join(self.accounts, "account_id")
         return self._slice(hot, rows.columns, floor_to("us", self.cell_us))
 
     def _slice(self, rows: DataFrame, columns: list[str], cell: str) -> DataFrame:
         part = f"cell + {floor_to('(us - cell)', 'part_us')}"
         return (
             rows.selectExpr(*columns, f"{cell} as cell")
-            .join(F.broadcast(self.cells), ["account_id", "cell"], "left")
+            .join(self.cells, ["account_id", "cell"], "left")
             .selectExpr(*columns, f"coalesce({part}, cell) as slice")
         )
 
 
+def short(rows: DataFrame, most: int) -> DataFrame:
+    """``rows`` as a list to broadcast if there are at most ``most``, else as they are.
+
+    The list is computed here, once for all its uses.
+    """
+    found = rows.limit(most + 1).collect()
+    if len(found) > most:
+        return rows
+    return F.broadcast(rows.sparkSession.createDataFrame(found, rows.schema))
+
+
 def find_slices(rows: DataFrame, skew: SkewConfig, cell_seconds: int) -> Slices:
-    """The slices for ``rows`` (``account_id``, ``us``), none longer than ``cell_seconds``."""
+    """The slices for ``rows`` (``account_id``, ``us``), none longer than ``cell_seconds``.
+
+    Every account from ``min_rows`` rows on is cut, however many there are.
+    """
     cell_us = cell_seconds * MICROS_PER_SECOND
-    accounts = (
+    accounts = short(
         rows.groupBy("account_id")
         .agg(F.expr("count(*) as n_rows"))
         .where(f"n_rows >= {skew.min_rows}")
-        .orderBy(F.desc("n_rows"), "account_id")
-        .limit(skew.max_keys)
-        .selectExpr("account_id", f"greatest({skew.slice_rows}, n_rows div {skew.max_slices}) as wanted")
+        .selectExpr("account_id", f"greatest({skew.slice_rows}, n_rows div {skew.max_slices}) as wanted"),
+        skew.max_keys,
     )
-    cells = (
-        rows.join(F.broadcast(accounts), "account_id")
+    cells = short(
+        rows.join(accounts, "account_id")
         .groupBy("account_id", "wanted", F.expr(f"{floor_to('us', cell_us)} as cell"))
         .agg(F.expr("count(*) as n_rows"))
         .where("n_rows > wanted")
-        .orderBy(F.desc("n_rows"), "account_id", "cell")
-        .limit(skew.max_cells)
         .selectExpr(
             "account_id", "cell", f"cast(greatest({cell_us}D * wanted / n_rows / {OVERCUT}, 1D) as bigint) as part_us"
-        )
+        ),
+        skew.max_cells,
     )
     return Slices(accounts, cells, cell_us)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerwatch.config import DEFAULT_SKEW, MICROS_PER_SECOND, SESSION_GAP_SECONDS, SkewConfig
-from ledgerwatch.functions.columns import exact_sum, from_units, micros, to_units
+from ledgerwatch.functions.columns import TOTAL, exact_sum, from_units, micros, to_units
 from ledgerwatch.operators.skew import WHOLE, Slices, find_slices
 
 GAP_US = SESSION_GAP_SECONDS * MICROS_PER_SECOND
@@ -39,7 +39,8 @@ def session_velocity(
         slices = find_slices(keys, skew, SESSION_GAP_SECONDS)
         sliced, carried = slices.cut(rows), _carried(keys, slices, earlier)
     if carried is None:
-        nothing = [f"cast(null as bigint) as {name}" for name in ("carried_n", "carried_units", "carried_last_us")]
+        kinds = {"carried_n": "bigint", "carried_units": TOTAL, "carried_last_us": "bigint"}
+        nothing = [f"cast(null as {kind}) as {name}" for name, kind in kinds.items()]
         sliced = sliced.selectExpr("*", *nothing)
     else:
         # A shuffled hash join leaves the rows partitioned for the windows and unsorted
@@ -109,7 +110,7 @@ def _carried(keys: DataFrame, slices: Slices, earlier: DataFrame | None) -> Data
         "account_id",
         "slice",
         f"lag(total_n - coalesce(began.n, 0)) over ({BY_SLICE}) as carried_n",
-        f"lag(cast(total_units - coalesce(began.units, 0) as bigint)) over ({BY_SLICE}) as carried_units",
+        f"lag(cast(total_units - coalesce(began.units, 0) as {TOTAL})) over ({BY_SLICE}) as carried_units",
         "known_us as carried_last_us",
     ).where("carried_n is not null")
     if earlier is None:
@@ -121,7 +122,7 @@ def _carried(keys: DataFrame, slices: Slices, earlier: DataFrame | None) -> Data
 def running_change(events: DataFrame, measures: list[str], slices: Slices) -> DataFrame:
     """Replace each measure by its sum over the account's events up to the same time.
 
-    ``events`` has ``account_id``, ``us`` and the integer measures.
+    ``events`` has ``account_id``, ``us`` and the measures, integers or decimals.
     """
     per_slice = (
         slices.hot_rows(events.select("account_id", "us", *measures))
@@ -146,7 +147,7 @@ def trailing(
     seconds: int = SESSION_GAP_SECONDS,
     skew: SkewConfig = DEFAULT_SKEW,
 ) -> DataFrame:
-    """The ``keep`` columns and the sums of integer ``measures`` over the account's last
+    """The ``keep`` columns and the sums of integer or decimal ``measures`` over the account's last
     ``seconds``, both ends included.
 
     Every row enters the sums at its time and leaves them just after ``seconds``, so the
@@ -155,11 +156,11 @@ def trailing(
     timed = rows.selectExpr("*", f"{micros()} as us")
     slices = find_slices(timed.select("account_id", "us"), skew, seconds)
     payload = f"struct({', '.join(keep)})"
-    enter = ", ".join(["us as us", *[f"cast({v} as bigint) as {m}" for m, v in measures.items()]])
+    enter = ", ".join(["us as us", *[f"{v} as {m}" for m, v in measures.items()]])
     leave = ", ".join(
         [
             f"us + {seconds * MICROS_PER_SECOND + 1} as us",
-            *[f"-cast({v} as bigint) as {m}" for m, v in measures.items()],
+            *[f"-({v}) as {m}" for m, v in measures.items()],
         ]
     )
     events = timed.selectExpr(

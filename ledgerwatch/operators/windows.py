@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerwatch.config import MICROS_PER_SECOND, SESSION_GAP_SECONDS
-from ledgerwatch.functions.columns import floor_to, from_micros, from_units, micros, rounded, to_units
+from ledgerwatch.functions.columns import exact_sum, floor_to, from_micros, from_units, micros, rounded, to_units
 
 GAP_US = SESSION_GAP_SECONDS * MICROS_PER_SECOND
 LENGTH_SECONDS = 300
 SLIDE_SECONDS = 60
-WINDOWS_PER_BLOCK = 4
+SKETCH_ERROR = 0.15  # three times the standard error of the sketch
 
 
 def _per_pane(transactions: DataFrame, slide: int) -> DataFrame:
@@ -34,34 +34,28 @@ def window_activity(
 ) -> DataFrame:
     """Activity per account and sliding window, with exact numbers of merchants and countries.
 
-    Rows are combined per pane first, so a busy account shrinks before any shuffle. The
-    panes go to blocks of several windows, with the panes that the last windows of a block
-    reach into, and from there on nothing is shuffled: a merchant counts in those windows
-    of a pane that start after its previous pane. The slide divides the length; equal ones
-    give tumbling windows.
+    Rows are combined per pane first. Then every pane enters the windows it is part of, once for its
+    merchant and once for its country; one row is left for each name of a window, and these are counted. All three steps
+    aggregate before they shuffle and none needs the rows of an account together, so an
+    account with all rows, or with a new merchant in each, is spread over all tasks. The slide divides the length;
+    equal ones give tumbling windows.
     """
     length, slide = length_seconds * MICROS_PER_SECOND, slide_seconds * MICROS_PER_SECOND
-    reach, block = length - slide, length * WINDOWS_PER_BLOCK
-    blocks = f"array_distinct(array({floor_to('pane', block)}, {floor_to(f'(pane - {reach})', block)}))"
-    placed = (
+    entries = """inline(array(
+        struct(true as is_merchant, merchant_id as name, n as n, units as units, largest as largest),
+        struct(false as is_merchant, country as name, null as n, null as units, null as largest)))"""
+    named = (
         _per_pane(transactions, slide)
-        .selectExpr("*", f"explode({blocks}) as block")
-        .repartition("account_id", "block")
+        .selectExpr("account_id", "pane", entries)
+        .selectExpr("*", f"explode(sequence(pane - {length - slide}, pane, {slide})) as start")
+        .groupBy("account_id", "start", "is_merchant", "name")
+        .agg(F.expr("sum(n) as n"), F.expr(f"{exact_sum('units')} as units"), F.expr("max(largest) as largest"))
     )
-    seen = placed.selectExpr(
-        "*",
-        "lag(pane) over (partition by account_id, block, merchant_id order by pane) as merchant_pane",
-        "lag(pane) over (partition by account_id, block, country order by pane) as country_pane",
-    )
-    first_start, last_start = f"greatest(pane - {reach}, block)", f"least(pane, block + {block - slide})"
-    spread = seen.selectExpr("*", f"explode(sequence({first_start}, {last_start}, {slide})) as start")
-    new_merchant = "merchant_id is not null and start > coalesce(merchant_pane, start - 1)"
-    new_country = "country is not null and start > coalesce(country_pane, start - 1)"
-    activity = spread.groupBy("account_id", "block", "start").agg(
+    activity = named.groupBy("account_id", "start").agg(
         F.expr("sum(n) as n"),
-        F.expr("sum(units) as units"),
-        F.expr(f"count_if({new_merchant}) as merchants"),
-        F.expr(f"count_if({new_country}) as countries"),
+        F.expr(f"{exact_sum('units')} as units"),
+        F.expr("count_if(is_merchant and name is not null) as merchants"),
+        F.expr("count_if(not is_merchant and name is not null) as countries"),
         F.expr("max(largest) as largest"),
     )
     return _named(activity, transactions, length)
@@ -85,6 +79,20 @@ def window_activity_approx(
     return _named(activity, transactions, length)
 
 
+def sketch_errors(
+    transactions: DataFrame, length_seconds: int = LENGTH_SECONDS, slide_seconds: int = SLIDE_SECONDS
+) -> DataFrame:
+    """Per account and window the exact figures, and whether the sketched distinct numbers are within ``SKETCH_ERROR`` of them."""
+    exact = window_activity(transactions, length_seconds, slide_seconds)
+    sketched = window_activity_approx(transactions, length_seconds, slide_seconds)
+    keys, names = ["window_start", "account_id"], ["window_distinct_merchants", "window_distinct_countries"]
+    near = [f"abs({n} - sketched_{n}) <= {SKETCH_ERROR}D * {n} + 1 as {n}_near" for n in names]
+    renamed = sketched.selectExpr(*keys, "window_txn_count as sketched_count", *[f"{n} as sketched_{n}" for n in names])
+    return exact.join(renamed, keys, "full").selectExpr(
+        *keys, "window_txn_count", "sketched_count = window_txn_count as same_count", *names, *near
+    )
+
+
 def _named(activity: DataFrame, transactions: DataFrame, length: int) -> DataFrame:
     spend = from_units("units")
     return activity.selectExpr(

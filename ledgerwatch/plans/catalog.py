@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerwatch.config import SkewConfig
 from ledgerwatch.functions.columns import micros, rounded, text_list
 from ledgerwatch.functions.rules import FIRED_RULES, RULE_SCORE, rule_hits
 from ledgerwatch.functions.scores import score_transactions
@@ -72,7 +73,7 @@ def parse_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quarantined_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _zoneless(messages.quarantine(events.messages(spark, sf_dir)), "kafka_timestamp")
+    return _zoneless(messages.quarantine(events.messages(spark, sf_dir)), "kafka_timestamp").drop("message")
 
 
 def rule_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,6 +156,33 @@ def probe_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return qu.probe_latency(_probes(spark, sf_dir), _alerts(spark, sf_dir))
 
 
+def _skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A view of the transactions with a third of the rows on one account, pauses of exactly the gap, and ties in time."""
+    number = "cast(substring(transaction_id, 4) as bigint)"
+    us = f"timestamp_micros(({micros()} div 300000000) * 300000000 + if({number} % 5 = 0, 0, {micros()} % 300000000))"
+    changed = {
+        "account_id": f"if({number} % 3 = 0, 'ACC000000', account_id) as account_id",
+        "event_time": f"cast({us} as timestamp_ntz) as event_time",
+    }
+    rows = events.transactions(spark, sf_dir)
+    return rows.selectExpr(*[changed.get(c, c) for c in rows.columns])
+
+
+def skewed_velocity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    skew = SkewConfig(min_rows=1000, slice_rows=100)
+    rows = ve.session_velocity(_skewed(spark, sf_dir), skew=skew)
+    return rows.select(*KEY, "event_time", "amount", "window_count", "window_spend")
+
+
+def repeated_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of the detector when a topic delivers every third alert twice."""
+    alerts = _alerts(spark, sf_dir)
+    again = alerts.where("cast(substring(transaction_id, 4) as bigint) % 3 = 0").withColumn(
+        "detected_at", F.expr("detected_at + interval 1 minute")
+    )
+    return qu.full_report(_probes(spark, sf_dir), alerts.unionByName(again))
+
+
 def _on_transactions(operator: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: operator(events.transactions(spark, sf_dir))
 
@@ -189,7 +217,7 @@ def queries() -> dict[str, Query]:
         "velocity_features": velocity_features,
         "velocity_trailing": _on_transactions(ve.trailing_velocity),
         "velocity_windows": _on_transactions(wi.window_activity),
-        "velocity_windows_approx": _on_transactions(wi.window_activity_approx),
+        "velocity_windows_approx": _on_transactions(wi.sketch_errors),
         "velocity_tumbling": _on_transactions(lambda rows: wi.window_activity(rows, slide_seconds=wi.LENGTH_SECONDS)),
         "account_sessions": _on_transactions(wi.account_sessions),
         "account_features": _on_transactions(wi.account_features),
@@ -219,6 +247,9 @@ def queries() -> dict[str, Query]:
         "probe_coverage": _on_probes(qu.probe_coverage),
         "confusion_matrix": _on_probes(qu.confusion_matrix),
         "classifier_report": _on_probes(qu.classifier_report),
+        "full_report": _on_probes(qu.full_report),
+        "repeated_alerts": repeated_alerts,
+        "skewed_velocity": skewed_velocity,
         "latency_nearest_rank": _on_latencies(qu.latency_nearest_rank),
         "latency_summary": _on_latencies(qu.latency_summary),
         "geo_impossible": _on_transactions(de.geo_impossible),

@@ -200,6 +200,36 @@ COVERAGE = f"""count(*) AS probes_sent, count(*) FILTER (WHERE alerted) AS alert
   {_round('count(*) FILTER (WHERE alerted) * 100 / CAST(count(*) AS DOUBLE)', 1)} AS coverage_pct"""
 
 
+# The same detector report, with the latency of the probes that raised an alert.
+REPORT = f""",
+counts AS (SELECT {COVERAGE}, {CONFUSION},
+  {_round('avg(latency_ms) FILTER (WHERE alerted)', 2)} AS latency_mean_ms,
+  {_round('coalesce(stddev_samp(latency_ms) FILTER (WHERE alerted), 0)', 2)} AS latency_stdev_ms FROM outcomes),
+rates AS (SELECT *,
+  {_round('true_positives / CAST(greatest(true_positives + false_positives, 1) AS DOUBLE)', 4)} AS "precision",
+  {_round('true_positives / CAST(greatest(true_positives + false_negatives, 1) AS DOUBLE)', 4)} AS recall FROM counts),
+sorted AS (SELECT list(latency_ms ORDER BY latency_ms) AS l, count(*) AS n FROM outcomes WHERE alerted)"""
+FULL_REPORT = (
+    "SELECT rates.*, "
+    + _round('CAST(2 AS DOUBLE) * "precision" * recall / greatest("precision" + recall, CAST(0.0001 AS DOUBLE))', 4)
+    + " AS f1_score, "
+    + ", ".join(
+        f"{_round('l' + _nearest_rank(p), 2)} AS latency_{name}_ms"
+        for name, p in (("p50", "50"), ("p90", "90"), ("p99", "99"), ("p999", "99.9"))
+    )
+    + " FROM rates, sorted"
+)
+
+# A third of the rows on one account, a fifth of them at the start of their five minutes: ties, and pauses of exactly the gap.
+SKEWED = """
+skewed AS (SELECT * REPLACE (
+    CASE WHEN event_id % 3 = 0 THEN 'ACC000000' ELSE account_id END AS account_id,
+    make_timestamp(epoch_us(event_time) // 300000000 * 300000000
+      + CASE WHEN event_id % 5 = 0 THEN 0 ELSE epoch_us(event_time) % 300000000 END) AS event_time) FROM txn),
+pauses AS"""
+SKEWED_FEATURES = FEATURES.replace("\npauses AS", SKEWED, 1).replace("FROM txn WINDOW", "FROM skewed WINDOW")
+
+
 def oracle_sql() -> dict[str, str]:
     mean = "CAST(sum(CAST({0} AS DECIMAL(18,4))) AS DOUBLE) / count({0})"
     return {
@@ -255,7 +285,16 @@ FROM txn""",
             "SELECT transaction_id, account_id, event_time, amount, window_count, window_spend FROM trail",
         ),
         "velocity_windows": "WITH " + _windows(FIVE_SLIDES),
+        "velocity_windows_approx": "WITH exact AS (WITH " + _windows(FIVE_SLIDES) + ")"
+        "SELECT window_start, account_id, window_txn_count, true AS same_count, window_distinct_merchants, "
+        "window_distinct_countries, true AS window_distinct_merchants_near, true AS window_distinct_countries_near "
+        "FROM exact",
         "velocity_tumbling": "WITH " + _windows(TUMBLING),
+        "skewed_velocity": _with(
+            SKEWED_FEATURES, "SELECT transaction_id, account_id, event_time, amount, window_count, window_spend FROM feat"
+        ),
+        "full_report": _with(PROBES + REPORT, FULL_REPORT),
+        "repeated_alerts": _with(PROBES + REPORT, FULL_REPORT),
         "account_sessions": _with(
             FEATURES,
             "SELECT account_id, min(event_time) AS session_start, max(event_time) AS session_last, "

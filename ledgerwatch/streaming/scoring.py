@@ -17,14 +17,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerwatch.config import ALERT_THRESHOLD, DEFAULT_SKEW, MICROS_PER_SECOND, SkewConfig
-from ledgerwatch.functions.columns import micros, to_units
+from ledgerwatch.functions.columns import TOTAL, micros, to_units
 from ledgerwatch.functions.scores import score_transactions
 from ledgerwatch.operators.alerts import raise_alerts
 from ledgerwatch.operators.velocity import GAP_US, session_velocity
 from ledgerwatch.session import checkpoint_root
-from ledgerwatch.sources.messages import FAULT, alert_messages, decode_transactions, quarantined
+from ledgerwatch.sources.messages import STREAM_FAULT, alert_messages, decode_transactions, quarantined
 
-STATE = "account_id string, n bigint, units bigint, last_us bigint"
+STATE = f"account_id string, n bigint, units {TOTAL}, last_us bigint"
 LATE_US = 30 * MICROS_PER_SECOND
 
 
@@ -52,16 +52,19 @@ class ScoringJob:
         started = time.monotonic()
         spark = messages.sparkSession
         # The size of a micro-batch is limited by the source; it is parsed once and kept.
-        decoded = decode_transactions(messages).selectExpr("*", f"{FAULT} as reason").persist()
+        decoded = decode_transactions(messages).selectExpr("*", f"{STREAM_FAULT} as reason").persist()
         try:
             size = decoded.agg(
                 F.expr("count(*) as rows"),
                 F.expr("count(reason) as faulty"),
-                F.expr(f"coalesce(max({micros()}) filter (where reason is null), 0) as newest_us"),
+                # Never ahead of the messages: a row from the future cannot end the sessions of others.
+                F.expr(
+                    f"coalesce(max(least({micros()}, {micros('kafka_timestamp')})) filter (where reason is null), 0) as newest_us"
+                ),
             ).first()
             if size.faulty:
                 self.write(quarantined(decoded), "quarantine", batch_id)
-            good = decoded.where("reason is null").drop("message_key", "reason")
+            good = decoded.where("reason is null").drop("message_key", "message", "reason")
             earlier = self.open_sessions(spark, batch_id)
             skew = self.skew if size.rows >= self.skew.min_rows else None
             scored = score_transactions(session_velocity(good, earlier, skew))
@@ -110,12 +113,13 @@ def next_sessions(scored: DataFrame, earlier: DataFrame | None, newest_us: int)
     known = scored.selectExpr(
         "account_id",
         f"struct(1 as turn, {micros()} as us, transaction_id) as place",
-        f"struct(window_count as n, {to_units('window_spend')} as units) as session",
+        f"struct(window_count as n, cast({to_units('window_spend')} as {TOTAL}) as units) as session",
     )
     if earlier is not None:
         known = known.unionByName(
             earlier.selectExpr(
-                "account_id", "struct(0 as turn, last_us as us, '' as transaction_id) as place", "struct(n, units) as session"
+                "account_id", "struct(0 as turn, last_us as us, '' as transaction_id) as place",
+                f"struct(n, cast(units as {TOTAL}) as units) as session"
             )
         )
     merged = known.groupBy("account_id").agg(

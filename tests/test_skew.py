@@ -46,10 +46,32 @@ def test_burst_of_a_hot_account_is_spread_too(spark, skewed):
     assert largest < 600 * 2
 
 
-def test_broadcast_lists_have_a_fixed_length(spark, skewed):
-    slices = find_slices(timed(skewed), SkewConfig(min_rows=1, max_keys=5, slice_rows=1, max_cells=7), 300)
-    assert slices.accounts.count() == 5
-    assert slices.cells.count() == 7
+def test_any_number_of_hot_accounts_is_cut(spark):
+    """Ten thousand accounts above the limit, far more than a broadcast list may have: all are cut."""
+    rows = spark.range(300_000).selectExpr("concat('A', id % 10000) as account_id", "id * 1000000 as us")
+    slices = find_slices(rows, SkewConfig(min_rows=20, slice_rows=5, max_keys=100, max_cells=100), 30_000)
+    assert slices.accounts.count() == 10_000
+    sizes = slices.cut(rows).groupBy("account_id", "slice").count()
+    assert sizes.where("slice = -1").isEmpty() and sizes.agg({"count": "max"}).first()[0] <= 5
+
+
+def test_long_and_short_lists_give_the_same(skewed):
+    long = SkewConfig(min_rows=10, slice_rows=7, max_keys=1, max_cells=1)
+    assert_same(velocity.session_velocity(skewed, skew=long).toPandas(), velocity.session_velocity(skewed, skew=WHOLE).toPandas())
+
+
+def test_a_busy_account_with_many_merchants_is_spread(spark):
+    """All rows on one account in one window, each with its own merchant: no task holds more than its share."""
+    from ledgerwatch.operators import windows
+
+    rows = spark.range(20_000).selectExpr(
+        "'A' as account_id", "concat('M', id) as merchant_id", "'US' as country", "1.5D as amount",
+        "cast(timestamp_micros(1704067200000000 + id) as timestamp_ntz) as event_time",
+    )
+    found = windows.window_activity(rows)
+    assert {(r.window_distinct_merchants, r.window_total_spend) for r in found.collect()} == {(20_000, 30_000.0)}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "name" in plan
 
 
 @pytest.mark.parametrize(
