@@ -26,13 +26,19 @@ SPACED = frozenset(["br", "img", "hr", "wbr"])
 # Elements and words of a class, id or role that tell what is around the article.
 AROUND = frozenset("nav header footer aside form button menu dialog fieldset head".split())
 AROUND_WORDS = frozenset(
-    "ad ads adv advert advertisement advertising advertorial banner sponsor sponsored promo promotion promoted "
-    "nav navbar navigation menu topbar toolbar breadcrumb breadcrumbs pagination pager "
-    "header masthead footer colophon copyright sidebar aside rail widget "
-    "cookie cookies consent gdpr notice notification alert popup modal overlay newsletter subscribe subscription signup login "
-    "comment comments commentlist respond replies reply disqus discussion "
+    "ad ads adv adbox adslot adunit banner banners promo promotion promoted leaderboard skyscraper "
+    "nav subnav topnav mainnav menu menus topbar toolbar pager "
+    "header masthead colophon copyright aside rail widget widgets complementary contentinfo "
+    "consent gdpr notice notices notification alert alerts popup modal overlay subscribe subscription signup login "
+    "respond responses replies reply disqus discussion "
     "related recommended recommendations share sharing social teaser teasers outbrain taboola search form hidden".split()
 )
+AROUND_STEMS = (
+    "advert", "sponsor", "comment", "cookie", "sidebar", "sidenav", "navbar", "navigation", "footer", "newsletter", "breadcrumb",
+    "pagination", "usercomment",
+)
+# Words that make a header part of an article.
+OF_ARTICLE = frozenset("article entry post story content section title".split())
 MAIN = frozenset(["article", "main"])
 # Elements whose end tag may be missing, and what ends them.
 CLOSED_BY = {
@@ -74,9 +80,9 @@ class Block:
     linked: int  # words that are inside links
 
 
-def around_name(name: str, attributes: str) -> str:
+def around_name(name: str, attributes: str, by_class: bool = True) -> str:
     """The element or word by which an element is no part of an article, or nothing."""
-    if name in AROUND:
+    if name in AROUND and (by_class or name != "form"):
         return name
     for key, *values in ATTRIBUTE.findall(attributes) if attributes else ():
         key, value = key.lower(), next((v for v in values if v), "")
@@ -85,15 +91,20 @@ def around_name(name: str, attributes: str) -> str:
         if key == "style":
             if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.IGNORECASE):
                 return "hidden"
-        elif name not in ("body", "html"):
-            for word in NAME_WORD.findall(HUMP.sub(" ", value).lower()):
-                if word in AROUND_WORDS:
-                    return word
+        elif by_class and name not in ("body", "html"):
+            words = NAME_WORD.findall(HUMP.sub(" ", value).lower())
+            for word in words:
+                if word in AROUND_WORDS or word.startswith(AROUND_STEMS):
+                    if word != "header" or OF_ARTICLE.isdisjoint(words):
+                        return word
     return ""
 
 
-def blocks(page: str) -> list[Block]:
-    """All text of a page as blocks, in order; markup, scripts and styles left out."""
+def blocks(page: str, by_class: bool = True) -> list[Block]:
+    """All text of a page as blocks, in order; markup, scripts and styles left out.
+
+    Without ``by_class`` only elements, not their classes and ids, tell what is around the article.
+    """
     out: list[Block] = []
     parts: list[str] = []
     tags: list[str] = []
@@ -162,7 +173,7 @@ def blocks(page: str) -> list[Block]:
             flush()
         if name in VOID or token[4].endswith("/") and name not in INLINE and name not in BOUNDS and name != "p":
             continue
-        own = around_name(name, token[4])
+        own = around_name(name, token[4], by_class)
         if own and name in INLINE and own != "hidden":
             own = ""
         inside = main
@@ -172,7 +183,7 @@ def blocks(page: str) -> list[Block]:
             inside = main or mains
         if own and not around:
             flush()
-        if own == "header" and inside and name == "header":
+        if own == "header" and inside:
             own = ""  # the article's own heading
         stack.append((name, around or own, inside))
         around, main = stack[-1][1:]
@@ -242,6 +253,8 @@ def extract(page: str | None, weights: Weights) -> str:
     gives an empty text; if no word is for the region, nothing is extracted.
     """
     found = blocks(page or "")
+    if found and all(b.around for b in found):
+        found = blocks(page or "", by_class=False)  # a name on what holds the whole page tells nothing
     costs = dict(weights.tags)
     has_main = any(b.main and not b.around for b in found)
     best, best_span = 0.0, (0, 0)

@@ -42,6 +42,9 @@ def test_page_without_and_with_article():
         ("a<!-- x > y", "a"),
         ("<p>1 < 2 and 3 > 2</p>", "1 < 2 and 3 > 2"),
         ("<div hidden>no</div><p>yes yes</p>", "yes yes"),
+        ("<div class='layout with-sidebar'><form><p>all of it</p></form></div>", "all of it"),
+        ("<div class='entry-header'><h1>T</h1></div><p>one two three</p><div class='ReaderComments'>x y</div>", "T\none two three"),
+        ("<p>one two three four</p><div role='complementary'>x y</div><p>five six seven eight</p>", "one two three four\nfive six seven eight"),
         ("<article><header><h1>T</h1></header><p>b c</p><article class='comment'>c d</article></article>", "T\nb c"),
     ],
 )
