@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerwatch.operators.skew import short
+
 
 def group_starts(frame: pd.DataFrame, keys: list[str]) -> np.ndarray:
     """Positions at which a new group of equal keys begins, in rows sorted by them."""
@@ -38,17 +40,18 @@ def whole_groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[p
         yield pd.concat(held, ignore_index=True)
 
 
-def block_pairs(rows: DataFrame, keys: list[str], node: str, block_rows: int) -> DataFrame:
-    """``rows`` of groups of two and more, dealt to pairs of blocks of their group and sorted.
+def block_pairs(rows: DataFrame, keys: list[str], node: str, block_rows: int, most: int = 10_000) -> DataFrame:
+    """``rows`` dealt to pairs of blocks of their group and sorted.
 
     A group has a block for each ``block_rows`` rows. Each pair of blocks, also of a block with itself, meets in one place: ``low`` and
     ``high`` name the pair and ``block`` the row's own. So any two rows of a group meet exactly once,
-    and no task ever holds more than two blocks of a group.
+    and no task ever holds more than two blocks of a group. Only groups of more than one block need their size: up to ``most`` of them are
+    broadcast, more are joined by a shuffle.
     """
-    sizes = rows.groupBy(*keys).agg(F.count("*").alias("group_rows")).where("group_rows > 1")
+    large = rows.groupBy(*keys).agg(F.count("*").alias("group_rows")).where(f"group_rows > {block_rows}")
     dealt = (
-        rows.join(sizes, keys)
-        .selectExpr("*", f"cast(ceil(group_rows / {block_rows}) as int) as blocks")
+        rows.join(short(large, most), keys, "left")
+        .selectExpr("*", f"cast(ceil(coalesce(group_rows, 1) / {block_rows}) as int) as blocks")
         .selectExpr("*", f"cast(pmod(xxhash64({node}), blocks) as int) as block")
         .selectExpr("*", "explode(sequence(0, blocks - 1)) as other")
         .selectExpr("*", "least(block, other) as low", "greatest(block, other) as high")

@@ -232,7 +232,8 @@ def near_vectors(vectors: DataFrame, how: Codes | None = None) -> DataFrame:
         return alone.withColumn("kept", F.lit(True))
     coded = saved(coded_classes(classes.select("rep", "copies", "vec"), dim, n, how))
     groups = components(coarse_edges(coded, how, dim)).selectExpr("node as rep", "component as root")
-    found = saved(exact_links(coded.drop("keys").join(groups, "rep"), how, dim))
+    grouped = saved(coded.drop("keys").join(groups, "rep"))
+    found = saved(exact_links(grouped, how, dim))
     counts = found.where("n is not null").groupBy("a").agg(F.sum("n").alias("n")).withColumnRenamed("a", "rep")
     joined = components(found.where("b is not null").select("a", "b")).selectExpr("node as rep", "component")
     return (
