@@ -19,7 +19,8 @@ from pyspark.sql.streaming import StreamingQuery
 from ledgerwatch.config import ALERT_THRESHOLD, DEFAULT_SKEW, MICROS_PER_SECOND, SkewConfig
 from ledgerwatch.functions.columns import TOTAL, micros, to_units
 from ledgerwatch.functions.scores import score_transactions
-from ledgerwatch.operators.alerts import raise_alerts
+from ledgerwatch.operators.alerts import live_feed, raise_alerts
+from ledgerwatch.operators.analytics import latency_buckets, score_buckets
 from ledgerwatch.operators.velocity import GAP_US, session_velocity
 from ledgerwatch.session import checkpoint_root
 from ledgerwatch.sources.messages import STREAM_FAULT, alert_messages, decode_transactions, quarantined
@@ -78,14 +79,31 @@ class ScoringJob:
         counted = Observation()
         alerts = raise_alerts(scored, latency, "scored_at", self.threshold)
         self.write(alerts.observe(counted, F.count("*").alias("alerts")), "alerts", batch_id)
+        written = spark.read.schema(alerts.schema).parquet(self.place("alerts", batch_id))
+        self.keep_views(spark, scored, written, batch_id)
         if self.publish is not None:
-            self.publish(alert_messages(spark.read.parquet(self.place("alerts", batch_id))))
+            self.publish(alert_messages(written))
         next_sessions(scored, earlier, size.newest_us).write.mode("overwrite").parquet(self.state_place(batch_id))
         self.log(spark, batch_id, size, counted.get["alerts"], time.monotonic() - started)
 
     def write(self, rows: DataFrame, table: str, batch_id: int) -> None:
         rows.write.mode("overwrite").parquet(self.place(table, batch_id))
 
+    def keep_views(self, spark: SparkSession, scored: DataFrame, alerts: DataFrame, batch_id: int) -> None:
+        """The histograms of the batch, and the feed with the batch's alerts.
+
+        The feed has a fixed length; like the sessions it has two places, which batches write in turn.
+        """
+        buckets = score_buckets(scored).selectExpr("'score' as metric", "*")
+        latency = latency_buckets(alerts, "detection_latency_ms").selectExpr("'latency_ms' as metric", "*")
+        self.write(buckets.unionByName(latency).coalesce(1), "buckets", batch_id)
+        if batch_id > 0:
+            alerts = alerts.unionByName(spark.read.schema(alerts.schema).parquet(self.feed_place(batch_id - 1)))
+        live_feed(alerts).coalesce(1).write.mode("overwrite").parquet(self.feed_place(batch_id))
+
+    def feed_place(self, batch_id: int) -> str:
+        return f"{self.output}/feed/slot={batch_id % 2}"
+
     def open_sessions(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
         """The sessions that the batch before this one left open."""
         if batch_id == 0:
@@ -104,6 +122,16 @@ class ScoringJob:
         self.write(row, "batches", batch_id)
 
 
+def kept_buckets(spark: SparkSession, output: str) -> DataFrame:
+    """``metric, le, cumulative, value_sum, value_count`` over all batches so far: of scores, and of the alerts' latency."""
+    batches = spark.read.parquet(f"{output}/buckets")
+    return batches.groupBy("metric", "le").agg(
+        F.expr("sum(cumulative) as cumulative"),
+        F.expr("cast(sum(cast(value_sum as decimal(38,4))) as double) as value_sum"),
+        F.expr("sum(value_count) as value_count"),
+    )
+
+
 def next_sessions(scored: DataFrame, earlier: DataFrame | None, newest_us: int) -> DataFrame:
     """The open sessions after a batch: those of the batch, and the earlier ones it did not touch.
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerwatch.config import SESSION_GAP_SECONDS, WATERMARK, WINDOW_LENGTH, WINDOW_SLIDE
-from ledgerwatch.functions.columns import from_units, rounded, to_units
+from ledgerwatch.functions.columns import exact_sum, from_units, rounded, to_units
 from ledgerwatch.session import checkpoint_root
 
 
@@ -33,26 +33,30 @@ def window_stream(
     A slide as long as the window gives tumbling windows.
 
     A distinct aggregate cannot run on a stream, and a set per window would hold all
-    merchants of a busy account in one row. So every transaction also enters once for its
-    merchant and once for its country; the first aggregation keeps one row for each, spread
-    over the tasks, and the second one counts these rows.
+    merchants of a busy account in one row. So transactions are first combined per pane of one slide, account, merchant and
+    country, which is the only state that grows with them. Closed panes enter their windows once for
+    their merchant and once for their country; one row is kept for each name of a window, spread
+    over the tasks, and the last aggregation counts these rows.
     """
-    entries = """inline(array(
-        struct('' as kind, '' as name, 1L as one, amount as amount),
-        struct('merchant' as kind, merchant_id as name, 0L as one, null as amount),
-        struct('country' as kind, country as name, 0L as one, null as amount)))"""
-    entered = transactions.withWatermark("event_time", late).select(
-        "event_time", "account_id", F.expr(entries).alias("kind", "name", "one", "amount")
+    pane = F.window("event_time", slide).alias("pane")
+    panes = (
+        transactions.withWatermark("event_time", late)
+        .groupBy(pane, "account_id", "merchant_id", "country")
+        .agg(F.expr("count(*) as n"), F.expr(f"sum({to_units()}) as units"), F.expr("max(amount) as largest"))
     )
-    window = F.window("event_time", length, slide).alias("window")
-    named = entered.where("name is not null").groupBy(window, "account_id", "kind", "name").agg(
-        F.expr("sum(one) as n"), F.expr(f"sum({to_units()}) as units"), F.expr("max(amount) as largest")
+    entries = """inline(array(
+        struct('merchant' as kind, merchant_id as name, n as n, units as units, largest as largest),
+        struct('country' as kind, country as name, 0L as n, null as units, null as largest)))"""
+    entered = panes.select("pane", "account_id", F.expr(entries).alias("kind", "name", "n", "units", "largest"))
+    window = F.window("pane", length, slide).alias("window")
+    named = entered.groupBy(window, "account_id", "kind", "name").agg(
+        F.expr("sum(n) as n"), F.expr(f"{exact_sum('units')} as units"), F.expr("max(largest) as largest")
     )
     windows = named.groupBy("window", "account_id").agg(
         F.expr("sum(n) as n"),
-        F.expr("sum(units) as units"),
-        F.expr("count_if(kind = 'merchant') as merchants"),
-        F.expr("count_if(kind = 'country') as countries"),
+        F.expr(f"{exact_sum('units')} as units"),
+        F.expr("count_if(kind = 'merchant' and name is not null) as merchants"),
+        F.expr("count_if(kind = 'country' and name is not null) as countries"),
         F.expr("max(largest) as largest"),
     )
     return _flat(windows)

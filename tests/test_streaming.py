@@ -92,6 +92,23 @@ def test_stream_writes_alerts_quarantine_and_batch_log(spark, folder, scored_run
     assert log.agg({"alert_count": "sum"}).first()[0] == alerts.count()
 
 
+def test_stream_keeps_histograms_and_feed(spark, scored_run):
+    from ledgerwatch.operators.alerts import live_feed
+    from ledgerwatch.operators.analytics import latency_buckets, score_buckets
+    from ledgerwatch.streaming.scoring import kept_buckets
+
+    output, _ = scored_run
+    scored, alerts = spark.read.parquet(f"{output}/scored"), spark.read.parquet(f"{output}/alerts")
+    columns = ["le", "cumulative", "value_count"]
+    kept = kept_buckets(spark, output)
+    for metric, expected in (("score", score_buckets(scored)), ("latency_ms", latency_buckets(alerts, "detection_latency_ms"))):
+        own = kept.where(f"metric = '{metric}'")
+        assert_same(own.select(*columns).toPandas(), expected.select(*columns).toPandas())
+        assert own.first().value_sum == pytest.approx(expected.first().value_sum, abs=0.1)
+    feed = spark.read.parquet(f"{output}/feed/slot={(FILES - 1) % 2}").select("transaction_id", "detected_at")
+    assert_same(feed.toPandas(), live_feed(alerts).select("transaction_id", "detected_at").toPandas())
+
+
 def test_progress_reports_batches(scored_run):
     _, query = scored_run
     reports = progress(query)
