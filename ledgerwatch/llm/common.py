@@ -64,11 +64,12 @@ PLACE = 2**63
 
 
 def hash_sample(narrow: DataFrame, wanted: int, most_groups: int = 2) -> DataFrame:
-    """Per ``kind`` of ``narrow(kind, place)`` the ``wanted`` smallest distinct places, where ``place`` is a hash as a long.
+    """Per ``kind`` of ``narrow(kind, place)`` the ``wanted`` smallest distinct places, where ``place``
+    is a hash as a long.
 
-    Kinds are counted first, and only places below a bound go further that lets about four times as many
-    pass as are wanted. So what is gathered does not grow with the rows or their partitions. More than
-    ``most_groups`` kinds is an error. Null kinds are left out.
+    Kinds are counted first, and only places below a bound go further that lets about four times as
+    many pass as are wanted. So what is gathered does not grow with the rows or their partitions.
+    More than ``most_groups`` kinds is an error. Null kinds are left out.
     """
     spark = narrow.sparkSession
     known = narrow.where("kind is not null")
@@ -88,9 +89,11 @@ def hash_sample(narrow: DataFrame, wanted: int, most_groups: int = 2) -> DataFra
 
 
 def sampled_texts(rows: DataFrame, wanted: int, most_groups: int = 2, chars: int | None = None) -> list[tuple]:
-    """``(kind, text)`` of a sample of ``rows(kind, place, text)`` as ``hash_sample`` draws it, in order of kind and place.
+    """``(kind, text)`` of a sample of ``rows(kind, place, text)`` as ``hash_sample`` draws it, in
+    order of kind and place.
 
-    One text per place, which must tell the kind too, so that kinds are computed once; the first ``chars`` characters if that is given.
+    One text per place, which must tell the kind too, so that kinds are computed once; the first
+    ``chars`` characters if that is given.
     """
     chosen = hash_sample(saved(rows.select("kind", "place")), wanted, most_groups)
     text = "text" if chars is None else f"substring(text, 1, {chars}) as text"

@@ -43,10 +43,11 @@ def whole_groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[p
 def block_pairs(rows: DataFrame, keys: list[str], node: str, block_rows: int, most: int = 10_000) -> DataFrame:
     """``rows`` dealt to pairs of blocks of their group and sorted.
 
-    A group has a block for each ``block_rows`` rows. Each pair of blocks, also of a block with itself, meets in one place: ``low`` and
-    ``high`` name the pair and ``block`` the row's own. So any two rows of a group meet exactly once,
-    and no task ever holds more than two blocks of a group. Only groups of more than one block need their size: up to ``most`` of them are
-    broadcast, more are joined by a shuffle.
+    A group has a block for each ``block_rows`` rows. Each pair of blocks, also of a block with
+    itself, meets in one place: ``low`` and ``high`` name the pair and ``block`` the row's own. So
+    any two rows of a group meet exactly once, and no task ever holds more than two blocks of a
+    group. Only groups of more than one block need their size: up to ``most`` of them are broadcast,
+    more are joined by a shuffle.
     """
     large = rows.groupBy(*keys).agg(F.count("*").alias("group_rows")).where(f"group_rows > {block_rows}")
     dealt = (

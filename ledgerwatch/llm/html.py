@@ -28,10 +28,10 @@ AROUND = frozenset("nav header footer aside form button menu dialog fieldset hea
 AROUND_WORDS = frozenset(
     "ad ads adv adbox adslot adunit banner banners promo promotion promoted leaderboard skyscraper "
     "nav subnav topnav mainnav menu menus topbar toolbar pager "
-    "header masthead colophon copyright aside rail widget widgets complementary contentinfo "
+    "header masthead colophon copyright aside rail complementary contentinfo "
     "consent gdpr notice notices notification alert alerts popup modal overlay subscribe subscription signup login "
     "respond responses replies reply disqus discussion "
-    "related recommended recommendations share sharing social teaser teasers outbrain taboola search form hidden".split()
+    "related recommended recommendations share sharing social teasers outbrain taboola search form hidden".split()
 )
 AROUND_STEMS = (
     "advert", "sponsor", "comment", "cookie", "sidebar", "sidenav", "navbar", "navigation", "footer", "newsletter", "breadcrumb",
@@ -64,6 +64,7 @@ TOKEN = re.compile(
     re.DOTALL | re.IGNORECASE,
 )
 ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.IGNORECASE)
+MAIN_ROLE = re.compile(r"""\brole\s*=\s*["']?main\b""", re.IGNORECASE)
 NAME_WORD = re.compile(r"[a-z]+")
 HUMP = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
@@ -177,7 +178,7 @@ def blocks(page: str, by_class: bool = True) -> list[Block]:
         if own and name in INLINE and own != "hidden":
             own = ""
         inside = main
-        if name in MAIN and not (around or own):
+        if (name in MAIN or MAIN_ROLE.search(token[4])) and not (around or own):
             if not main:
                 mains += 1
             inside = main or mains
@@ -198,8 +199,9 @@ def blocks(page: str, by_class: bool = True) -> list[Block]:
 class Weights:
     """What tokens add to the score of a region: words are for it, tags against it.
 
-    ``outside`` holds for words out of the page's article element, where it has one, and ``around`` for words in what is
-    named as no part of an article, once for each stretch of it: such words are left out anyway.
+    ``outside`` holds for words out of the page's article element, where it has one, and ``around``
+    for words in what is named as no part of an article, once for each stretch of it: such words are
+    left out anyway.
     """
 
     word: float = 1.0
@@ -248,9 +250,10 @@ def learn(pages: Iterator[str], smooth: float = 5.0) -> Weights:
 def extract(page: str | None, weights: Weights) -> str:
     """The main text of a page: the blocks of its best region that are not named as something else.
 
-    A linear scan finds the contiguous run of tokens with the highest sum. Words of a page's first and any further article or main
-    element count, words beside it are against it. Of equally good regions the first and shortest is taken. A page without any text
-    gives an empty text; if no word is for the region, nothing is extracted.
+    A linear scan finds the contiguous run of tokens with the highest sum. Words of a page's first
+    and any further article or main element count, words beside it are against it. Of equally good
+    regions the first and shortest is taken. A page without any text gives an empty text; if no word
+    is for the region, nothing is extracted.
     """
     found = blocks(page or "")
     if found and all(b.around for b in found):

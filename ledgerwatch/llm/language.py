@@ -179,8 +179,8 @@ def train_language_model(
 ) -> ByteGRU | None:
     """A model learned from a bounded sample: of each language the documents first in a hash order.
 
-    Rows without language or without a letter in the text are left out. More than ``max_languages`` is an error. Without
-    any language to learn from there is no model: None.
+    Rows without language or without a letter in the text are left out. More than ``max_languages``
+    is an error. Without any language to learn from there is no model: None.
     """
     how = how or Training()
     rows = labelled.select(F.col(lang).alias("lang"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).where(
@@ -200,8 +200,8 @@ def train_language_model(
 def language(text: Column, model: ByteGRU | None) -> Column:
     """``struct(lang_pred, score)`` of a text column.
 
-    ``score`` is the mean probability of the predicted language over all bytes. A text that is null or has no letter is
-    ``und`` with score 0, as is every text without a model.
+    ``score`` is the mean probability of the predicted language over all bytes. A text that is null
+    or has no letter is ``und`` with score 0, as is every text without a model.
     """
 
     @F.pandas_udf("lang_pred string, score double")

@@ -101,7 +101,9 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 class SuffixAutomaton:
-    """The smallest automaton of all runs of tokens of several sequences, with the places where each run ends."""
+    """The smallest automaton of all runs of tokens of several sequences, with the places where each
+    run ends.
+    """
 
     def __init__(self, sequences: list[list[int]]):
         self.next: list[dict[int, int]] = [{}]
@@ -167,7 +169,9 @@ class SuffixAutomaton:
 
 @dataclass(frozen=True)
 class Matcher:
-    """``shortest`` match in words, longest ``gap`` between chained matches, ``share`` of a template that counts."""
+    """``shortest`` match in words, longest ``gap`` between chained matches, ``share`` of a template
+    that counts.
+    """
 
     shortest: int = 3
     gap: int = 12
@@ -207,7 +211,9 @@ class Matcher:
         return found
 
     def chain(self, matches: list[tuple[int, int, int]]) -> tuple[int, int, int]:
-        """``(words covered, first word, last word)`` of the best chain: matches in order both in text and template."""
+        """``(words covered, first word, last word)`` of the best chain: matches in order both in text
+        and template.
+        """
         matches = sorted(set(matches))
         best = (0, 0, 0)
         chains: list[tuple[int, int]] = []  # covered, first word
@@ -260,8 +266,9 @@ def base_places(words: list[bytes]) -> dict[str, list[int]]:
 def licenses(text: Column, matcher: Matcher | None = None) -> Column:
     """A struct of what a whole text says about licences.
 
-    ``score`` is the largest share of a template that chained matches cover, and 1 with a base phrase. ``template_spans`` has
-    ``label:first word:last word`` of the best chain of each label of the method. Null is an empty text.
+    ``score`` is the largest share of a template that chained matches cover, and 1 with a base
+    phrase. ``template_spans`` has ``label:first word:last word`` of the best chain of each label of
+    the method. Null is an empty text.
     """
     matcher = matcher or Matcher()
 

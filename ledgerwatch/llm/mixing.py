@@ -35,12 +35,12 @@ def leaf_budgets(
 ) -> DataFrame:
     """Add ``target`` to ``leaves(*levels, n_docs, tokens)``: the tokens to take from each leaf.
 
-    ``budget`` is the number of tokens to take, by default as many as there are. A node's capacity is ``max_epochs`` times
-    the tokens below it. From the root down, children share their parent's budget by weight;
-    a child that cannot use its share is given its capacity, and what is left over goes to its siblings by weight.
-    Only what a whole family cannot use was left to the families beside it, as the
-    family's capacity already limited its own share. All numbers are integers; a share is
-    rounded down, so less than one token per child stays unspent.
+    ``budget`` is the number of tokens to take, by default as many as there are. A node's capacity
+    is ``max_epochs`` times the tokens below it. From the root down, children share their parent's
+    budget by weight; a child that cannot use its share is given its capacity, and what is left over
+    goes to its siblings by weight. Only what a whole family cannot use was left to the families
+    beside it, as the family's capacity already limited its own share. All numbers are integers; a
+    share is rounded down, so less than one token per child stays unspent.
     """
     nodes = leaves.selectExpr("*", f"cast(tokens as decimal(20,0)) * {max_epochs} as capacity")
     if budget is None:
@@ -83,10 +83,12 @@ def epoch_order(doc_id: str, epoch: str, seed: int) -> str:
 
 
 def leaf_cutoffs(docs: DataFrame, budgets: DataFrame, seed: int, levels: tuple[str, ...] = LEVELS) -> DataFrame:
-    """Per leaf: ``whole`` epochs, and the last place taken in the next one (``last_place``; null: none).
+    """Per leaf: ``whole`` epochs, and the last place taken in the next one (``last_place``; null:
+    none).
 
-    ``docs`` has ``(*levels, doc_id, n_tokens)``. A leaf's order is split into buckets by the leading digits of the place, as many
-    as the leaf needs; only the bucket in which the budget ends is looked at row by row.
+    ``docs`` has ``(*levels, doc_id, n_tokens)``. A leaf's order is split into buckets by the
+    leading digits of the place, as many as the leaf needs; only the bucket in which the budget ends
+    is looked at row by row.
     """
     leaf = list(levels)
     plan = budgets.where("target > 0 and tokens > 0").selectExpr(
@@ -134,13 +136,13 @@ def mix(
 ) -> DataFrame:
     """The rows of ``docs`` that fill the budget, one row per epoch in which a document is read.
 
-    ``levels`` names the levels of the tree, root first, with an SQL expression over ``docs``
-    for each; null values are a value of their own. Each epoch of a leaf has its own seeded
-    order. A leaf reads whole epochs and then the shortest prefix of documents of the next
-    one that reaches its target (so it may exceed it by part of one document). Rows of a leaf with equal ids are read
-    together. Documents without words cost nothing and come along where their place falls.
-    Adds ``domain``, ``lang``, ``source`` or whatever the levels are called, ``n_tokens``
-    (words) and ``epoch`` (from 0) in the struct column ``mixed``; columns of ``docs`` stay.
+    ``levels`` names the levels of the tree, root first, with an SQL expression over ``docs`` for
+    each; null values are a value of their own. Each epoch of a leaf has its own seeded order. A
+    leaf reads whole epochs and then the shortest prefix of documents of the next one that reaches
+    its target (so it may exceed it by part of one document). Rows of a leaf with equal ids are read
+    together. Documents without words cost nothing and come along where their place falls. Adds
+    ``domain``, ``lang``, ``source`` or whatever the levels are called, ``n_tokens`` (words) and
+    ``epoch`` (from 0) in the struct column ``mixed``; columns of ``docs`` stay.
     """
     levels = levels or {"domain": source_domain(), "lang": "lang", "source": "source"}
     names = tuple(levels)

@@ -21,9 +21,10 @@ from ledgerwatch.llm.vectors import FINITE, dimension, matrix, one_per_id
 class Codes:
     """How vectors are coded and how candidates are found.
 
-    ``bits`` is the length of a code; confidence bounds are ``deviations`` standard deviations wide. Candidates share
-    one of several hash keys; keys are so long that about ``bucket`` unrelated vectors share one, and there are
-    so many that a pair at the threshold shares one with a chance of ``recall``.
+    ``bits`` is the length of a code; confidence bounds are ``deviations`` standard deviations wide.
+    Candidates share one of several hash keys; keys are so long that about ``bucket`` unrelated
+    vectors share one, and there are so many that a pair at the threshold shares one with a chance
+    of ``recall``.
     """
 
     threshold: float = 0.9
@@ -60,8 +61,9 @@ def unit(rows: np.ndarray) -> np.ndarray:
 def encode(rows: np.ndarray, turned: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of unit vectors: their images ``(n, rotation, dim)``, the signs, and the correction factors.
 
-    The code of a vector o is the corner of a cube, ``sign(P o) / sqrt(d)``, for each rotation P. The factor is the inner product of
-    corner and image. For any unit q the inner product of corner and ``P q``, divided by the factor, is an unbiased estimate of that of o and q.
+    The code of a vector o is the corner of a cube, ``sign(P o) / sqrt(d)``, for each rotation P.
+    The factor is the inner product of corner and image. For any unit q the inner product of corner
+    and ``P q``, divided by the factor, is an unbiased estimate of that of o and q.
     """
     images = np.einsum("nd,rde->nre", rows, turned)
     signs = images > 0
@@ -69,7 +71,9 @@ def encode(rows: np.ndarray, turned: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def estimates(images: np.ndarray, signs: np.ndarray, factors: np.ndarray, deviations: float) -> tuple[np.ndarray, np.ndarray]:
-    """Estimated inner products (queries, coded), the mean over the rotations, and a bound of the error for each coded vector."""
+    """Estimated inner products (queries, coded), the mean over the rotations, and a bound of the error
+    for each coded vector.
+    """
     n, number, dim = signs.shape
     corners = (2.0 * signs - 1) / (sqrt(dim) * factors[:, :, None] * number)
     estimate = images.reshape(len(images), -1) @ corners.reshape(n, -1).T
@@ -78,10 +82,11 @@ def estimates(images: np.ndarray, signs: np.ndarray, factors: np.ndarray, deviat
 
 
 def links(low: np.ndarray, high: np.ndarray | None, coded: tuple, how: Codes) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of positions with a cosine from the threshold on, among ``low`` or between ``low`` and ``high``.
+    """Pairs of positions with a cosine from the threshold on, among ``low`` or between ``low`` and
+    ``high``.
 
-    ``coded`` are signs and factors of what is searched. What the estimate and its bound rule out is not looked at again; all other pairs
-    get their exact product.
+    ``coded`` are signs and factors of what is searched. What the estimate and its bound rule out is
+    not looked at again; all other pairs get their exact product.
     """
     searched = low if high is None else high
     turned, signs, factors = coded
@@ -124,7 +129,8 @@ def coded_classes(vectors: DataFrame, dim: int, n: int, how: Codes) -> DataFrame
 def coarse_edges(classes: DataFrame, how: Codes, dim: int) -> DataFrame:
     """``a, b``: links that hold together at least all pairs whose codes cannot rule them out.
 
-    Vectors meet by hash key. Of each bucket only codes travel, and what comes back links each vector with one other.
+    Vectors meet by hash key. Of each bucket only codes travel, and what comes back links each
+    vector with one other.
     """
     bits = dim * -(-how.bits // dim)
     p = acos(how.threshold) / pi
@@ -169,8 +175,10 @@ def coarse_edges(classes: DataFrame, how: Codes, dim: int) -> DataFrame:
 
 
 def exact_links(members: DataFrame, how: Codes, dim: int) -> DataFrame:
-    """Of vectors in coarse groups ``(root, rep, copies, vec, code, factors)``: per vector and place ``a`` the
-    number ``n`` of vectors it is linked with, and links ``a, b`` (``n`` null) that hold the linked ones together."""
+    """Of vectors in coarse groups ``(root, rep, copies, vec, code, factors)``: per vector and place
+    ``a`` the number ``n`` of vectors it is linked with, and links ``a, b`` (``n`` null) that hold
+    the linked ones together.
+    """
     place = ["root", "low", "high"]
     of_code = -(-how.bits // dim)
 
@@ -212,14 +220,16 @@ def exact_links(members: DataFrame, how: Codes, dim: int) -> DataFrame:
 def near_vectors(vectors: DataFrame, how: Codes | None = None) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` for every id of ``vectors(vec_id, embedding)``.
 
-    Two vectors are linked if their cosine, in double precision, is at least the threshold. ``n_links`` counts the other
-    vectors linked directly, copies included; ``component_id`` is the smallest id that links reach. Vectors that are null,
-    zero or empty or hold null or non-finite components are linked with nothing. Of rows that share an id the smallest vector counts;
-    rows without id are left out; a shorter vector is filled with zeros. Other columns are ignored.
+    Two vectors are linked if their cosine, in double precision, is at least the threshold.
+    ``n_links`` counts the other vectors linked directly, copies included; ``component_id`` is the
+    smallest id that links reach. Vectors that are null, zero or empty or hold null or non-finite
+    components are linked with nothing. Of rows that share an id the smallest vector counts; rows
+    without id are left out; a shorter vector is filled with zeros. Other columns are ignored.
 
-    Exact copies are one vector with a count. Hash keys made of code bits find candidates, codes keep those that may be near and hold them together in
-    coarse groups; within a group, which has all possible links of its members that were found, estimates with correction factors rule
-    pairs out, and the rest is computed exactly. Large buckets and groups are split into pairs of blocks.
+    Exact copies are one vector with a count. Hash keys made of code bits find candidates, codes
+    keep those that may be near and hold them together in coarse groups; within a group, which has
+    all possible links of its members that were found, estimates with correction factors rule pairs
+    out, and the rest is computed exactly. Large buckets and groups are split into pairs of blocks.
     """
     how = how or Codes()
     rows = saved(one_per_id(vectors))

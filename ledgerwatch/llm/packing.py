@@ -21,7 +21,9 @@ PART_ROWS = 50_000
 
 @dataclass(frozen=True)
 class Cost:
-    """What a sequence of ``size`` tokens costs: a fixed part, one per token, and attention, which is quadratic."""
+    """What a sequence of ``size`` tokens costs: a fixed part, one per token, and attention, which is
+    quadratic.
+    """
 
     fixed: float = 64.0
     quadratic: float = 2.0**-16

@@ -88,9 +88,10 @@ class Training:
 class QualityModel:
     """A logistic score that is additive in binned features.
 
-    Learned by minimising the non-negative unbiased risk of Kiryo et al. (2017): with the class prior p, positives P and unlabelled
-    texts U, it is ``p * loss(P, +) + max(0, loss(U, -) - p * loss(P, -))``. Where the second part would be negative the model has begun
-    to memorise, and the step goes the other way in that part.
+    Learned by minimising the non-negative unbiased risk of Kiryo et al. (2017): with the class
+    prior p, positives P and unlabelled texts U, it is ``p * loss(P, +) + max(0, loss(U, -) - p *
+    loss(P, -))``. Where the second part would be negative the model has begun to memorise, and the
+    step goes the other way in that part.
     """
 
     def __init__(self, unlabelled: np.ndarray, tails: tuple[float, ...]):
@@ -103,8 +104,8 @@ class QualityModel:
 
     def cells(self, rows: np.ndarray) -> np.ndarray:
         """Positions in ``weights``, one for each feature of each row."""
-        parts = [f + np.searchsorted(c, rows[:, k], "right") for k, (f, c) in enumerate(zip(self.first, self.cuts, strict=False))]
-        return np.stack(parts, axis=1)
+        bins = [np.searchsorted(cuts, rows[:, k], "right") for k, cuts in enumerate(self.cuts)]
+        return np.stack(bins, axis=1) + self.first[:-1]
 
     def margin(self, cells: np.ndarray) -> np.ndarray:
         return self.weights[cells].sum(axis=1) + self.bias
@@ -155,7 +156,8 @@ def estimate_prior(positives: np.ndarray, unlabelled: np.ndarray, step: float) -
                 ((positives[:, k] > cut).mean(), (unlabelled[:, k] > cut).mean()),
             ):
                 if part_p > 0.2:
-                    noise = 2 * np.sqrt(part_u * (1 - part_u) / len(unlabelled) + part_p * (1 - part_p) / len(positives))
+                    spread = part_u * (1 - part_u) / len(unlabelled) + part_p * (1 - part_p) / len(positives)
+                    noise = 2 * np.sqrt(spread)
                     if (part_u + noise) / part_p < bound:
                         bound, prior = (part_u + noise) / part_p, part_u / part_p
     return float(np.clip(prior, 0.05, 0.99))
@@ -164,8 +166,9 @@ def estimate_prior(positives: np.ndarray, unlabelled: np.ndarray, step: float) -
 def train_quality(docs: DataFrame, labels: DataFrame, how: Training | None = None) -> QualityModel:
     """A model from bounded samples: positives of ``labels`` with their texts, and texts of any kind.
 
-    Both are what comes first in a hash order of the ids. ``docs(doc_id, text)`` and ``labels(doc_id, quality)`` hold only
-    what may be learned from. Of rows that share an id one text is used. Null texts count as empty; labels that are null are left out.
+    Both are what comes first in a hash order of the ids. ``docs(doc_id, text)`` and
+    ``labels(doc_id, quality)`` hold only what may be learned from. Of rows that share an id one
+    text is used. Null texts count as empty; labels that are null are left out.
     """
     how = how or Training()
     texts = docs.select("doc_id", "text", F.xxhash64("doc_id").alias("place")).where("doc_id is not null")
@@ -211,11 +214,12 @@ def quality(text: Column, model: QualityModel) -> Column:
 def score_quality(docs: DataFrame, labels: DataFrame, modulus: int = 5, how: Training | None = None) -> DataFrame:
     """``doc_id, held_out, score, predicted`` for every row of ``docs(doc_id, text)``.
 
-    Nothing is learned from ids whose crc32 leaves 0 modulo ``modulus``, nor from rows without id. Scores see the text only; without
-    positives or texts to learn from every score is 0.5. Repeated rows give repeated results; other columns are ignored.
+    Nothing is learned from ids whose crc32 leaves 0 modulo ``modulus``, nor from rows without id.
+    Scores see the text only; without positives or texts to learn from every score is 0.5. Repeated
+    rows give repeated results; other columns are ignored.
     """
     remainder = crc_remainder("doc_id", modulus)
     model = train_quality(docs.where(remainder > 0), labels.where(remainder > 0), how)
-    return small_batches(docs).select("doc_id", (remainder == 0).alias("held_out"), quality(F.col("text"), model).alias("score")).selectExpr(
-        "*", f"if(score >= {THRESHOLD}, 1, 0) as predicted"
-    )
+    score = quality(F.col("text"), model).alias("score")
+    scored = small_batches(docs).select("doc_id", (remainder == 0).alias("held_out"), score)
+    return scored.selectExpr("*", f"if(score >= {THRESHOLD}, 1, 0) as predicted")

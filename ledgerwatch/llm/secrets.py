@@ -52,9 +52,11 @@ def base_spans(text: str) -> list[tuple[int, int, int, int]]:
     """``(start, kind, end, value_start)`` of the base matches, by start and kind."""
     found = []
     if (":" in text or "=" in text) and any(k in (low := text.lower()) for k in ("pass", "secret", "token", "key")):
-        found += [(m.start(), 0, m.end(), m.start(2)) for m in ASSIGN.finditer(text) if m.end() - m.start(2) >= ASSIGN_LEAST]
+        long = (m for m in ASSIGN.finditer(text) if m.end() - m.start(2) >= ASSIGN_LEAST)
+        found += [(m.start(), 0, m.end(), m.start(2)) for m in long]
     if "AKIA" in text:
-        found += [(m.start(), 1, m.end(), m.start()) for m in ACCESS.finditer(text) if m.end() - m.start() >= ACCESS_LEAST]
+        long = (m for m in ACCESS.finditer(text) if m.end() - m.start() >= ACCESS_LEAST)
+        found += [(m.start(), 1, m.end(), m.start()) for m in long]
     found += [(m.start(), 2, m.end(), m.start()) for m in HEX.finditer(text)]
     return sorted(found)
 
@@ -69,7 +71,9 @@ for k, chars in enumerate(("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUV
 LOWERED = np.arange(128, dtype=np.uint64)
 LOWERED[65:91] += 32
 POWERS = np.array([pow(1_000_003, k, 2**64) for k in range(32)], np.uint64)
-KEYWORD_HASHES = np.array([sum(ord(c) * pow(1_000_003, k, 2**64) for k, c in enumerate(w)) % 2**64 for w in KEYWORDS], np.uint64)
+KEYWORD_HASHES = np.array(
+    [sum(ord(c) * pow(1_000_003, k, 2**64) for k, c in enumerate(word)) % 2**64 for word in KEYWORDS], np.uint64
+)
 
 # Coarse kinds of a token, for its neighbours.
 NOTHING, WORD, KEY, ASSIGNS, QUOTE, DOT, SYMBOL, WITH_DIGIT, LONG = range(9)
@@ -343,7 +347,9 @@ def train_field(docs: DataFrame, how: Training | None = None, text: str = "text"
 
 
 def pieces(texts: list[str], most: int) -> Iterator[tuple[int, int, str]]:
-    """``(number, start, piece)``: the texts, the longer ones cut at white space into pieces of at most ``most``."""
+    """``(number, start, piece)``: the texts, the longer ones cut at white space into pieces of at most
+    ``most``.
+    """
     for k, text in enumerate(texts):
         start = 0
         while len(text) - start > most:
@@ -357,7 +363,8 @@ def pieces(texts: list[str], most: int) -> Iterator[tuple[int, int, str]]:
 def scan(texts: list[str], field: Field, chunk_chars: int = 1_000_000) -> list[tuple[list, list[tuple[int, int]]]]:
     """Per text its base spans, and the spans of the field that overlap none of them.
 
-    The field reads about ``chunk_chars`` characters at a time, and a longer text in pieces, so its memory is bounded.
+    The field reads about ``chunk_chars`` characters at a time, and a longer text in pieces, so its
+    memory is bounded.
     """
     added: list[list[tuple[int, int]]] = [[] for _ in texts]
 
@@ -424,10 +431,9 @@ def redacted(text: Column, field: Field) -> Column:
     def masked(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             found = scan([t or "" for t in texts], field)
-            yield pd.Series(
-                [None if t is None else mask(t, [(v, e) for _, _, e, v in b] + a) for t, (b, a) in zip(texts, found, strict=True)],
-                dtype=object,
-            )
+            spans = [[(value, end) for _, _, end, value in base] + added for base, added in found]
+            masked_texts = [t and mask(t, s) for t, s in zip(texts, spans, strict=True)]
+            yield pd.Series(masked_texts, dtype=object)
 
     return masked(text)
 

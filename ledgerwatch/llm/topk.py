@@ -18,11 +18,13 @@ LONG = 2**63 - 1
 
 
 def segment_statistics(rows: np.ndarray, segments: int) -> np.ndarray:
-    """Per segment the mean and the deviation, scaled so that the product of two such rows bounds the inner product.
+    """Per segment the mean and the deviation, scaled so that the product of two such rows bounds the
+    inner product.
 
-    With segments of width w, means m and deviations s (roots of the summed squares about the mean), the
-    squared distance of q and x is at least the sum of ``w (mq - mx)^2 + (sq - sx)^2``. The inner product is half of what the
-    squared lengths exceed the squared distance by, so it is at most the sum of ``w mq mx + sq sx``.
+    With segments of width w, means m and deviations s (roots of the summed squares about the mean),
+    the squared distance of q and x is at least the sum of ``w (mq - mx)^2 + (sq - sx)^2``. The
+    inner product is half of what the squared lengths exceed the squared distance by, so it is at
+    most the sum of ``w mq mx + sq sx``.
     """
     n, dim = rows.shape
     width = -(-dim // segments)
@@ -41,10 +43,12 @@ def resolutions(dim: int) -> list[int]:
 def best_of_block(
     query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int, tile: int = 1024
 ) -> pd.DataFrame:
-    """The ``k`` best of ``rows`` for each query, by score and then smaller id; whole numbers as floats come in.
+    """The ``k`` best of ``rows`` for each query, by score and then smaller id; whole numbers as floats
+    come in.
 
-    Candidates are looked at tile by tile in order of id. Pairs whose bound is not above
-    the query's ``k``-th score so far are dropped at the coarsest resolution that shows it; the others get their exact score.
+    Candidates are looked at tile by tile in order of id. Pairs whose bound is not above the query's
+    ``k``-th score so far are dropped at the coarsest resolution that shows it; the others get their
+    exact score.
     """
     order = np.argsort(ids, kind="stable")
     ids, rows = ids[order], rows[order]
@@ -76,7 +80,9 @@ def best_of_block(
         best = best.sort_values(["q", "score", "vec_id"], ascending=[True, False, True], kind="stable").groupby("q").head(k)
         last = best.groupby("q")["score"].agg(["size", "last"])
         last = last[last["size"] == k]
-        level[last.index.to_numpy().astype(int)] = [float(np.nextafter(float(v), -np.inf)) if not whole else v for v in last["last"]]
+        # A score of more digits than a float has is rounded down, so that no equal one is lost.
+        reached = [v if whole else np.nextafter(float(v), -np.inf) for v in last["last"]]
+        level[last.index.to_numpy().astype(int)] = reached
     score = [int(min(max(int(v), -LONG - 1), LONG)) for v in best["score"]]
     return pd.DataFrame(
         {"query_id": query_ids[best["q"].to_numpy().astype(int)], "score": score, "vec_id": best["vec_id"].to_numpy()}
@@ -90,13 +96,16 @@ def top_k(
     block_queries: int = 16_384,
     block_rows: int = 8_192,
 ) -> DataFrame:
-    """``query_id, rank, vec_id, score``: for each row that meets ``queries`` the ``k`` others with the highest score.
+    """``query_id, rank, vec_id, score``: for each row that meets ``queries`` the ``k`` others with the
+    highest score.
 
-    The score is the inner product of ``floor(64 * x)``, exact; ties go to the smaller id. Vectors that are
-    null or hold null or non-finite components take no part, nor do rows without id; of rows that share
-    an id the smallest vector counts; a shorter vector is filled with zeros; a sum beyond a long is cut to its ends. Other columns are ignored.
+    The score is the inner product of ``floor(64 * x)``, exact; ties go to the smaller id. Vectors
+    that are null or hold null or non-finite components take no part, nor do rows without id; of
+    rows that share an id the smallest vector counts; a shorter vector is filled with zeros; a sum
+    beyond a long is cut to its ends. Other columns are ignored.
 
-    Each block of queries meets each block of candidates in one task; a task returns ``k`` rows per query and block.
+    Each block of queries meets each block of candidates in one task; a task returns ``k`` rows per
+    query and block.
     """
     rows = saved(one_per_id(vectors).where(f"vec is not null and {FINITE}"))
     asked = rows.where(queries)

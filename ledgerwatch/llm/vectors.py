@@ -12,7 +12,9 @@ FINITE = "not exists(vec, x -> x is null or isnan(x) or abs(x) = double('infinit
 
 
 def one_per_id(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
-    """``vec_id, vec`` with one row per id: of rows that share an id the smallest vector. Rows without id are left out."""
+    """``vec_id, vec`` with one row per id: of rows that share an id the smallest vector. Rows without
+    id are left out.
+    """
     rows = vectors.select(F.col(vec_id).alias("vec_id"), F.col(embedding).cast("array<double>").alias("vec"))
     return rows.where("vec_id is not null").groupBy("vec_id").agg(F.min("vec").alias("vec"))
 
