@@ -37,10 +37,11 @@ LATENCY_BOUNDS_MS = [5.0, 10.0, 25.0, 50.0, 100.0, 250.0, 500.0, 1000.0, 2500.0]
 class SkewConfig:
     """When an account counts as hot, and how finely its time line is cut.
 
-    Every account with ``min_rows`` rows and more is hot. The time line of a hot account is cut
-    into cells, and cells with more rows than a slice should have are cut into parts. A slice
-    should have ``slice_rows`` rows, or more if the account has over ``max_slices`` times as many. Up to ``max_keys`` hot accounts
-    and ``max_cells`` full cells the lists of them are broadcast, beyond that they are joined by a shuffle.
+    Every account with ``min_rows`` rows and more is hot. The time line of a hot account is cut into
+    cells, and cells with more rows than a slice should have are cut into parts. A slice should have
+    ``slice_rows`` rows, or more if the account has over ``max_slices`` times as many. Up to
+    ``max_keys`` hot accounts and ``max_cells`` full cells the lists of them are broadcast, beyond
+    that they are joined by a shuffle.
     """
 
     min_rows: int = 20_000

@@ -25,10 +25,11 @@ OVERCUT = 16
 
 @dataclass(frozen=True)
 class Slices:
-    """The hot accounts (``account_id, wanted`` rows per slice) and their full cells (``account_id, cell, part_us``).
+    """The hot accounts (``account_id, wanted`` rows per slice) and their full cells (``account_id,
+    cell, part_us``).
 
-    Short lists have been counted and are broadcast. Longer ones are joined like any other table: the
-    side with the rows may be skewed, which adaptive execution splits.
+    Short lists have been counted and are broadcast. Longer ones are joined like any other table:
+    the side with the rows may be skewed, which adaptive execution splits.
     """
 
     accounts: DataFrame

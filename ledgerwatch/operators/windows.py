@@ -35,10 +35,10 @@ def window_activity(
     """Activity per account and sliding window, with exact numbers of merchants and countries.
 
     Rows are combined per pane first. Then every pane enters the windows it is part of, once for its
-    merchant and once for its country; one row is left for each name of a window, and these are counted. All three steps
-    aggregate before they shuffle and none needs the rows of an account together, so an
-    account with all rows, or with a new merchant in each, is spread over all tasks. The slide divides the length;
-    equal ones give tumbling windows.
+    merchant and once for its country; one row is left for each name of a window, and these are
+    counted. All three steps aggregate before they shuffle and none needs the rows of an account
+    together, so an account with all rows, or with a new merchant in each, is spread over all tasks.
+    The slide divides the length; equal ones give tumbling windows.
     """
     length, slide = length_seconds * MICROS_PER_SECOND, slide_seconds * MICROS_PER_SECOND
     entries = """inline(array(
@@ -82,7 +82,9 @@ def window_activity_approx(
 def sketch_errors(
     transactions: DataFrame, length_seconds: int = LENGTH_SECONDS, slide_seconds: int = SLIDE_SECONDS
 ) -> DataFrame:
-    """Per account and window the exact figures, and whether the sketched distinct numbers are within ``SKETCH_ERROR`` of them."""
+    """Per account and window the exact figures, and whether the sketched distinct numbers are within
+    ``SKETCH_ERROR`` of them.
+    """
     exact = window_activity(transactions, length_seconds, slide_seconds)
     sketched = window_activity_approx(transactions, length_seconds, slide_seconds)
     keys, names = ["window_start", "account_id"], ["window_distinct_merchants", "window_distinct_countries"]

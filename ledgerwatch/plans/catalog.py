@@ -157,7 +157,9 @@ def probe_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A view of the transactions with a third of the rows on one account, pauses of exactly the gap, and ties in time."""
+    """A view of the transactions with a third of the rows on one account, pauses of exactly the gap,
+    and ties in time.
+    """
     number = "cast(substring(transaction_id, 4) as bigint)"
     us = f"timestamp_micros(({micros()} div 300000000) * 300000000 + if({number} % 5 = 0, 0, {micros()} % 300000000))"
     changed = {

@@ -123,7 +123,9 @@ class ScoringJob:
 
 
 def kept_buckets(spark: SparkSession, output: str) -> DataFrame:
-    """``metric, le, cumulative, value_sum, value_count`` over all batches so far: of scores, and of the alerts' latency."""
+    """``metric, le, cumulative, value_sum, value_count`` over all batches so far: of scores, and of
+    the alerts' latency.
+    """
     batches = spark.read.parquet(f"{output}/buckets")
     return batches.groupBy("metric", "le").agg(
         F.expr("sum(cumulative) as cumulative"),

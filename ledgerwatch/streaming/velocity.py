@@ -29,14 +29,14 @@ def _flat(windows: DataFrame) -> DataFrame:
 def window_stream(
     transactions: DataFrame, late: str = WATERMARK, length: str = WINDOW_LENGTH, slide: str = WINDOW_SLIDE
 ) -> DataFrame:
-    """Activity per account and sliding window, for append mode, with exact distinct numbers.
-    A slide as long as the window gives tumbling windows.
-
-    A distinct aggregate cannot run on a stream, and a set per window would hold all
-    merchants of a busy account in one row. So transactions are first combined per pane of one slide, account, merchant and
-    country, which is the only state that grows with them. Closed panes enter their windows once for
-    their merchant and once for their country; one row is kept for each name of a window, spread
-    over the tasks, and the last aggregation counts these rows.
+    """Activity per account and sliding window, for append mode, with exact distinct numbers. A slide
+    as long as the window gives tumbling windows.
+
+    A distinct aggregate cannot run on a stream, and a set per window would hold all merchants of a
+    busy account in one row. So transactions are first combined per pane of one slide, account,
+    merchant and country, which is the only state that grows with them. Closed panes enter their
+    windows once for their merchant and once for their country; one row is kept for each name of a
+    window, spread over the tasks, and the last aggregation counts these rows.
     """
     pane = F.window("event_time", slide).alias("pane")
     panes = (
