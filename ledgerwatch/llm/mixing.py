@@ -6,12 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerwatch.llm.common import saved, unused, word_count
+from ledgerwatch.operators.skew import short
 
 LEVELS = ("domain", "lang", "source")
 NONE = "(none)"
 
 #: A hash bucket of a leaf is to hold about this many documents.
 BUCKET_DOCS = 1024
+BROADCAST_LEAVES = 10_000
 
 
 def source_domain(source: str = "source") -> str:
@@ -159,7 +161,8 @@ def mix(
     keep = unused(docs, "leaf_")
     rows = counted.withColumn(keep, F.expr(f"struct({', '.join(path)})"))
     cut = unused(rows, "cut_")
-    cutoffs = cutoffs.select(F.struct("leaf", "whole", "last_place").alias(cut))
+    # Up to this many leaves are broadcast, so that no text is shuffled; more are joined by a shuffle.
+    cutoffs = short(cutoffs.select(F.struct("leaf", "whole", "last_place").alias(cut)), BROADCAST_LEAVES)
     joined = rows.join(cutoffs, F.col(keep) == F.col(f"{cut}.leaf"))
     place = epoch_order(f"`{doc_id}`", f"{cut}.whole", seed)
     epochs = f"cast({cut}.whole as int) + if(coalesce({place} <= {cut}.last_place, false), 1, 0)"
