@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -395,7 +397,9 @@ def scan(texts: list[str], field: Field, chunk_chars: int = 1_000_000) -> list[t
     found = []
     for text, own in zip(texts, added, strict=True):
         base = base_spans(text)
-        found.append((base, [(s, e) for s, e in own if all(e <= x[0] or s >= x[2] for x in base)]))
+        starts = [x[0] for x in base]
+        reached = [0, *accumulate((x[2] for x in base), max)]  # by the base spans that start before
+        found.append((base, [(s, e) for s, e in own if reached[bisect_left(starts, e)] <= s]))
     return found
 
 
