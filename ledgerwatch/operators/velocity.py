@@ -10,6 +10,7 @@ from ledgerwatch.functions.columns import TOTAL, exact_sum, from_units, micros,
 from ledgerwatch.operators.skew import WHOLE, Slices, find_slices
 
 GAP_US = SESSION_GAP_SECONDS * MICROS_PER_SECOND
+LATE_US = 30 * MICROS_PER_SECOND
 BEFORE_ALL = -(2**62)  # slice of what is known from earlier batches
 
 BY_TIME = "partition by account_id, slice order by us, transaction_id"
@@ -119,6 +120,36 @@ def _carried(keys: DataFrame, slices: Slices, earlier: DataFrame | None) -> Data
     return carried.unionByName(_opening(not_cut))
 
 
+def next_sessions(
+    scored: DataFrame, earlier: DataFrame | None, newest_us: int, late_us: int = LATE_US
+) -> DataFrame:
+    """The open sessions after a table: those of its scored rows, and the earlier ones it did not touch.
+
+    For tables that are scored one after the other, as ``earlier`` of the next one.
+
+    A session that has paused for longer than the gap, seen from the newest row less
+    the time that rows may be late, is left out: its account would start anew in any case.
+    """
+    known = scored.selectExpr(
+        "account_id",
+        f"struct(1 as turn, {micros()} as us, transaction_id) as place",
+        f"struct(window_count as n, cast({to_units('window_spend')} as {TOTAL}) as units) as session",
+    )
+    if earlier is not None:
+        known = known.unionByName(
+            earlier.selectExpr(
+                "account_id", "struct(0 as turn, last_us as us, '' as transaction_id) as place",
+                f"struct(n, cast(units as {TOTAL}) as units) as session"
+            )
+        )
+    merged = known.groupBy("account_id").agg(
+        F.expr("max_by(session, place) as session"), F.expr("max(place.us) as last_us")
+    )
+    return merged.where(f"last_us >= {newest_us - GAP_US - late_us}").select(
+        "account_id", "session.n", "session.units", "last_us"
+    )
+
+
 def running_change(events: DataFrame, measures: list[str], slices: Slices) -> DataFrame:
     """Replace each measure by its sum over the account's events up to the same time.
 

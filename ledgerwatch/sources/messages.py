@@ -26,14 +26,16 @@ STREAM_FAULT = f"""coalesce({FAULT}, case
 ISO_TIME = "date_format(detected_at, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'\")"
 
 
-def decode_transactions(raw: DataFrame) -> DataFrame:
+def decode_transactions(raw: DataFrame, *keep: str) -> DataFrame:
     """Message bytes to typed columns; unreadable messages become rows of nulls.
 
-    ``raw`` has the layout of the Kafka source: ``key``, ``value``, ``timestamp``.
+    ``raw`` has the layout of the Kafka source: ``key``, ``value``, ``timestamp``. Its columns
+    ``keep`` stay as they are.
     """
     # ``inline`` makes the fields rows of a generator: filters on them stay above it, where
     # as parts of a struct each of them would parse the message once more.
     return raw.selectExpr(
+        *keep,
         "cast(key as string) as message_key",
         "timestamp as kafka_timestamp",
         "cast(value as string) as message",

@@ -1,9 +1,8 @@
 """The scoring stream: messages in, scored transactions and alerts out.
 
-Every micro-batch is scored by the same operators as a table. What a batch must know about
-the accounts' open sessions is a small table that the batch before it has written. All
-writes go to places named after the batch, so a batch that runs again after a failure
-replaces its own output and changes nothing else.
+Session counters come from keyed state (``streaming.sessions``), everything else from the operators
+that tables use. All writes go to places named after the batch, so a batch that runs again
+after a failure replaces its own output and changes nothing else.
 """
 
 from __future__ import annotations
@@ -16,17 +15,14 @@ from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerwatch.config import ALERT_THRESHOLD, DEFAULT_SKEW, MICROS_PER_SECOND, SkewConfig
-from ledgerwatch.functions.columns import TOTAL, micros, to_units
+from ledgerwatch.config import ALERT_THRESHOLD
+from ledgerwatch.functions.columns import from_units, micros
 from ledgerwatch.functions.scores import score_transactions
 from ledgerwatch.operators.alerts import live_feed, raise_alerts
 from ledgerwatch.operators.analytics import latency_buckets, score_buckets
-from ledgerwatch.operators.velocity import GAP_US, session_velocity
 from ledgerwatch.session import checkpoint_root
 from ledgerwatch.sources.messages import STREAM_FAULT, alert_messages, decode_transactions, quarantined
-
-STATE = f"account_id string, n bigint, units {TOTAL}, last_us bigint"
-LATE_US = 30 * MICROS_PER_SECOND
+from ledgerwatch.streaming.sessions import count_sessions
 
 
 @dataclass(frozen=True)
@@ -38,37 +34,25 @@ class ScoringJob:
 
     output: str
     threshold: float = ALERT_THRESHOLD
-    skew: SkewConfig = DEFAULT_SKEW
     publish: Callable[[DataFrame], None] | None = None
 
     def place(self, table: str, batch_id: int) -> str:
         return f"{self.output}/{table}/batch_id={batch_id}"
 
-    def state_place(self, batch_id: int) -> str:
-        """Two places in turn: a batch writes the one that the batch before it did not."""
-        return f"{self.output}/state/slot={batch_id % 2}"
-
-    def run(self, messages: DataFrame, batch_id: int) -> None:
-        """Score one micro-batch."""
+    def run(self, counted: DataFrame, batch_id: int) -> None:
+        """Score one micro-batch of messages with their session counters."""
         started = time.monotonic()
-        spark = messages.sparkSession
-        # The size of a micro-batch is limited by the source; it is parsed once and kept.
-        decoded = decode_transactions(messages).selectExpr("*", f"{STREAM_FAULT} as reason").persist()
+        spark = counted.sparkSession
+        # The size of a micro-batch is limited by the source; state is updated once and the result kept.
+        decoded = decode_transactions(counted, "window_count", "window_units")
+        decoded = decoded.selectExpr("*", f"{STREAM_FAULT} as reason").persist()
         try:
-            size = decoded.agg(
-                F.expr("count(*) as rows"),
-                F.expr("count(reason) as faulty"),
-                # Never ahead of the messages: a row from the future cannot end the sessions of others.
-                F.expr(
-                    f"coalesce(max(least({micros()}, {micros('kafka_timestamp')})) filter (where reason is null), 0) as newest_us"
-                ),
-            ).first()
+            size = decoded.agg(F.expr("count(*) as rows"), F.expr("count(reason) as faulty")).first()
             if size.faulty:
                 self.write(quarantined(decoded), "quarantine", batch_id)
             good = decoded.where("reason is null").drop("message_key", "message", "reason")
-            earlier = self.open_sessions(spark, batch_id)
-            skew = self.skew if size.rows >= self.skew.min_rows else None
-            scored = score_transactions(session_velocity(good, earlier, skew))
+            spend = F.expr(from_units("window_units"))
+            scored = score_transactions(good.withColumn("window_spend", spend).drop("window_units"))
             scored = scored.withColumn("scored_at", F.current_timestamp())
             self.write(scored, "scored", batch_id)
         finally:
@@ -76,15 +60,14 @@ class ScoringJob:
         # From here on the written table is read, nothing is scored twice.
         scored = spark.read.schema(scored.schema).parquet(self.place("scored", batch_id))
         latency = f"({micros('scored_at')} - {micros('kafka_timestamp')}) / 1000D"
-        counted = Observation()
+        raised = Observation()
         alerts = raise_alerts(scored, latency, "scored_at", self.threshold)
-        self.write(alerts.observe(counted, F.count("*").alias("alerts")), "alerts", batch_id)
+        self.write(alerts.observe(raised, F.count("*").alias("alerts")), "alerts", batch_id)
         written = spark.read.schema(alerts.schema).parquet(self.place("alerts", batch_id))
         self.keep_views(spark, scored, written, batch_id)
         if self.publish is not None:
             self.publish(alert_messages(written))
-        next_sessions(scored, earlier, size.newest_us).write.mode("overwrite").parquet(self.state_place(batch_id))
-        self.log(spark, batch_id, size, counted.get["alerts"], time.monotonic() - started)
+        self.log(spark, batch_id, size, raised.get["alerts"], time.monotonic() - started)
 
     def write(self, rows: DataFrame, table: str, batch_id: int) -> None:
         rows.write.mode("overwrite").parquet(self.place(table, batch_id))
@@ -92,7 +75,8 @@ class ScoringJob:
     def keep_views(self, spark: SparkSession, scored: DataFrame, alerts: DataFrame, batch_id: int) -> None:
         """The histograms of the batch, and the feed with the batch's alerts.
 
-        The feed has a fixed length; like the sessions it has two places, which batches write in turn.
+        The feed has a fixed length and two places, which batches write in turn: a batch reads the one
+        that it does not write.
         """
         buckets = score_buckets(scored).selectExpr("'score' as metric", "*")
         latency = latency_buckets(alerts, "detection_latency_ms").selectExpr("'latency_ms' as metric", "*")
@@ -104,12 +88,6 @@ class ScoringJob:
     def feed_place(self, batch_id: int) -> str:
         return f"{self.output}/feed/slot={batch_id % 2}"
 
-    def open_sessions(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
-        """The sessions that the batch before this one left open."""
-        if batch_id == 0:
-            return None
-        return spark.read.schema(STATE).parquet(self.state_place(batch_id - 1))
-
     def log(self, spark: SparkSession, batch_id: int, size: Row, alerts: int, seconds: float) -> None:
         """One row per batch: rows, faulty rows, alerts, time taken and rate."""
         row = spark.range(0, 1, 1, 1).selectExpr(
@@ -134,32 +112,6 @@ def kept_buckets(spark: SparkSession, output: str) -> DataFrame:
     )
 
 
-def next_sessions(scored: DataFrame, earlier: DataFrame | None, newest_us: int) -> DataFrame:
-    """The open sessions after a batch: those of the batch, and the earlier ones it did not touch.
-
-    A session that has paused for longer than the gap, seen from the batch's newest row less
-    the time that rows may be late, is left out: its account would start anew in any case.
-    """
-    known = scored.selectExpr(
-        "account_id",
-        f"struct(1 as turn, {micros()} as us, transaction_id) as place",
-        f"struct(window_count as n, cast({to_units('window_spend')} as {TOTAL}) as units) as session",
-    )
-    if earlier is not None:
-        known = known.unionByName(
-            earlier.selectExpr(
-                "account_id", "struct(0 as turn, last_us as us, '' as transaction_id) as place",
-                f"struct(n, cast(units as {TOTAL}) as units) as session"
-            )
-        )
-    merged = known.groupBy("account_id").agg(
-        F.expr("max_by(session, place) as session"), F.expr("max(place.us) as last_us")
-    )
-    return merged.where(f"last_us >= {newest_us - GAP_US - LATE_US}").select(
-        "account_id", "session.n", "session.units", "last_us"
-    )
-
-
 def start_scoring(
     messages: DataFrame,
     job: ScoringJob,
@@ -170,6 +122,14 @@ def start_scoring(
 ) -> StreamingQuery:
     """Start the stream; ``available_now`` ends it when the messages at hand are done."""
     folder = checkpoint or f"{checkpoint_root(messages.sparkSession)}/{name}"
-    writer = messages.writeStream.queryName(name).option("checkpointLocation", folder).foreachBatch(job.run)
+    counted = count_sessions(messages)
+    writer = counted.writeStream.queryName(name).option("checkpointLocation", folder).foreachBatch(job.run)
     trigger = {"availableNow": True} if available_now else {"processingTime": every}
-    return writer.trigger(**trigger).start()
+    # Old state goes when messages come; without this, it would ask for empty batches all the time.
+    conf, key = messages.sparkSession.conf, "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = conf.get(key)
+    conf.set(key, "false")
+    try:
+        return writer.trigger(**trigger).start()
+    finally:
+        conf.set(key, before)

@@ -1,7 +1,11 @@
 """Amounts and values of any size, rows from the future, repeated alerts."""
 
 import json
+import os
+import time
+from decimal import Decimal
 
+import numpy as np
 import pytest
 
 from ledgerwatch.functions.columns import rounded
@@ -10,6 +14,7 @@ from ledgerwatch.operators.percentiles import interpolated, nearest_rank
 from ledgerwatch.operators.velocity import session_velocity, trailing_velocity
 from ledgerwatch.operators.windows import window_activity
 from ledgerwatch.sources.messages import STREAM_FAULT, parse_transactions, quarantine
+from ledgerwatch.streaming.sessions import running_sessions
 
 
 def rows(spark, amounts):
@@ -60,18 +65,46 @@ def test_rows_from_the_future_are_set_aside_with_their_message(spark):
     assert bad.reason == "event time in the future" and json.loads(bad.message)["timestamp"].startswith("2030")
 
 
-def test_a_row_a_little_ahead_ends_no_other_session(spark, tmp_path):
-    from ledgerwatch.streaming.scoring import ScoringJob
-
-    job = ScoringJob(str(tmp_path))
-    body = {"amount": 1.0, "timestamp": "2024-01-01T01:00:00+00:00"}
-    first = [(b"", json.dumps({**body, "transaction_id": f"T{i}", "account_id": f"A{i}"}).encode()) for i in range(10)]
-    ahead = [(b"", json.dumps({**body, "transaction_id": "U", "account_id": "B", "timestamp": t}).encode())
-             for t in ("2024-01-01T01:04:59+00:00", "2030-01-01T00:00:00+00:00")]
-    for batch, raw in enumerate((first, ahead)):
-        frame = spark.createDataFrame(raw, "key binary, value binary").selectExpr("*", "timestamp'2024-01-01 01:00:00' as timestamp")
-        job.run(frame, batch)
-    assert job.open_sessions(spark, 2).count() == 11
+def test_state_is_kept_per_account_whatever_the_others_bring(spark, tmp_path):
+    """Three batches: ten accounts; one row just ahead and one far ahead; the accounts again, a late row among them."""
+    from ledgerwatch.sources.streams import file_messages
+    from ledgerwatch.streaming.scoring import ScoringJob, start_scoring
+
+    def body(transaction, account, time):
+        fields = {"amount": 1.5, "timestamp": f"{time}+00:00", "transaction_id": transaction, "account_id": account}
+        return account.encode(), json.dumps(fields).encode()
+
+    first = [body(f"T{i}", f"A{i}", "2024-01-01T01:00:00") for i in range(10)]
+    ahead = [body("U", "B", "2024-01-01T01:04:59"), body("V", "A0", "2030-01-01T00:00:00"), (b"", b"\xff{"), (b"", None)]
+    again = [body(f"W{i}", f"A{i}", "2024-01-01T01:02:00") for i in range(9)]
+    again += [body("W9", "A9", "2024-01-01T01:05:00.000001"), body("X", "B", "2024-01-01T01:01:00")]
+    (tmp_path / "in").mkdir()
+    for k, (raw, sent) in enumerate([(first, "01:00"), (ahead, "01:00"), (again, "01:02")]):
+        name = f"{tmp_path}/in/part-{k}.parquet"
+        frame = spark.createDataFrame(raw, "key binary, value binary").selectExpr("*", f"timestamp'2024-01-01 {sent}:00' as timestamp")
+        frame.toPandas().to_parquet(name, index=False, coerce_timestamps="us")
+        os.utime(name, (time.time() - 100 + k, time.time() - 100 + k))
+    job = ScoringJob(str(tmp_path / "out"))
+    start_scoring(file_messages(spark, str(tmp_path / "in")), job, str(tmp_path / "cp"), available_now=True).awaitTermination()
+    scored = {r.transaction_id: (r.window_count, r.window_spend) for r in spark.read.parquet(job.output + "/scored").collect()}
+    assert {scored[f"W{i}"] for i in range(9)} == {(2, 3.0)}
+    assert (scored["W9"], scored["U"], scored["X"]) == ((1, 1.5), (1, 1.5), (2, 3.0))
+    assert "V" not in scored and len(scored) == 10 + 1 + 11
+    reasons = [r.reason for r in spark.read.parquet(job.output + "/quarantine").collect()]
+    assert sorted(reasons) == ["event time in the future", "no transaction_id", "no transaction_id"]
+
+
+def test_running_sessions_are_exact():
+    gap, start = 300_000_000, 1_704_067_200_000_000
+    us = start + np.array([0, 0, 1, gap + 1, 2 * gap + 2])
+    units = np.array([Decimal(10) ** 23, Decimal("0.0001"), Decimal(1), Decimal(2), Decimal(3)], object)
+    counts, sums, session = running_sessions(us, units, None)
+    total = Decimal(10) ** 23 + Decimal("0.0001")
+    assert counts.tolist() == [1, 2, 3, 4, 1]
+    assert sums.tolist() == [Decimal(10) ** 23, total, total + 1, total + 3, Decimal(3)]
+    assert session == (1, Decimal(3), us[-1])
+    counts, sums, session = running_sessions(us[:2], units[3:], session)
+    assert (counts.tolist(), sums.tolist(), session) == ([2, 3], [Decimal(5), Decimal(8)], (3, Decimal(8), us[-1]))
 
 
 def test_repeated_alerts_count_once(spark):

@@ -92,7 +92,6 @@ def test_cut_and_whole_accounts_agree(skewed, operator):
 def test_batches_continue_open_sessions(spark, skewed):
     """Two batches in a row give what one pass over all rows gives, cut or not."""
     from ledgerwatch.functions.scores import score_transactions
-    from ledgerwatch.streaming.scoring import next_sessions
 
     middle = "timestamp_ntz'2024-01-01 01:00:00'"
     columns = ["transaction_id", "window_count", "window_spend"]
@@ -100,7 +99,7 @@ def test_batches_continue_open_sessions(spark, skewed):
     for skew in (None, WHOLE, CUT):
         first = score_transactions(velocity.session_velocity(skewed.where(f"event_time < {middle}"), None, skew))
         newest = first.selectExpr("max(unix_micros(cast(event_time as timestamp)))").first()[0]
-        state = next_sessions(first, None, newest)
+        state = velocity.next_sessions(first, None, newest)
         assert 0 < state.count() <= first.select("account_id").distinct().count()
         second = velocity.session_velocity(skewed.where(f"event_time >= {middle}"), state, skew)
         both = first.select(*columns).unionByName(second.select(*columns))
@@ -119,8 +118,6 @@ def test_row_older_than_the_open_session_counts_in_it(spark):
 
 
 def test_sessions_that_have_ended_are_forgotten(spark):
-    from ledgerwatch.streaming.scoring import next_sessions
-
     scored = spark.createDataFrame(
         [("T1", "NEW", 2, 30.0)], "transaction_id string, account_id string, window_count bigint, window_spend double"
     ).selectExpr("*", "timestamp'2024-01-01 01:00:00' as event_time")
@@ -128,7 +125,7 @@ def test_sessions_that_have_ended_are_forgotten(spark):
     newest = 1_704_070_800_000_000
     rows = [(name, 1, 10_000, newest - seconds * 1_000_000) for name, seconds in ago.items()]
     earlier = spark.createDataFrame(rows, "account_id string, n bigint, units bigint, last_us bigint")
-    kept = {r.account_id: (r.n, r.units) for r in next_sessions(scored, earlier, newest).collect()}
+    kept = {r.account_id: (r.n, r.units) for r in velocity.next_sessions(scored, earlier, newest).collect()}
     assert kept == {"OPEN": (1, 10_000), "LATE": (1, 10_000), "NEW": (2, 300_000)}
 
 

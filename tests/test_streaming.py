@@ -5,7 +5,6 @@ import time
 
 import pytest
 
-from ledgerwatch.config import SkewConfig
 from ledgerwatch.functions.scores import score_transactions
 from ledgerwatch.operators.alerts import global_stats
 from ledgerwatch.operators.velocity import session_velocity
@@ -16,6 +15,7 @@ from ledgerwatch.sources.streams import file_messages, source
 from ledgerwatch.streaming.lifecycle import progress, run_until_one_ends
 from ledgerwatch.streaming.probes import probe_latency_stream
 from ledgerwatch.streaming.scoring import ScoringJob, start_scoring
+from ledgerwatch.streaming.sessions import count_sessions
 from ledgerwatch.streaming.velocity import session_stream, start_monitor, start_table, window_monitor, window_stream
 from tests.compare import assert_same
 
@@ -45,19 +45,19 @@ def scored_run(spark, folder, tmp_path_factory):
     """The scoring stream, stopped after two batches and started again from its checkpoint."""
     output = str(tmp_path_factory.mktemp("scored"))
     checkpoint = str(tmp_path_factory.mktemp("checkpoint"))
-    job = ScoringJob(output, skew=SkewConfig(min_rows=10, slice_rows=4))
+    job = ScoringJob(output)
 
     class Interrupted(Exception):
         pass
 
-    def fail_in_third(messages, batch_id):
-        job.run(messages, batch_id)
+    def fail_in_third(counted, batch_id):
+        job.run(counted, batch_id)
         if batch_id == 2:
             raise Interrupted("lost after writing, before the commit")
 
     stream = file_messages(spark, folder)
     query = (
-        stream.writeStream.option("checkpointLocation", checkpoint)
+        count_sessions(stream).writeStream.option("checkpointLocation", checkpoint)
         .foreachBatch(fail_in_third)
         .trigger(availableNow=True)
         .start()
