@@ -3,11 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from decimal import Context, Decimal, localcontext
+from decimal import Context, Decimal
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ledgerwatch.functions.columns import TOTAL, micros, to_units
@@ -22,30 +20,26 @@ FAULTY_GROUPS = 64
 EXACT = Context(prec=60)
 
 
-def running_sessions(
-    us: np.ndarray, units: np.ndarray, session: tuple[int, Decimal, int] | None
-) -> tuple[np.ndarray, np.ndarray, tuple[int, Decimal, int]]:
-    """Count and sum of the session up to each row, and the session that is open after the last one.
+def next_session(session: tuple[int, Decimal, int] | None, us: int, units: Decimal) -> tuple[int, Decimal, int]:
+    """``(n, units, last_us)`` of an account's session after a row at ``us``, given what it was before.
 
-    ``us`` and ``units`` are an account's rows in order of time; ``session`` is ``(n, units,
-    last_us)`` from before them. A row older than that counts in it and does not move it back.
+    A row older than the session counts in it and does not move it back.
     """
-    n_before, units_before, last_us = session or (0, Decimal(0), int(us[0]))
-    known = np.maximum.accumulate(np.append(last_us, us))
-    at = np.arange(len(us))
-    began = np.maximum.accumulate(np.where(us - known[:-1] > GAP_US, at, -1))
-    with localcontext(EXACT):
-        totals = np.cumsum(np.append(Decimal(0), units))
-        counts = at + 1 - np.where(began < 0, -n_before, began)
-        sums = totals[1:] - np.where(began < 0, -units_before, totals[began])
-    return counts, sums, (int(counts[-1]), sums[-1], int(known[-1]))
+    n, total, last_us = session or (0, Decimal(0), us)
+    if us - last_us > GAP_US:
+        n, total = 0, Decimal(0)
+    return n + 1, EXACT.add(total, units), max(last_us, us)
+
+
+def counted(row: Row, n: int, units: Decimal) -> Row:
+    return Row(key=row.key, value=row.value, sent_us=row.sent_us, window_count=n, window_units=units)
 
 
 class OpenSessions(StatefulProcessor):
     """Adds the session counters to an account's messages; state is one row per account.
 
-    An account's rows of one micro-batch are worked on together. They are at most the batch, whose
-    size the source limits, as four narrow columns and the messages themselves.
+    An account's rows of one micro-batch are sorted and worked on together; they are at most the
+    batch, whose size the source limits.
     """
 
     def __init__(self, keep_ms: int):
@@ -54,16 +48,15 @@ class OpenSessions(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.session = handle.getValueState("session", f"n bigint, units {TOTAL}, last_us bigint", self.keep_ms)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        names = ["key", "value", "sent_us", "window_count", "window_units"]
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         if not key[0]:
-            for part in rows:
-                yield part.assign(window_count=np.int64(0), window_units=Decimal(0))[names]
+            yield from (counted(row, 0, Decimal(0)) for row in rows)
             return
-        batch = pd.concat(list(rows), ignore_index=True).sort_values(["us", "transaction_id"], kind="stable")
-        counts, sums, session = running_sessions(batch["us"].to_numpy(), batch["units"].to_numpy(), self.session.get())
+        session = self.session.get()
+        for row in sorted(rows, key=lambda row: (row.us, row.transaction_id)):
+            session = next_session(session, row.us, row.units)
+            yield counted(row, *session[:2])
         self.session.update(session)
-        yield batch.assign(window_count=counts, window_units=sums)[names]
 
     def close(self) -> None:
         pass
@@ -92,7 +85,7 @@ def count_sessions(messages: DataFrame, keep_hours: int = 24) -> DataFrame:
         "value",
         f"{micros('kafka_timestamp')} as sent_us",
     )
-    counted = keyed.groupBy("good", "account").transformWithStateInPandas(
+    rows = keyed.groupBy("good", "account").transformWithState(
         OpenSessions(keep_hours * 3_600_000), COUNTED, "Append", "ProcessingTime"
     )
-    return counted.selectExpr("key", "value", "timestamp_micros(sent_us) as timestamp", "window_count", "window_units")
+    return rows.selectExpr("key", "value", "timestamp_micros(sent_us) as timestamp", "window_count", "window_units")

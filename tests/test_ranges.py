@@ -5,7 +5,6 @@ import os
 import time
 from decimal import Decimal
 
-import numpy as np
 import pytest
 
 from ledgerwatch.functions.columns import rounded
@@ -14,7 +13,7 @@ from ledgerwatch.operators.percentiles import interpolated, nearest_rank
 from ledgerwatch.operators.velocity import session_velocity, trailing_velocity
 from ledgerwatch.operators.windows import window_activity
 from ledgerwatch.sources.messages import STREAM_FAULT, parse_transactions, quarantine
-from ledgerwatch.streaming.sessions import running_sessions
+from ledgerwatch.streaming.sessions import next_session
 
 
 def rows(spark, amounts):
@@ -94,17 +93,17 @@ def test_state_is_kept_per_account_whatever_the_others_bring(spark, tmp_path):
     assert sorted(reasons) == ["event time in the future", "no transaction_id", "no transaction_id"]
 
 
-def test_running_sessions_are_exact():
+def test_sessions_are_exact():
     gap, start = 300_000_000, 1_704_067_200_000_000
-    us = start + np.array([0, 0, 1, gap + 1, 2 * gap + 2])
-    units = np.array([Decimal(10) ** 23, Decimal("0.0001"), Decimal(1), Decimal(2), Decimal(3)], object)
-    counts, sums, session = running_sessions(us, units, None)
-    total = Decimal(10) ** 23 + Decimal("0.0001")
-    assert counts.tolist() == [1, 2, 3, 4, 1]
-    assert sums.tolist() == [Decimal(10) ** 23, total, total + 1, total + 3, Decimal(3)]
-    assert session == (1, Decimal(3), us[-1])
-    counts, sums, session = running_sessions(us[:2], units[3:], session)
-    assert (counts.tolist(), sums.tolist(), session) == ([2, 3], [Decimal(5), Decimal(8)], (3, Decimal(8), us[-1]))
+    large = Decimal(10) ** 23
+    steps = [(0, large), (0, Decimal("0.0001")), (gap, Decimal(1)), (gap - 1, Decimal(2)), (2 * gap + 1, Decimal(3))]
+    session, found = None, []
+    for after, units in steps:
+        session = next_session(session, start + after, units)
+        found.append(session[:2])
+    total = large + Decimal("0.0001")
+    assert found == [(1, large), (2, total), (3, total + 1), (4, total + 3), (1, Decimal(3))]
+    assert session[2] == start + 2 * gap + 1
 
 
 def test_repeated_alerts_count_once(spark):
