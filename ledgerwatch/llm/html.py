@@ -37,9 +37,13 @@ AROUND_STEMS = (
     "advert", "sponsor", "comment", "cookie", "sidebar", "sidenav", "navbar", "navigation", "footer", "newsletter", "breadcrumb",
     "pagination", "usercomment",
 )
+# Words in front of one of those, or behind it, that make a name tell what the element has or is like, not what it is.
+BEFORE = frozenset("has have no not without with hide show category cat tag tags type format overflow long".split())
+BEHIND = frozenset("open opened closed enabled disabled allowed on off".split())
 # Words that make a header part of an article.
 OF_ARTICLE = frozenset("article entry post story content section title".split())
 MAIN = frozenset(["article", "main"])
+FORMS = frozenset(["form", "fieldset"])  # they often hold whole pages
 # Elements whose end tag may be missing, and what ends them.
 CLOSED_BY = {
     "p": frozenset(
@@ -63,8 +67,7 @@ TOKEN = re.compile(
     r"|[^<]+|<",
     re.DOTALL | re.IGNORECASE,
 )
-ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.IGNORECASE)
-MAIN_ROLE = re.compile(r"""\brole\s*=\s*["']?main\b""", re.IGNORECASE)
+ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 NAME_WORD = re.compile(r"[a-z]+")
 HUMP = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
@@ -81,35 +84,47 @@ class Block:
     linked: int  # words that are inside links
 
 
-def around_name(name: str, attributes: str, by_class: bool = True) -> str:
-    """The element or word by which an element is no part of an article, or nothing."""
-    if name in AROUND and (by_class or name != "form"):
-        return name
-    for key, *values in ATTRIBUTE.findall(attributes) if attributes else ():
-        key, value = key.lower(), next((v for v in values if v), "")
-        if key == "hidden" or key == "aria-hidden" and value == "true":
-            return "hidden"
-        if key == "style":
-            if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.IGNORECASE):
-                return "hidden"
-        elif by_class and name not in ("body", "html"):
-            words = NAME_WORD.findall(HUMP.sub(" ", value).lower())
-            for word in words:
-                if word in AROUND_WORDS or word.startswith(AROUND_STEMS):
-                    if word != "header" or OF_ARTICLE.isdisjoint(words):
-                        return word
+def attributes_of(text: str) -> dict[str, str]:
+    """The attributes of a tag by lower-case name; of a repeated one the first."""
+    out: dict[str, str] = {}
+    for name, *values in ATTRIBUTE.findall(text) if text else ():
+        out.setdefault(name.lower(), next((v for v in values if v), ""))
+    return out
+
+
+def hidden(attributes: dict[str, str]) -> bool:
+    if "hidden" in attributes or attributes.get("aria-hidden", "").strip().lower() == "true":
+        return True
+    return bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attributes.get("style", ""), re.IGNORECASE))
+
+
+def named_around(attributes: dict[str, str]) -> str:
+    """The word of a class, id or role that tells that an element is no part of an article, or nothing."""
+    for key in ("class", "id", "role"):
+        names = [NAME_WORD.findall(HUMP.sub(" ", n).lower()) for n in attributes.get(key, "").split() if ":" not in n]
+        of_article = any(not OF_ARTICLE.isdisjoint(words) for words in names)
+        for words in names:
+            for k, word in enumerate(words):
+                if word not in AROUND_WORDS and not word.startswith(AROUND_STEMS) or word == "header" and of_article:
+                    continue
+                if not (k and words[k - 1] in BEFORE or words[k + 1 : k + 2] and words[k + 1] in BEHIND):
+                    return word
     return ""
 
 
 def blocks(page: str, by_class: bool = True) -> list[Block]:
     """All text of a page as blocks, in order; markup, scripts and styles left out.
 
-    Without ``by_class`` only elements, not their classes and ids, tell what is around the article.
+    A class, id or role, or a form, does not count where the element holds most of the page's running
+    words, those that are neither in links nor in elements that are never of an article. Without
+    ``by_class`` these names tell nothing at all.
     """
     out: list[Block] = []
+    owners: list[int] = []  # for each block the innermost element that a name tells to be around; 0: none
+    above, names, owner = [0], [""], 0  # for each such element the next one around it, and its name
     parts: list[str] = []
     tags: list[str] = []
-    stack: list[tuple[str, str, int]] = []  # open elements: name, around, main
+    stack: list[tuple[str, str, int, int]] = []  # open elements: name, around, main, owner
     opened: Counter[str] = Counter()
     around, main, mains, links, linked = "", 0, 0, 0, 0
     # Behind the last ">" no tag can end; an unfinished one there is markup and goes.
@@ -122,17 +137,18 @@ def blocks(page: str, by_class: bool = True) -> list[Block]:
             text = " ".join("".join(parts).split())
             if text:
                 out.append(Block(text, text.count(" ") + 1, tags, around, main, linked))
+                owners.append(owner)
                 tags = []
             parts, linked = [], 0
 
     def close(position: int) -> None:
-        nonlocal around, main, links
-        if any(name not in INLINE for name, _, _ in stack[position:]):
+        nonlocal around, main, owner, links
+        if any(x[0] not in INLINE for x in stack[position:]):
             flush()
-        opened.subtract(name for name, _, _ in stack[position:])
+        opened.subtract(x[0] for x in stack[position:])
         links = opened["a"]
         del stack[position:]
-        around, main = stack[-1][1:] if stack else ("", 0)
+        around, main, owner = stack[-1][1:] if stack else ("", 0, 0)
 
     for token in TOKEN.finditer(page, 0, cut):
         piece = token.group()
@@ -174,24 +190,42 @@ def blocks(page: str, by_class: bool = True) -> list[Block]:
             flush()
         if name in VOID or token[4].endswith("/") and name not in INLINE and name not in BOUNDS and name != "p":
             continue
-        own = around_name(name, token[4], by_class)
-        if own and name in INLINE and own != "hidden":
-            own = ""
+        attributes = attributes_of(token[4])
+        own = "hidden" if hidden(attributes) else name if name in AROUND and name not in FORMS else ""
+        named = ""
+        if by_class and not own and name not in INLINE and name not in ("body", "html"):
+            named = name if name in FORMS else named_around(attributes)
         inside = main
-        if (name in MAIN or MAIN_ROLE.search(token[4])) and not (around or own):
+        if (name in MAIN or "main" in attributes.get("role", "").lower().split()) and not (around or own):
             if not main:
                 mains += 1
             inside = main or mains
-        if own and not around:
+        if (own or named) and not around:
             flush()
-        if own == "header" and inside:
-            own = ""  # the article's own heading
-        stack.append((name, around or own, inside))
-        around, main = stack[-1][1:]
+        if inside:  # the article's own heading
+            own, named = ("" if n == "header" else n for n in (own, named))
+        within = owner
+        if named:
+            above.append(owner)
+            names.append(named)
+            within = len(names) - 1
+        stack.append((name, around or own, inside, within))
+        around, main, owner = stack[-1][1:]
         opened[name] += 1
         links = opened["a"]
     parts.append(html.unescape(tail))
     flush()
+    running = [0] * len(names)
+    for b, k in zip(out, owners, strict=True):
+        running[k] += 0 if b.around else max(0, b.n_words - b.linked)
+    for k in range(len(names) - 1, 0, -1):
+        running[above[k]] += running[k]
+    for k in range(1, len(names)):
+        if 2 * running[k] > running[0]:
+            names[k] = ""  # what holds most of the page is not around it
+        names[k] = names[above[k]] or names[k]
+    for b, k in zip(out, owners, strict=True):
+        b.around = b.around or names[k]
     return out
 
 
@@ -256,8 +290,8 @@ def extract(page: str | None, weights: Weights) -> str:
     is for the region, nothing is extracted.
     """
     found = blocks(page or "")
-    if found and all(b.around for b in found):
-        found = blocks(page or "", by_class=False)  # a name on what holds the whole page tells nothing
+    if 10 * sum(b.n_words for b in found if not b.around) < sum(b.n_words - b.linked for b in found if b.around != "hidden"):
+        found = blocks(page or "", by_class=False)  # names on nearly all of a page tell nothing
     costs = dict(weights.tags)
     has_main = any(b.main and not b.around for b in found)
     best, best_span = 0.0, (0, 0)

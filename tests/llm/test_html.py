@@ -52,6 +52,29 @@ def test_small_pages(page, text):
     assert pages.extract(page, WEIGHTS) == text
 
 
+BODY = "the whole article has these running words and some more of them"
+
+
+@pytest.mark.parametrize(
+    "tag",
+    [
+        *(f"div class='{c}'" for c in ("post comments-open", "container has-sidebar", "no-sidebar", "long-form", "category-notices")),
+        *("div class='overflow-hidden'", "div class='md:hidden'", "div class='comments'", "form", "article class='comments-open'"),
+        *("div title='the hidden truth'", "div data-hidden='false'", "div data-id='comment-7'", "div data-role=\"x role='nav'\""),
+    ],
+)
+def test_names_do_not_drop_what_holds_the_page(tag):
+    page = f"<body><{tag}><p>{BODY}</p><div class='comment'>me too</div></{tag.split()[0]}><div>(c) 2024</div></body>"
+    text = pages.extract(page, WEIGHTS)
+    assert text.startswith(BODY) and "me too" not in text
+
+
+def test_weak_names_do_not_drop_a_part():
+    for tag in ("div class='post comments-open'", "section class='long-form'", "div data-id='comment-7'"):
+        page = f"<p>{BODY}</p><p>{BODY}</p><{tag}><p>{BODY}</p></{tag.split()[0]}><p>{BODY}</p><div class='comments'>no no</div>"
+        assert pages.extract(page, WEIGHTS) == "\n".join([BODY] * 4)
+
+
 def test_hostile_pages_take_linear_time():
     began = time.perf_counter()
     for page in ("<" * 100_000, "<a " * 100_000, '<a b="' * 50_000, "<script>" * 50_000, "<div>" * 100_000 + "x", "<b>" * 50_000 + "<p>" * 50_000):
