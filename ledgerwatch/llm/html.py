@@ -233,14 +233,16 @@ def blocks(page: str, by_class: bool = True) -> list[Block]:
 class Weights:
     """What tokens add to the score of a region: words are for it, tags against it.
 
-    ``outside`` holds for words out of the page's article element, where it has one, and ``around``
-    for words in what is named as no part of an article, once for each stretch of it: such words are
-    left out anyway.
+    ``outside`` holds for words on the wrong side of the page's article elements, where these tell a
+    side: at most ``stretch`` for what lies between two words of the right side, tags included.
+    ``around`` holds for words in what is named as no part of an article, once for each stretch of it:
+    such words are left out anyway.
     """
 
     word: float = 1.0
     link: float = -0.6
     outside: float = -2.0
+    stretch: float = -30.0
     around: float = -3.0
     tag: float = -0.3
     tags: tuple[tuple[str, float], ...] = ()
@@ -249,12 +251,13 @@ class Weights:
 def learn(pages: Iterator[str], smooth: float = 5.0) -> Weights:
     """Weights from pages labelled by an ``article`` or ``main`` element: log odds of being inside.
 
+    Pages whose text is beside these elements are left out.
     Signs are kept as the method demands: a word in running text is for the region, all else against it.
     """
     inside, outside, tags_in, tags_out = Counter(), Counter(), Counter(), Counter()
     for page in pages:
         found = blocks(page)
-        if not any(b.main for b in found):
+        if side_of_articles(found, Weights()) < 1:
             continue
         for b in found:
             good = bool(b.main) and not b.around
@@ -281,44 +284,77 @@ def learn(pages: Iterator[str], smooth: float = 5.0) -> Weights:
     )
 
 
-def extract(page: str | None, weights: Weights) -> str:
-    """The main text of a page: the blocks of its best region that are not named as something else.
+def best_region(found: list[Block], weights: Weights, side: int = 0) -> tuple[float, int, int]:
+    """The highest sum over contiguous blocks, and where they start and end; of equal ones the first
+    and shortest.
 
-    A linear scan finds the contiguous run of tokens with the highest sum. Words of a page's first
-    and any further article or main element count, words beside it are against it. Of equally good
-    regions the first and shortest is taken. A page without any text gives an empty text; if no word
-    is for the region, nothing is extracted.
+    With ``side`` 1 words out of article elements are against the region, with -1 those inside them.
     """
-    found = blocks(page or "")
-    if 10 * sum(b.n_words for b in found if not b.around) < sum(b.n_words - b.linked for b in found if b.around != "hidden"):
-        found = blocks(page or "", by_class=False)  # names on nearly all of a page tell nothing
     costs = dict(weights.tags)
-    has_main = any(b.main and not b.around for b in found)
     best, best_span = 0.0, (0, 0)
-    total, start = 0.0, 0
+    total, start, spent = 0.0, 0, 0.0
     for k, b in enumerate(found):
         if total <= 0:
             total, start = 0.0, k
-        else:
-            if not b.around:
-                total += sum(costs.get(t, weights.tag) for t in b.tags)
-            if total <= 0:
-                total, start = 0.0, k
         if b.around:
             total += 0.0 if k and found[k - 1].around else weights.around
-        elif has_main and not b.main:
-            total += weights.outside * b.n_words
-        else:
-            total += weights.word * (b.n_words - b.linked) + weights.link * b.linked
+            continue
+        tags = sum(costs.get(t, weights.tag) for t in b.tags) if total > 0 else 0.0
+        if side and (side > 0) != bool(b.main):
+            cost = max(weights.stretch - spent, tags + weights.outside * b.n_words)
+            spent += cost
+            total += cost
+            continue
+        spent = 0.0
+        total += tags
+        if total <= 0:
+            total, start = 0.0, k
+        total += weights.word * (b.n_words - b.linked) + weights.link * b.linked
         if total > best:
             best, best_span = total, (start, k + 1)
-    if has_main:
-        # Of a region in an article element all blocks of that element belong to it.
-        numbers = {b.main for b in found[slice(*best_span)] if b.main and not b.around}
-        kept = [b for b in found if b.main in numbers and not b.around]
-    else:
-        kept = [b for b in found[slice(*best_span)] if not b.around]
-    return "\n".join(b.text for b in kept)
+    return best, *best_span
+
+
+def side_of_articles(found: list[Block], weights: Weights) -> int:
+    """Whether a page's article elements are for its region (1), against it (-1) or tell nothing (0).
+
+    They are for it if one of them is worth as much as the best run of text outside, or all of them are
+    and one is worth half. They are against it (teasers beside the text) if all are worth less than that
+    run and each less than half of it.
+    """
+    worth: Counter[int] = Counter()
+    for b in found:
+        if not b.around:
+            worth[b.main] += weights.word * (b.n_words - b.linked) + weights.link * b.linked
+    worth[0] = 0
+    if len(worth) == 1:
+        return 0
+    largest, together = max(worth.values()), sum(max(0.0, w) for w in worth.values())
+    outside = best_region(found, weights, -1)[0]
+    if outside <= largest or outside <= together and outside <= 2 * largest:
+        return 1
+    return -1 if outside > together and outside > 2 * largest else 0
+
+
+def extract(page: str | None, weights: Weights) -> str:
+    """The main text of a page: the blocks of its best region that are not named as something else.
+
+    A linear scan finds the contiguous run of tokens with the highest sum. Article and main elements are
+    a weight in it, for or against, as they compare with the text outside. Where they are for the region,
+    it is extended to the whole of those that it touches. Of equally good regions the first and shortest
+    is taken. A page without any text gives an empty text; if no word is for the region, nothing is
+    extracted.
+    """
+    found = blocks(page or "")
+    if 10 * sum(b.n_words for b in found if not b.around) < sum(b.n_words - b.linked for b in found if b.around != "hidden"):
+        found = blocks(page or "", by_class=False)  # names on nearly all of a page tell nothing
+    side = side_of_articles(found, weights)
+    _, start, end = best_region(found, weights, side)
+    if side > 0 and start < end:
+        inside = {b.main for b in found[start:end] if b.main and not b.around}
+        own = [k for k, b in enumerate(found) if b.main in inside]
+        start, end = min(start, own[0]), max(end, own[-1] + 1)
+    return "\n".join(b.text for b in found[start:end] if not b.around)
 
 
 def main_text(page: Column, weights: Weights) -> Column:

@@ -75,6 +75,22 @@ def test_weak_names_do_not_drop_a_part():
         assert pages.extract(page, WEIGHTS) == "\n".join([BODY] * 4)
 
 
+@pytest.mark.parametrize("card", ["read on here", "<a href=x>read on here</a>", "<h2>Other</h2><p>read on here</p>"])
+def test_text_beside_teasers(card):
+    body, cards = "".join(f"<p>{BODY}</p>" for _ in range(8)), f"<article>{card}</article>" * 3
+    for page in (f"<div>{body}</div><div>{cards}</div>", f"<div>{cards}</div><div>{body}</div>"):
+        assert pages.extract(page, WEIGHTS) == "\n".join([BODY] * 8)
+    assert pages.extract(f"{body}{cards}{body}", WEIGHTS).count(BODY) == 16
+
+
+def test_articles_in_parts():
+    part, between = f"<article><p>{BODY}</p><p>{BODY}</p><p>{BODY}</p></article>", f"<div>{BODY}</div>"
+    text = pages.extract(f"<div>Site name</div>{part}{between}{part}{between}{part}<div>Last line</div>", WEIGHTS)
+    assert text == "\n".join([BODY] * 11)
+    index = f"<div>About us</div>{(f'<article><p>{BODY}</p></article>') * 9}<div>{BODY} and {BODY}</div>"
+    assert pages.extract(index, WEIGHTS).count(BODY) >= 9
+
+
 def test_hostile_pages_take_linear_time():
     began = time.perf_counter()
     for page in ("<" * 100_000, "<a " * 100_000, '<a b="' * 50_000, "<script>" * 50_000, "<div>" * 100_000 + "x", "<b>" * 50_000 + "<p>" * 50_000):
