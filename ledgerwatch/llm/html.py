@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 
 from ledgerwatch.llm.common import sampled_texts, small_batches
 
-# Elements whose content is never text, void elements, and elements that do not end a block.
-RAW = "script style noscript template textarea title iframe svg math canvas object video audio select xmp noembed noframes".split()
+# Elements whose content is no markup and never text, other elements that are left out if they
+# are closed, void elements, and elements that do not end a block.
+RAW = "script style textarea title".split()
+LEFT_OUT = frozenset("noscript template iframe svg math canvas object video audio select xmp noembed noframes".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small "
@@ -62,7 +64,7 @@ BOUNDS = frozenset("ul ol dl table article main section div body nav aside heade
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    rf"|<({'|'.join(RAW)})\b[^>]*(?<!/)>(?:.*?</\1\s*>|.*\Z)"
+    rf"|<({'|'.join(RAW)})(?=[\s/>])[^>]*(?<!/)>(?:.*?</\1(?=[\s/>])[^>]*>|.*\Z)"
     r"""|<(/?)([a-zA-Z][^\s/>]*+)((?:[^<>"']|"[^"]*"|'[^']*')*+|[^>]*)>"""
     r"|[^<]+|<",
     re.DOTALL | re.IGNORECASE,
@@ -113,13 +115,15 @@ def named_around(attributes: dict[str, str]) -> str:
 
 
 def blocks(page: str, by_class: bool = True) -> list[Block]:
-    """All text of a page as blocks, in order; markup, scripts and styles left out.
+    """All text of a page as blocks, in order; markup, scripts, styles and ``LEFT_OUT`` elements left out.
 
+    An element of these without its own end tag is not left out, as it would take what is behind it along.
     A class, id or role, or a form, does not count where the element holds most of the page's running
     words, those that are neither in links nor in elements that are never of an article. Without
     ``by_class`` these names tell nothing at all.
     """
-    out: list[Block] = []
+    out: list[Block | None] = []
+    frames: list[tuple] = []  # for each open element that may be left out the place in ``out`` and what was begun before it
     owners: list[int] = []  # for each block the innermost element that a name tells to be around; 0: none
     above, names, owner = [0], [""], 0  # for each such element the next one around it, and its name
     parts: list[str] = []
@@ -141,15 +145,30 @@ def blocks(page: str, by_class: bool = True) -> list[Block]:
                 tags = []
             parts, linked = [], 0
 
-    def close(position: int) -> None:
-        nonlocal around, main, owner, links
+    def close(position: int, ended: bool = False) -> None:
+        """Close the open elements from ``position``; ``ended``: the first of them by its own end tag."""
+        nonlocal parts, tags, linked, around, main, owner, links
         if any(x[0] not in INLINE for x in stack[position:]):
             flush()
-        opened.subtract(x[0] for x in stack[position:])
+        for k in range(len(stack) - 1, position - 1, -1):
+            opened[stack[k][0]] -= 1
+            if stack[k][0] in LEFT_OUT:
+                place, *begun = frames.pop()
+                if ended and k == position:
+                    del out[place:], owners[place:]
+                    parts, tags, linked = begun
+                else:
+                    keep(place, *begun, *(stack[k - 1][1:] if k else ("", 0, 0)))
         links = opened["a"]
         del stack[position:]
         around, main, owner = stack[-1][1:] if stack else ("", 0, 0)
 
+    def keep(place: int, parts: list[str], tags: list[str], linked: int, around: str, main: int, owner: int) -> None:
+        """Put the block that was begun before an element without end tag where it belongs."""
+        text = " ".join("".join(parts).split())
+        if text:
+            out[place], owners[place] = Block(text, text.count(" ") + 1, tags, around, main, linked), owner
+
     for token in TOKEN.finditer(page, 0, cut):
         piece = token.group()
         if piece[0] != "<" or piece == "<":
@@ -161,22 +180,23 @@ def blocks(page: str, by_class: bool = True) -> list[Block]:
         if name is None:
             if piece.startswith("<![CDATA["):
                 parts.append(piece[9:].removesuffix("]]>"))
-            unfinished = token[1] and not re.search(rf"</{token[1]}\s*>\Z", piece, re.IGNORECASE)
+            unfinished = token[1] and not re.search(rf"</{token[1]}(?=[\s/>])[^>]*>\Z", piece, re.IGNORECASE)
             if unfinished or piece.startswith("<!--") and not piece.endswith("-->"):
                 tail = ""
             continue
         name = name.lower()
-        tags.append(name)
+        if name not in LEFT_OUT:
+            tags.append(name)
         if name in SPACED:
             parts.append(" ")
         if token[2]:
             for k in range(len(stack) - 1, -1, -1) if opened[name] else ():
                 if stack[k][0] == name:
-                    close(k)
+                    close(k, True)
                     break
-                if stack[k][0] in BOUNDS and name not in BOUNDS and name not in ("body", "html"):
+                if stack[k][0] in BOUNDS and name not in BOUNDS and name not in LEFT_OUT and name not in ("body", "html"):
                     break
-            if name not in INLINE:
+            if name not in INLINE and name not in LEFT_OUT:
                 flush()
             continue
         for k in range(len(stack) - 1, -1, -1) if any(opened[n] and name in by for n, by in CLOSED_BY.items()) else ():
@@ -184,9 +204,9 @@ def blocks(page: str, by_class: bool = True) -> list[Block]:
             if name in CLOSED_BY.get(open_, ()):
                 close(k)
                 break
-            if open_ in BOUNDS:
+            if open_ in BOUNDS or open_ in LEFT_OUT:
                 break
-        if name not in INLINE:
+        if name not in INLINE and name not in LEFT_OUT:
             flush()
         if name in VOID or token[4].endswith("/") and name not in INLINE and name not in BOUNDS and name != "p":
             continue
@@ -200,8 +220,13 @@ def blocks(page: str, by_class: bool = True) -> list[Block]:
             if not main:
                 mains += 1
             inside = main or mains
-        if (own or named) and not around:
+        if (own or named) and not around and name not in LEFT_OUT:
             flush()
+        if name in LEFT_OUT:
+            frames.append((len(out), parts, tags, linked))
+            parts, tags, linked = [], [], 0
+            out.append(None)
+            owners.append(owner)
         if inside:  # the article's own heading
             own, named = ("" if n == "header" else n for n in (own, named))
         within = owner
@@ -215,6 +240,9 @@ def blocks(page: str, by_class: bool = True) -> list[Block]:
         links = opened["a"]
     parts.append(html.unescape(tail))
     flush()
+    close(0)
+    owners = [k for b, k in zip(out, owners, strict=True) if b]
+    out = [b for b in out if b]
     running = [0] * len(names)
     for b, k in zip(out, owners, strict=True):
         running[k] += 0 if b.around else max(0, b.n_words - b.linked)

@@ -91,6 +91,26 @@ def test_articles_in_parts():
     assert pages.extract(index, WEIGHTS).count(BODY) >= 9
 
 
+@pytest.mark.parametrize("name", ["video-js", "svg-icon", "title-bar", "select-box", "template-x", "script-x", "style-x", "object_"])
+def test_custom_elements_are_no_raw_elements(name):
+    assert pages.extract(f"<p>one two<{name} a=b>three</{name}> four<p>five six", WEIGHTS).split() == "one two three four five six".split()
+    assert "five six" in pages.extract(f"<p>one two<{name} a=b><p>five six", WEIGHTS)
+
+
+@pytest.mark.parametrize("name", sorted(pages.LEFT_OUT))
+def test_left_out_elements(name):
+    assert pages.extract(f"<p>one two <{name} a=b>x <p>y</p><{name}>z</{name}></{name.upper()} >three</p>four", WEIGHTS) == "one two three\nfour"
+    assert pages.extract(f"<p>one two <{name} a=b><p>three</p>four <b>five</b><p>six", WEIGHTS) == "one two\nthree\nfour five\nsix"
+    assert pages.extract(f"<div>one <{name}>two</div><p>three <{name}>x</{name}>four", WEIGHTS) == "one\ntwo\nthree four"
+
+
+def test_left_out_elements_take_linear_time():
+    began = time.perf_counter()
+    for page in ("<select>" * 50_000 + "x", "a <video>" * 50_000, "a <svg><p>" * 50_000, "<svg>" * 50_000 + "a</svg>" * 50_000, "<object></object" * 50_000):
+        pages.extract(page, WEIGHTS)
+    assert time.perf_counter() - began < 20
+
+
 def test_hostile_pages_take_linear_time():
     began = time.perf_counter()
     for page in ("<" * 100_000, "<a " * 100_000, '<a b="' * 50_000, "<script>" * 50_000, "<div>" * 100_000 + "x", "<b>" * 50_000 + "<p>" * 50_000):
