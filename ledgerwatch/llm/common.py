@@ -63,21 +63,22 @@ def crc_remainder(doc_id: str, modulus: int) -> Column:
 PLACE = 2**63
 
 
-def hash_sample(narrow: DataFrame, wanted: int, most_groups: int = 2) -> DataFrame:
+def hash_sample(narrow: DataFrame, wanted: int, total: int | None = None) -> DataFrame:
     """Per ``kind`` of ``narrow(kind, place)`` the ``wanted`` smallest distinct places, where ``place``
     is a hash as a long.
 
     Kinds are counted first, and only places below a bound go further that lets about four times as
     many pass as are wanted. So what is gathered does not grow with the rows or their partitions.
-    More than ``most_groups`` kinds is an error. Null kinds are left out.
+    With ``total``, kinds share that number evenly if ``wanted`` of each would be more; each keeps at
+    least one. Null kinds are left out.
     """
     spark = narrow.sparkSession
     known = narrow.where("kind is not null")
-    counts = known.groupBy("kind").agg(F.count("*").alias("n")).limit(most_groups + 1).collect()
-    if len(counts) > most_groups:
-        raise ValueError(f"more than {most_groups} kinds of rows to sample from")
-    # The hash as a number from 0 to 2^63, and the bound for each kind.
-    bounds = [(r["kind"], min(PLACE - 1, int(PLACE * min(1.0, 4 * wanted / r["n"])))) for r in counts]
+    counts = known.groupBy("kind").agg(F.count("*").alias("n")).collect()
+    if total is not None and counts:
+        wanted = max(1, min(wanted, total // len(counts)))
+    # The hash as a number from 0 to 2^63, and the bound for each kind; of a few wanted some more pass, so that none lacks.
+    bounds = [(r["kind"], min(PLACE - 1, int(PLACE * min(1.0, (4 * wanted + 32) / r["n"])))) for r in counts]
     kind = narrow.schema["kind"].dataType.simpleString()
     passed = known.join(F.broadcast(spark.createDataFrame(bounds, f"kind {kind}, bound long")), "kind").where(
         f"(place & {PLACE - 1}L) <= bound"
@@ -88,14 +89,14 @@ def hash_sample(narrow: DataFrame, wanted: int, most_groups: int = 2) -> DataFra
     return ranked.where(f"rank <= {wanted}").select("kind", "place")
 
 
-def sampled_texts(rows: DataFrame, wanted: int, most_groups: int = 2, chars: int | None = None) -> list[tuple]:
+def sampled_texts(rows: DataFrame, wanted: int, total: int | None = None, chars: int | None = None) -> list[tuple]:
     """``(kind, text)`` of a sample of ``rows(kind, place, text)`` as ``hash_sample`` draws it, in
     order of kind and place.
 
     One text per place, which must tell the kind too, so that kinds are computed once; the first
     ``chars`` characters if that is given.
     """
-    chosen = hash_sample(saved(rows.select("kind", "place")), wanted, most_groups)
+    chosen = hash_sample(saved(rows.select("kind", "place")), wanted, total)
     text = "text" if chars is None else f"substring(text, 1, {chars}) as text"
     found = rows.select("place", "text").join(F.broadcast(chosen), "place").selectExpr("kind", "place", text)
     one = found.groupBy("kind", "place").agg(F.min("text").alias("text"))

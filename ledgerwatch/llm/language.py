@@ -19,6 +19,8 @@ LETTER = regex.compile(r"\p{L}")
 # The network reads lower case; all other ASCII bytes that are no letters look like a space.
 SYMBOL = np.array([b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256)])
 SPACE = 32
+# Languages up to which a batch of windows has its full size; more take smaller ones, so memory is bounded.
+FEW = 64
 
 
 @dataclass(frozen=True)
@@ -26,10 +28,10 @@ class Training:
     """Bounds and steps of the training; the sample is the only thing the driver gathers."""
 
     docs_per_language: int = 500
-    max_languages: int = 64
+    docs: int = 32_000  # of all languages; more languages get fewer documents each, but one at least
     windows: int = 160  # in a step
     window: int = 64  # bytes
-    steps: int = 300
+    steps: int = 300  # for up to 64 languages, and in proportion for more
     rate: float = 0.02
     hidden: int = 10
     seed: int = 42
@@ -127,9 +129,12 @@ class ByteGRU:
     def train(self, texts: list[bytes], target: np.ndarray, how: Training) -> ByteGRU:
         """Adam on windows drawn at random; each language is drawn as often as any other."""
         random = np.random.default_rng(how.seed)
-        of_language = [np.flatnonzero(target == k) for k in range(len(self.languages))]
+        ends = np.cumsum(np.bincount(target, minlength=len(self.languages)))
+        of_language = np.split(np.argsort(target, kind="stable"), ends[:-1])
         first, second = ({k: np.zeros_like(v) for k, v in self.p.items()} for _ in range(2))
-        for step in range(1, how.steps + 1):
+        steps = how.steps * max(FEW, len(self.languages)) // FEW
+        part = max(1, how.windows * FEW // max(FEW, len(self.languages)))
+        for step in range(1, steps + 1):
             chosen = random.integers(0, len(self.languages), how.windows)
             docs = [random.choice(of_language[k]) for k in chosen]
             symbols = np.full((how.window, how.windows), SPACE)
@@ -137,8 +142,12 @@ class ByteGRU:
                 start = random.integers(0, max(1, len(texts[doc]) - how.window + 1))
                 piece = SYMBOL[np.frombuffer(texts[doc][start : start + how.window], np.uint8)]
                 symbols[: len(piece), j] = piece
-            _, grad = self.gradient(symbols, chosen)
-            rate = how.rate * min(1, 2 * (1 - step / (how.steps + 1)))
+            grad: dict[str, np.ndarray] = {}
+            for a in range(0, how.windows, part):
+                some = self.gradient(symbols[:, a : a + part], chosen[a : a + part])[1]
+                share = len(chosen[a : a + part]) / how.windows
+                grad = {k: g if share == 1 else grad.get(k, 0) + share * g for k, g in some.items()}
+            rate = how.rate * min(1, 2 * (1 - step / (steps + 1)))
             norm = np.sqrt(sum(float((g * g).sum()) for g in grad.values()))
             for k, g in grad.items():
                 g = g * min(1, 1 / (norm + 1e-9))
@@ -162,6 +171,7 @@ class ByteGRU:
         start = np.repeat(np.cumsum(sizes) - sizes, n_windows) + place * window
         length = np.minimum(window, sizes[owner] - place * window)
         total = np.zeros((len(data), len(self.languages)))
+        batch = max(1, batch * FEW // max(FEW, len(self.languages)))
         offsets = np.arange(window)[:, None]
         for a in range(0, len(owner), batch):
             part = slice(a, a + batch)
@@ -179,21 +189,22 @@ def train_language_model(
 ) -> ByteGRU | None:
     """A model learned from a bounded sample: of each language the documents first in a hash order.
 
-    Rows without language or without a letter in the text are left out. More than ``max_languages``
-    is an error. Without any language to learn from there is no model: None.
+    Rows without language or without a letter in the text are left out. Every value of ``lang`` is a
+    language, however many there are. Without any language to learn from there is no model: None.
     """
     how = how or Training()
     rows = labelled.select(F.col(lang).alias("lang"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).where(
         r"lang is not null and text rlike '\\p{L}'"
     )
     sample = sampled_texts(
-        rows.selectExpr("lang as kind", "xxhash64(lang, doc_id, text) as place", "text"), how.docs_per_language, how.max_languages
+        rows.selectExpr("lang as kind", "xxhash64(lang, doc_id, text) as place", "text"), how.docs_per_language, how.docs
     )
     languages = sorted({lang for lang, _ in sample})
     if not languages:
         return None
     texts = [t.encode("utf-8", "surrogatepass") for _, t in sample]
-    target = np.array([languages.index(lang) for lang, _ in sample])
+    number = {lang: k for k, lang in enumerate(languages)}
+    target = np.array([number[lang] for lang, _ in sample])
     return ByteGRU(languages, how.hidden, how.seed).train(texts, target, how)
 
 

@@ -150,6 +150,30 @@ def test_language_query(spark, odd, none, medium):
     assert language.identify(none).count() == 0
 
 
+def test_any_number_of_languages(spark):
+    names = [f"l{k}" for k in range(70)] + ["en", "EN", "en-US"]
+    rows = [(i, f"some words of {n} in a text", n) for i, n in enumerate(names * 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    how = language.Training(steps=2)
+    model = language.train_language_model(docs, how)
+    assert sorted(model.languages) == sorted(names)
+    few = language.train_language_model(docs, language.Training(steps=1, docs=10))  # no total drops a language
+    assert sorted(few.languages) == sorted(names)
+    assert language.identify(docs, how=how).count() == len(rows)
+
+
+def test_batches_of_many_languages_give_the_same():
+    random = np.random.default_rng(3)
+    model = language.ByteGRU([f"l{k}" for k in range(200)], 4, 1)
+    symbols, target = random.integers(0, 256, (8, 12)), random.integers(0, 200, 12)
+    whole = model.gradient(symbols, target)[1]
+    parts = [model.gradient(symbols[:, a : a + 4], target[a : a + 4])[1] for a in (0, 4, 8)]
+    for k, g in whole.items():
+        assert np.allclose(g, sum(p[k] for p in parts) / 3, atol=1e-6)
+    texts = ["ab c" * 300, "x", "d e f" * 100]
+    assert np.allclose(model.documents(texts), model.documents(texts, batch=1), atol=1e-6)
+
+
 def test_quality_query(spark, odd, none, medium):
     labels = spark.read.parquet(f"{medium}/labels.parquet").toPandas()
     rows = queries.op3_quality(spark, medium).toPandas().merge(labels, on="doc_id")
