@@ -363,7 +363,7 @@ def pieces(texts: list[str], most: int) -> Iterator[tuple[int, int, str]]:
 
 
 def scan(texts: list[str], field: Field, chunk_chars: int = 1_000_000) -> list[tuple[list, list[tuple[int, int]]]]:
-    """Per text its base spans, and the spans of the field that overlap none of them.
+    """Per text its base spans, and the spans of the field that reach beyond what these hide.
 
     The field reads about ``chunk_chars`` characters at a time, and a longer text in pieces, so its
     memory is bounded.
@@ -397,9 +397,13 @@ def scan(texts: list[str], field: Field, chunk_chars: int = 1_000_000) -> list[t
     found = []
     for text, own in zip(texts, added, strict=True):
         base = base_spans(text)
-        starts = [x[0] for x in base]
-        reached = [0, *accumulate((x[2] for x in base), max)]  # by the base spans that start before
-        found.append((base, [(s, e) for s, e in own if reached[bisect_left(starts, e)] <= s]))
+        hidden = sorted((value, end) for _, _, end, value in base)
+        starts = [a for a, _ in hidden]
+        reached = [0, *accumulate((b for _, b in hidden), max)]  # by what starts before
+        joins = [0, *accumulate(range(1, len(hidden)), lambda j, k: j if starts[k] <= reached[k] else k, initial=0)] if base else [0]
+        # A span is covered if what starts at it or before joins up to its end.
+        inside = [(s, e, bisect_left(starts, e)) for s, e in own]
+        found.append((base, [(s, e) for s, e, k in inside if reached[k] < e or starts[joins[k]] > s]))
     return found
 
 

@@ -99,6 +99,16 @@ def test_pieces_and_masks(field):
     assert secrets.base_spans(masked) == []
 
 
+def test_field_spans_that_reach_beyond_base_spans(field):
+    hexes = "9f86d081884c7d659a2feaa0c55ad015"
+    for lead, secret in (("then ", f"{hexes}Qx7ZpL2m"), ("Authorization: Bearer ", f"sk_live_{hexes}Zq9")):
+        text = f"{lead}{secret} was"
+        ((base, added),) = secrets.scan([text], field)
+        assert [text[a:e] for a, _, e, _ in base] == [hexes] and [text[a:e] for a, e in added] == [secret]
+        assert secrets.mask(text, [(v, e) for _, _, e, v in base] + added) == f"{lead}{secrets.REDACTED} was"
+    assert [added for _, added in secrets.scan([f"then {hexes} was", f"password={hexes}", "no"], field)] == [[], [], []]
+
+
 def test_secrets_query(spark, odd, none, small):
     rows = secrets.find_secrets(odd).toPandas()
     assert len(rows) == len(TEXTS) and rows.notna().drop(columns="doc_id").all().all() and rows.n_assign.sum() == 0
