@@ -7,7 +7,7 @@ import re
 from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import accumulate
+from itertools import accumulate, islice
 
 import numpy as np
 import pandas as pd
@@ -91,6 +91,12 @@ class Tokens:
     start: np.ndarray  # in the text, in code points
     end: np.ndarray
     features: dict[str, np.ndarray]
+    counts: np.ndarray  # per text: tokens, those that look like data, keywords
+
+
+def file_feature(counts: np.ndarray) -> np.ndarray:
+    share = counts[:, 1] / np.maximum(counts[:, 0], 1)
+    return np.searchsorted([0.001, 0.02, 0.1], share, "right") * 2 + (counts[:, 2] > 0)
 
 
 def tokenize(texts: list[str]) -> Tokens:
@@ -144,10 +150,8 @@ def tokenize(texts: list[str]) -> Tokens:
             out[:by] = np.where(text[:by] == text[-by:], coarse[-by:], NOTHING)
         return out
 
-    n = np.bincount(text, minlength=len(texts))
-    share = np.bincount(text, coarse >= WITH_DIGIT, len(texts)) / np.maximum(n, 1)
-    keyed = np.bincount(text, keyword, len(texts)) > 0
-    file = np.searchsorted([0.001, 0.02, 0.1], share, "right") * 2 + keyed
+    marks = (np.ones(len(text)), coarse >= WITH_DIGIT, keyword)
+    counts = np.stack([np.bincount(text, mark, len(texts)) for mark in marks], axis=1)
     features = {
         "shape": shape,
         "changes": np.searchsorted([1, 3, 6], changes, "right"),
@@ -155,10 +159,10 @@ def tokenize(texts: list[str]) -> Tokens:
         "before2": neighbour(2),
         "before3": neighbour(3),
         "after": neighbour(-1),
-        "file": file[text],
+        "file": file_feature(counts)[text],
     }
     start = begins - offsets[text]
-    return Tokens(text, start, start + length, features)
+    return Tokens(text, start, start + length, features, counts)
 
 
 # ---- the field ------------------------------------------------------------------------------
@@ -348,30 +352,82 @@ def train_field(docs: DataFrame, how: Training | None = None, text: str = "text"
 # ---- scanning -------------------------------------------------------------------------------
 
 
+# Runs of characters that are one token, as in ``tokenize``.
+WORDS = r"[A-Za-z0-9_+/\-\u0080-\U0010ffff]+"
+SIGNS = r"[^\x00-\x20\x7fA-Za-z0-9_+/\-\u0080-\U0010ffff]+"
+RUNS = (re.compile(WORDS), re.compile(SIGNS))
+RUN = re.compile(f"{WORDS}|{SIGNS}")
+
+
 def pieces(texts: list[str], most: int) -> Iterator[tuple[int, int, str]]:
-    """``(number, start, piece)``: the texts, the longer ones cut at white space into pieces of at most
-    ``most``.
+    """``(number, start, piece)``: the texts, the longer ones cut behind the token that reaches ``most``
+    characters, so no token is cut.
     """
     for k, text in enumerate(texts):
         start = 0
         while len(text) - start > most:
-            space = max(text.rfind(c, start + most // 2, start + most) for c in " \n")
-            end = start + most if space < 0 else space
+            end = start + most
+            for run in RUNS:
+                if run.match(text, end - 1) and (rest := run.match(text, end)):
+                    end = rest.end()
             yield k, start, text[start:end]
             start = end
-        yield k, start, text[start:]
+        if start < len(text) or not start:
+            yield k, start, text[start:]
+
+
+def margins(text: str, start: int, end: int, tokens: int) -> tuple[int, int]:
+    """Where a part of a text starts and ends with ``tokens`` whole tokens more on both sides."""
+    last = end
+    for token in islice(RUN.finditer(text, end), tokens):
+        last = token.end()
+    reach = 16 * tokens
+    while True:
+        low = max(0, start - reach)
+        heads = [t.start() for t in RUN.finditer(text, low, start)][1 if low else 0 :]  # the first one may be cut
+        if len(heads) >= tokens or not low:
+            return (heads[-tokens] if len(heads) >= tokens else 0), last
+        reach *= 4
+
+
+@dataclass
+class Piece:
+    """A part of a text to decode: spans that start in its inner part count."""
+
+    number: int  # of the text
+    offset: int
+    text: str
+    first: int = 0  # the inner part, in the piece
+    last: int | None = None
+    counts: np.ndarray | None = None  # of the whole text, if the piece is only a part
 
 
-def scan(texts: list[str], field: Field, chunk_chars: int = 1_000_000) -> list[tuple[list, list[tuple[int, int]]]]:
+def scan(
+    texts: list[str], field: Field, chunk_chars: int = 1_000_000, margin: int = 256
+) -> list[tuple[list, list[tuple[int, int]]]]:
     """Per text its base spans, and the spans of the field that reach beyond what these hide.
 
     The field reads about ``chunk_chars`` characters at a time, and a longer text in pieces, so its
-    memory is bounded.
+    memory is bounded. Pieces share ``margin`` tokens with those beside them, and know the features of
+    the whole text.
     """
     added: list[list[tuple[int, int]]] = [[] for _ in texts]
 
-    def decode(chunk: list[tuple[int, int, str]]) -> None:
-        tokens = tokenize([piece for _, _, piece in chunk])
+    def parts() -> Iterator[Piece]:
+        for k, text in enumerate(texts):
+            if len(text) <= chunk_chars:
+                yield Piece(k, 0, text)
+                continue
+            counts = sum(tokenize([piece]).counts for _, _, piece in pieces([text], chunk_chars))
+            for _, start, piece in pieces([text], chunk_chars):
+                low, high = margins(text, start, start + len(piece), margin)
+                yield Piece(k, low, text[low:high], start - low, start - low + len(piece), counts[0])
+
+    def decode(chunk: list[Piece]) -> None:
+        tokens = tokenize([x.text for x in chunk])
+        if any(x.counts is not None for x in chunk):
+            counts = np.stack([own if x.counts is None else x.counts for x, own in zip(chunk, tokens.counts, strict=True)])
+            tokens.features["file"] = file_feature(counts)[tokens.text]
         labels = field.decode(tokens)
         marked = np.flatnonzero(labels)
         if not len(marked):
@@ -381,17 +437,17 @@ def scan(texts: list[str], field: Field, chunk_chars: int = 1_000_000) -> list[t
         last = np.append(first[1:], True)
         spans = zip(tokens.text[marked[first]], tokens.start[marked[first]], tokens.end[marked[last]], strict=True)
         for k, start, end in spans:
-            if end - start >= LEAST_SPAN:
-                number, offset, _ = chunk[k]
-                added[number].append((offset + int(start), offset + int(end)))
+            part = chunk[k]
+            if end - start >= LEAST_SPAN and part.first <= start and (part.last is None or start < part.last):
+                added[part.number].append((part.offset + int(start), part.offset + int(end)))
 
     chunk, size = [], 0
-    for piece in pieces(texts, chunk_chars):
-        if chunk and size + len(piece[2]) > chunk_chars:
+    for part in parts():
+        if chunk and size + len(part.text) > chunk_chars:
             decode(chunk)
             chunk, size = [], 0
-        chunk.append(piece)
-        size += len(piece[2])
+        chunk.append(part)
+        size += len(part.text)
     if chunk:
         decode(chunk)
     found = []
