@@ -67,18 +67,18 @@ def hash_sample(narrow: DataFrame, wanted: int, total: int | None = None) -> Dat
     """Per ``kind`` of ``narrow(kind, place)`` the ``wanted`` smallest distinct places, where ``place``
     is a hash as a long.
 
-    Kinds are counted first, and only places below a bound go further that lets about four times as
-    many pass as are wanted. So what is gathered does not grow with the rows or their partitions.
+    The places of each kind are counted first, copies once (the count is within some percent), and only
+    places below a bound go further that lets about four times as many pass as are wanted. So what is gathered does not grow with the rows or their partitions.
     With ``total``, kinds share that number evenly if ``wanted`` of each would be more; each keeps at
     least one. Null kinds are left out.
     """
     spark = narrow.sparkSession
     known = narrow.where("kind is not null")
-    counts = known.groupBy("kind").agg(F.count("*").alias("n")).collect()
+    counts = known.groupBy("kind").agg(F.approx_count_distinct("place").alias("n")).collect()
     if total is not None and counts:
         wanted = max(1, min(wanted, total // len(counts)))
     # The hash as a number from 0 to 2^63, and the bound for each kind; of a few wanted some more pass, so that none lacks.
-    bounds = [(r["kind"], min(PLACE - 1, int(PLACE * min(1.0, (4 * wanted + 32) / r["n"])))) for r in counts]
+    bounds = [(r["kind"], min(PLACE - 1, int(PLACE * min(1.0, (4 * wanted + 32) / max(1, r["n"]))))) for r in counts]
     kind = narrow.schema["kind"].dataType.simpleString()
     passed = known.join(F.broadcast(spark.createDataFrame(bounds, f"kind {kind}, bound long")), "kind").where(
         f"(place & {PLACE - 1}L) <= bound"

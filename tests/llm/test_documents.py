@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 from ledgerwatch.llm import language, licenses, quality, queries, secrets
+from ledgerwatch.llm.common import hash_sample
 from tests.llm.conftest import TEXTS
 
 
@@ -172,6 +173,14 @@ def test_language_query(spark, odd, none, medium):
     assert language.identify(none).count() == 0
 
 
+def test_copies_do_not_thin_a_sample(spark):
+    few = spark.range(300).selectExpr("id % 2 = 0 as kind", "xxhash64(id) as place")
+    many = spark.range(100_000).selectExpr("id % 2 = 0 as kind", "xxhash64(id % 2) as place")
+    sample = hash_sample(few.union(many), 100)
+    assert sample.groupBy("kind").count().toPandas()["count"].tolist() == [100, 100]
+    assert sorted(sample.collect()) == sorted(hash_sample(few, 100).collect())
+
+
 def test_any_number_of_languages(spark):
     names = [f"l{k}" for k in range(70)] + ["en", "EN", "en-US"]
     rows = [(i, f"some words of {n} in a text", n) for i, n in enumerate(names * 3)]
