@@ -223,7 +223,7 @@ def near_vectors(vectors: DataFrame, how: Codes | None = None) -> DataFrame:
     Two vectors are linked if their cosine, in double precision, is at least the threshold.
     ``n_links`` counts the other vectors linked directly, copies included; ``component_id`` is the
     smallest id that links reach. Vectors that are null, zero or empty or hold null or non-finite
-    components are linked with nothing. Of rows that share an id the smallest vector counts; rows
+    components are linked with nothing. Of rows that share an id the smallest valid vector counts; rows
     without id are left out; a shorter vector is filled with zeros. Other columns are ignored.
 
     Exact copies are one vector with a count. Hash keys made of code bits find candidates, codes
@@ -232,8 +232,9 @@ def near_vectors(vectors: DataFrame, how: Codes | None = None) -> DataFrame:
     out, and the rest is computed exactly. Large buckets and groups are split into pairs of blocks.
     """
     how = how or Codes()
-    rows = saved(one_per_id(vectors))
-    valid = rows.where(f"vec is not null and {FINITE} and exists(vec, x -> x != 0)")
+    usable = f"{FINITE} and exists(vec, x -> x != 0)"
+    rows = saved(one_per_id(vectors, valid=usable))
+    valid = rows.where(f"vec is not null and {usable}")
     classes = saved(valid.groupBy("vec").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")))
     members = valid.join(classes, "vec").select("vec_id", "rep", "copies")
     n, dim = classes.count(), dimension(classes)

@@ -101,7 +101,7 @@ def top_k(
 
     The score is the inner product of ``floor(64 * x)``, exact; ties go to the smaller id. Vectors
     that are null or hold null or non-finite components take no part, nor do rows without id; of
-    rows that share an id the smallest vector counts; a shorter vector is filled with zeros; a sum
+    rows that share an id the smallest valid vector counts; a shorter vector is filled with zeros; a sum
     beyond a long is cut to its ends. Other columns are ignored.
 
     Each block of queries meets each block of candidates in one task; a task returns ``k`` rows per

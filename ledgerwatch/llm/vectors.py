@@ -11,12 +11,13 @@ from pyspark.sql import functions as F
 FINITE = "not exists(vec, x -> x is null or isnan(x) or abs(x) = double('infinity'))"
 
 
-def one_per_id(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
-    """``vec_id, vec`` with one row per id: of rows that share an id the smallest vector. Rows without
-    id are left out.
+def one_per_id(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", valid: str = FINITE) -> DataFrame:
+    """``vec_id, vec`` with one row per id: of rows that share an id the smallest valid vector, or the
+    smallest if none is valid. Rows without id are left out.
     """
     rows = vectors.select(F.col(vec_id).alias("vec_id"), F.col(embedding).cast("array<double>").alias("vec"))
-    return rows.where("vec_id is not null").groupBy("vec_id").agg(F.min("vec").alias("vec"))
+    smallest = F.expr(f"coalesce(min(if({valid}, vec, null)), min(vec))")
+    return rows.where("vec_id is not null").groupBy("vec_id").agg(smallest.alias("vec"))
 
 
 def matrix(vectors: pd.Series, dim: int) -> np.ndarray:

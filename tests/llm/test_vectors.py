@@ -125,3 +125,12 @@ def test_blocks_with_ties_and_huge_values():
             expected = [(max(min(-s, topk.LONG), -topk.LONG - 1), i) for s, i in sorted(x for x in scores if x[1] != own[q])[:5]]
             mine = found[found.query_id == own[q]]
             assert list(zip(mine.score, mine.vec_id, strict=True)) == expected
+
+
+def test_invalid_vectors_of_an_id_do_not_hide_valid_ones(spark):
+    rows = [(1, [None, 1.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (2, [0.0, 0.0]), (3, [None, 2.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = neighbours.near_vectors(frame).toPandas().set_index("vec_id")
+    assert found.n_links.to_dict() == {1: 1, 2: 1, 3: 0} and found.component_id.to_dict() == {1: 1, 2: 1, 3: 3}
+    pairs = {(r.query_id, r.vec_id) for r in topk.top_k(frame, queries="vec_id > 0", k=2).collect()}
+    assert pairs == {(1, 2), (2, 1)}
