@@ -10,8 +10,10 @@ from ledgerwatch.llm import (
     html,
     language,
     licenses,
+    manifest,
     mixing,
     neighbours,
+    oracle,
     packing,
     quality,
     secrets,
@@ -70,12 +72,26 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, WEIGHTS, MAX_EPOCHS, seed=SEED).select("doc_id", "mixed.*")
 
 
+#: One more character, where there is a number: what tampering does to a row.
+ROW = ["doc_id", "source", "lang", "n_chars", "text"]
+ALTERED = ["doc_id", "source", "lang", "cast(n_chars as decimal(20,0)) + 1", "text"]
+
+
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    altered = f"if(crc32(cast(doc_id as string)) % 7 = 0 and n_chars is not null, {manifest.leaf_digest(ALTERED)}, null)"
+    made = manifest.manifest(docs, "lang", "doc_id", manifest.leaf_digest(ROW), keep=(f"{altered} as altered",))
+    shown = ["item as doc_id", "digest as leaf", "subroot", "root", f"{manifest.proof_digest()} as proof_sha256"]
+    found = manifest.proofs(made).selectExpr(*shown, f"{manifest.folded('coalesce(altered, digest)')} as folded_root")
+    return found.selectExpr("*", "folded_root = root as verified")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: query for name, query in globals().items() if name.startswith("op")}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_mixing": _mixing_sql()}
+    return {"op10_mixing": _mixing_sql(), "op11_merkle": oracle.merkle_sql()}
 
 
 def _mixing_sql() -> str:
