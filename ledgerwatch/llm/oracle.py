@@ -54,3 +54,34 @@ def merkle_sql() -> str:
             folded AS folded_root, folded = top.digest AS verified
         FROM leaves l JOIN arrived a ON a.id = l.id AND a.n = 1 JOIN subroots s ON s.name = l.tree
             JOIN above top ON top.n = 1"""
+
+
+def divergence_sql() -> str:
+    """Every term counted, and every kept term given a figure by every source."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return rf"""WITH docs AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+            translate(coalesce(text, ''), '{upper}', '{upper.lower()}') AS text FROM documents),
+        found AS (SELECT id, lang, source,
+            unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+        counts AS (SELECT lang, source, term, CAST(count(*) AS HUGEINT) AS n FROM found GROUP BY ALL),
+        kept AS (SELECT lang, term FROM found GROUP BY ALL HAVING count(DISTINCT id) >= 10),
+        groups AS (SELECT DISTINCT lang, source FROM docs),
+        cells AS (SELECT lang, source, term, coalesce(n, 0) AS n,
+                sum(coalesce(n, 0)) OVER (PARTITION BY lang, source) AS total,
+                sum(coalesce(n, 0)) OVER (PARTITION BY lang, term) AS lang_n,
+                sum(coalesce(n, 0)) OVER (PARTITION BY lang) AS lang_total, count(*) OVER (PARTITION BY lang, source) AS v
+            FROM groups JOIN kept USING (lang) LEFT JOIN counts USING (lang, source, term)),
+        shares AS (SELECT lang, source, term, n, 1 + CAST(1000000000 AS HUGEINT) * (n + 2) // (total + 2 * v) AS p,
+                1 + CAST(1000000000 AS HUGEINT) * (lang_n + 2) // (lang_total + 2 * v) AS q
+            FROM cells),
+        pair AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item,
+                CAST(sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS BIGINT) AS value
+            FROM shares a JOIN shares b USING (lang, term) WHERE a.source <> b.source GROUP BY ALL
+            UNION ALL
+            SELECT a.lang, a.source, 'pair', b.source, 0 FROM groups a JOIN groups b USING (lang)
+            WHERE a.source <> b.source AND a.lang NOT IN (SELECT lang FROM kept)),
+        term AS (SELECT lang, source, 'term' AS part, term AS item, CAST((p - q) * (p - q) // (p + q) AS BIGINT) AS value
+            FROM shares WHERE n > 0 AND p > q),
+        ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+            FROM (SELECT * FROM pair UNION ALL SELECT * FROM term))
+        SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 10"""

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerwatch.llm import (
+    divergence,
     html,
     language,
     licenses,
@@ -86,12 +87,16 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.selectExpr("*", "folded_root = root as verified")
 
 
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: query for name, query in globals().items() if name.startswith("op")}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_mixing": _mixing_sql(), "op11_merkle": oracle.merkle_sql()}
+    return {"op10_mixing": _mixing_sql(), "op11_merkle": oracle.merkle_sql(), "op13_divergence": oracle.divergence_sql()}
 
 
 def _mixing_sql() -> str:
