@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerwatch.llm import (
@@ -19,6 +20,7 @@ from ledgerwatch.llm import (
     quality,
     secrets,
     simhash,
+    tokens,
     topk,
 )
 from ledgerwatch.llm.common import table
@@ -87,6 +89,10 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.selectExpr("*", "folded_root = root as verified")
 
 
+def op12_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.token_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
