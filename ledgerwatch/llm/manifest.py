@@ -46,7 +46,7 @@ def proof_digest(path: str = "path") -> str:
 class Tree:
     """Trees over ranked nodes.
 
-    ``nodes(tree, rank, digest, ...)`` are the leaves, ``roots(tree, depth, digest)`` what remains of each
+    ``nodes(tree, rank, depth, digest, ...)`` are the leaves, ``roots(tree, depth, digest)`` what remains of each
     tree, ``pages[p](digest, records)`` the pages that are ``p`` pages above the leaves, each once.
     """
 
@@ -60,7 +60,8 @@ class Tree:
 
 
 def ranked(rows: DataFrame, order: list[str]) -> DataFrame:
-    """``rows`` with their ``rank`` (from 0) in their ``tree`` by ``order``, which must tell rows apart.
+    """``rows`` with their ``rank`` (from 0) in their ``tree`` by ``order``, which must tell rows apart, and the
+    number ``n`` of the tree's rows.
 
     Rows are dealt and sorted by range; a row's rank is its place in its partition and the number of the
     tree's rows in the partitions before, so no task holds more than its range whatever a tree's size.
@@ -71,25 +72,26 @@ def ranked(rows: DataFrame, order: list[str]) -> DataFrame:
     ).selectExpr("*", "shiftright(place, 33) as part")
     parts = placed.groupBy("tree", "part").agg(F.count("*").alias("n"), F.min("place").alias("first"))
     before = "partition by tree order by part rows between unbounded preceding and 1 preceding"
-    starts = parts.selectExpr("tree", "part", f"first - coalesce(sum(n) over ({before}), 0) as start")
-    return placed.join(starts, ["tree", "part"]).selectExpr(*rows.columns, "place - start as rank")
+    starts = parts.selectExpr(
+        "tree", "part", f"first - coalesce(sum(n) over ({before}), 0) as start", "sum(n) over (partition by tree) as n"
+    )
+    return placed.join(starts, ["tree", "part"]).selectExpr(*rows.columns, "place - start as rank", "n")
 
 
 def build(nodes: DataFrame, fanout: int = 2) -> Tree:
-    """The trees over ``nodes(tree, rank, digest, ...)``: each ``fanout`` consecutive nodes become the digest
+    """The trees over ``nodes(tree, rank, n, digest, ...)`` as ``ranked`` gives them: each ``fanout`` consecutive nodes become the digest
     of their digests joined, level by level, until one remains. A lone node remains as it is.
     """
     wide = fanout**PAGE_LEVELS
     # A tree of n leaves has as many levels as n - 1 has digits.
-    sizes = nodes.groupBy("tree").agg(F.count("*").alias("n"))
-    depths = saved(sizes.selectExpr("tree", f"if(n > 1, length(conv(n - 1, 10, {fanout})), 0) as depth"))
-    deepest = depths.agg(F.max("depth")).first()[0] or 0
+    depth = f"if(n > 1, length(conv(n - 1, 10, {fanout})), 0) as depth"
+    nodes = saved(nodes.selectExpr("*", depth).drop("n"))
+    deepest, level, pages = nodes.agg(F.max("depth")).first()[0] or 0, nodes, []
     # Records of one level follow from the one below, whose records lie last in ``levels``.
     runs = f"""transform(sequence(0, (size(element_at(levels, -1)) - 1) div {fanout}),
         j -> transform(slice(element_at(levels, -1), cast(j * {fanout} + 1 as int), {fanout}), child -> child.digest))"""
     record = "run -> named_struct('digest', sha2(array_join(run, ''), 256), 'children', run)"
     leaves = f"transform(children, c -> cast(struct(c.digest, null) as {RECORD}))"
-    level, pages = nodes.join(depths, "tree").select("tree", "depth", "rank", "digest"), []
     roots = [level.where("depth = 0").select("tree", "depth", "digest")]
     for below in range(0, deepest, PAGE_LEVELS):
         grouped = (
@@ -204,12 +206,13 @@ def proofs(of: Manifest, requests: DataFrame | None = None) -> DataFrame:
     ``requests`` are rows of ``of.leaves.nodes``, all by default. Each is looked up from the root down;
     ``reached`` is the digest at which it arrives.
     """
-    requests = of.leaves.nodes if requests is None else requests
+    requests = (of.leaves.nodes if requests is None else requests).drop("depth")
     top = of.trees.roots.selectExpr("tree", "depth", "digest", f"cast(array() as array<{SEGMENT}>) as path")
     asked = of.trees.nodes.join(requests.selectExpr("tree as name").distinct(), "name", "left_semi")
     begun = saved(descend(of.trees, top, asked.select("tree", "rank", "name")))
     tops = of.leaves.roots.join(begun.selectExpr("name as tree", "reached", "path"), "tree")
     # What is reached is where the search goes on: the root of that tree, as the manifest has it.
     found = descend(of.leaves, tops.selectExpr("tree", "depth", "reached as digest", "path"), requests)
-    ends = of.leaves.roots.selectExpr("tree", "digest as subroot").crossJoin(F.broadcast(of.root()))
+    roots = begun.join(of.trees.roots.selectExpr("tree", "digest as root"), "tree")
+    ends = roots.selectExpr("name as tree", "reached as subroot", "root")
     return found.join(ends, "tree").withColumn("path", F.expr("reverse(path)"))
