@@ -35,20 +35,16 @@ LATENCY_BOUNDS_MS = [5.0, 10.0, 25.0, 50.0, 100.0, 250.0, 500.0, 1000.0, 2500.0]
 
 @dataclass(frozen=True)
 class SkewConfig:
-    """When an account counts as hot, and how finely its time line is cut.
+    """How finely the time lines of busy accounts are cut.
 
-    Every account with ``min_rows`` rows and more is hot. The time line of a hot account is cut into
-    cells, and cells with more rows than a slice should have are cut into parts. A slice should have
-    ``slice_rows`` rows, or more if the account has over ``max_slices`` times as many. Up to
-    ``max_keys`` hot accounts and ``max_cells`` full cells the lists of them are broadcast, beyond
-    that they are joined by a shuffle.
+    A slice should have ``slice_rows`` rows, or more if the table has over ``max_slices`` times as many;
+    accounts with more than about twice that are cut. The lists of their slices are broadcast if there are at
+    most ``max_keys`` of them, and joined by a shuffle beyond that.
     """
 
-    min_rows: int = 20_000
-    max_keys: int = 4_096
-    slice_rows: int = 5_000
+    slice_rows: int = 20_000
     max_slices: int = 100_000
-    max_cells: int = 65_536
+    max_keys: int = 1_024
 
 
 DEFAULT_SKEW = SkewConfig()

@@ -9,10 +9,9 @@ from ledgerwatch.config import DEFAULT_SKEW, MICROS_PER_SECOND, SkewConfig
 from ledgerwatch.functions.columns import floor_to, from_micros, from_units, micros, to_units
 from ledgerwatch.functions.rules import RULES_BY_NAME
 from ledgerwatch.operators.skew import find_slices
-from ledgerwatch.operators.velocity import trailing
+from ledgerwatch.operators.velocity import BY_SLICE, BY_TIME, trailing
 
 GEO_MINUTES = 30
-SLICE_SECONDS = 3600
 WINDOW_SECONDS = 300
 SHOWN = ["transaction_id", "account_id", "event_time", "amount"]
 
@@ -22,21 +21,19 @@ def geo_impossible(
 ) -> DataFrame:
     """Transactions in another country than the account's previous one less than ``minutes`` before."""
     rows = transactions.selectExpr("transaction_id", "account_id", "event_time", "country", f"{micros()} as us")
-    slices = find_slices(rows.select("account_id", "us"), skew, SLICE_SECONDS)
-    last_of_slice = (
-        slices.hot_rows(rows.select("account_id", "us", "transaction_id", "country"))
-        .groupBy("account_id", "slice")
-        .agg(F.expr("max_by(struct(us, country), struct(us, transaction_id)) as final"))
-    )
-    carried = last_of_slice.selectExpr(
-        "account_id", "slice", "lag(final) over (partition by account_id order by slice) as carried"
-    )
-    by_time = "partition by account_id, slice order by us, transaction_id"
-    steps = (
-        slices.cut(rows)
-        .join(carried.hint("shuffle_hash"), ["account_id", "slice"], "left")
-        .selectExpr("*", f"coalesce(lag(struct(us, country)) over ({by_time}), carried) as previous")
-    )
+    slices = find_slices(rows.select("account_id", "us", "transaction_id"), skew)
+    before = f"lag(struct(us, country)) over ({BY_TIME})"
+    sliced = slices.cut(rows)
+    if slices.accounts is not None:
+        last_of_slice = (
+            slices.cut_rows(rows.select("account_id", "us", "transaction_id", "country"))
+            .groupBy("account_id", "slice")
+            .agg(F.expr("max_by(struct(us, country), struct(us, transaction_id)) as final"))
+        )
+        carried = last_of_slice.selectExpr("account_id", "slice", f"lag(final) over ({BY_SLICE}) as carried")
+        sliced = sliced.join(carried.hint("shuffle_hash"), ["account_id", "slice"], "left")
+        before = f"coalesce({before}, carried)"
+    steps = sliced.selectExpr("*", f"{before} as previous")
     near = f"us - previous.us < {minutes * 60 * MICROS_PER_SECOND}"
     return steps.where(f"previous.country <> country and {near}").selectExpr(
         "transaction_id",

@@ -1,9 +1,10 @@
-"""Splitting the time line of hot accounts.
+"""Cutting the time line of busy accounts into slices.
 
-Work along the time line of one account (running sums, previous row) would put all rows
-of that account into one task. Accounts with very many rows are therefore cut into time
-slices that are worked on separately; what a slice must know about the earlier ones is
-computed from one summary row per slice.
+Work along the time line of one account (running sums, previous row) would put all rows of that account
+into one task. The rows of a table are therefore seen in order of account, time and id, and boundaries are
+taken from a sample of them, so that about equally many rows lie between two of them. An account that holds
+several boundaries is cut there; what a slice must know about the earlier ones is one row that is carried
+on from slice to slice.
 """
 
 from __future__ import annotations
@@ -13,46 +14,43 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerwatch.config import MICROS_PER_SECOND, SkewConfig
-from ledgerwatch.functions.columns import floor_to
+from ledgerwatch.config import SkewConfig
 
-WHOLE = -1  # slice of an account that is not cut; no slice starts there
+#: Rows of the sample between two boundaries: slices differ by about a sixth.
+PER_SLICE = 32
 
-# Full cells are cut this many times finer than evenly spread rows need, for the sake of
-# rows that come in bursts.
-OVERCUT = 16
+
+def _position(key: str) -> str:
+    """How many of the sorted ``starts`` are not above ``key``, by halving."""
+    middle = "cast((at.low + at.high) div 2 as int)"
+    return f"""aggregate(sequence(1, length(bin(size(starts)))), named_struct('low', 0, 'high', size(starts)),
+        (at, i) -> case when at.low >= at.high then at
+            when get(starts, {middle}) <= {key} then named_struct('low', {middle} + 1, 'high', at.high)
+            else named_struct('low', at.low, 'high', {middle}) end).low"""
 
 
 @dataclass(frozen=True)
 class Slices:
-    """The hot accounts (``account_id, wanted`` rows per slice) and their full cells (``account_id,
-    cell, part_us``).
-
-    Short lists have been counted and are broadcast. Longer ones are joined like any other table:
-    the side with the rows may be skewed, which adaptive execution splits.
+    """The accounts that are cut: ``account_id`` and the sorted ``starts`` (time and id) of all slices but the
+    first; none if there is no such account. ``tie`` is the expression that orders rows of equal time.
     """
 
-    accounts: DataFrame
-    cells: DataFrame
-    cell_us: int
+    accounts: DataFrame | None
+    tie: str
 
-    def cut(self, rows: DataFrame) -> DataFrame:
-        """Add ``slice``: start of the time slice for rows of hot accounts, ``WHOLE`` for all others."""
-        marked = rows.join(self.accounts.selectExpr("account_id", "true as hot"), "account_id", "left")
-        return self._slice(marked, rows.columns, f"if(hot is null, {WHOLE}L, {floor_to('us', self.cell_us)})")
+    def _slice(self, rows: DataFrame, columns: list[str]) -> DataFrame:
+        key = f"named_struct('us', us, 'id', cast({self.tie} as string))"
+        return rows.selectExpr(*columns, f"coalesce({_position(key)}, 0) as slice")
 
-    def hot_rows(self, rows: DataFrame) -> DataFrame:
-        """The rows of hot accounts only, with ``slice``."""
-        hot = rows.join(self.accounts, "account_id")
-        return self._slice(hot, rows.columns, floor_to("us", self.cell_us))
+    def cut(self, rows: DataFrame) -> DataFrame:
+        """Add ``slice``, the number of the row's slice in its account; 0 in accounts that are not cut."""
+        if self.accounts is None:
+            return rows.selectExpr("*", "0 as slice")
+        return self._slice(rows.join(self.accounts, "account_id", "left"), rows.columns)
 
-    def _slice(self, rows: DataFrame, columns: list[str], cell: str) -> DataFrame:
-        part = f"cell + {floor_to('(us - cell)', 'part_us')}"
-        return (
-            rows.selectExpr(*columns, f"{cell} as cell")
-            .join(self.cells, ["account_id", "cell"], "left")
-            .selectExpr(*columns, f"coalesce({part}, cell) as slice")
-        )
+    def cut_rows(self, rows: DataFrame) -> DataFrame:
+        """The rows of accounts that are cut, with ``slice``."""
+        return self._slice(rows.join(self.accounts, "account_id"), rows.columns)
 
 
 def short(rows: DataFrame, most: int) -> DataFrame:
@@ -66,27 +64,28 @@ def short(rows: DataFrame, most: int) -> DataFrame:
     return F.broadcast(rows.sparkSession.createDataFrame(found, rows.schema))
 
 
-def find_slices(rows: DataFrame, skew: SkewConfig, cell_seconds: int) -> Slices:
-    """The slices for ``rows`` (``account_id``, ``us``), none longer than ``cell_seconds``.
+def find_slices(rows: DataFrame, skew: SkewConfig | None, tie: str = "transaction_id") -> Slices:
+    """The slices for ``rows`` (``account_id``, ``us`` and what ``tie`` needs).
 
-    Every account from ``min_rows`` rows on is cut, however many there are.
+    Accounts with more rows than about two slices should have are cut, however many there are; there are
+    at most half as many as slices. The sample only decides where: any sample gives the same results.
+    Rows that are equal in account, time and ``tie`` stay together.
     """
-    cell_us = cell_seconds * MICROS_PER_SECOND
-    accounts = short(
-        rows.groupBy("account_id")
-        .agg(F.expr("count(*) as n_rows"))
-        .where(f"n_rows >= {skew.min_rows}")
-        .selectExpr("account_id", f"greatest({skew.slice_rows}, n_rows div {skew.max_slices}) as wanted"),
-        skew.max_keys,
-    )
-    cells = short(
-        rows.join(accounts, "account_id")
-        .groupBy("account_id", "wanted", F.expr(f"{floor_to('us', cell_us)} as cell"))
-        .agg(F.expr("count(*) as n_rows"))
-        .where("n_rows > wanted")
-        .selectExpr(
-            "account_id", "cell", f"cast(greatest({cell_us}D * wanted / n_rows / {OVERCUT}, 1D) as bigint) as part_us"
-        ),
-        skew.max_cells,
+    if skew is None:
+        return Slices(None, tie)
+    n = rows.count()
+    parts = min(skew.max_slices, n // skew.slice_rows)
+    if parts < 2:
+        return Slices(None, tie)
+    place = f"named_struct('us', us, 'id', cast({tie} as string))"
+    sample = rows.sample(fraction=min(1.0, PER_SLICE * parts / n), seed=1).selectExpr("account_id", f"{place} as place")
+    every = f"(place, k) -> k % {PER_SLICE} = 0 and k > 0"
+    starts = (
+        sample.groupBy("account_id")
+        .agg(F.expr("array_sort(collect_list(place)) as places"))
+        .where(f"size(places) >= {2 * PER_SLICE} and account_id is not null")
+        .selectExpr("account_id", f"array_distinct(filter(places, {every})) as starts")
     )
-    return Slices(accounts, cells, cell_us)
+    # The lists of a few accounts are broadcast; others are joined, whose busy keys adaptive execution splits.
+    accounts = short(starts, skew.max_keys)
+    return Slices(None if accounts.isEmpty() else accounts, tie)

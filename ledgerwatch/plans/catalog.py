@@ -171,8 +171,7 @@ def _skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def skewed_velocity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    skew = SkewConfig(min_rows=1000, slice_rows=100)
-    rows = ve.session_velocity(_skewed(spark, sf_dir), skew=skew)
+    rows = ve.session_velocity(_skewed(spark, sf_dir), SkewConfig(slice_rows=100))
     return rows.select(*KEY, "event_time", "amount", "window_count", "window_spend")
 
 

@@ -4,12 +4,13 @@ import pytest
 
 from ledgerwatch.config import SkewConfig
 from ledgerwatch.operators import detectors, velocity
+from ledgerwatch.operators import skew as cutting
 from ledgerwatch.operators.skew import find_slices
 from ledgerwatch.sources import events
 from tests.compare import assert_same
 
-WHOLE = SkewConfig(min_rows=10**9)
-CUT = SkewConfig(min_rows=100, slice_rows=7)
+WHOLE = SkewConfig(slice_rows=10**9)
+CUT = SkewConfig(slice_rows=15)
 
 
 @pytest.fixture(scope="module")
@@ -20,44 +21,70 @@ def skewed(spark, medium):
     return rows.selectExpr(*[account if c == "account_id" else c for c in rows.columns])
 
 
+@pytest.fixture(scope="module")
+def tied(skewed):
+    """Half of the busy account's rows carry the same microsecond, and two more blocks lie a gap apart."""
+    number = "cast(substring(transaction_id, 4) as bigint)"
+    moved = f"""case when account_id <> 'ACC000000' or {number} % 2 = 0 then event_time
+        else cast(timestamp_micros(1704070800000000 + ({number} % 14 div 6) * 300000000) as timestamp_ntz) end as event_time"""
+    return skewed.selectExpr(*[moved if c == "event_time" else c for c in skewed.columns])
+
+
 def timed(rows):
-    return rows.selectExpr("account_id", "unix_micros(cast(event_time as timestamp)) as us")
+    return rows.selectExpr("account_id", "transaction_id", "unix_micros(cast(event_time as timestamp)) as us")
 
 
-def largest_slice(slices, rows):
+def slice_sizes(slices, rows):
     sizes = slices.cut(rows).where("account_id = 'ACC000000'").groupBy("slice").count()
     return sizes.count(), sizes.agg({"count": "max"}).first()[0]
 
 
-def test_hot_account_is_spread_over_many_small_slices(spark, skewed):
-    slices = find_slices(timed(skewed), SkewConfig(min_rows=1000, slice_rows=50), 300)
+def test_busy_account_is_spread_over_even_slices(spark, skewed):
+    slices = find_slices(timed(skewed), SkewConfig(slice_rows=100))
     assert [r.account_id for r in slices.accounts.collect()] == ["ACC000000"]
-    number, largest = largest_slice(slices, timed(skewed))
-    assert number > 50 and largest < 120
+    number, largest = slice_sizes(slices, timed(skewed))
+    assert 25 < number < 45 and largest < 200
 
 
-def test_burst_of_a_hot_account_is_spread_too(spark, skewed):
-    """All rows of the account but a few fall into two seconds of a long time line."""
-    us = "if(account_id = 'ACC000000' and us % 50 != 0, us - pmod(us, 8640000000) + pmod(us, 2000000), us) as us"
-    burst = timed(skewed).selectExpr("account_id", us)
-    slices = find_slices(burst, SkewConfig(min_rows=1000, slice_rows=50), 300)
-    _, largest = largest_slice(slices, burst)
-    assert burst.where("account_id = 'ACC000000'").count() > 3000
-    assert largest < 600 * 2
+@pytest.mark.parametrize("us", ["1000000L", "us - pmod(us, 8640000000) + pmod(us, 2000000)"])
+def test_rows_of_one_time_are_spread_too(spark, skewed, us):
+    """All rows of the account fall into one microsecond, or into two seconds of a long time line."""
+    burst = timed(skewed).selectExpr("account_id", "transaction_id", f"if(account_id = 'ACC000000', {us}, us) as us")
+    number, largest = slice_sizes(find_slices(burst, SkewConfig(slice_rows=100)), burst)
+    assert 25 < number < 45 and largest < 200
 
 
-def test_any_number_of_hot_accounts_is_cut(spark):
-    """Ten thousand accounts above the limit, far more than a broadcast list may have: all are cut."""
-    rows = spark.range(300_000).selectExpr("concat('A', id % 10000) as account_id", "id * 1000000 as us")
-    slices = find_slices(rows, SkewConfig(min_rows=20, slice_rows=5, max_keys=100, max_cells=100), 30_000)
-    assert slices.accounts.count() == 10_000
+def test_twenty_thousand_rows_of_one_microsecond(spark):
+    rows = spark.range(20_000).selectExpr(
+        "concat('T', lpad(id, 6, '0')) as transaction_id", "'A' as account_id", "1.5D as amount", "id % 1000 as n",
+        "timestamp'2024-01-01 00:00:00' as event_time",
+    )
+    skew = SkewConfig(slice_rows=1000)
+    number, largest = find_slices(timed(rows), skew).cut(timed(rows)).groupBy("slice").count().selectExpr("count(*)", "max(count)").first()
+    assert 12 < number < 25 and largest < 2000
+    counted = velocity.session_velocity(rows, skew)
+    assert counted.where("window_count <> cast(substring(transaction_id, 2) as bigint) + 1").isEmpty()
+    trailing = velocity.trailing_velocity(rows, skew)
+    assert {tuple(r) for r in trailing.select("window_count", "window_spend").distinct().collect()} == {(20_000, 30_000.0)}
+
+
+def test_any_number_of_accounts_is_cut(spark):
+    """Far more accounts than a broadcast list may have: all are cut."""
+    rows = spark.range(300_000).selectExpr("concat('A', id % 1000) as account_id", "id as transaction_id", "id as us")
+    slices = find_slices(rows, SkewConfig(slice_rows=20, max_keys=100))
+    assert slices.accounts.count() == 1_000
     sizes = slices.cut(rows).groupBy("account_id", "slice").count()
-    assert sizes.where("slice = -1").isEmpty() and sizes.agg({"count": "max"}).first()[0] <= 5
+    assert sizes.agg({"count": "max"}).first()[0] < 100 and sizes.count() == 10_000
+
+
+def test_few_rows_are_not_cut(spark, skewed):
+    assert find_slices(timed(skewed), SkewConfig()).accounts is None
+    assert find_slices(timed(skewed).limit(0), CUT).accounts is None
 
 
 def test_long_and_short_lists_give_the_same(skewed):
-    long = SkewConfig(min_rows=10, slice_rows=7, max_keys=1, max_cells=1)
-    assert_same(velocity.session_velocity(skewed, skew=long).toPandas(), velocity.session_velocity(skewed, skew=WHOLE).toPandas())
+    long = SkewConfig(slice_rows=15, max_keys=1)
+    assert_same(velocity.session_velocity(skewed, long).toPandas(), velocity.session_velocity(skewed, WHOLE).toPandas())
 
 
 def test_a_busy_account_with_many_merchants_is_spread(spark):
@@ -74,64 +101,54 @@ def test_a_busy_account_with_many_merchants_is_spread(spark):
     assert "Window" not in plan and "name" in plan
 
 
+@pytest.mark.parametrize("table", ["skewed", "tied"])
 @pytest.mark.parametrize(
     "operator",
     [
-        lambda rows, skew: velocity.session_velocity(rows, skew=skew).select("transaction_id", "window_count", "window_spend"),
+        lambda rows, skew: velocity.session_velocity(rows, skew).select("transaction_id", "window_count", "window_spend"),
         lambda rows, skew: velocity.trailing_velocity(rows, skew),
         lambda rows, skew: detectors.geo_impossible(rows, skew=skew),
-        lambda rows, skew: detectors.card_testing(rows, skew=SkewConfig(skew.min_rows // 50, slice_rows=3)),
+        lambda rows, skew: detectors.card_testing(rows, skew=skew),
         lambda rows, skew: detectors.spend_anomaly(rows, skew=skew),
     ],
     ids=["session", "trailing", "geo", "card", "spend"],
 )
-def test_cut_and_whole_accounts_agree(skewed, operator):
-    assert_same(operator(skewed, CUT).toPandas(), operator(skewed, WHOLE).toPandas())
+def test_cut_and_whole_accounts_agree(request, table, operator):
+    rows = request.getfixturevalue(table)
+    assert_same(operator(rows, CUT).toPandas(), operator(rows, WHOLE).toPandas())
+
+
+def test_pauses_anywhere(spark, monkeypatch):
+    """Sessions that end inside a slice, at its end, in a slice of ties, and none at all."""
+    import random
+
+    monkeypatch.setattr(cutting, "PER_SLICE", 2)
+    draw = random.Random(2)
+    for _ in range(4):
+        at, rows = 0, []
+        for k in range(400):
+            at += draw.choice([0, 0, 0, 1, 100, 299, 300, 301, 5000])
+            rows.append((f"T{k:04d}", draw.choice("AAAB"), float(k), 1_704_067_200 + at))
+        frame = spark.createDataFrame(rows, "transaction_id string, account_id string, amount double, at long")
+        frame = frame.selectExpr("transaction_id", "account_id", "amount", "timestamp_seconds(at) as event_time")
+        for skew in (SkewConfig(slice_rows=3), SkewConfig(slice_rows=40)):
+            assert_same(velocity.session_velocity(frame, skew).toPandas(), velocity.session_velocity(frame, None).toPandas())
 
 
-def test_batches_continue_open_sessions(spark, skewed):
-    """Two batches in a row give what one pass over all rows gives, cut or not."""
+def test_open_sessions_of_a_table(spark, skewed):
     from ledgerwatch.functions.scores import score_transactions
 
-    middle = "timestamp_ntz'2024-01-01 01:00:00'"
-    columns = ["transaction_id", "window_count", "window_spend"]
-    expected = velocity.session_velocity(skewed, skew=WHOLE).select(*columns).toPandas()
-    for skew in (None, WHOLE, CUT):
-        first = score_transactions(velocity.session_velocity(skewed.where(f"event_time < {middle}"), None, skew))
-        newest = first.selectExpr("max(unix_micros(cast(event_time as timestamp)))").first()[0]
-        state = velocity.next_sessions(first, None, newest)
-        assert 0 < state.count() <= first.select("account_id").distinct().count()
-        second = velocity.session_velocity(skewed.where(f"event_time >= {middle}"), state, skew)
-        both = first.select(*columns).unionByName(second.select(*columns))
-        assert_same(both.toPandas(), expected)
-
-
-def test_row_older_than_the_open_session_counts_in_it(spark):
-    rows = spark.createDataFrame(
-        [("T1", "A", 10.0, "2024-01-01 00:00:00"), ("T2", "A", 20.0, "2024-01-01 00:08:00")],
-        "transaction_id string, account_id string, amount double, at string",
-    ).selectExpr("transaction_id", "account_id", "amount", "cast(at as timestamp) as event_time")
-    last = "unix_micros(timestamp'2024-01-01 00:09:00')"
-    earlier = spark.range(1).selectExpr("'A' as account_id", "3L as n", "50000L as units", f"{last} as last_us")
-    counted = velocity.session_velocity(rows, earlier).orderBy("transaction_id").collect()
-    assert [(r.window_count, r.window_spend) for r in counted] == [(4, 15.0), (5, 35.0)]
-
-
-def test_sessions_that_have_ended_are_forgotten(spark):
-    scored = spark.createDataFrame(
-        [("T1", "NEW", 2, 30.0)], "transaction_id string, account_id string, window_count bigint, window_spend double"
-    ).selectExpr("*", "timestamp'2024-01-01 01:00:00' as event_time")
-    ago = {"OPEN": 200, "LATE": 329, "ENDED": 331, "NEW": 100}
-    newest = 1_704_070_800_000_000
-    rows = [(name, 1, 10_000, newest - seconds * 1_000_000) for name, seconds in ago.items()]
-    earlier = spark.createDataFrame(rows, "account_id string, n bigint, units bigint, last_us bigint")
-    kept = {r.account_id: (r.n, r.units) for r in velocity.next_sessions(scored, earlier, newest).collect()}
-    assert kept == {"OPEN": (1, 10_000), "LATE": (1, 10_000), "NEW": (2, 300_000)}
+    scored = score_transactions(velocity.session_velocity(skewed)).cache()
+    newest = {}
+    for r in scored.select("account_id", "event_time", "transaction_id", "window_count", "window_spend").collect():
+        newest[r.account_id] = max(newest.get(r.account_id, (r.event_time, "")), (r.event_time, r.transaction_id, r.window_count, r.window_spend))
+    found = velocity.open_sessions(scored).selectExpr("account_id", "n", "cast(units as double) / 10000 as spend").collect()
+    assert {r.account_id: (r.n, r.spend) for r in found} == {a: v[2:] for a, v in newest.items()}
 
 
 def test_reduce_tasks_are_balanced(spark, skewed):
     """No task of the windows holds much more than its share, though one account has a third."""
-    skew = SkewConfig(min_rows=500, slice_rows=20)
+    skew = SkewConfig(slice_rows=50)
     counted = velocity.session_velocity(skewed, skew=skew).selectExpr("spark_partition_id() as task", "window_spend")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
