@@ -12,8 +12,9 @@ from __future__ import annotations
 import codecs
 import hashlib
 import json
+import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 from itertools import chain, islice
@@ -29,7 +30,9 @@ from ledgerwatch.llm.common import small_batches
 
 # Fixed value: how a byte-level vocabulary without a pattern of its own cuts texts into pieces.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Pieces up to this many characters are remembered, this many at most; all others are encoded each time.
+# The same for texts of ASCII characters only.
+ASCII_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\t-\r A-Za-z0-9]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+"
+#: Pieces up to this many characters are remembered, at most twice this many; all others are encoded each time.
 KEPT_CHARS, KEPT_PIECES = 64, 1 << 19
 #: So many pairs of tokens are remembered as fitting or not.
 KEPT_PAIRS = 1 << 20
@@ -73,6 +76,17 @@ class Vocabulary:
         return Vocabulary(tokens, [(ids[a], ids[b], ids[a + b]) for a, b in pairs], special)
 
 
+class Pairs(dict):
+    """Which pairs of tokens fit: a table that fills as texts need it."""
+
+    def __init__(self, fits: Callable[[int, int], bool]):
+        self.fits = fits
+
+    def __missing__(self, pair: tuple[int, int]) -> bool:
+        found = self[pair] = self.fits(*pair)
+        return found
+
+
 class Encoder:
     """Encodes texts with a vocabulary, and decodes ids."""
 
@@ -94,23 +108,24 @@ class Encoder:
         self.length = {i: len(t) for t, i in usable.items()}
         self.automaton = ahocorasick.Automaton()
         for t, i in usable.items():
-            self.automaton.add_word(t.decode("latin-1"), (len(t), i))
+            self.automaton.add_word(t.decode("latin-1"), i)
         self.automaton.make_automaton()
         # The next shorter token that a token begins with.
         self.shorter: dict[int, int | None] = {}
         for t, i in usable.items():
             self.shorter[i] = next((usable[t[:k]] for k in range(len(t) - 1, 0, -1) if t[:k] in usable), None)
-        self.compatible: dict[tuple[int, int], bool] = {}
-        self.kept: dict[str, list[int]] = {}
+        self.compatible = Pairs(self.fits)
+        #: Remembered pieces: their ids joined by commas, and as 32-bit numbers.
+        self.kept: dict[str, tuple[str, bytes]] = {}
+        self.kept_before: dict[str, tuple[str, bytes]] = {}
         self.special = vocabulary.special
         longest_first = sorted(self.special, key=len, reverse=True)
         self.specials = regex.compile("|".join(map(regex.escape, longest_first))) if self.special else None
-        self.pieces = regex.compile(PIECES)
+        self.pieces, self.ascii_pieces = regex.compile(PIECES), re.compile(ASCII_PIECES)
         # The offset table: where the bytes of each id begin and end.
         most = max(tokens, default=-1) + 1
         self.offsets = np.cumsum([0, *[len(tokens.get(i, b"")) for i in range(most)]])
         self.bytes = np.frombuffer(b"".join(tokens.get(i, b"") for i in range(most)), np.uint8)
-        self.names = [str(i) for i in range(most)]
 
     def fits(self, left: int, right: int, before: int | None = None) -> bool:
         """Whether merging leaves tokens ``left`` and ``right`` beside each other; with ``before``, until the
@@ -132,69 +147,69 @@ class Encoder:
                 # Of the same merges the left one comes first, so across the border it would come first too.
                 before, right = made_right + 1, self.halves[right][0]
 
-    def _joins(self, left: int, right: int) -> bool:
-        """``fits``, remembered: the table of compatible pairs fills as texts need them."""
-        known = self.compatible.get((left, right))
-        if known is None:
-            if len(self.compatible) >= KEPT_PAIRS:
-                self.compatible.clear()
-            known = self.compatible[left, right] = self.fits(left, right)
-        return known
-
     def encode_piece(self, piece: bytes) -> list[int]:
         """The tokens of one piece. Each position is left for good once, so the time is linear in its bytes."""
-        letters = piece.decode("latin-1")
+        letters, fit = piece.decode("latin-1"), self.compatible
+        if len(fit) > KEPT_PAIRS:
+            fit.clear()
         # The longest tokens one after the other, as the automaton walks along; if all fit, they are the ones.
-        out = [token for _, (_, token) in self.automaton.iter_long(letters)]
-        if all(map(self._joins, out, out[1:])):
+        out = [found[1] for found in self.automaton.iter_long(letters)]
+        if all(map(fit.__getitem__, zip(out, out[1:]))):  # noqa: B905
             return out
-        longest = array("q", bytes(8 * len(piece)))
-        for end, (length, token) in self.automaton.iter(letters):
-            longest[end - length + 1] = token  # of those that begin here, longer ones end later
-        dead, out, at = bytearray(len(piece) + 1), [], 0
-        token = longest[0]
-        while at < len(piece):
-            end = at + self.length[token]
-            if not dead[end] and (not out or self._joins(out[-1], token)):
+        n, length, shorter = len(piece), self.length, self.shorter
+        longest = array("i", bytes(4 * n))
+        for end, token in self.automaton.iter(letters):
+            longest[end - length[token] + 1] = token  # of those that begin here, longer ones end later
+        dead, out, at, token = bytearray(n + 1), [], 0, longest[0]
+        while at < n:
+            end = at + length[token]
+            if not dead[end] and (not out or fit[out[-1], token]):
                 out.append(token)
                 at = end
-                token = longest[at] if at < len(piece) else None
+                if at < n:
+                    token = longest[at]
                 continue
-            token = self.shorter[token]
+            token = shorter[token]
             if token is None:
                 dead[at] = 1
                 token = out.pop()
-                at -= self.length[token]
+                at -= length[token]
         return out
 
-    def _plain_parts(self, text: str) -> Iterator[list[int]]:
-        """The ids of a text without special texts, those of some pieces at a time."""
-        kept = self.kept
-        whole = len(text) <= PART_CHARS
-        pieces = self.pieces.findall(text) if whole else (m.group() for m in self.pieces.finditer(text))
-        pieces = iter(pieces)
+    def _kept(self, piece: str) -> tuple[str, bytes]:
+        ids = self.encode_piece(piece.encode())
+        return ",".join(map(str, ids)), array("i", ids).tobytes()
+
+    def _plain_parts(self, text: str) -> Iterator[tuple[str, np.ndarray]]:
+        """The ids of a text without special texts, joined by commas and as numbers, for some pieces at a time."""
+        kept, cut = self.kept, self.ascii_pieces if text.isascii() else self.pieces
+        pieces = iter(cut.findall(text) if len(text) <= PART_CHARS else (m.group() for m in cut.finditer(text)))
         while part := list(islice(pieces, PART_PIECES)):
             new = set(part).difference(kept)
-            kept.update((piece, self.encode_piece(piece.encode())) for piece in new)
-            yield list(chain.from_iterable(map(kept.__getitem__, part)))
+            for piece in new:
+                kept[piece] = self.kept_before.get(piece) or self._kept(piece)
+            texts, raw = zip(*map(kept.__getitem__, part), strict=True)
+            yield ",".join(texts), np.frombuffer(b"".join(raw), np.int32)
+            for piece in new:
+                if len(piece) > KEPT_CHARS:
+                    del kept[piece]
             if len(kept) > KEPT_PIECES:
+                # What is not needed again before this happens the next time is forgotten then.
+                self.kept_before = dict(kept)
                 kept.clear()
-            else:
-                for piece in new:
-                    if len(piece) > KEPT_CHARS:
-                        del kept[piece]
 
-    def parts(self, text: str) -> Iterator[list[int]]:
-        """The ids of a text, part by part."""
+    def parts(self, text: str) -> Iterator[tuple[str, np.ndarray]]:
+        """The ids of a text, joined by commas and as numbers, part by part."""
         at = 0
         for found in self.specials.finditer(text) if self.specials else ():
             yield from self._plain_parts(text[at : found.start()])
-            yield [self.special[found.group()]]
+            special = self.special[found.group()]
+            yield str(special), np.array([special], np.int32)
             at = found.end()
         yield from self._plain_parts(text[at:] if at else text)
 
     def encode(self, text: str) -> list[int]:
-        return [i for part in self.parts(text) for i in part]
+        return [i for _, ids in self.parts(text) for i in ids.tolist()]
 
     def decode_bytes(self, ids: np.ndarray) -> bytes:
         start = self.offsets[ids]
@@ -212,9 +227,9 @@ class Encoder:
         Part by part, so that a very long text needs no list of all its tokens.
         """
         n, of_ids, of_text, decoder = 0, hashlib.sha256(), hashlib.sha256(), codecs.getincrementaldecoder("utf-8")("replace")
-        for ids in self.parts(text):
-            of_ids.update(("," * bool(n) + ",".join(map(self.names.__getitem__, ids))).encode())
-            of_text.update(decoder.decode(self.decode_bytes(np.array(ids, np.int64))).encode())
+        for joined, ids in self.parts(text):
+            of_ids.update(f"{',' if n else ''}{joined}".encode())
+            of_text.update(decoder.decode(self.decode_bytes(ids)).encode())
             n += len(ids)
         of_text.update(decoder.decode(b"", True).encode())
         return n, of_ids.hexdigest(), of_text.hexdigest()
