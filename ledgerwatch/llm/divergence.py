@@ -20,8 +20,8 @@ from ledgerwatch.llm.common import saved, small_batches
 from ledgerwatch.operators.skew import short
 
 WORD_BYTES = 8
-#: Bytes of text that are taken apart at a time; only a longer text is cut, between two terms.
-BLOCK_BYTES = 4 << 20
+#: Bytes of text that are taken apart at a time, more if one text has more; such a text is cut, between two terms.
+BLOCK_BYTES = 12 << 20
 COUNTED = "lang string, source string, term string, n bigint, docs bigint"
 
 #: What a byte of a text becomes: itself in a term, lower case for A-Z, 0 between terms.
@@ -55,7 +55,7 @@ def packed(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, word: int)
 def counted_runs(
     words: list[np.ndarray], group: np.ndarray, doc: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Position of one row of each run of equal ``words`` in a group, its rows, and its documents.
+    """Position of one row of each run of equal ``words`` in a group, the run's rows, and its documents.
 
     Rows come in order of group and document, and stay so within a term.
     """
@@ -70,46 +70,31 @@ def counted_runs(
     return order[first], n, np.add.reduceat(changed.astype(np.int64), first)
 
 
-def term_counts(data: np.ndarray, doc: np.ndarray, group: np.ndarray) -> Iterator[tuple]:
+def term_counts(data: np.ndarray, begins: np.ndarray, groups: np.ndarray) -> Iterator[tuple]:
     """``(group, term, n, docs)`` as arrays, for the terms in ``data`` (bytes as ``BYTES`` gives them).
 
-    ``doc`` and ``group`` tell the document and the group of each byte, both ascending; a zero parts documents.
+    ``begins`` tells where each document begins; a zero parts documents. ``groups`` are theirs, ascending.
     """
     inside = np.concatenate([[False], data != 0, [False]])
     edges = np.flatnonzero(inside[1:] != inside[:-1])
     starts, lengths = edges[::2], edges[1::2] - edges[::2]
+    doc = (np.searchsorted(begins, starts, side="right") - 1).astype(np.int32)
+    group = groups[doc]
     for n_words in (1, 2):
         chosen = (lengths <= n_words * WORD_BYTES) & (lengths > (n_words - 1) * WORD_BYTES)
         at, size = starts[chosen], lengths[chosen]
         if len(at):
             words = [packed(data, at, size, k) for k in range(n_words)]
-            row, n, docs = counted_runs(words, group[at], doc[at])
+            row, n, docs = counted_runs(words, group[chosen], doc[chosen])
             text = np.stack([w[row] for w in words], axis=1).astype(">u8").view(f"S{n_words * WORD_BYTES}").ravel()
-            yield group[at][row], text, n, docs
+            yield group[chosen][row], text, n, docs
     for size in np.unique(lengths[lengths > 2 * WORD_BYTES]):
-        at = starts[lengths == size]
-        text = data[at[:, None] + np.arange(size)].view(f"S{size}").ravel()
-        order = np.argsort(text, kind="stable")
-        changed = np.ones(len(order), bool)
-        changed[1:] = (text[order][1:] != text[order][:-1]) | (group[at][order][1:] != group[at][order][:-1])
-        first = np.flatnonzero(changed)
-        n = np.diff(np.append(first, len(order)))
-        changed[1:] |= doc[at][order][1:] != doc[at][order][:-1]
-        row = order[first]
-        yield group[at][row], text[row], n, np.add.reduceat(changed.astype(np.int64), first)
-
-
-def blocks(texts: list[bytes]) -> Iterator[list[int]]:
-    """Positions of ``texts`` that are taken apart together."""
-    block, held = [], 0
-    for k, text in enumerate(texts):
-        if block and held + len(text) > BLOCK_BYTES:
-            yield block
-            block, held = [], 0
-        block.append(k)
-        held += len(text)
-    if block:
-        yield block
+        chosen = lengths == size
+        text = data[starts[chosen][:, None] + np.arange(size)].view(f"S{size}").ravel()
+        # Sorted as bytes, every term has its number, which is counted like a word.
+        terms, number = np.unique(text, return_inverse=True)
+        row, n, docs = counted_runs([number.astype(np.uint64)], group[chosen], doc[chosen])
+        yield group[chosen][row], text[row], n, docs
 
 
 def long_text_counts(text: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -121,39 +106,50 @@ def long_text_counts(text: bytes) -> tuple[np.ndarray, np.ndarray]:
         k = np.searchsorted(gaps, start + BLOCK_BYTES)
         end = int(gaps[k]) + 1 if k < len(gaps) else len(data)
         part = data[start:end]
-        nothing = np.zeros(len(part), np.int8)
-        for _, terms, n, _ in term_counts(part, nothing, nothing):
+        for _, terms, n, _ in term_counts(part, np.zeros(1, np.int64), np.zeros(1, np.int32)):
             for term, count in zip(terms.tolist(), n.tolist(), strict=True):
                 found[term] += count
         start = end
     return np.array(list(found), object), np.array(list(found.values()), np.int64)
 
 
+def block_counts(rows: list[tuple[str, str, bytes]]) -> Iterator[pa.RecordBatch]:
+    """The counts of some documents, ``(lang, source, text)`` each."""
+    rows.sort(key=lambda row: row[:2])
+    keys = [row[:2] for row in rows]
+    names = sorted(set(keys))
+    number = {key: k for k, key in enumerate(names)}
+    groups = np.array([number[key] for key in keys], np.int32)
+    sizes = np.array([len(row[2]) + 1 for row in rows])
+    data = BYTES[np.frombuffer(b"\0".join([*[row[2] for row in rows], b""]), np.uint8)]
+    yield from batches_of(names, term_counts(data, np.cumsum(sizes) - sizes, groups))
+
+
+def batches_of(names: list[tuple[str, str]], parts: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+    langs, sources = (pa.array([name[k] for name in names], pa.string()) for k in (0, 1))
+    for group, terms, n, docs in parts:
+        text = pa.array(terms.tolist(), pa.binary()).cast(pa.string())
+        columns = [langs.take(pa.array(group)), sources.take(pa.array(group)), text, pa.array(n), pa.array(docs)]
+        yield pa.RecordBatch.from_arrays(columns, ["lang", "source", "term", "n", "docs"])
+
+
 def count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Term counts per language and source of each batch of ``(lang, source, text)``."""
+    """Term counts per language and source of batches of ``(lang, source, text)``, block by block."""
+    held, size = [], 0
     for batch in batches:
-        frame = batch.to_pandas().sort_values(["lang", "source"], kind="stable", ignore_index=True)
-        if frame.empty:
-            continue
-        number = frame.groupby(["lang", "source"], sort=False).ngroup().to_numpy()
-        names = frame[["lang", "source"]].to_numpy()
-        first = np.searchsorted(number, np.arange(number[-1] + 1))
-        texts = [text.encode() for text in frame["text"]]
-        del frame
-        for block in blocks(texts):
-            if len(block) == 1 and len(texts[block[0]]) > BLOCK_BYTES:
-                terms, n = long_text_counts(texts[block[0]])
-                parts = [(np.full(len(n), number[block[0]]), terms, n, np.ones(len(n), np.int64))] if len(n) else []
-            else:
-                sizes = [len(texts[k]) + 1 for k in block]
-                data = BYTES[np.frombuffer(b"\0".join([*[texts[k] for k in block], b""]), np.uint8)]
-                parts = term_counts(data, np.repeat(np.arange(len(block), dtype=np.int32), sizes), np.repeat(number[block].astype(np.int32), sizes))
-            for group, terms, n, docs in parts:
-                at = first[group]
-                columns = [names[at, 0], names[at, 1], pa.array(terms.tolist(), pa.binary()).cast(pa.string()), n, docs]
-                yield pa.RecordBatch.from_arrays(
-                    [c if isinstance(c, pa.Array) else pa.array(c) for c in columns], ["lang", "source", "term", "n", "docs"]
-                )
+        for lang, source, text in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+            text = text.encode()
+            if len(text) > BLOCK_BYTES:
+                terms, n = long_text_counts(text)
+                yield from batches_of([(lang, source)], iter([(np.zeros(len(n), np.int32), terms, n, np.ones(len(n), np.int64))]))
+                continue
+            held.append((lang, source, text))
+            size += len(text) + 1
+            if size > BLOCK_BYTES:
+                yield from block_counts(held)
+                held, size = [], 0
+    if held:
+        yield from block_counts(held)
 
 
 # Sources that meet in one tile of pairs, and the cells of a block of terms by sources.
