@@ -34,10 +34,10 @@ def alert_kpis(alerts: DataFrame) -> DataFrame:
 
 
 def score_histogram(alerts: DataFrame, bins: int = 20) -> DataFrame:
-    """Alerts per score bin; equal bins on [0, 1], the last one closed. Empty bins are left out."""
-    number = F.expr(f"cast(least(floor(fraud_score * {bins}), {bins - 1}) as int) as bin")
-    counts = alerts.groupBy(number).agg(F.expr("count(*) as alerts"))
-    return counts.selectExpr("bin", f"bin / {bins}D as bin_start", "alerts")
+    """Alerts per score bin, empty ones too; equal bins on [0, 1], the last one closed."""
+    number = f"least(floor(fraud_score * {bins}), {bins - 1})"
+    counts = [f"struct({k} as bin, {k / bins}D as bin_start, count_if({number} = {k}) as alerts)" for k in range(bins)]
+    return _aggregate(alerts, f"array({', '.join(counts)}) as bins").selectExpr("inline(bins)")
 
 
 def cumulative_buckets(values: DataFrame, value: str, bounds: list[float], places: int) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgerwatch.functions.columns import micros, ratio, rounded
 from ledgerwatch.operators.percentiles import NEAREST_RANK, nearest_rank
+from ledgerwatch.session import checkpointed
 
 # Labels that count as a detection.
 DETECTED = "label in ('FRAUD', 'REVIEW')"
@@ -64,8 +65,13 @@ def probe_outcomes(probes: DataFrame, alerts: DataFrame) -> DataFrame:
     )
 
 
+def coverage(outcomes: DataFrame) -> DataFrame:
+    """Coverage of the outcomes of probes, of a table or as a stream has written them."""
+    return outcomes.agg(*map(F.expr, COVERAGE))
+
+
 def probe_coverage(probes: DataFrame, alerts: DataFrame) -> DataFrame:
-    return probe_outcomes(probes, alerts).agg(*map(F.expr, COVERAGE))
+    return coverage(probe_outcomes(probes, alerts))
 
 
 def confusion_matrix(probes: DataFrame, alerts: DataFrame) -> DataFrame:
@@ -88,10 +94,10 @@ def _rated(counts: DataFrame) -> DataFrame:
 def full_report(probes: DataFrame, alerts: DataFrame) -> DataFrame:
     """All figures of a run in one row: coverage, matrix, rates, and the latency's ranks, mean and deviation.
 
-    The outcomes are counted per distinct latency first; all figures come from these counts, so scoring is done once.
+    The outcomes, five narrow columns, are written to the checkpoint folder and read for each part of the report, so
+    probes and alerts are read, and transactions scored, once.
     """
-    # The outcomes feed two branches of one plan, which share the exchange below the join of probes and alerts.
-    outcomes = probe_outcomes(probes, alerts)
+    outcomes = checkpointed(probe_outcomes(probes, alerts))
     counts = _rated(outcomes.agg(*map(F.expr, [*COVERAGE, *CONFUSION, *LATENCY])))
     ranks = nearest_rank(outcomes, "latency_ms", NEAREST_RANK, 2)
     named = ranks.selectExpr(*[f"{name} as latency_{name}_ms" for name in ranks.columns], "true as one")

@@ -17,18 +17,23 @@ UP_TO_ROW = "rows between unbounded preceding and current row"
 BEFORE_ROW = "rows between unbounded preceding and 1 preceding"
 
 
-def session_velocity(transactions: DataFrame, skew: SkewConfig | None = DEFAULT_SKEW) -> DataFrame:
+def session_velocity(
+    transactions: DataFrame, skew: SkewConfig | None = DEFAULT_SKEW, earlier: DataFrame | None = None
+) -> DataFrame:
     """Add ``window_count`` and ``window_spend``: count and spend of the account's current
     session up to and including the row, in order of event time and transaction id.
 
     A session ends when the account pauses for more than 300 seconds. Without ``skew`` no account
-    is cut, which suits a table that is known to be small.
+    is cut, which suits a table that is known to be small. ``earlier``, for such a table, has the sessions that were
+    open before (``account_id, carried_n, carried_units, carried_last_us``); a row older than that counts in it.
     """
     rows = transactions.selectExpr("*", f"{micros()} as us", f"{to_units()} as units")
     keys = rows.select("account_id", "us", "transaction_id", "units")
-    slices = find_slices(keys, skew)
+    slices = find_slices(keys, None if earlier is not None else skew)
     sliced = slices.cut(rows)
-    if slices.accounts is None:
+    if earlier is not None:
+        sliced = sliced.join(earlier.hint("shuffle_hash"), "account_id", "left")
+    elif slices.accounts is None:
         kinds = {"carried_n": "bigint", "carried_units": TOTAL, "carried_last_us": "bigint"}
         sliced = sliced.selectExpr("*", *[f"cast(null as {kind}) as {name}" for name, kind in kinds.items()])
     else:

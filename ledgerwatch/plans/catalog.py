@@ -175,6 +175,30 @@ def skewed_velocity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(*KEY, "event_time", "amount", "window_count", "window_spend")
 
 
+def _tied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A view of the transactions with a third of the rows on one account, half of these in one microsecond and the
+    others in three more, of which two lie exactly a gap apart.
+    """
+    number = "cast(substring(transaction_id, 4) as bigint)"
+    at = f"1704070800000000 + element_at(array(0L, 300000000L, 600000001L, 900000000L), cast(greatest(1, {number} % 8 - 3) as int))"
+    hot = f"{number} % 3 = 0"
+    changed = {
+        "account_id": f"if({hot}, 'ACC000000', account_id) as account_id",
+        "event_time": f"if({hot}, cast(timestamp_micros({at}) as timestamp_ntz), event_time) as event_time",
+    }
+    rows = events.transactions(spark, sf_dir)
+    return rows.selectExpr(*[changed.get(c, c) for c in rows.columns])
+
+
+def tied_velocity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = ve.session_velocity(_tied(spark, sf_dir), SkewConfig(slice_rows=100))
+    return rows.select(*KEY, "event_time", "amount", "window_count", "window_spend")
+
+
+def tied_trailing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ve.trailing_velocity(_tied(spark, sf_dir), SkewConfig(slice_rows=100))
+
+
 def repeated_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The report of the detector when a topic delivers every third alert twice."""
     alerts = _alerts(spark, sf_dir)
@@ -251,6 +275,8 @@ def queries() -> dict[str, Query]:
         "full_report": _on_probes(qu.full_report),
         "repeated_alerts": repeated_alerts,
         "skewed_velocity": skewed_velocity,
+        "tied_velocity": tied_velocity,
+        "tied_trailing": tied_trailing,
         "latency_nearest_rank": _on_latencies(qu.latency_nearest_rank),
         "latency_summary": _on_latencies(qu.latency_summary),
         "geo_impossible": _on_transactions(de.geo_impossible),

@@ -123,6 +123,11 @@ outcomes AS (
 )
 
 
+TRAILING_SUMS = (
+    "count(*) OVER w AS window_count, CAST(sum(CAST(amount AS DECIMAL(18,4))) OVER w AS DOUBLE) AS window_spend"
+)
+
+
 def _trailing(measures: str) -> str:
     return (
         EVENTS_AS_TRANSACTIONS
@@ -229,6 +234,15 @@ skewed AS (SELECT * REPLACE (
 pauses AS"""
 SKEWED_FEATURES = FEATURES.replace("\npauses AS", SKEWED, 1).replace("FROM txn WINDOW", "FROM skewed WINDOW")
 
+# A third of the rows on one account and in four microseconds.
+TIED = """
+skewed AS (SELECT * REPLACE (
+    CASE WHEN event_id % 3 = 0 THEN 'ACC000000' ELSE account_id END AS account_id,
+    CASE WHEN event_id % 3 = 0
+      THEN make_timestamp(1704070800000000 + [0, 300000000, 600000001, 900000000][greatest(1, event_id % 8 - 3)])
+      ELSE event_time END AS event_time) FROM txn)"""
+TIED_FEATURES = SKEWED_FEATURES.replace(SKEWED, TIED + ",\npauses AS", 1)
+
 
 def oracle_sql() -> dict[str, str]:
     mean = "CAST(sum(CAST({0} AS DECIMAL(18,4))) AS DOUBLE) / count({0})"
@@ -278,10 +292,7 @@ FROM txn""",
             FEATURES, "SELECT transaction_id, account_id, event_time, amount, window_count, window_spend FROM feat"
         ),
         "velocity_trailing": _with(
-            _trailing(
-                "count(*) OVER w AS window_count, "
-                "CAST(sum(CAST(amount AS DECIMAL(18,4))) OVER w AS DOUBLE) AS window_spend"
-            ),
+            _trailing(TRAILING_SUMS),
             "SELECT transaction_id, account_id, event_time, amount, window_count, window_spend FROM trail",
         ),
         "velocity_windows": "WITH " + _windows(FIVE_SLIDES),
@@ -293,6 +304,13 @@ FROM txn""",
         "skewed_velocity": _with(
             SKEWED_FEATURES, "SELECT transaction_id, account_id, event_time, amount, window_count, window_spend FROM feat"
         ),
+        "tied_velocity": _with(
+            TIED_FEATURES, "SELECT transaction_id, account_id, event_time, amount, window_count, window_spend FROM feat"
+        ),
+        "tied_trailing": _with(
+            _trailing(TRAILING_SUMS).replace(",\ntrail AS", f",{TIED},\ntrail AS").replace("FROM txn WINDOW", "FROM skewed WINDOW"),
+            "SELECT transaction_id, account_id, event_time, amount, window_count, window_spend FROM trail",
+        ),
         "full_report": _with(PROBES + REPORT, FULL_REPORT),
         "repeated_alerts": _with(PROBES + REPORT, FULL_REPORT),
         "account_sessions": _with(
@@ -359,9 +377,9 @@ FROM (SELECT * FROM alerts ORDER BY detected_at DESC, transaction_id LIMIT 25)""
         ),
         "score_histogram": _with(
             ALERTS,
-            "SELECT CAST(least(floor(fraud_score * 20), 19) AS INTEGER) AS bin, "
-            "CAST(least(floor(fraud_score * 20), 19) AS INTEGER) / CAST(20 AS DOUBLE) AS bin_start, "
-            "count(*) AS alerts FROM alerts GROUP BY 1, 2",
+            "SELECT CAST(b.bin AS INTEGER) AS bin, b.bin / CAST(20 AS DOUBLE) AS bin_start, "
+            "count(fraud_score) AS alerts FROM range(20) b(bin) "
+            "LEFT JOIN alerts ON least(floor(fraud_score * 20), 19) = b.bin GROUP BY 1, 2",
         ),
         "score_buckets": _with(
             SCORED,

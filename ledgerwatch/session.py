@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "ledgerwatch", master: str | None = None, **settings: str) -> SparkSession:
@@ -32,3 +32,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     if spark.sparkContext.master.startswith("local"):
         return tempfile.mkdtemp(prefix="ledgerwatch-")
     raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+
+
+def checkpointed(frame: DataFrame) -> DataFrame:
+    """The rows, written to the shared checkpoint folder: they are computed once, and later reads survive lost executors."""
+    context = frame.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(checkpoint_root(frame.sparkSession))
+    return frame.checkpoint()

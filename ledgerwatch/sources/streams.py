@@ -34,10 +34,16 @@ def kafka_messages(
     return spark.readStream.format("kafka").options(**options).load().select("key", "value", "timestamp")
 
 
-def file_messages(spark: SparkSession, path: str, files_per_batch: int = 1) -> DataFrame:
-    """Messages from parquet files as they appear in a folder."""
-    reader = spark.readStream.schema(MESSAGE).option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(path)
+def file_messages(
+    spark: SparkSession, path: str, files_per_batch: int | None = 1, bytes_per_batch: int | None = None
+) -> DataFrame:
+    """Messages from parquet files as they appear in a folder, at most so many files or bytes (one file at least) in a
+    micro-batch.
+    """
+    reader = spark.readStream.schema(MESSAGE)
+    if bytes_per_batch is not None:
+        return reader.option("maxBytesPerTrigger", bytes_per_batch).parquet(path)
+    return reader.option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
 def source(spark: SparkSession, kind: str, **options) -> DataFrame:

@@ -7,9 +7,13 @@ from pyspark.sql import functions as F
 
 
 def write_alerts(alerts: DataFrame, path: str) -> None:
-    """Alerts as a table partitioned by day, so that reading recent days leaves out the rest."""
+    """Alerts as a table partitioned by day, so that reading recent days leaves out the rest.
+
+    The days that ``alerts`` has replace those of the table; a write that is repeated changes nothing.
+    """
     dated = alerts.withColumn("alert_date", F.to_date("detected_at"))
-    dated.write.mode("append").partitionBy("alert_date").parquet(path)
+    writer = dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("alert_date").parquet(path)
 
 
 def read_alerts(spark: SparkSession, path: str) -> DataFrame:

@@ -1,91 +1,116 @@
-"""Session counters of a stream: each account's open session is keyed state of the engine."""
+"""Open sessions of a stream: each account's session is keyed state of the engine.
+
+The state operator sees three columns of a transaction (account, time, amount) and hands out one row per account
+and micro-batch: the session that was open before it. Everything else about a row stays where it is, and the
+counters of the rows are the window sums that tables use (``operators.velocity``).
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from decimal import Context, Decimal
 
-from pyspark.sql import DataFrame, Row
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from ledgerwatch.functions.columns import TOTAL, micros, to_units
+from ledgerwatch.functions.columns import TOTAL, from_units, micros, to_units
 from ledgerwatch.operators.velocity import GAP_US
 from ledgerwatch.sources.messages import STREAM_FAULT, decode_transactions
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-MESSAGE = "key binary, value binary, sent_us bigint"
-COUNTED = f"{MESSAGE}, window_count bigint, window_units {TOTAL}"
-#: Faulty messages have no account; they pass the operator in this many groups and leave no state.
-FAULTY_GROUPS = 64
+SESSION = f"n bigint, units {TOTAL}, last_us bigint"
+CARRIED = f"carried_account string, carried_n bigint, carried_units {TOTAL}, carried_last_us bigint"
 EXACT = Context(prec=60)
 
+Session = tuple[int, Decimal, int]
 
-def next_session(session: tuple[int, Decimal, int] | None, us: int, units: Decimal) -> tuple[int, Decimal, int]:
-    """``(n, units, last_us)`` of an account's session after a row at ``us``, given what it was before.
 
-    A row older than the session counts in it and does not move it back.
-    """
-    n, total, last_us = session or (0, Decimal(0), us)
-    if us - last_us > GAP_US:
-        n, total = 0, Decimal(0)
-    return n + 1, EXACT.add(total, units), max(last_us, us)
+def total(units: pd.Series) -> Decimal:
+    sum_ = Decimal(0)
+    for value in units:
+        sum_ = EXACT.add(sum_, value)
+    return sum_
 
 
-def counted(row: Row, n: int, units: Decimal) -> Row:
-    return Row(key=row.key, value=row.value, sent_us=row.sent_us, window_count=n, window_units=units)
+def session_after(session: Session | None, us: np.ndarray, units: pd.Series) -> Session:
+    """``(n, units, last_us)`` of an account's session after rows at the sorted times ``us``, given what it was before.
 
+    A row older than the session counts in it and does not move it back.
+    """
+    n, before, last = session or (0, Decimal(0), int(us[0]))
+    known = np.maximum(last, np.concatenate([[last], us[:-1]]))
+    pauses = np.flatnonzero(us - known > GAP_US)
+    if len(pauses):
+        n, before, units = 0, Decimal(0), units.iloc[pauses[-1] :]
+    return n + len(units), EXACT.add(before, total(units)), max(last, int(us[-1]))
 
-class OpenSessions(StatefulProcessor):
-    """Adds the session counters to an account's messages; state is one row per account.
 
-    An account's rows of one micro-batch are sorted and worked on together; they are at most the
-    batch, whose size the source limits.
-    """
+class OpenSessions(StatefulProcessor):
+    """Hands out the session that was open before an account's rows, and keeps the one that is open after them."""
 
     def __init__(self, keep_ms: int):
         self.keep_ms = keep_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.session = handle.getValueState("session", f"n bigint, units {TOTAL}, last_us bigint", self.keep_ms)
+        self.session = handle.getValueState("session", SESSION, self.keep_ms)
+
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        first = initialState.iloc[0]
+        self.session.update((int(first["n"]), first["units"], int(first["last_us"])))
 
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        if not key[0]:
-            yield from (counted(row, 0, Decimal(0)) for row in rows)
-            return
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        batch = pd.concat(list(rows), ignore_index=True).sort_values("us", kind="stable")
         session = self.session.get()
-        for row in sorted(rows, key=lambda row: (row.us, row.transaction_id)):
-            session = next_session(session, row.us, row.units)
-            yield counted(row, *session[:2])
-        self.session.update(session)
+        self.session.update(session_after(session, batch["us"].to_numpy(), batch["units"]))
+        if session is not None:
+            yield pd.DataFrame([(key[0], *session)], columns=["carried_account", "carried_n", "carried_units", "carried_last_us"])
 
     def close(self) -> None:
         pass
 
 
-def count_sessions(messages: DataFrame, keep_hours: int = 24) -> DataFrame:
-    """A stream of messages (``key, value, timestamp``) with ``window_count`` and ``window_units``.
+def with_open_sessions(messages: DataFrame, keep_hours: int = 24, earlier: DataFrame | None = None) -> DataFrame:
+    """A stream of decoded messages (``key, value, timestamp`` before) with the reason why one cannot be scored, and
+    among them one row for each of their accounts that has an open session (the columns ``carried_...``).
 
-    Counters are those of ``session_velocity``: sessions end by event time, whatever else the
-    stream brings. State that no message has touched for ``keep_hours`` of the clock is dropped;
-    that is far longer than a session's gap, so a stream may stop that long and go on with its
-    backlog. What a batch reads and writes follows the accounts in it, not the open ones. Faulty
-    messages come along with counters of zero.
+    Both kinds of rows belong to one query, so they come in the same micro-batch; the source is read for each.
+    Sessions end by event time, whatever else the stream brings. State that no message has touched for ``keep_hours``
+    of the clock is dropped; that is far longer than a session's gap, so a stream may stop that long and go on with its
+    backlog. What a batch reads and writes follows the accounts in it, not the open ones. ``earlier`` has the open
+    sessions of a table (``account_id, n, units, last_us``, one row per account; ``operators.velocity.open_sessions``):
+    a stream without a checkpoint goes on with them.
     """
     conf = messages.sparkSession.conf
     conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
-    decoded = decode_transactions(messages, "key", "value").selectExpr("*", f"({STREAM_FAULT}) is null as good")
-    keyed = decoded.selectExpr(
-        "good",
-        f"if(good, account_id, cast(pmod(xxhash64(value), {FAULTY_GROUPS}) as string)) as account",
-        "transaction_id",
-        f"if(good, {micros()}, 0L) as us",
-        f"if(good, cast({to_units()} as {TOTAL}), cast(0 as {TOTAL})) as units",
-        "key",
-        "value",
-        f"{micros('kafka_timestamp')} as sent_us",
+    decoded = decode_transactions(messages).selectExpr("*", f"{STREAM_FAULT} as reason")
+    good = decoded.where("reason is null").selectExpr(
+        "account_id", f"{micros()} as us", f"cast({to_units()} as {TOTAL}) as units"
     )
-    rows = keyed.groupBy("good", "account").transformWithState(
-        OpenSessions(keep_hours * 3_600_000), COUNTED, "Append", "ProcessingTime"
+    carried = good.groupBy("account_id").transformWithStateInPandas(
+        OpenSessions(keep_hours * 3_600_000),
+        CARRIED,
+        "Append",
+        "ProcessingTime",
+        initialState=None if earlier is None else earlier.select("account_id", "n", "units", "last_us").groupBy("account_id"),
+    )
+    return decoded.unionByName(carried, allowMissingColumns=True)
+
+
+def live_features(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """``account_id, window_count, window_spend`` of each account as the state of the scoring stream with this checkpoint
+    has it: zero where the session has ended, seen from the newest transaction of all.
+
+    Reads the state as of the last committed batch; the stream may run or not.
+    """
+    state = spark.read.format("statestore").option("stateVarName", "session").load(checkpoint)
+    sessions = state.selectExpr("key.account_id", "value.value.*")
+    now = sessions.agg(F.max("last_us")).scalar()
+    return sessions.withColumn("open_now", F.col("last_us") >= now - GAP_US).selectExpr(
+        "account_id",
+        "if(open_now, n, 0L) as window_count",
+        f"if(open_now, {from_units('units')}, 0D) as window_spend",
     )
-    return rows.selectExpr("key", "value", "timestamp_micros(sent_us) as timestamp", "window_count", "window_units")

@@ -115,7 +115,7 @@ def start_table(
 
 
 def start_monitor(
-    rows: DataFrame, sink: str = "console", name: str = "velocity_monitor", checkpoint: str | None = None,
+    rows: DataFrame, sink: str = "console", name: str = "ledgerwatch_windows", checkpoint: str | None = None,
     every: str = "30 seconds", available_now: bool = False, mode: str = "update",
 ) -> StreamingQuery:
     """Show changing windows, five rows per batch; running totals are shown in ``complete`` mode."""

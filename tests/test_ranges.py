@@ -5,6 +5,8 @@ import os
 import time
 from decimal import Decimal
 
+import numpy as np
+import pandas as pd
 import pytest
 
 from ledgerwatch.functions.columns import rounded
@@ -13,7 +15,7 @@ from ledgerwatch.operators.percentiles import interpolated, nearest_rank
 from ledgerwatch.operators.velocity import session_velocity, trailing_velocity
 from ledgerwatch.operators.windows import window_activity
 from ledgerwatch.sources.messages import STREAM_FAULT, parse_transactions, quarantine
-from ledgerwatch.streaming.sessions import next_session
+from ledgerwatch.streaming.sessions import session_after
 
 
 def rows(spark, amounts):
@@ -99,7 +101,7 @@ def test_sessions_are_exact():
     steps = [(0, large), (0, Decimal("0.0001")), (gap, Decimal(1)), (gap - 1, Decimal(2)), (2 * gap + 1, Decimal(3))]
     session, found = None, []
     for after, units in steps:
-        session = next_session(session, start + after, units)
+        session = session_after(session, np.array([start + after]), pd.Series([units]))
         found.append(session[:2])
     total = large + Decimal("0.0001")
     assert found == [(1, large), (2, total), (3, total + 1), (4, total + 3), (1, Decimal(3))]

@@ -4,6 +4,7 @@ import os
 import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerwatch.functions.scores import score_transactions
 from ledgerwatch.operators.alerts import global_stats
@@ -15,7 +16,7 @@ from ledgerwatch.sources.streams import file_messages, source
 from ledgerwatch.streaming.lifecycle import progress, run_until_one_ends
 from ledgerwatch.streaming.probes import probe_latency_stream
 from ledgerwatch.streaming.scoring import ScoringJob, start_scoring
-from ledgerwatch.streaming.sessions import count_sessions
+from ledgerwatch.streaming.sessions import live_features, with_open_sessions
 from ledgerwatch.streaming.velocity import session_stream, start_monitor, start_table, window_monitor, window_stream
 from tests.compare import assert_same
 
@@ -50,14 +51,14 @@ def scored_run(spark, folder, tmp_path_factory):
     class Interrupted(Exception):
         pass
 
-    def fail_in_third(counted, batch_id):
-        job.run(counted, batch_id)
+    def fail_in_third(rows, batch_id):
+        job.run(rows, batch_id)
         if batch_id == 2:
             raise Interrupted("lost after writing, before the commit")
 
     stream = file_messages(spark, folder)
     query = (
-        count_sessions(stream).writeStream.option("checkpointLocation", checkpoint)
+        with_open_sessions(stream).writeStream.option("checkpointLocation", checkpoint)
         .foreachBatch(fail_in_third)
         .trigger(availableNow=True)
         .start()
@@ -228,6 +229,89 @@ def test_probe_streams_join(spark, small, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == rows.count()
 
 
+def test_live_coverage_equals_batch(spark, small, tmp_path):
+    """Every probe comes out once, with its alert or without; alerts that come twice count once."""
+    from ledgerwatch.operators.quality import coverage, probe_coverage
+    from ledgerwatch.streaming.probes import probe_outcomes_stream
+
+    rows = events.transactions(spark, small).selectExpr(
+        "transaction_id", "cast(event_time as timestamp) as sent_at", "is_fraud", "concat('A', transaction_id) as alert_id",
+        "cast(event_time as timestamp) + make_dt_interval(0, 0, 0, latency_ms / 1000) as detected_at",
+        "if(amount > 100, 'FRAUD', 'REVIEW') as label", "pmod(hash(transaction_id), 7) as part",
+    )
+    alerts = rows.where("part < 4")
+    alerts = alerts.unionByName(alerts.where("part = 1").withColumn("detected_at", F.expr("detected_at + interval 1 second")))
+    # What comes long after all the others lets the stream give up on probes without an alert.
+    last = "timestamp'2024-02-01 00:00:00'"
+    end = spark.range(1).selectExpr(
+        "'END' as transaction_id", f"{last} as sent_at", "false as is_fraud", "'AEND' as alert_id", f"{last} as detected_at",
+        "'FRAUD' as label", "0 as part",
+    )
+    tables = {
+        "probes": (rows.unionByName(end).select("transaction_id", "sent_at", "is_fraud"), "sent_at"),
+        "alerts": (alerts.unionByName(end).select("alert_id", "transaction_id", "label", "detected_at"), "detected_at"),
+    }
+    streams = {}
+    for name, (table, key) in tables.items():
+        (tmp_path / name).mkdir()
+        write_in_order(table, str(tmp_path / name), key, files=4)
+        reader = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 1)
+        streams[name] = reader.parquet(str(tmp_path / name))
+    outcomes = probe_outcomes_stream(streams["probes"], streams["alerts"])
+    start_table(outcomes, str(tmp_path / "out"), "outcomes", str(tmp_path / "cp"), available_now=True).awaitTermination()
+    written = spark.read.parquet(str(tmp_path / "out")).where("transaction_id <> 'END'")
+    assert written.count() == written.select("transaction_id").distinct().count() == rows.count()
+    assert coverage(written).first() == probe_coverage(rows.select("transaction_id", "sent_at", "is_fraud"), alerts).first()
+    assert 0 < written.where("not alerted").count() < rows.count()
+
+
+def test_replayed_batch_publishes_each_alert_once(spark, folder, tmp_path):
+    """The third batch is lost after publishing, and publishes again; a reader has each alert once."""
+    from ledgerwatch.sources.messages import decode_alerts
+    from ledgerwatch.streaming.probes import alerts_once
+
+    topic, lost = str(tmp_path / "topic"), []
+
+    def publish(messages):
+        messages.write.mode("append").parquet(topic)
+        if spark.read.parquet(topic).count() > 40 and not lost:
+            lost.append(True)
+            raise RuntimeError("lost after publishing")
+
+    job = ScoringJob(str(tmp_path / "out"), publish=publish)
+    with pytest.raises(Exception, match="lost after publishing"):
+        start_scoring(file_messages(spark, folder), job, str(tmp_path / "cp"), available_now=True).awaitTermination()
+    start_scoring(file_messages(spark, folder), job, str(tmp_path / "cp"), available_now=True).awaitTermination()
+    sent = spark.read.parquet(topic)
+    alerts = spark.read.parquet(f"{job.output}/alerts").select("alert_id")
+    assert sent.count() > alerts.count()
+    assert_same(alerts_once(decode_alerts(sent)).select("alert_id").toPandas(), alerts.toPandas())
+    stream = alerts_once(decode_alerts(spark.readStream.schema(sent.schema).parquet(topic)), "1 day").select("alert_id")
+    start_table(stream, str(tmp_path / "read"), "once", str(tmp_path / "cp2"), available_now=True).awaitTermination()
+    assert_same(spark.read.parquet(str(tmp_path / "read")).toPandas(), alerts.toPandas())
+
+
+def test_new_output_folder_with_an_old_checkpoint(spark, folder, tmp_path):
+    """The feed starts anew where the stream's earlier output is not."""
+    first, second = ScoringJob(str(tmp_path / "first")), ScoringJob(str(tmp_path / "second"))
+    import shutil
+
+    (tmp_path / "in").mkdir()
+    files = sorted(os.listdir(folder))
+    for step, job in ((files[:1], first), (files[1:2], second)):
+        for name in step:
+            shutil.copy(f"{folder}/{name}", tmp_path / "in")
+        start_scoring(file_messages(spark, str(tmp_path / "in")), job, str(tmp_path / "cp"), available_now=True).awaitTermination()
+    assert spark.read.parquet(f"{second.output}/feed").count() > 0
+
+
+def test_files_by_bytes(spark, folder, tmp_path):
+    stream = file_messages(spark, folder, bytes_per_batch=1)
+    query = start_table(stream, str(tmp_path / "out"), "bytes", str(tmp_path / "cp"), available_now=True)
+    query.awaitTermination()
+    assert progress(query).where("input_rows > 0").count() == FILES
+
+
 def test_two_streams_run_and_stop_together(spark, folder, tmp_path):
     spark.streams.resetTerminated()
     scoring = start_scoring(
