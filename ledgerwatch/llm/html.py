@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerwatch.llm.common import sampled_texts, small_batches
+from ledgerwatch.llm.common import hash_sample, saved, small_batches
 
 # Elements whose content is no markup and never text, other elements that are left out if they
 # are closed, void elements, and elements that do not end a block.
@@ -39,6 +39,15 @@ AROUND_STEMS = (
     "advert", "sponsor", "comment", "cookie", "sidebar", "sidenav", "navbar", "navigation", "footer", "newsletter", "breadcrumb",
     "pagination", "usercomment",
 )
+# Those that never name what holds the text, however many words it has: only an element with an article or the page's
+# heading in it is not one of these.
+NEVER = frozenset(
+    "ad ads adv adbox adslot adunit banner banners promo promotion promoted leaderboard skyscraper "
+    "nav subnav topnav mainnav menu menus topbar toolbar pager consent gdpr outbrain taboola".split()
+)
+NEVER_STEMS = ("advert", "sponsor", "cookie", "sidenav", "navbar", "navigation", "breadcrumb", "pagination")
+# Those that tell nothing inside an article, where boxes and lists are named so.
+NOT_INSIDE = frozenset("alert alerts notice notices notification search form login signup".split())
 # Words in front of one of those, or behind it, that make a name tell what the element has or is like, not what it is.
 BEFORE = frozenset("has have no not without with hide show category cat tag tags type format overflow long".split())
 BEHIND = frozenset("open opened closed enabled disabled allowed on off".split())
@@ -114,18 +123,23 @@ def named_around(attributes: dict[str, str]) -> str:
     return ""
 
 
+def never_text(word: str) -> bool:
+    return word in NEVER or word.startswith(NEVER_STEMS)
+
+
 def blocks(page: str, by_class: bool = True) -> list[Block]:
     """All text of a page as blocks, in order; markup, scripts, styles and ``LEFT_OUT`` elements left out.
 
     An element of these without its own end tag is not left out, as it would take what is behind it along.
     A class, id or role, or a form, does not count where the element holds most of the page's running
-    words, those that are neither in links nor in elements that are never of an article. Without
-    ``by_class`` these names tell nothing at all.
+    words, those that are neither in links nor in elements that are never of an article; the names of ``NEVER`` do
+    count there unless an article or the page's heading is inside. Without ``by_class`` only these tell anything.
     """
     out: list[Block | None] = []
     frames: list[tuple] = []  # for each open element that may be left out the place in ``out`` and what was begun before it
     owners: list[int] = []  # for each block the innermost element that a name tells to be around; 0: none
     above, names, owner = [0], [""], 0  # for each such element the next one around it, and its name
+    holds = [False]  # for each such element: whether an article, or a heading of the first rank, is inside
     parts: list[str] = []
     tags: list[str] = []
     stack: list[tuple[str, str, int, int]] = []  # open elements: name, around, main, owner
@@ -215,11 +229,18 @@ def blocks(page: str, by_class: bool = True) -> list[Block]:
         named = ""
         if by_class and not own and name not in INLINE and name not in ("body", "html"):
             named = name if name in FORMS else named_around(attributes)
+        elif not own and name not in INLINE and name not in ("body", "html"):
+            named = named_around(attributes)
+            named = named if never_text(named) else ""
         inside = main
         if (name in MAIN or "main" in attributes.get("role", "").lower().split()) and not (around or own):
             if not main:
                 mains += 1
             inside = main or mains
+        if name == "h1" or inside and not main:
+            k = owner
+            while k and not holds[k]:
+                holds[k], k = True, above[k]
         if (own or named) and not around and name not in LEFT_OUT:
             flush()
         if name in LEFT_OUT:
@@ -228,11 +249,12 @@ def blocks(page: str, by_class: bool = True) -> list[Block]:
             out.append(None)
             owners.append(owner)
         if inside:  # the article's own heading
-            own, named = ("" if n == "header" else n for n in (own, named))
+            own, named = ("" if n == "header" else n for n in (own, "" if named in NOT_INSIDE else named))
         within = owner
         if named:
             above.append(owner)
             names.append(named)
+            holds.append(False)
             within = len(names) - 1
         stack.append((name, around or own, inside, within))
         around, main, owner = stack[-1][1:]
@@ -249,7 +271,7 @@ def blocks(page: str, by_class: bool = True) -> list[Block]:
     for k in range(len(names) - 1, 0, -1):
         running[above[k]] += running[k]
     for k in range(1, len(names)):
-        if 2 * running[k] > running[0]:
+        if 2 * running[k] > running[0] and (holds[k] or not never_text(names[k])):
             names[k] = ""  # what holds most of the page is not around it
         names[k] = names[above[k]] or names[k]
     for b, k in zip(out, owners, strict=True):
@@ -261,14 +283,15 @@ def blocks(page: str, by_class: bool = True) -> list[Block]:
 class Weights:
     """What tokens add to the score of a region: words are for it, tags against it.
 
-    ``outside`` holds for words on the wrong side of the page's article elements, where these tell a
-    side: at most ``stretch`` for what lies between two words of the right side, tags included.
-    ``around`` holds for words in what is named as no part of an article, once for each stretch of it:
-    such words are left out anyway.
+    A word in running text counts one, which sets the scale of all others. ``inside`` comes on top for every word in
+    an article or main element, and ``outside`` holds for words outside of them, where these elements are for the region;
+    at most ``stretch`` for what lies between two words of the right side, tags included. ``around`` holds
+    for words in what is named as no part of an article, once for each stretch of it: such words are left out anyway.
     """
 
     word: float = 1.0
     link: float = -0.6
+    inside: float = 4.0
     outside: float = -2.0
     stretch: float = -30.0
     around: float = -3.0
@@ -276,36 +299,40 @@ class Weights:
     tags: tuple[tuple[str, float], ...] = ()
 
 
-def learn(pages: Iterator[str], smooth: float = 5.0) -> Weights:
-    """Weights from pages labelled by an ``article`` or ``main`` element: log odds of being inside.
+def evidence(page: str) -> Counter[str] | None:
+    """What a page labelled by an ``article`` or ``main`` element has inside and outside of it: words by kind, and tags
+    (``tag_in:p``). None if its text is beside these elements.
+    """
+    found, out = blocks(page), Counter()
+    if side_of_articles(found, Weights()) < 1:
+        return None
+    for b in found:
+        side = "in" if b.main and not b.around else "out"
+        out[f"link_{side}"] += b.linked
+        out[f"{'around' if b.around else 'word'}_{side}"] += max(0, b.n_words - b.linked)
+        # Words of running text by place, whatever they are part of.
+        out[f"{'main' if b.main else 'beside'}_{side}"] += b.n_words
+        out.update(f"tag_{side}:{t}" for t in b.tags)
+    return out
+
+
+def learned(counts: dict[str, int], smooth: float = 5.0) -> Weights:
+    """Weights from the sums of ``evidence``: log odds of being inside, relative to a word in running text.
 
-    Pages whose text is beside these elements are left out.
     Signs are kept as the method demands: a word in running text is for the region, all else against it.
     """
-    inside, outside, tags_in, tags_out = Counter(), Counter(), Counter(), Counter()
-    for page in pages:
-        found = blocks(page)
-        if side_of_articles(found, Weights()) < 1:
-            continue
-        for b in found:
-            good = bool(b.main) and not b.around
-            words, tags = (inside, tags_in) if good else (outside, tags_out)
-            words["link"] += b.linked
-            words["around" if b.around else "word"] += max(0, b.n_words - b.linked)
-            tags.update(b.tags)
-    if not inside["word"]:
+    if not counts.get("word_in"):
         return Weights()
-    n_in, n_out = sum(inside.values()) + smooth, sum(outside.values()) + smooth
-    odds = lambda k: log((inside[k] + smooth) / n_in) - log((outside[k] + smooth) / n_out)
-    t_in, t_out = sum(tags_in.values()) + smooth, sum(tags_out.values()) + smooth
-    tags = {
-        t: -0.05 - 0.1 * max(0.0, log((tags_out[t] + smooth) / t_out) - log((tags_in[t] + smooth) / t_in))
-        for t in sorted({*tags_in, *tags_out})
-    }
+    n_in, n_out = (sum(counts.get(f"{k}_{side}", 0) for k in ("word", "link", "around")) + smooth for side in ("in", "out"))
+    odds = lambda k: log((counts.get(f"{k}_in", 0) + smooth) / n_in) - log((counts.get(f"{k}_out", 0) + smooth) / n_out)
+    names = sorted({k.split(":", 1)[1] for k in counts if k.startswith("tag_")})
+    t_in, t_out = (sum(counts.get(f"tag_{side}:{t}", 0) for t in names) + smooth for side in ("in", "out"))
+    share = lambda t, side, n: log((counts.get(f"tag_{side}:{t}", 0) + smooth) / n)
+    tags = {t: -0.05 - 0.1 * max(0.0, share(t, "out", t_out) - share(t, "in", t_in)) for t in names}
     return Weights(
-        word=1.0,
         link=max(-1.0, min(-0.2, odds("link") / 4)),
-        outside=min(-1.0, -abs(odds("word"))),
+        inside=max(2.0, min(4.0, odds("main"))),
+        outside=min(-1.0, odds("beside") / 4),
         around=min(-1.0, odds("around") / 4),
         tag=min(tags.values(), default=-0.3),
         tags=tuple(tags.items()),
@@ -316,7 +343,8 @@ def best_region(found: list[Block], weights: Weights, side: int = 0) -> tuple[fl
     """The highest sum over contiguous blocks, and where they start and end; of equal ones the first
     and shortest.
 
-    With ``side`` 1 words out of article elements are against the region, with -1 those inside them.
+    With ``side`` 1 words in article elements are for the region and those out of them against it, with -1
+    those inside them are against it.
     """
     costs = dict(weights.tags)
     best, best_span = 0.0, (0, 0)
@@ -338,6 +366,8 @@ def best_region(found: list[Block], weights: Weights, side: int = 0) -> tuple[fl
         if total <= 0:
             total, start = 0.0, k
         total += weights.word * (b.n_words - b.linked) + weights.link * b.linked
+        if side > 0:
+            total += weights.inside * b.n_words
         if total > best:
             best, best_span = total, (start, k + 1)
     return best, *best_span
@@ -347,13 +377,14 @@ def side_of_articles(found: list[Block], weights: Weights) -> int:
     """Whether a page's article elements are for its region (1), against it (-1) or tell nothing (0).
 
     They are for it if one of them is worth as much as the best run of text outside, or all of them are
-    and one is worth half. They are against it (teasers beside the text) if all are worth less than that
-    run and each less than half of it.
+    and one is worth half; being in an article counts. They are against it (teasers beside the text) if all are worth
+    less than that run and each less than half of it.
     """
     worth: Counter[int] = Counter()
     for b in found:
         if not b.around:
-            worth[b.main] += weights.word * (b.n_words - b.linked) + weights.link * b.linked
+            inside = weights.inside * b.n_words if b.main else 0.0
+            worth[b.main] += weights.word * (b.n_words - b.linked) + weights.link * b.linked + inside
     worth[0] = 0
     if len(worth) == 1:
         return 0
@@ -367,21 +398,15 @@ def side_of_articles(found: list[Block], weights: Weights) -> int:
 def extract(page: str | None, weights: Weights) -> str:
     """The main text of a page: the blocks of its best region that are not named as something else.
 
-    A linear scan finds the contiguous run of tokens with the highest sum. Article and main elements are
-    a weight in it, for or against, as they compare with the text outside. Where they are for the region,
-    it is extended to the whole of those that it touches. Of equally good regions the first and shortest
-    is taken. A page without any text gives an empty text; if no word is for the region, nothing is
+    A linear scan finds the contiguous run of tokens with the highest sum. Being in an article or main element is
+    a weight in it, for or against, as these compare with the text outside. Of equally good regions the first and
+    shortest is taken. A page without any text gives an empty text; if no word is for the region, nothing is
     extracted.
     """
     found = blocks(page or "")
     if 10 * sum(b.n_words for b in found if not b.around) < sum(b.n_words - b.linked for b in found if b.around != "hidden"):
         found = blocks(page or "", by_class=False)  # names on nearly all of a page tell nothing
-    side = side_of_articles(found, weights)
-    _, start, end = best_region(found, weights, side)
-    if side > 0 and start < end:
-        inside = {b.main for b in found[start:end] if b.main and not b.around}
-        own = [k for k, b in enumerate(found) if b.main in inside]
-        start, end = min(start, own[0]), max(end, own[-1] + 1)
+    _, start, end = best_region(found, weights, side_of_articles(found, weights))
     return "\n".join(b.text for b in found[start:end] if not b.around)
 
 
@@ -396,17 +421,32 @@ def main_text(page: Column, weights: Weights) -> Column:
     return extracted(page)
 
 
-def train_weights(pages: DataFrame, sample: int = 500, chars: int = 200_000, page: str = "html") -> Weights:
-    """Weights from at most ``sample`` labelled pages, those first in a hash order."""
+def train_weights(pages: DataFrame, sample: int = 500, page: str = "html") -> Weights:
+    """Weights from at most ``sample`` labelled pages, those first in a hash order; copies count once.
+
+    The pages are read where they are; the driver gets the sums of what they show.
+    """
     rows = pages.select(F.col(page).alias("text")).where("text rlike '(?i)<(article|main)[ >]'")
-    labelled = rows.select(F.lit(True).alias("kind"), F.xxhash64("text").alias("place"), "text")
-    return learn(html for _, html in sampled_texts(labelled, sample, chars=chars))
+    places = rows.selectExpr("true as kind", "xxhash64(text) as place")
+    chosen = F.broadcast(hash_sample(saved(places), sample).select("place"))
+    one = rows.withColumn("place", F.xxhash64("text")).join(chosen, "place").groupBy("place").agg(F.min("text").alias("text"))
+
+    def counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            sums: Counter[str] = Counter()
+            for text in batch["text"]:
+                sums.update(evidence(text) or {})
+            yield pd.DataFrame(list(sums.items()), columns=["name", "n"]).astype({"n": "int64"})
+
+    found = small_batches(one).mapInPandas(counts, "name string, n bigint").groupBy("name").agg(F.sum("n").alias("n"))
+    return learned({r["name"]: r["n"] for r in found.collect()})
 
 
 def extract_pages(pages: DataFrame) -> DataFrame:
     """``page_id, url, text, n_chars`` for every row of ``pages(page_id, url, html)``.
 
-    Null and empty pages have an empty text. Repeated rows give repeated results; other columns are ignored.
+    Null and empty pages have an empty text. Repeated rows give repeated results; other columns are ignored. An empty
+    table gives no rows.
     """
     weights = train_weights(pages)
     texts = small_batches(pages).select("page_id", "url", main_text(F.col("html"), weights).alias("text"))

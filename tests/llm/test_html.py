@@ -1,4 +1,5 @@
 import html
+import random
 import re
 import time
 
@@ -52,6 +53,73 @@ def test_small_pages(page, text):
     assert pages.extract(page, WEIGHTS) == text
 
 
+TWELVE = " ".join(["word"] * 12)
+
+
+def test_short_articles_and_boxes_in_articles():
+    assert pages.extract(f"<article><h1>A</h1><p>x y z</p></article><div>{TWELVE}</div>", WEIGHTS) == "A\nx y z"
+    boxes = "<section class='alert-box'>note this</section><div class='search-results'>one result</div>"
+    page = f"<article><p>{TWELVE}</p>{boxes}<p>{TWELVE}</p></article>"
+    assert pages.extract(page, WEIGHTS) == f"{TWELVE}\nnote this\none result\n{TWELVE}"
+
+
+@pytest.mark.parametrize("name", ["ad", "advert-top", "sponsored", "cookie-bar", "mainnav", "promo"])
+def test_adverts_that_hold_most_of_a_page(name):
+    """However many words an advert has, it is no text; only what has an article or the heading in it may be."""
+    advert = f"<div class='{name}'><p>{TWELVE}</p><p>{TWELVE}</p></div>"
+    for article in ("<article><h1>A</h1><p>x y z</p></article>", "<div><h1>A</h1><p>x y z</p></div>"):
+        assert pages.extract(f"<body>{advert}{article}{advert}</body>", WEIGHTS) == "A\nx y z"
+    assert pages.extract(f"<div class='{name}'><h1>A</h1><p>{TWELVE}</p></div>", WEIGHTS) == f"A\n{TWELVE}"
+
+
+def sum_of(found, weights, side, start, end):
+    """The score of the blocks from ``start`` to ``end``, as the scan adds it up; None if the run starts with nothing."""
+    costs, total, spent = dict(weights.tags), 0.0, 0.0
+    for k in range(start, end):
+        b = found[k]
+        if b.around:
+            total += 0.0 if k and found[k - 1].around else weights.around
+            continue
+        tags = sum(costs.get(t, weights.tag) for t in b.tags) if k > start else 0.0
+        if side and (side > 0) != bool(b.main):
+            cost = max(weights.stretch - spent, tags + weights.outside * b.n_words)
+            total, spent = total + cost, spent + cost
+            continue
+        total, spent = total + tags + weights.word * (b.n_words - b.linked) + weights.link * b.linked, 0.0
+        total += weights.inside * b.n_words if side > 0 else 0.0
+    return total
+
+
+def test_best_region_equals_all_intervals():
+    draw = random.Random(4)
+    for trial in range(400):
+        weights = pages.Weights(tags=(("p", -0.25), ("div", -2.0)), stretch=-8.0)
+        found = []
+        for _ in range(draw.randint(0, 9)):
+            n = draw.randint(1, 6)
+            tags = draw.choices(["p", "div", "b"], k=draw.randint(0, 4))
+            found.append(pages.Block("x", n, tags, draw.choice(["", "", "ad"]), draw.choice([0, 1]), draw.randint(0, n)))
+        side = draw.choice([-1, 0, 1])
+        # A best run starts with a block that is for it.
+        sums = [sum_of(found, weights, side, a, b) for a in range(len(found)) for b in range(a + 1, len(found) + 1)]
+        score, start, end = pages.best_region(found, weights, side)
+        assert score == pytest.approx(max([0.0, *sums]))
+        if start < end:
+            assert sum_of(found, weights, side, start, end) == pytest.approx(score)
+
+
+def test_weights_are_learned_where_the_pages_are(spark, medium):
+    table = spark.read.parquet(f"{medium}/pages.parquet")
+    own = pages.Counter()
+    for r in table.select("html").distinct().collect():
+        own.update(pages.evidence(r.html) or {})
+    assert pages.train_weights(table, sample=10_000) == pages.learned(own)
+    assert pages.train_weights(table.unionByName(table), sample=10_000) == pages.learned(own)
+    assert pages.train_weights(table.limit(0)) == pages.Weights()
+    few = pages.train_weights(table, sample=20)
+    assert few.link < 0 and few.outside < 0 and all(w < 0 for _, w in few.tags) and few.inside >= 2
+
+
 BODY = "the whole article has these running words and some more of them"
 
 
