@@ -15,15 +15,20 @@ from ledgerwatch.llm import language, mixing, packing, queries, secrets, simhash
 from ledgerwatch.llm.common import shared_folder, small_batches, table, unused
 
 
+#: Documents whose language is told with a smaller score go: languages mixed with others, and hardly any words.
+LEAST_SCORE = 0.5
+#: The languages to keep; None keeps all that documents are labelled with.
+LANGUAGES: list[str] | None = None
+
+
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that could be told; texts that are null or without letters go.
+    """Documents in a language that could be told, which is their ``lang`` from here on: the mixing reads it.
 
-    Without any labelled document there is no model, and all texts with a letter stay.
+    The network learns from the labelled documents of the table and predicts all. What it rejects goes: texts that are
+    null or without letters, and those with a mean probability below ``LEAST_SCORE``. If no document is labelled there is
+    nothing to learn from, no language can be told, and all documents go.
     """
-    model = language.train_language_model(docs)
-    if model is None:
-        return docs.where(r"text rlike '\\p{L}'")
-    return small_batches(docs).where(language.language(F.col("text"), model)["lang_pred"] != language.UNDETERMINED)
+    return language.keep_known(docs, language.train_language_model(docs), LEAST_SCORE, LANGUAGES)
 
 
 def one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
