@@ -93,11 +93,13 @@ def sampled_texts(rows: DataFrame, wanted: int, total: int | None = None, chars:
     """``(kind, text)`` of a sample of ``rows(kind, place, text)`` as ``hash_sample`` draws it, in
     order of kind and place.
 
-    One text per place, which must tell the kind too, so that kinds are computed once; the first
-    ``chars`` characters if that is given.
+    One text per place, which must tell the kind too, so that kinds are computed once. Of texts longer than ``chars``
+    characters, if that is given, that many from a place that the hash tells, wherever it is in the text; the rest is cut
+    off where the text lies, so what the driver gathers does not depend on the length of texts.
     """
     chosen = hash_sample(saved(rows.select("kind", "place")), wanted, total)
-    text = "text" if chars is None else f"substring(text, 1, {chars}) as text"
+    start = f"1 + cast(pmod(place, greatest(char_length(text) - {chars} + 1, 1)) as int)"
+    text = "text" if chars is None else f"substring(text, {start}, {chars}) as text"
     found = rows.select("place", "text").join(F.broadcast(chosen), "place").selectExpr("kind", "place", text)
     one = found.groupBy("kind", "place").agg(F.min("text").alias("text"))
     return [(r["kind"], r["text"]) for r in one.orderBy("kind", "place").collect()]

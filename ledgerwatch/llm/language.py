@@ -11,7 +11,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerwatch.llm.common import crc_remainder, sampled_texts, small_batches
+from ledgerwatch.llm.common import crc_remainder, sampled_texts, small_batches, unused
 
 UNDETERMINED = "und"
 LETTER = regex.compile(r"\p{L}")
@@ -29,6 +29,7 @@ class Training:
 
     docs_per_language: int = 500
     docs: int = 32_000  # of all languages; more languages get fewer documents each, but one at least
+    chars: int = 1_024  # of a document, at a place that its hash tells
     windows: int = 160  # in a step
     window: int = 64  # bytes
     steps: int = 300  # for up to 64 languages, and in proportion for more
@@ -187,7 +188,8 @@ class ByteGRU:
 def train_language_model(
     labelled: DataFrame, how: Training | None = None, text: str = "text", lang: str = "lang", doc_id: str = "doc_id"
 ) -> ByteGRU | None:
-    """A model learned from a bounded sample: of each language the documents first in a hash order.
+    """A model learned from a bounded sample: of each language the documents first in a hash order, of each of them at most
+    ``how.chars`` characters.
 
     Rows without language or without a letter in the text are left out. Every value of ``lang`` is a
     language, however many there are. Without any language to learn from there is no model: None.
@@ -197,7 +199,7 @@ def train_language_model(
         r"lang is not null and text rlike '\\p{L}'"
     )
     sample = sampled_texts(
-        rows.selectExpr("lang as kind", "xxhash64(lang, doc_id, text) as place", "text"), how.docs_per_language, how.docs
+        rows.selectExpr("lang as kind", "xxhash64(lang, doc_id, text) as place", "text"), how.docs_per_language, how.docs, how.chars
     )
     languages = sorted({lang for lang, _ in sample})
     if not languages:
@@ -226,7 +228,24 @@ def language(text: Column, model: ByteGRU | None) -> Column:
                 out.loc[known, "score"] = np.clip(shares.max(axis=1), 0, 1)
             yield out
 
-    return predicted(text)
+    # A filter on what is predicted must not be moved below it, where it would predict once more.
+    return predicted.asNondeterministic()(text)
+
+
+def keep_known(
+    docs: DataFrame, model: ByteGRU | None, least: float, wanted: list[str] | None = None, text: str = "text", lang: str = "lang"
+) -> DataFrame:
+    """The rows of ``docs`` whose language is one of ``wanted`` (any by default) and predicted with a score of ``least`` or
+    more; ``lang`` becomes the prediction, all other columns stay.
+
+    Texts that are null or have no letter have no language and go, as do all texts without a model.
+    """
+    found = unused(docs, "found")
+    told = small_batches(docs).withColumn(found, language(F.col(f"`{text}`"), model))
+    kept = told.where(F.col(f"`{found}`.lang_pred") != UNDETERMINED).where(F.col(f"`{found}`.score") >= least)
+    if wanted is not None:
+        kept = kept.where(F.col(f"`{found}`.lang_pred").isin(wanted))
+    return kept.select(*[F.col(f"`{found}`.lang_pred").alias(c) if c == lang else F.col(f"`{c}`") for c in docs.columns])
 
 
 def identify(
@@ -236,7 +255,7 @@ def identify(
 
     Documents whose id's crc32 leaves ``held_out`` modulo ``modulus`` are not learned from; nor
     are rows without id. Predictions see the text only. Repeated rows give
-    repeated results; other columns are ignored.
+    repeated results; other columns are ignored. An empty table gives no rows.
     """
     remainder = crc_remainder("doc_id", modulus)
     model = train_language_model(docs.where((remainder != held_out) & (remainder >= 0)), how)

@@ -9,7 +9,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ledgerwatch.llm import components, mixing, packing, queries, secrets, simhash
+from ledgerwatch.llm import components, language, mixing, packing, queries, secrets, simhash
 from tests.compare import assert_same, connect
 from tests.llm.conftest import TEXTS
 
@@ -200,9 +200,51 @@ def test_stages(spark, odd, small):
     assert counts["language"] == sum(any(c.isalpha() for c in t or "") for _, t in TEXTS)
 
 
+def test_the_model_decides_what_the_language_stage_keeps(spark, medium):
+    """What goes and what ``lang`` becomes is what the network says, document by document; other languages go on request."""
+    docs = spark.read.parquet(f"{medium}/documents.parquet")
+    texts = [r.text for r in docs.where("lang = 'en'").orderBy("doc_id").limit(3).collect()]
+    others = [r.text for r in docs.where("lang = 'de'").orderBy("doc_id").limit(3).collect()]
+    mixed = " ".join(w for pair in zip(" ".join(texts).split(), " ".join(others).split(), strict=False) for w in pair)
+    extra = [(-1, "ZZQQ!! XX!! VV!! KK!! " * 40, "en"), (-2, texts[0], "fr"), (-3, mixed, "en"), (-4, "123", "en"), (-5, None, "en")]
+    more = docs.unionByName(
+        spark.createDataFrame(extra, "doc_id long, text string, lang string").selectExpr("*", "'s' as source", "0L as n_chars")
+    )
+    model = language.train_language_model(more)
+    rows = more.select("doc_id", "text").collect()
+    shares = model.documents([r.text for r in rows])
+    letters = [any(c.isalpha() for c in r.text or "") for r in rows]
+    best = {
+        r.doc_id: model.languages[int(s.argmax())] for r, s, known in zip(rows, shares, letters, strict=True)
+        if known and s.max() >= corpus_pipeline.LEAST_SCORE
+    }
+    kept = language.keep_known(more, model, corpus_pipeline.LEAST_SCORE).select("doc_id", "lang").collect()
+    assert {r.doc_id: r.lang for r in kept} == best and len(kept) == len(best)
+    assert best[-2] == "en" and -4 not in best and -5 not in best
+    sure = language.keep_known(more, model, 0.9)
+    assert {r.doc_id for r in sure.collect()} == {
+        r.doc_id for r, s, known in zip(rows, shares, letters, strict=True) if known and s.max() >= 0.9
+    }
+    assert sure.count() < len(best)
+    english = language.keep_known(more, model, corpus_pipeline.LEAST_SCORE, ["en"])
+    assert {r.doc_id for r in english.collect()} == {i for i, lang in best.items() if lang == "en"}
+    plan = sure._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
+def test_without_labels_no_language_can_be_told(spark, medium):
+    docs = spark.read.parquet(f"{medium}/documents.parquet").withColumn("lang", F.lit(None).cast("string"))
+    assert corpus_pipeline.known_language(spark, docs, medium).count() == 0
+
+
 def test_clean_documents_stay(spark, medium):
     docs = spark.read.parquet(f"{medium}/documents.parquet")
-    assert corpus_pipeline.known_language(spark, docs, medium).count() == docs.where(r"text rlike '\\p{L}'").count()
+    told = corpus_pipeline.known_language(spark, docs, medium).toPandas()
+    before = docs.toPandas()
+    assert len(told) >= 0.995 * len(before)
+    both = told.merge(before, on="doc_id", suffixes=("", "_before"))
+    assert len(both) == len(told) and (both.text == both.text_before).all()
+    assert 0.98 < (both.lang == both.lang_before).mean()
     kept = corpus_pipeline.one_per_group(spark, docs, medium)
     assert kept.count() == simhash.near_duplicates(docs).select("component_id").distinct().count()
     untouched = corpus_pipeline.without_secrets(spark, docs, medium).join(docs, ["doc_id", "text"]).count()
