@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
 
 import numpy as np
 import pandas as pd
@@ -15,6 +15,10 @@ from ledgerwatch.llm.vectors import FINITE, dimension, matrix, one_per_id
 SCALE = 64
 EXACT = 2.0**53
 LONG = 2**63 - 1
+#: Doubles beyond this have no digits behind the point.
+LARGE = 2.0**60
+#: Pairs that are multiplied one by one at a time.
+PAIRS = 1 << 16
 
 
 def segment_statistics(rows: np.ndarray, segments: int) -> np.ndarray:
@@ -40,52 +44,137 @@ def resolutions(dim: int) -> list[int]:
     return [4**k for k in range(16) if 4**k < dim]
 
 
-def best_of_block(
-    query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int, tile: int = 1024
-) -> pd.DataFrame:
-    """The ``k`` best of ``rows`` for each query, by score and then smaller id; whole numbers as floats
-    come in.
+def whole_numbers(rows: np.ndarray) -> np.ndarray:
+    """``floor(64 * x)`` of doubles as floats; infinite where that is larger than any."""
+    with np.errstate(over="ignore"):
+        return np.floor(SCALE * rows)
+
+
+def plain(rows: np.ndarray, dim: int) -> np.ndarray:
+    """Which rows of whole numbers are so small that floats add up their products exactly."""
+    return np.abs(rows).max(axis=1, initial=0) <= np.sqrt(EXACT / max(1, dim))
+
+
+def digits(rows: np.ndarray) -> np.ndarray:
+    """``floor(64 * x)`` of doubles of any size as whole numbers of any length."""
+    out = np.empty(rows.shape, object)
+    for k, x in enumerate(rows.ravel().tolist()):
+        out.flat[k] = int(x) * SCALE if abs(x) > LARGE else math.floor(SCALE * x)
+    return out
+
+
+def open_pairs(queries: list[np.ndarray], rows: list[np.ndarray], level: np.ndarray, slack: np.ndarray) -> np.ndarray:
+    """Which pairs of a query and a row have a bound above the query's ``level``, from coarse statistics to fine ones.
 
-    Candidates are looked at tile by tile in order of id. Pairs whose bound is not above the query's
-    ``k``-th score so far are dropped at the coarsest resolution that shows it; the others get their
-    exact score.
+    A finer bound is computed for pairs that are still open only: for all at once while these are many, else one by one.
     """
-    order = np.argsort(ids, kind="stable")
-    ids, rows = ids[order], rows[order]
-    levels = resolutions(rows.shape[1])
-    of_queries = [segment_statistics(queries, s) for s in levels]
-    of_rows = [segment_statistics(rows, s) for s in levels]
-    most = max(np.abs(queries).max(initial=0), 1) * max(np.abs(rows).max(initial=0), 1) * max(1, rows.shape[1])
-    whole = most < EXACT
-    slack = 1e-9 * np.linalg.norm(queries, axis=1) * np.linalg.norm(rows, axis=1).max(initial=0) + 1e-6
-    level = np.full(len(queries), -np.inf)  # the k-th score so far
-    best = pd.DataFrame({"q": [], "score": [], "vec_id": []})
-    for a in range(0, len(ids), tile):
-        part, asked = np.arange(a, min(a + tile, len(ids))), np.arange(len(queries))
-        for q, x in zip(of_queries, of_rows, strict=True):
-            open_ = q[asked] @ x[part].T + slack[asked, None] > level[asked, None]
-            asked, part = asked[open_.any(axis=1)], part[open_.any(axis=0)]
-        if not len(asked) or not len(part):
+    open_ = queries[0] @ rows[0].T + slack[:, None] > level[:, None]
+    for q, x in zip(queries[1:], rows[1:], strict=True):
+        if 4 * open_.sum() > open_.size:
+            open_ &= q @ x.T + slack[:, None] > level[:, None]
             continue
-        if whole:
-            scores = queries[asked] @ rows[part].T
+        i, j = np.nonzero(open_)
+        for a in range(0, len(i), PAIRS):
+            part = slice(a, a + PAIRS)
+            above = np.einsum("ps,ps->p", q[i[part]], x[j[part]]) + slack[i[part]] > level[i[part]]
+            open_[i[part][~above], j[part][~above]] = False
+    return open_
+
+
+def beyond(score: int) -> str:
+    """A text that sorts like the scores that are cut to the same end of a long: number of digits, then digits."""
+    if score >= LONG:
+        return f"{len(str(score)):05}{score}"
+    if score <= -LONG - 1:
+        text = str(-score)
+        return f"{99_999 - len(text):05}" + "".join(str(9 - int(c)) for c in text)
+    return ""
+
+
+class Best:
+    """The ``k`` best rows of each query so far, by score and then smaller id."""
+
+    def __init__(self, k: int, n_queries: int):
+        self.k, self.found = k, pd.DataFrame({"q": [], "score": [], "beyond": [], "vec_id": []})
+        self.level = np.full(n_queries, -np.inf)  # not above the k-th score
+
+    def add(self, q: np.ndarray, scores: np.ndarray, vec_id: np.ndarray) -> None:
+        if scores.dtype == object:
+            cut = np.array([min(max(v, -LONG - 1), LONG) for v in scores], np.int64)
+            new = {"q": q, "score": cut, "beyond": [beyond(v) for v in scores], "vec_id": vec_id}
         else:
-            exact = lambda m: np.array([[int(v) for v in row] for row in m], object).reshape(m.shape)
-            scores = exact(queries[asked]) @ exact(rows[part]).T
-        better = scores > level[asked, None]
-        better &= query_ids[asked, None] != ids[None, part]
-        i, j = np.nonzero(better)
-        found = pd.DataFrame({"q": asked[i], "score": scores[i, j], "vec_id": ids[part[j]]})
-        best = pd.concat([best, found]) if len(best) else found
-        best = best.sort_values(["q", "score", "vec_id"], ascending=[True, False, True], kind="stable").groupby("q").head(k)
-        last = best.groupby("q")["score"].agg(["size", "last"])
-        last = last[last["size"] == k]
-        # A score of more digits than a float has is rounded down, so that no equal one is lost.
-        reached = [v if whole else np.nextafter(float(v), -np.inf) for v in last["last"]]
-        level[last.index.to_numpy().astype(int)] = reached
-    score = [int(min(max(int(v), -LONG - 1), LONG)) for v in best["score"]]
+            new = {"q": q, "score": scores.astype(np.int64), "beyond": "", "vec_id": vec_id}
+        new = pd.DataFrame(new)
+        both = pd.concat([self.found, new], ignore_index=True) if len(self.found) else new
+        by = ["q", "score", "beyond", "vec_id"]
+        both = both.sort_values(by, ascending=[True, False, False, True], kind="stable").groupby("q").head(self.k)
+        self.found = both
+        last = both.groupby("q")["score"].agg(["size", "last"])
+        last = last[last["size"] == self.k]
+        self.level[last.index.to_numpy().astype(int)] = np.nextafter(last["last"].to_numpy().astype(float), -np.inf)
+
+
+def best_of_block(
+    query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int, tile: int = 1024,
+    products: list[int] | None = None,
+) -> pd.DataFrame:
+    """The ``k`` best of ``rows`` (doubles) for each query, by score and then smaller id.
+
+    Candidates are looked at tile by tile, those with the largest bounds for any query first, so that the ``k``-th scores
+    are high soon. Pairs whose bound is not above the query's ``k``-th score so far are dropped at the coarsest
+    resolution that shows it; only the others get their exact score. Pairs with a number too large for exact sums
+    of floats are multiplied in whole numbers of any length. ``products`` gets the numbers of pairs and of exact scores.
+    """
+    dim = rows.shape[1]
+    order = np.argsort(ids, kind="stable")
+    ids, rows = ids[order], rows[order]
+    whole_q, whole_r = whole_numbers(queries), whole_numbers(rows)
+    plain_q, plain_r = plain(whole_q, dim), plain(whole_r, dim)
+    best, exact = Best(k, len(queries)), 0
+    # What floats cannot add up: every pair with a large number, exactly.
+    for some_q, some_r in ((~plain_q, np.ones(len(ids), bool)), (plain_q, ~plain_r)):
+        asked, part = np.flatnonzero(some_q), np.flatnonzero(some_r)
+        for a in range(0, len(part) if len(asked) else 0, tile):
+            some = part[a : a + tile]
+            scores = digits(queries[asked]) @ digits(rows[some]).T
+            exact += scores.size
+            i, j = np.nonzero(query_ids[asked, None] != ids[None, some])
+            best.add(asked[i], scores[i, j], ids[some[j]])
+    asked, part = np.flatnonzero(plain_q), np.flatnonzero(plain_r)
+    if len(asked) and len(part):
+        q, r = whole_q[asked], whole_r[part]
+        levels = resolutions(dim) or [1]
+        of_queries, of_rows = ([segment_statistics(m, n) for n in levels] for m in (q, r))
+        slack = 1e-9 * np.linalg.norm(q, axis=1) * np.linalg.norm(r, axis=1).max(initial=0) + 1e-6
+        # Rows with large bounds come first; the statistics of all queries stand for them as a box.
+        top = np.maximum(of_queries[-1].max(axis=0) * of_rows[-1], of_queries[-1].min(axis=0) * of_rows[-1]).sum(axis=1)
+        order = np.argsort(-top, kind="stable")
+        for a in range(0, len(order), tile):
+            some = order[a : a + tile]
+            level = best.level[asked]
+            open_ = open_pairs(of_queries, [x[some] for x in of_rows], level, slack)
+            if 4 * open_.sum() > open_.size:
+                scores = q @ r[some].T
+                open_ &= scores >= level[:, None]
+                i, j = np.nonzero(open_ & (query_ids[asked, None] != ids[None, part[some]]))
+                found, exact = scores[i, j], exact + scores.size
+            else:
+                i, j = np.nonzero(open_ & (query_ids[asked, None] != ids[None, part[some]]))
+                exact += len(i)
+                parts = [np.einsum("ps,ps->p", q[i[b : b + PAIRS]], r[some[j[b : b + PAIRS]]]) for b in range(0, len(i), PAIRS)]
+                found = np.concatenate([np.zeros(0), *parts])
+            if len(i):
+                best.add(asked[i], found, ids[part[some[j]]])
+    if products is not None:
+        products += [len(queries) * len(ids), exact]
+    found = best.found
     return pd.DataFrame(
-        {"query_id": query_ids[best["q"].to_numpy().astype(int)], "score": score, "vec_id": best["vec_id"].to_numpy()}
+        {
+            "query_id": query_ids[found["q"].to_numpy().astype(int)],
+            "score": found["score"].to_numpy().astype(np.int64),
+            "beyond": found["beyond"].to_numpy(),
+            "vec_id": found["vec_id"].to_numpy(),
+        }
     )
 
 
@@ -102,7 +191,7 @@ def top_k(
     The score is the inner product of ``floor(64 * x)``, exact; ties go to the smaller id. Vectors
     that are null or hold null or non-finite components take no part, nor do rows without id; of
     rows that share an id the smallest valid vector counts; a shorter vector is filled with zeros; a sum
-    beyond a long is cut to its ends. Other columns are ignored.
+    beyond a long is cut to its ends, and ranked by its exact value. Other columns are ignored. An empty table gives no rows.
 
     Each block of queries meets each block of candidates in one task; a task returns ``k`` rows per
     query and block.
@@ -120,13 +209,13 @@ def top_k(
     )
 
     def meet(queries: pd.DataFrame, candidates: pd.DataFrame) -> pd.DataFrame:
-        ints = [np.floor(SCALE * matrix(side["vec"], dim)) for side in (queries, candidates)]
-        return best_of_block(queries["vec_id"].to_numpy(), ints[0], candidates["vec_id"].to_numpy(), ints[1], k)
+        asked, others = (matrix(side["vec"], dim) for side in (queries, candidates))
+        return best_of_block(queries["vec_id"].to_numpy(), asked, candidates["vec_id"].to_numpy(), others, k)
 
     found = (
-        left.groupBy("q", "c").cogroup(right.groupBy("q", "c")).applyInPandas(meet, "query_id long, score long, vec_id long")
+        left.groupBy("q", "c").cogroup(right.groupBy("q", "c")).applyInPandas(meet, "query_id long, score long, beyond string, vec_id long")
     )
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), F.desc("beyond"), "vec_id")
     return (
         found.withColumn("rank", F.row_number().over(best)).where(f"rank <= {k}").select("query_id", "rank", "vec_id", "score")
     )

@@ -116,10 +116,12 @@ def test_top_k_of_the_table(spark, small):
 def test_blocks_with_ties_and_huge_values():
     random = np.random.default_rng(0)
     for trial in range(12):
-        asked, rows = (random.integers(-4, 5, (n, 9)).astype(float) * (2.0**400 if trial % 4 == 3 else 1) for n in (7, 150))
+        # Multiples of 1/64, so that the whole numbers are the ones drawn.
+        numbers = [random.integers(-4, 5, (n, 9)).astype(float) * (2.0**400 if trial % 4 == 3 else 1) for n in (7, 150)]
+        (asked, rows), given = numbers, [n / topk.SCALE for n in numbers]
         ids = random.permutation(300)[:150]
         own = ids[:7]
-        found = topk.best_of_block(own, asked, ids, rows, 5, tile=16)
+        found = topk.best_of_block(own, given[0], ids, given[1], 5, tile=16)
         for q in range(7):
             scores = [(-sum(int(a) * int(b) for a, b in zip(asked[q], r, strict=True)), int(i)) for i, r in zip(ids, rows, strict=True)]
             expected = [(max(min(-s, topk.LONG), -topk.LONG - 1), i) for s, i in sorted(x for x in scores if x[1] != own[q])[:5]]
@@ -127,6 +129,61 @@ def test_blocks_with_ties_and_huge_values():
             assert list(zip(mine.score, mine.vec_id, strict=True)) == expected
 
 
+def exact_best(rows, k, query=lambda i: True):
+    """The best by exact whole numbers of any size."""
+    whole = {i: [int(x) * 64 if abs(x) > 2.0**60 else int(np.floor(64 * x)) for x in v] for i, v in rows}
+    out = {}
+    for q in filter(query, whole):
+        scored = [(-sum(a * b for a, b in zip(whole[q], v, strict=True)), i) for i, v in whole.items() if i != q]
+        out[q] = [(max(min(-s, topk.LONG), -topk.LONG - 1), i) for s, i in sorted(scored)[:k]]
+    return out
+
+
+def test_finite_vectors_of_any_size(spark):
+    """Components up to the largest double: no row vanishes, and sums beyond a long are ranked by what they are."""
+    random = np.random.default_rng(7)
+    rows = [(i, random.normal(size=4).tolist()) for i in range(60)]
+    big = [1e160, -1e160, 1e307, -1e307, 1.7e308, 5e-324, 1e18, 3e17, 2.0**53 + 2, 1e9]
+    rows += [(100 + i, [x, 1.0, -x if i % 2 else 0.0, float(i)]) for i, x in enumerate(big)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for blocks in ({}, {"block_queries": 5, "block_rows": 7}):
+        found = topk.top_k(frame, queries="vec_id >= 0", k=6, **blocks).orderBy("query_id", "rank").collect()
+        mine = {}
+        for r in found:
+            mine.setdefault(r.query_id, []).append((r.score, r.vec_id))
+        assert mine == exact_best(rows, 6)
+
+
+def test_bounds_leave_out_most_pairs_of_clustered_vectors():
+    random = np.random.default_rng(8)
+    centres = random.normal(size=(40, 64)) * 3
+    rows = np.repeat(centres, 100, axis=0) + random.normal(size=(4000, 64)) * 0.2
+    ids, products = random.permutation(4000), []
+    asked = ids[:50]
+    found = topk.best_of_block(asked, rows[:50], ids, rows, 10, tile=256, products=products)
+    whole = np.floor(64 * rows).astype(np.int64)
+    for q in range(50):
+        scores = whole @ whole[q]
+        expected = sorted((-int(s), int(i)) for s, i in zip(scores, ids, strict=True) if i != asked[q])[:10]
+        mine = found[found.query_id == asked[q]]
+        assert [(-s, i) for s, i in zip(mine.score, mine.vec_id, strict=True)] == expected
+    pairs, exact = products
+    print(f"exact products: {exact} of {pairs}")
+    assert exact < 0.5 * pairs
+
+
+def test_open_pairs_keep_whatever_may_be_best():
+    random = np.random.default_rng(9)
+    q, r = random.normal(size=(30, 24)), random.normal(size=(200, 24)) + random.normal(size=(200, 1)) * 2
+    levels = topk.resolutions(24)
+    stats = [[topk.segment_statistics(m, n) for n in levels] for m in (q, r)]
+    products = q @ r.T
+    for share in (0.5, 0.9, 0.99):
+        level = np.quantile(products, share, axis=1)
+        open_ = topk.open_pairs(*stats, level, np.full(30, 1e-9))
+        assert open_[products > level[:, None]].all() and (share < 0.9 or open_.mean() < 1)
+
+
 def test_invalid_vectors_of_an_id_do_not_hide_valid_ones(spark):
     rows = [(1, [None, 1.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (2, [0.0, 0.0]), (3, [None, 2.0])]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
