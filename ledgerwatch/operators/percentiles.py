@@ -3,7 +3,8 @@
 Values are counted per distinct value, the counts are added up per bucket, and the ranks
 are located among the buckets. Only the buckets that hold a wanted rank are looked into.
 A bucket spans 0.1% of the size of its values, also of the smallest; there are at most three million
-buckets over the whole range of doubles, and values with two decimals give a bucket few distinct ones.
+buckets over the whole range of doubles. The range of a bucket that is hit is divided into cells, and the cell that
+is hit once more, so that ten million distinct values in a bucket leave one or a few to be sorted.
 """
 
 from __future__ import annotations
@@ -14,6 +15,9 @@ from pyspark.sql import functions as F
 from ledgerwatch.functions.columns import rounded
 
 BUCKETS_PER_E = 1024
+# Into so many cells a range is divided, so many times.
+CELLS = 4096
+ROUNDS = 2
 
 # The percentiles of the two reports.
 INTERPOLATED = {"p50": 0.50, "p75": 0.75, "p90": 0.90, "p95": 0.95, "p99": 0.99}
@@ -41,7 +45,10 @@ def order_statistics(values: DataFrame, value: str, ranks: dict[str, str]) -> Da
         .selectExpr("value", "n", f"{BUCKET} as bucket")
     )
     buckets = counted.groupBy("bucket").agg(
-        F.expr("sum(n) as in_bucket"), F.expr("sum(value * n) as bucket_sum")
+        F.expr("sum(n) as in_bucket"),
+        F.expr("sum(value * n) as bucket_sum"),
+        F.expr("min(value) as low"),
+        F.expr("max(value) as high"),
     )
     wanted = ", ".join(f"struct('{name}' as name, cast({rank} as bigint) as rank)" for name, rank in ranks.items())
     # ``located`` has one row per wanted rank.
@@ -49,22 +56,48 @@ def order_statistics(values: DataFrame, value: str, ranks: dict[str, str]) -> Da
         buckets.selectExpr(
             "bucket",
             "in_bucket",
+            "low",
+            "high",
             "coalesce(sum(in_bucket) over (order by bucket rows between unbounded preceding and 1 preceding), 0) as below",
             "sum(in_bucket) over (order by bucket rows between unbounded preceding and unbounded following) as total",
             "sum(bucket_sum) over (order by bucket rows between unbounded preceding and unbounded following) as value_sum",
         )
-        .selectExpr("bucket", "in_bucket", "below", "total", "value_sum", f"inline(array({wanted}))")
+        .selectExpr("bucket", "in_bucket", "low", "high", "below", "total", "value_sum", f"inline(array({wanted}))")
         .where("rank >= below and rank < below + in_bucket")
+        .drop("in_bucket")
     )
+    for _ in range(ROUNDS):
+        located = narrowed(counted, located)
     up_to = "partition by name order by value rows between unbounded preceding and current row"
     return (
-        counted.join(F.broadcast(located), "bucket")
+        _inside(counted, located)
         .selectExpr("*", f"below + sum(n) over ({up_to}) as reached")
         .where("reached > rank and reached - n <= rank")
         .selectExpr("name", "value", "total", "value_sum / total as mean")
     )
 
 
+def _inside(counted: DataFrame, located: DataFrame) -> DataFrame:
+    """The values that lie where a rank was located."""
+    return counted.join(F.broadcast(located), "bucket").where("value >= low and value <= high")
+
+
+def narrowed(counted: DataFrame, located: DataFrame) -> DataFrame:
+    """``located`` with a smaller range for each rank: the cell of its range that holds the rank."""
+    cell = f"if(high > low, least(cast((value - low) / (high - low) * {CELLS} as int), {CELLS - 1}), 0) as cell"
+    kept = ["name", "rank", "bucket", "total", "value_sum", "below"]
+    cells = (
+        _inside(counted, located)
+        .selectExpr(*kept, "value", "n", cell)
+        .groupBy(*kept, "cell")
+        .agg(F.expr("sum(n) as in_cell"), F.expr("min(value) as low"), F.expr("max(value) as high"))
+    )
+    before = "partition by name order by cell rows between unbounded preceding and 1 preceding"
+    passed = cells.selectExpr("*", f"below + coalesce(sum(in_cell) over ({before}), 0) as passed")
+    inside = passed.where("rank >= passed and rank < passed + in_cell")
+    return inside.selectExpr(*[f"passed as {c}" if c == "below" else c for c in kept], "low", "high")
+
+
 def _value_of(name: str) -> str:
     return f"max(case when name = '{name}' then value end)"
 

@@ -65,15 +65,26 @@ def window_activity_approx(
     transactions: DataFrame, length_seconds: int = LENGTH_SECONDS, slide_seconds: int = SLIDE_SECONDS
 ) -> DataFrame:
     """As ``window_activity`` with sketched distinct numbers: the state of a window has a
-    fixed size however many merchants it holds."""
+    fixed size however many merchants it holds.
+
+    Each pane has one sketch per name column, made once; a window merges the sketches of its panes. Up to some hundred
+    names the estimates are exact, beyond that their standard error is 1.6%.
+    """
     length, slide = length_seconds * MICROS_PER_SECOND, slide_seconds * MICROS_PER_SECOND
-    starts = f"explode(sequence(pane - {length - slide}, pane, {slide})) as start"
-    spread = _per_pane(transactions, slide).selectExpr("*", starts)
+    pane = F.expr(f"{floor_to(micros(), slide)} as pane")
+    panes = transactions.groupBy("account_id", pane).agg(
+        F.expr("count(*) as n"),
+        F.expr(f"sum({to_units()}) as units"),
+        F.expr("hll_sketch_agg(merchant_id) as merchants"),
+        F.expr("hll_sketch_agg(country) as countries"),
+        F.expr("max(amount) as largest"),
+    )
+    spread = panes.selectExpr("*", f"explode(sequence(pane - {length - slide}, pane, {slide})) as start")
     activity = spread.groupBy("account_id", "start").agg(
         F.expr("sum(n) as n"),
-        F.expr("sum(units) as units"),
-        F.expr("approx_count_distinct(merchant_id) as merchants"),
-        F.expr("approx_count_distinct(country) as countries"),
+        F.expr(f"{exact_sum('units')} as units"),
+        F.expr("hll_sketch_estimate(hll_union_agg(merchants)) as merchants"),
+        F.expr("hll_sketch_estimate(hll_union_agg(countries)) as countries"),
         F.expr("max(largest) as largest"),
     )
     return _named(activity, transactions, length)

@@ -16,6 +16,7 @@ from ledgerwatch.operators import analytics as an
 from ledgerwatch.operators import detectors as de
 from ledgerwatch.operators import percentiles as pc
 from ledgerwatch.operators import quality as qu
+from ledgerwatch.operators import sketches as sk
 from ledgerwatch.operators import velocity as ve
 from ledgerwatch.operators import windows as wi
 from ledgerwatch.schema import ALERT_FIELDS, HIGH_RISK_CATEGORIES, ddl
@@ -199,6 +200,21 @@ def tied_trailing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ve.trailing_velocity(_tied(spark, sf_dir), SkewConfig(slice_rows=100))
 
 
+def quantile_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per percentile of the latency: whether the value that merged sketches of every minute give has a rank within
+    the stated error, and the exact count of values.
+    """
+    rows = events.transactions(spark, sf_dir)
+    minutes = rows.groupBy(F.expr(f"{micros()} div 60000000 as minute")).agg(F.expr(f"{sk.quantile_summary('latency_ms')} as summary"))
+    found = sk.quantiles(minutes, "summary", pc.INTERPOLATED).first()
+    near = [
+        f"struct('{name}' as metric, count_if(latency_ms < {found[name]!r}D) <= {p + sk.RANK_ERROR}D * count(latency_ms) "
+        f"and count_if(latency_ms <= {found[name]!r}D) >= {p - sk.RANK_ERROR}D * count(latency_ms) as near)"
+        for name, p in pc.INTERPOLATED.items()
+    ]
+    return rows.agg(F.expr(f"array({', '.join(near)}) as found")).selectExpr(f"{found.n}L as n", "inline(found)")
+
+
 def repeated_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The report of the detector when a topic delivers every third alert twice."""
     alerts = _alerts(spark, sf_dir)
@@ -266,6 +282,10 @@ def queries() -> dict[str, Query]:
         "top_categories": _on_alerts(lambda rows: an.top_groups(rows, "merchant_category")),
         "top_countries": _on_alerts(lambda rows: an.top_groups(rows, "country")),
         "top_accounts": _on_alerts(lambda rows: an.top_groups(rows, "account_id")),
+        "heavy_accounts": _on_alerts(lambda rows: sk.heavy_groups(rows, "account_id", 0.01)),
+        "heavy_merchants": _on_transactions(lambda rows: sk.heavy_groups(rows, "merchant_id", 0.005)),
+        "heavy_categories": _on_alerts(lambda rows: sk.heavy_groups(rows, "merchant_category", 0.05)),
+        "quantile_errors": quantile_errors,
         "rule_frequency": _on_alerts(an.rule_frequency),
         "latency_percentiles": _on_alerts(pc.latency_percentiles),
         "probe_latency": probe_latency,

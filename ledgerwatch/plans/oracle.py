@@ -304,6 +304,26 @@ FROM txn""",
         "skewed_velocity": _with(
             SKEWED_FEATURES, "SELECT transaction_id, account_id, event_time, amount, window_count, window_spend FROM feat"
         ),
+        "heavy_accounts": _with(
+            ALERTS,
+            "SELECT account_id, count(*) AS n FROM alerts GROUP BY 1 "
+            "HAVING count(*) >= CAST(0.01 AS DOUBLE) * (SELECT count(*) FROM alerts)",
+        ),
+        "heavy_merchants": _with(
+            EVENTS_AS_TRANSACTIONS,
+            "SELECT merchant_id, count(*) AS n FROM txn GROUP BY 1 "
+            "HAVING count(*) >= CAST(0.005 AS DOUBLE) * (SELECT count(*) FROM txn)",
+        ),
+        "heavy_categories": _with(
+            ALERTS,
+            "SELECT merchant_category, count(*) AS n FROM alerts GROUP BY 1 "
+            "HAVING count(*) >= CAST(0.05 AS DOUBLE) * (SELECT count(*) FROM alerts)",
+        ),
+        "quantile_errors": _with(
+            EVENTS_AS_TRANSACTIONS,
+            "SELECT unnest(['p50', 'p75', 'p90', 'p95', 'p99']) AS metric, n, true AS near "
+            "FROM (SELECT count(*) AS n FROM txn)",
+        ),
         "tied_velocity": _with(
             TIED_FEATURES, "SELECT transaction_id, account_id, event_time, amount, window_count, window_spend FROM feat"
         ),

@@ -20,6 +20,7 @@ from ledgerwatch.config import ALERT_THRESHOLD, LATENCY_BOUNDS_MS, SCORE_BOUNDS
 from ledgerwatch.functions.columns import micros
 from ledgerwatch.functions.scores import score_transactions
 from ledgerwatch.operators.alerts import live_feed, raise_alerts
+from ledgerwatch.operators.sketches import group_summary, heavy_candidates, quantile_summary, quantiles
 from ledgerwatch.operators.velocity import session_velocity
 from ledgerwatch.session import checkpoint_root
 from ledgerwatch.sources.messages import alert_messages, quarantined
@@ -101,6 +102,8 @@ class ScoringJob:
             f"{counts['rows'] / max(seconds, 0.001):.1f}D as rows_per_second",
             bucket_rows("score", SCORE_BOUNDS, counts),
             bucket_rows("latency_ms", LATENCY_BOUNDS_MS, counts),
+            *summaries(counts),
+            "current_timestamp() as logged_at",
         )
         self.write(row, "batches", batch_id)
 
@@ -116,12 +119,33 @@ def bucket_measures(name: str, value: str, bounds: list[float]) -> list[Column]:
     return [F.expr(m) for m in [*below, f"count({value}) as {name}_n", f"sum(cast({value} as decimal(30,12))) as {name}_sum"]]
 
 
+#: Columns of alerts whose heavy groups are followed, and the share of alerts from which a group is heavy.
+FOLLOWED_GROUPS = ["account_id", "merchant_category", "country"]
+HEAVY_SHARE = 0.01
+
+
 def score_measures() -> list[Column]:
-    return bucket_measures("score", "fraud_score", SCORE_BOUNDS)
+    sketch = F.expr(f"{quantile_summary('fraud_score')} as score_sketch")
+    return [*bucket_measures("score", "fraud_score", SCORE_BOUNDS), sketch]
 
 
 def alert_measures() -> list[Column]:
-    return [F.expr("count(*) as alerts"), *bucket_measures("latency_ms", "detection_latency_ms", LATENCY_BOUNDS_MS)]
+    groups = [f"{group_summary(name, HEAVY_SHARE)} as {name}_groups" for name in FOLLOWED_GROUPS]
+    more = ["count(*) as alerts", f"{quantile_summary('detection_latency_ms')} as latency_ms_sketch", *groups]
+    return [*map(F.expr, more), *bucket_measures("latency_ms", "detection_latency_ms", LATENCY_BOUNDS_MS)]
+
+
+def summaries(counts: dict) -> list[str]:
+    """The sketches of a batch as columns of its log."""
+    sketches = [f"X'{bytes(counts[f'{name}_sketch']).hex()}' as {name}_sketch" for name in ("score", "latency_ms")]
+    groups = []
+    for name in FOLLOWED_GROUPS:
+        of = counts[f"{name}_groups"]
+        groups.append(
+            f"named_struct('sketch', X'{bytes(of.sketch).hex()}', 'maxItemsTracked', {of.maxItemsTracked}, "
+            f"'itemDataType', cast(null as string), 'itemDataTypeDDL', '{of.itemDataTypeDDL}') as {name}_groups"
+        )
+    return [*sketches, *groups]
 
 
 def bucket_rows(name: str, bounds: list[float], counts: dict) -> str:
@@ -145,6 +169,22 @@ def kept_buckets(spark: SparkSession, output: str) -> DataFrame:
     )
 
 
+def kept_percentiles(
+    spark: SparkSession, output: str, name: str, points: dict[str, float], batches: str = "true"
+) -> DataFrame:
+    """One row with a column per point and ``n``: quantiles of ``score`` or ``latency_ms`` over the ``batches`` that meet a
+    condition on ``batch_id`` or ``logged_at``. Only the log is read, one sketch per batch.
+    """
+    return quantiles(spark.read.parquet(f"{output}/batches").where(batches), f"{name}_sketch", points)
+
+
+def kept_groups(spark: SparkSession, output: str, name: str, batches: str = "true") -> DataFrame:
+    """``item, estimate`` of the groups of alerts by ``name`` that may have ``HEAVY_SHARE`` of those of the ``batches``: all
+    that have it are among them. Only the log is read.
+    """
+    return heavy_candidates(spark.read.parquet(f"{output}/batches").where(batches), f"{name}_groups", HEAVY_SHARE)
+
+
 def start_scoring(
     messages: DataFrame,
     job: ScoringJob,

@@ -110,6 +110,27 @@ def test_stream_keeps_histograms_and_feed(spark, scored_run):
     assert_same(feed.toPandas(), live_feed(alerts).select("transaction_id", "detected_at").toPandas())
 
 
+def test_log_gives_percentiles_and_groups_of_any_span(spark, scored_run):
+    from ledgerwatch.operators.sketches import RANK_ERROR
+    from ledgerwatch.streaming.scoring import HEAVY_SHARE, kept_groups, kept_percentiles
+
+    output, _ = scored_run
+    points = {"p50": 0.5, "p90": 0.9, "p99": 0.99}
+    for span in ("true", "batch_id between 1 and 2"):
+        scored = spark.read.parquet(f"{output}/scored").where(span)
+        found = kept_percentiles(spark, output, "score", points, span).first()
+        assert found.n == scored.count()
+        for name, p in points.items():
+            ranks = scored.selectExpr(f"avg(cast(fraud_score < {found[name]!r}D as int))", f"avg(cast(fraud_score <= {found[name]!r}D as int))").first()
+            assert ranks[0] <= p + RANK_ERROR and ranks[1] >= p - RANK_ERROR
+        alerts = spark.read.parquet(f"{output}/alerts").where(span)
+        n = alerts.count()
+        for name in ("account_id", "country"):
+            counts = {r[name]: r["count"] for r in alerts.groupBy(name).count().collect()}
+            groups = {r.item: r.estimate for r in kept_groups(spark, output, name, span).collect()}
+            assert {k: v for k, v in counts.items() if v >= HEAVY_SHARE * n}.items() <= groups.items()
+
+
 def test_progress_reports_batches(scored_run):
     _, query = scored_run
     reports = progress(query)
