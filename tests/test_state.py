@@ -9,15 +9,19 @@ from pyspark.sql import functions as F
 
 from ledgerwatch.functions.scores import score_transactions
 from ledgerwatch.operators import alerts as al
+from ledgerwatch.operators import detectors
 from ledgerwatch.operators.velocity import GAP_US, open_sessions, session_velocity
 from ledgerwatch.operators.windows import account_features
 from ledgerwatch.plans import catalog
 from ledgerwatch.sources import events
 from ledgerwatch.sources.messages import parse_transactions
 from ledgerwatch.sources.streams import file_messages
+from ledgerwatch.streaming import detectors as detecting
 from ledgerwatch.streaming.history import kept_history, start_history
+from ledgerwatch.streaming.lifecycle import ProgressTable
 from ledgerwatch.streaming.scoring import ScoringJob, start_scoring
 from ledgerwatch.streaming.sessions import live_features, session_after
+from ledgerwatch.streaming.velocity import start_table
 from tests.compare import assert_same
 from tests.test_streaming import write_in_order
 
@@ -123,3 +127,79 @@ def test_history_of_a_stream_equals_batch_after_a_restart(spark, small, tmp_path
     found = kept_history(spark, str(tmp_path / "cp"))
     assert 0 < found.select("account_id").distinct().count() <= 2
     assert_same(found.toPandas(), expected.toPandas())
+
+
+# Detectors
+
+
+@pytest.fixture(scope="module")
+def in_order(spark, small, tmp_path_factory):
+    """Transactions as files in order of time, with a row at the end that closes all windows."""
+    folder = str(tmp_path_factory.mktemp("in_order"))
+    rows = events.transactions(spark, small).withColumn("event_time", F.expr("cast(event_time as timestamp)"))
+    rows = rows.withColumn("country", F.expr("if(hash(transaction_id) % 10 = 0, null, country)"))
+    rows = rows.withColumn("amount", F.expr("if(hash(transaction_id) % 6 = 0, 1.5D, if(hash(transaction_id) % 6 = 1, 5000D, amount))"))
+    rows = rows.withColumn("device_type", F.expr("concat('D', pmod(hash(transaction_id), 5))"))
+    end = rows.limit(1).withColumn("account_id", F.lit("END")).withColumn("event_time", F.expr("timestamp'2024-03-01 00:00:00'"))
+    write_in_order(rows.unionByName(end), folder, "event_time", files=7)
+    return rows, folder
+
+
+def streamed(spark, in_order, tmp_path, operator):
+    """What a detector finds in the files, stopped half way and started again."""
+    rows, folder = in_order
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "cp")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    for _ in range(2):
+        query = start_table(operator(stream), out, "detector", checkpoint, available_now=True)
+        query.awaitTermination()
+    return spark.read.parquet(out).where("account_id <> 'END'")
+
+
+@pytest.mark.parametrize(
+    "operator, batch",
+    [
+        (detecting.geo_impossible_stream, detectors.geo_impossible),
+        (detecting.card_testing_stream, detectors.card_testing),
+        (detecting.device_switching_stream, detectors.device_switching),
+    ],
+    ids=["geo", "card", "device"],
+)
+def test_detectors_in_the_stream_find_what_they_find_in_the_table(spark, in_order, tmp_path, operator, batch):
+    expected = batch(in_order[0])
+    assert expected.count() > 0
+    assert_same(streamed(spark, in_order, tmp_path, operator).toPandas(), expected.toPandas())
+
+
+def test_state_of_detectors_is_removed(spark, in_order, tmp_path):
+    """After the last row nothing but its own account is remembered."""
+    streamed(spark, in_order, tmp_path, detecting.geo_impossible_stream)
+    state = spark.read.format("statestore").option("stateVarName", "last").load(str(tmp_path / "cp"))
+    assert {r[0] for r in state.selectExpr("key.account_id").collect()} <= {"END"}
+
+
+def test_every_batch_reports_into_a_table(spark, in_order, tmp_path):
+    import time
+
+    rows, folder = in_order
+    listener = ProgressTable(spark, str(tmp_path / "progress"))
+    spark.streams.addListener(listener)
+    try:
+        stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+        counted = detecting.device_switching_stream(stream.observe("seen", F.count("*").alias("n")))
+        start_table(counted, str(tmp_path / "out"), "reported", str(tmp_path / "cp"), available_now=True).awaitTermination()
+        for _ in range(60):
+            time.sleep(0.5)
+            try:
+                table = spark.read.parquet(str(tmp_path / "progress"))
+                if table.where("input_rows > 0").count() == 7:
+                    break
+            except Exception:  # not there yet
+                continue
+    finally:
+        spark.streams.removeListener(listener)
+    table = spark.read.parquet(str(tmp_path / "progress")).cache()
+    assert table.agg({"input_rows": "sum"}).first()[0] == rows.count() + 1
+    assert table.where("input_rows > 0 and duration_ms > 0 and state_rows >= 0 and name = 'reported'").count() == 7
+    seen = table.where("input_rows > 0").selectExpr("cast(get_json_object(observed['seen'], '$.n') as bigint) as n")
+    assert seen.agg({"n": "sum"}).first()[0] == rows.count() + 1
