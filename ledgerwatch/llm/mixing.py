@@ -17,9 +17,9 @@ BROADCAST_LEAVES = 10_000
 
 
 def source_domain(source: str = "source") -> str:
-    """The domain of a source: numbered sources in groups of five, anything else by itself."""
+    """The domain of a source: numbered sources in groups of five, anything else by itself; of a null one ``NONE``."""
     number = f"try_cast(regexp_extract({source}, '^src([0-9]{{1,9}})$', 1) as int)"
-    return f"coalesce(concat('domain', cast({number} div 5 as string)), '{NONE}')"
+    return f"coalesce(concat('domain', cast({number} div 5 as string)), {source}, '{NONE}')"
 
 
 def weight_of(level: str, weights: dict[str, dict[str, int]]) -> str:
@@ -99,8 +99,9 @@ def leaf_cutoffs(docs: DataFrame, budgets: DataFrame, seed: int, levels: tuple[s
         "target % tokens as rest",
         f"cast(greatest(0, ceil(log(16, n_docs / {BUCKET_DOCS}D))) as int) as digits",
     )
+    # Lists of leaves are broadcast while they are short, so that a leaf with very many documents is not dealt by its key.
     placed = (
-        docs.join(plan.where("rest > 0"), leaf)
+        docs.join(short(plan.where("rest > 0"), BROADCAST_LEAVES), leaf)
         .selectExpr(*leaf, "rest", "digits", "n_tokens", f"{epoch_order('doc_id', 'whole', seed)} as place")
         .selectExpr("*", "substring(place, 1, digits) as bucket")
     )
@@ -116,7 +117,7 @@ def leaf_cutoffs(docs: DataFrame, budgets: DataFrame, seed: int, levels: tuple[s
         .agg(F.expr("max(struct(bucket, spent)) as last"))
         .selectExpr(*leaf, "last.bucket", "last.spent")
     )
-    rows = placed.join(ends, [*leaf, "bucket"]).groupBy(*leaf, "rest", "spent", "place").agg(F.sum("n_tokens").alias("n"))
+    rows = placed.join(short(ends, BROADCAST_LEAVES), [*leaf, "bucket"]).groupBy(*leaf, "rest", "spent", "place").agg(F.sum("n_tokens").alias("n"))
     last = (
         rows.selectExpr(*leaf, "place", f"spent + coalesce(sum(n) over ({by_leaf} order by place {before}), 0) < rest as taken")
         .where("taken")
@@ -144,7 +145,7 @@ def mix(
     its target (so it may exceed it by part of one document). Rows of a leaf with equal ids are read
     together. Documents without words cost nothing and come along where their place falls. Adds
     ``domain``, ``lang``, ``source`` or whatever the levels are called, ``n_tokens`` (words) and
-    ``epoch`` (from 0) in the struct column ``mixed``; columns of ``docs`` stay.
+    ``epoch`` (from 0) in the struct column ``mixed``; columns of ``docs`` stay. An empty table gives no rows.
     """
     levels = levels or {"domain": source_domain(), "lang": "lang", "source": "source"}
     names = tuple(levels)

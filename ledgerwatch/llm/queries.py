@@ -109,7 +109,7 @@ def _mixing_sql() -> str:
     steps = [
         r"""docs AS (SELECT doc_id,
             CASE WHEN regexp_matches(source, '^src[0-9]{1,9}$')
-                THEN 'domain' || (CAST(substr(source, 4) AS INTEGER) // 5) ELSE '(none)' END AS domain,
+                THEN 'domain' || (CAST(substr(source, 4) AS INTEGER) // 5) ELSE coalesce(source, '(none)') END AS domain,
             coalesce(lang, '(none)') AS lang, coalesce(source, '(none)') AS source,
             CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS n_tokens
         FROM documents)""",

@@ -163,6 +163,18 @@ def test_mixing_equals_sql(spark, medium, monkeypatch, bucket_docs):
     assert_same(queries.op10_mixing(spark, medium).toPandas(), connect(medium).execute(queries.oracle_sql()["op10_mixing"]).df())
 
 
+@pytest.mark.parametrize("most", [10_000, 1])
+def test_mixing_of_any_sources(spark, medium, tmp_path, monkeypatch, most):
+    """Sources without a number are domains of their own; the lists of leaves may be broadcast or not."""
+    monkeypatch.setattr(mixing, "BROADCAST_LEAVES", most)
+    source = "case when doc_id % 5 = 0 then concat('host', doc_id % 3, '.org') when doc_id % 7 = 0 then null else source end"
+    docs = spark.read.parquet(f"{medium}/documents.parquet").withColumn("source", F.expr(source))
+    docs.coalesce(1).toPandas().to_parquet(f"{tmp_path}/documents.parquet", index=False)
+    found = queries.op10_mixing(spark, str(tmp_path)).toPandas()
+    assert {"host0.org", "(none)"} <= set(found.domain)
+    assert_same(found, connect(str(tmp_path)).execute(queries.oracle_sql()["op10_mixing"]).df())
+
+
 def test_shortages_go_to_siblings_first(spark):
     leaves = spark.createDataFrame(
         [("a", "x", 1, 10), ("a", "y", 1, 1000), ("b", "x", 1, 20), ("c", "x", 1, 1000), ("d", "x", 1, 500)],
