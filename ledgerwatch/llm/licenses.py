@@ -308,6 +308,6 @@ def licenses(text: Column, matcher: Matcher | None = None) -> Column:
 def find_licenses(docs: DataFrame, matcher: Matcher | None = None) -> DataFrame:
     """What ``licenses`` finds for every row of ``docs(doc_id, text)``.
 
-    Repeated rows give repeated results; other columns are ignored.
+    Repeated rows give repeated results; other columns are ignored. An empty table gives no rows.
     """
     return small_batches(docs).select("doc_id", licenses(F.col("text"), matcher).alias("found")).select("doc_id", "found.*")

@@ -224,7 +224,7 @@ def near_vectors(vectors: DataFrame, how: Codes | None = None) -> DataFrame:
     ``n_links`` counts the other vectors linked directly, copies included; ``component_id`` is the
     smallest id that links reach. Vectors that are null, zero or empty or hold null or non-finite
     components are linked with nothing. Of rows that share an id the smallest valid vector counts; rows
-    without id are left out; a shorter vector is filled with zeros. Other columns are ignored.
+    without id are left out; a shorter vector is filled with zeros. Other columns are ignored. An empty table gives no rows.
 
     Exact copies are one vector with a count. Hash keys made of code bits find candidates, codes
     keep those that may be near and hold them together in coarse groups; within a group, which has

@@ -132,7 +132,7 @@ def pack(
     Tokens are words unless a column ``n_tokens`` counts them. A document longer than the
     largest size is cut into pieces of that size and a rest. A document without tokens (null,
     empty or blank text) is one piece of none and has no bin (nulls). Rows without id
-    and repeated rows are packed like any others, each by itself; other columns are ignored.
+    and repeated rows are packed like any others, each by itself; other columns are ignored. An empty table gives no rows.
 
     The driver sees one number per length, at most the largest size of them, and lays out the bins;
     pieces are numbered within their length and look up their bin by length and number. A common

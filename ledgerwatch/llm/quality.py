@@ -113,23 +113,30 @@ class QualityModel:
     def score(self, rows: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.margin(self.cells(rows)), -30, 30)))
 
+    def risks(self, positives: np.ndarray, unlabelled: np.ndarray, prior: float) -> tuple[float, float]:
+        """The two parts of the risk for rows of ``cells``: of positives as positive, and of negatives as negative."""
+        mp, mu = self.margin(positives), self.margin(unlabelled)
+        # Logistic loss: of being positive log(1 + exp(-m)), of being negative log(1 + exp(m)).
+        return prior * np.logaddexp(0, -mp).mean(), np.logaddexp(0, mu).mean() - prior * np.logaddexp(0, mp).mean()
+
+    def gradients(self, positives: np.ndarray, unlabelled: np.ndarray, prior: float) -> tuple[np.ndarray, np.ndarray]:
+        """The gradients of the two parts with respect to the weights and, last, the bias."""
+
+        def down(cells: np.ndarray, slope: np.ndarray) -> np.ndarray:
+            each = np.repeat(slope, cells.shape[1])
+            return np.append(np.bincount(cells.ravel(), each, len(self.weights)), slope.sum()) / max(1, len(cells))
+
+        good_p, good_u = (1 / (1 + np.exp(-self.margin(cells))) for cells in (positives, unlabelled))
+        return prior * down(positives, good_p - 1), down(unlabelled, good_u) - prior * down(positives, good_p)
+
     def train(self, positives: np.ndarray, unlabelled: np.ndarray, prior: float, how: Training) -> QualityModel:
         self.prior = prior
         p, u = self.cells(positives), self.cells(unlabelled)
         size = len(self.weights)
         first, second = np.zeros(size + 1), np.zeros(size + 1)
-
-        def down(cells: np.ndarray, slope: np.ndarray) -> np.ndarray:
-            each = np.repeat(slope, cells.shape[1])
-            return np.append(np.bincount(cells.ravel(), each, size), slope.sum()) / max(1, len(cells))
-
         for step in range(1, how.steps + 1):
-            mp, mu = self.margin(p), self.margin(u)
-            good_p, good_u = 1 / (1 + np.exp(-mp)), 1 / (1 + np.exp(-mu))
-            # Logistic loss: of being positive log(1 + exp(-m)), of being negative log(1 + exp(m)).
-            risk_negative = np.logaddexp(0, mu).mean() - prior * np.logaddexp(0, mp).mean()
-            negative = down(u, good_u) - prior * down(p, good_p)
-            g = prior * down(p, good_p - 1) + (negative if risk_negative >= 0 else -negative)
+            positive, negative = self.gradients(p, u, prior)
+            g = positive + (negative if self.risks(p, u, prior)[1] >= 0 else -negative)
             g[:size] += how.decay * self.weights
             first += 0.1 * (g - first)
             second += 0.01 * (g * g - second)
@@ -216,7 +223,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, modulus: int = 5, how: Tra
 
     Nothing is learned from ids whose crc32 leaves 0 modulo ``modulus``, nor from rows without id.
     Scores see the text only; without positives or texts to learn from every score is 0.5. Repeated
-    rows give repeated results; other columns are ignored.
+    rows give repeated results; other columns are ignored. An empty table gives no rows.
     """
     remainder = crc_remainder("doc_id", modulus)
     model = train_quality(docs.where(remainder > 0), labels.where(remainder > 0), how)

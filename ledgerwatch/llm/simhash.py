@@ -174,7 +174,7 @@ def near_duplicates(
     ``component_id`` is the smallest id among all rows that links of at most ``radius`` bits
     reach. Texts that are null, empty or blank have fingerprint zero and are linked like any
     others. A row without id takes part in links; a component without any id has the id null.
-    Repeated rows give repeated results. Other columns of ``docs`` are ignored.
+    Repeated rows give repeated results. Other columns of ``docs`` are ignored. An empty table gives no rows.
     Copies are linked through their common fingerprint and never as pairs.
     """
     rows = saved(small_batches(docs).select(F.col(doc_id).alias("doc_id"), fingerprints(F.col(text), shingle).alias("fp")))

@@ -1,5 +1,6 @@
 """Operators that look at one document at a time."""
 
+import math
 import re
 import zlib
 
@@ -275,3 +276,43 @@ def test_licence_query(spark, odd, none, medium):
     found = licenses.find_licenses(odd).toPandas()
     assert len(found) == len(TEXTS) and set(found.n_words[found.doc_id.isin([3, 4, 5])]) == {0}
     assert licenses.find_licenses(none).count() == 0
+
+
+def test_quality_risk_and_gradient():
+    """The risk of a plain model over one-hot bins, and its gradient by differences."""
+    draw = np.random.default_rng(2)
+    positives, unlabelled, prior = draw.normal(1, 1, (40, len(quality.FEATURES))), draw.normal(0, 1, (70, len(quality.FEATURES))), 0.4
+    model = quality.QualityModel(unlabelled, (0.1, 0.5))
+    cells = [model.cells(rows) for rows in (positives, unlabelled)]
+    for rows, found in zip((positives, unlabelled), cells, strict=True):
+        for row, own in zip(rows, found, strict=True):
+            assert list(own) == [model.first[k] + sum(x >= c for c in model.cuts[k]) for k, x in enumerate(row)]
+    model.weights, model.bias = draw.normal(0, 0.3, len(model.weights)), 0.2
+
+    def risk(weights, bias):
+        def loss(found, sign):
+            return sum(math.log1p(math.exp(-sign * (sum(weights[c] for c in own) + bias))) for own in found) / len(found)
+
+        return prior * loss(cells[0], 1), loss(cells[1], -1) - prior * loss(cells[0], -1)
+
+    assert model.risks(*cells, prior) == pytest.approx(risk(model.weights, model.bias))
+    gradients, step = model.gradients(*cells, prior), 1e-5
+    for k in [*draw.integers(0, len(model.weights), 12), len(model.weights)]:
+        up, down = np.append(model.weights, model.bias), np.append(model.weights, model.bias)
+        up[k] += step
+        down[k] -= step
+        high, low = risk(up[:-1], up[-1]), risk(down[:-1], down[-1])
+        for part in (0, 1):
+            assert gradients[part][k] == pytest.approx((high[part] - low[part]) / (2 * step), abs=1e-6)
+
+
+def test_quality_scores_are_those_of_the_plain_model(spark, small):
+    docs, labels = (spark.read.parquet(f"{small}/{name}.parquet") for name in ("documents", "labels"))
+    remainder = "crc32(cast(doc_id as string)) % 5"
+    model = quality.train_quality(docs.where(f"{remainder} > 0"), labels.where(f"{remainder} > 0"))
+    found = {r.doc_id: (r.score, r.predicted, r.held_out) for r in queries.op3_quality(spark, small).collect()}
+    for r in docs.collect():
+        margin = sum(model.weights[model.first[k] + sum(x >= c for c in model.cuts[k])] for k, x in enumerate(quality.features(r.text))) + model.bias
+        score = 1 / (1 + math.exp(-max(-30, min(30, margin))))
+        assert found[r.doc_id][0] == pytest.approx(score)
+        assert found[r.doc_id][1:] == (int(found[r.doc_id][0] >= 0.3), zlib.crc32(str(r.doc_id).encode()) % 5 == 0)

@@ -68,6 +68,24 @@ def test_near_vectors_of_the_table(spark, medium):
     assert queries.op2_embeddings(spark, medium).columns == ["vec_id", "n_links", "component_id", "kept"]
 
 
+def test_recall_of_planted_pairs_at_the_registered_settings(spark):
+    """1,500 pairs just above the threshold, where a hash misses most easily; no pair below it is linked."""
+    random = np.random.default_rng(11)
+    first = neighbours.unit(random.normal(size=(1500, 64)))
+    aside = random.normal(size=first.shape)
+    aside = neighbours.unit(aside - (aside * first).sum(axis=1, keepdims=True) * first)
+    cosine = random.uniform(0.9005, 0.91, (1500, 1))
+    second = cosine * first + np.sqrt(1 - cosine**2) * aside
+    rows = [(2 * k + j, v.tolist()) for k, pair in enumerate(zip(first, second, strict=True)) for j, v in enumerate(pair)]
+    found = neighbours.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).toPandas()
+    linked = found.set_index("vec_id").n_links
+    both = np.vstack([first, second])
+    true = (both @ both.T >= 0.9).sum() - len(both)
+    recall = linked.sum() / true
+    print(f"recall at 0.9005 to 0.91: {recall:.4f}")
+    assert 0.985 <= recall <= 1
+
+
 def test_empty_and_further_columns(spark, near):
     more = near.withColumn("rep", F.lit(1)).withColumn("n", F.lit(2)).withColumn("vec", F.lit(3)).where("vec_id < 9")
     assert neighbours.near_vectors(more).count() == 9
