@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerwatch.llm import language, mixing, packing, queries, secrets, simhash
-from ledgerwatch.llm.common import shared_folder, small_batches, table, unused
+from ledgerwatch.llm.common import remove, shared_folder, small_batches, table, unused
 
 
 #: Documents whose language is told with a smaller score go: languages mixed with others, and hardly any words.
@@ -69,10 +69,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages applied to ``documents``."""
+    """All stages applied to ``documents``. What a stage has written is removed when the next one is done."""
     docs = table(spark, sf_dir, "documents")
     folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     for k, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
         docs = spark.read.parquet(f"{folder}/{k}")
+        if k:
+            remove(spark, f"{folder}/{k - 1}")
     return docs
