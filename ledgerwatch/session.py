@@ -15,6 +15,8 @@ def build_session(app: str = "ledgerwatch", master: str | None = None, **setting
     builder = builder.config("spark.sql.session.timeZone", "UTC")
     # Sessions of one account are merged before they are shuffled, so a busy account is small by then.
     builder = builder.config("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
+    # Files of checkpoints that no frame refers to any more are removed.
+    builder = builder.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     for key, value in settings.items():
         builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()
