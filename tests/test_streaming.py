@@ -326,6 +326,36 @@ def test_new_output_folder_with_an_old_checkpoint(spark, folder, tmp_path):
     assert spark.read.parquet(f"{second.output}/feed").count() > 0
 
 
+def test_compaction_changes_no_row(spark, scored_run, tmp_path):
+    """Batches move into segments by day; a compaction that stopped before or after its segment was complete is done again."""
+    import shutil
+
+    from ledgerwatch.streaming.compaction import compact, written
+
+    output = str(tmp_path / "out")
+    shutil.copytree(scored_run[0], output)
+    for table in ("scored", "alerts", "batches", "quarantine"):
+        before = spark.read.parquet(f"{output}/{table}").toPandas()
+        # An incomplete segment counts for nothing.
+        os.makedirs(f"{output}/{table}_days/batches=0-1")
+        assert written(spark, output, table).count() == len(before)
+        kept = f"{tmp_path}/kept"
+        shutil.copytree(f"{output}/{table}/batch_id=1", kept)
+        assert compact(spark, output, table, 2) == 3
+        assert sorted(n for n in os.listdir(f"{output}/{table}") if "batch" in n) == ["batch_id=3", "batch_id=4"]
+        # A batch that was not removed after its segment was written is not read twice, and goes the next time.
+        shutil.move(kept, f"{output}/{table}/batch_id=1")
+        assert written(spark, output, table).count() == len(before)
+        assert compact(spark, output, table, 4) == 2 and compact(spark, output, table, 4) == 0
+        after = written(spark, output, table)
+        assert after.count() == len(before) and after.where("day is null").isEmpty()
+        if table in ("scored", "alerts"):
+            key = ["transaction_id", "batch_id"]
+            assert_same(after.select(*key).toPandas(), before[key])
+            pruned = after.where("day = date'2020-01-01'")
+            assert pruned.count() == 0 and "PartitionFilters: [isnotnull(day" in pruned._jdf.queryExecution().toString()
+
+
 def test_files_by_bytes(spark, folder, tmp_path):
     stream = file_messages(spark, folder, bytes_per_batch=1)
     query = start_table(stream, str(tmp_path / "out"), "bytes", str(tmp_path / "cp"), available_now=True)
