@@ -6,7 +6,6 @@ import time
 from decimal import Decimal
 
 import numpy as np
-import pandas as pd
 import pytest
 
 from ledgerwatch.functions.columns import rounded
@@ -101,7 +100,7 @@ def test_sessions_are_exact():
     steps = [(0, large), (0, Decimal("0.0001")), (gap, Decimal(1)), (gap - 1, Decimal(2)), (2 * gap + 1, Decimal(3))]
     session, found = None, []
     for after, units in steps:
-        session = session_after(session, np.array([start + after]), pd.Series([units]))
+        session = session_after(session, np.array([start + after]), [units])
         found.append(session[:2])
     total = large + Decimal("0.0001")
     assert found == [(1, large), (2, total), (3, total + 1), (4, total + 3), (1, Decimal(3))]

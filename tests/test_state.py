@@ -31,19 +31,19 @@ def test_session_after_any_batches():
     draw = np.random.default_rng(3)
     for _ in range(200):
         us = np.cumsum(draw.choice([0, 1, GAP_US, GAP_US + 1, 5], 30)) + 1_704_067_200_000_000
-        units = pd.Series([Decimal(10) ** int(k) + Decimal("0.0001") for k in draw.integers(0, 21, 30)])
+        units = np.array([Decimal(10) ** int(k) + Decimal("0.0001") for k in draw.integers(0, 21, 30)], object)
         began = max([0, *(np.flatnonzero(np.diff(us) > GAP_US) + 1)])
         expected = (30 - began, sum(int(u * 10**4) for u in units[began:]), int(us[-1]))
         cuts = [0, *sorted(draw.integers(1, 30, 4)), 30]
         session = None
         for a, b in zip(cuts, cuts[1:]):
             if a < b:
-                session = session_after(session, us[a:b], units.iloc[a:b])
+                session = session_after(session, us[a:b], units[a:b])
         assert (session[0], int(session[1] * 10**4), session[2]) == expected
 
 
 def test_row_older_than_the_open_session_counts_in_it(spark):
-    late = session_after((3, Decimal(5), 10 * GAP_US), np.array([GAP_US, 10 * GAP_US + 1]), pd.Series([Decimal(1), Decimal(2)]))
+    late = session_after((3, Decimal(5), 10 * GAP_US), np.array([GAP_US, 10 * GAP_US + 1]), [Decimal(1), Decimal(2)])
     assert late == (5, Decimal(8), 10 * GAP_US + 1)
     rows = spark.createDataFrame(
         [("T1", "A", 10.0, "2024-01-01 00:00:00"), ("T2", "A", 20.0, "2024-01-01 00:08:00")],
