@@ -16,22 +16,23 @@ ALERT_TOPIC = "fraud-alerts"
 MESSAGES_PER_BATCH = 5000
 
 
-def kafka_messages(
-    spark: SparkSession,
-    servers: str,
-    topic: str = TOPIC,
-    per_batch: int = MESSAGES_PER_BATCH,
-    starting: str = "latest",
-) -> DataFrame:
-    """New messages of one topic, at most ``per_batch`` of them in a micro-batch."""
-    options = {
+def kafka_options(
+    servers: str, topic: str = TOPIC, per_batch: int = MESSAGES_PER_BATCH, starting: str = "latest"
+) -> dict[str, str]:
+    """What the reader is told: the topic, where to begin without a checkpoint, and the messages of a micro-batch."""
+    return {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": starting,
         "maxOffsetsPerTrigger": str(per_batch),
         "failOnDataLoss": "false",
     }
-    return spark.readStream.format("kafka").options(**options).load().select("key", "value", "timestamp")
+
+
+def kafka_messages(spark: SparkSession, servers: str, **options) -> DataFrame:
+    """New messages of one topic; ``options`` as ``kafka_options`` takes them."""
+    reader = spark.readStream.format("kafka").options(**kafka_options(servers, **options))
+    return reader.load().select("key", "value", "timestamp")
 
 
 def file_messages(

@@ -363,6 +363,16 @@ def test_files_by_bytes(spark, folder, tmp_path):
     assert progress(query).where("input_rows > 0").count() == FILES
 
 
+def test_kafka_options():
+    from ledgerwatch.sources.streams import kafka_options
+
+    assert kafka_options("a:1,b:2") == {
+        "kafka.bootstrap.servers": "a:1,b:2", "subscribe": "transactions", "startingOffsets": "latest",
+        "maxOffsetsPerTrigger": "5000", "failOnDataLoss": "false",
+    }
+    assert kafka_options("a:1", topic="t", per_batch=7, starting="earliest")["maxOffsetsPerTrigger"] == "7"
+
+
 def test_two_streams_run_and_stop_together(spark, folder, tmp_path):
     spark.streams.resetTerminated()
     scoring = start_scoring(
