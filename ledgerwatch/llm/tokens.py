@@ -34,7 +34,7 @@ PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S
 # The same for texts of ASCII characters only.
 ASCII_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\t-\r A-Za-z0-9]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+"
 #: Pieces up to this many characters are remembered, at most twice this many; all others are encoded each time.
-KEPT_CHARS, KEPT_PIECES = 64, 1 << 19
+KEPT_CHARS, KEPT_PIECES = 64, 1 << 20
 #: So many pairs of tokens are remembered as fitting or not.
 KEPT_PAIRS = 1 << 20
 #: Pieces whose tokens are put together at a time.
@@ -116,9 +116,9 @@ class Encoder:
         for t, i in usable.items():
             self.shorter[i] = next((usable[t[:k]] for k in range(len(t) - 1, 0, -1) if t[:k] in usable), None)
         self.compatible = Pairs(self.fits)
-        #: Remembered pieces: their ids joined by commas, and as 32-bit numbers.
-        self.kept: dict[str, tuple[str, bytes]] = {}
-        self.kept_before: dict[str, tuple[str, bytes]] = {}
+        #: Remembered pieces and their ids, joined by commas.
+        self.kept: dict[str, str] = {}
+        self.kept_before: dict[str, str] = {}
         self.special = vocabulary.special
         longest_first = sorted(self.special, key=len, reverse=True)
         self.specials = regex.compile("|".join(map(regex.escape, longest_first))) if self.special else None
@@ -158,17 +158,22 @@ class Encoder:
         if all(map(fit.__getitem__, zip(out, out[1:]))):  # noqa: B905
             return out
         n, length, shorter = len(piece), self.length, self.shorter
-        longest = array("i", bytes(4 * n))
-        for end, token in self.automaton.iter(letters):
-            longest[end - length[token] + 1] = token  # of those that begin here, longer ones end later
-        dead, out, at, token = bytearray(n + 1), [], 0, longest[0]
+        if n <= KEPT_CHARS:
+            longest, find = None, self.automaton.iter_long
+        else:
+            # One walk over a long piece finds the longest token at every position: of those that begin at one, longer
+            # ones end later.
+            longest = array("i", bytes(4 * n))
+            for end, token in self.automaton.iter(letters):
+                longest[end - length[token] + 1] = token
+        dead, at, token, out = bytearray(n + 1), 0, out[0], []
         while at < n:
             end = at + length[token]
             if not dead[end] and (not out or fit[out[-1], token]):
                 out.append(token)
                 at = end
                 if at < n:
-                    token = longest[at]
+                    token = longest[at] if longest else next(find(letters[at:]))[1]
                 continue
             token = shorter[token]
             if token is None:
@@ -177,9 +182,8 @@ class Encoder:
                 at -= length[token]
         return out
 
-    def _kept(self, piece: str) -> tuple[str, bytes]:
-        ids = self.encode_piece(piece.encode())
-        return ",".join(map(str, ids)), array("i", ids).tobytes()
+    def _joined(self, piece: str) -> str:
+        return ",".join(map(str, self.encode_piece(piece.encode())))
 
     def _plain_parts(self, text: str) -> Iterator[tuple[str, np.ndarray]]:
         """The ids of a text without special texts, joined by commas and as numbers, for some pieces at a time."""
@@ -188,9 +192,9 @@ class Encoder:
         while part := list(islice(pieces, PART_PIECES)):
             new = set(part).difference(kept)
             for piece in new:
-                kept[piece] = self.kept_before.get(piece) or self._kept(piece)
-            texts, raw = zip(*map(kept.__getitem__, part), strict=True)
-            yield ",".join(texts), np.frombuffer(b"".join(raw), np.int32)
+                kept[piece] = self.kept_before.get(piece) or self._joined(piece)
+            joined = ",".join(map(kept.__getitem__, part))
+            yield joined, np.fromstring(joined, np.int32, sep=",")
             for piece in new:
                 if len(piece) > KEPT_CHARS:
                     del kept[piece]
