@@ -27,12 +27,6 @@ def saved(frame: DataFrame) -> DataFrame:
     return frame.checkpoint()
 
 
-def remove(spark: SparkSession, folder: str) -> None:
-    """Delete a folder of the shared storage."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
-
-
 #: Rows of long texts that go to a Python worker at a time.
 TEXT_ROWS = 1000
 

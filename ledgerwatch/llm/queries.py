@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerwatch.llm import (
@@ -90,6 +89,8 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op12_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers  # where the vocabulary files of this machine are; the operator takes any path
+
     return tokens.token_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
