@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerwatch.llm import language, mixing, packing, queries, secrets, simhash
-from ledgerwatch.llm.common import remove, shared_folder, small_batches, table, unused
+from ledgerwatch.llm.common import shared_folder, small_batches, table, unused
+from ledgerwatch.sources.folders import remove
 
 
 #: Documents whose language is told with a smaller score go: languages mixed with others, and hardly any words.
