@@ -183,7 +183,7 @@ def manifest(rows: DataFrame, tree: str, order: str, leaf: str, fanout: int = 2,
     tree over their roots by that value.
 
     All are SQL expressions over ``rows``; ``leaf`` gives a row's digest, ``keep`` (``... as name``) what goes
-    along with the leaves. Null trees come first, null orders too; rows of the same order go by their
+    along with the leaves; ``fanout`` is 2 to 36. Null trees come first, null orders too; rows of the same order go by their
     digest, and equal rows are leaves of their own. An empty table has no root and no trees.
     """
     narrow = rows.selectExpr(
