@@ -77,6 +77,31 @@ def test_any_number_of_accounts_is_cut(spark):
     assert sizes.agg({"count": "max"}).first()[0] < 100 and sizes.count() == 10_000
 
 
+def test_a_row_meets_short_lists_only(spark):
+    """Thousands of slices of one account: what a row is joined with to find its slice stays as short."""
+    rows = spark.range(200_000).selectExpr("'A' as account_id", "id as transaction_id", "id div 30000 as us")
+    slices = find_slices(rows, SkewConfig(slice_rows=40))
+    assert [stride for stride, _ in slices.levels] == [4096, 64, 1]
+    assert all(lists.selectExpr("max(size(starts))").first()[0] < 64 for _, lists in slices.levels)
+    cut = slices.cut(rows).cache()
+    sizes = cut.groupBy("slice").count().selectExpr("count(*)", "max(slice)", "max(count)").first()
+    assert 4_500 < sizes[0] == sizes[1] + 1 and sizes[2] < 120
+    # The order of the rows, which compares the ids as text, is that of the slices.
+    back = "lag(slice) over (order by us, cast(transaction_id as string)) > slice as back"
+    assert cut.selectExpr(back).where("back").isEmpty()
+    cut.unpersist()
+
+
+@pytest.mark.parametrize("max_keys", [1, 1_024])
+def test_levels_of_any_width_give_the_same(tied, monkeypatch, max_keys):
+    monkeypatch.setattr(cutting, "FAN_OUT", 2)
+    monkeypatch.setattr(cutting, "PER_SLICE", 2)
+    skew = SkewConfig(slice_rows=15, max_keys=max_keys)
+    assert len(find_slices(timed(tied), skew).levels) > 5
+    for operator in (velocity.session_velocity, velocity.trailing_velocity):
+        assert_same(operator(tied, skew).toPandas(), operator(tied, WHOLE).toPandas())
+
+
 def test_few_rows_are_not_cut(spark, skewed):
     assert find_slices(timed(skewed), SkewConfig()).accounts is None
     assert find_slices(timed(skewed).limit(0), CUT).accounts is None
